@@ -64,6 +64,41 @@ def _pass_summary(state: DataFrame, top_k: int):
     return top_rows, maxl, maxr, tokens
 
 
+PAIR_TABLE_LIMIT = 200_000  # pair rows a pass may bring to the driver whole (pairs <= vocabulary^2)
+
+
+def _pass_summary_small(state: DataFrame):
+    """One aggregation gives pair counts and the tokens in use.
+
+    Returns None when the table has more than ``PAIR_TABLE_LIMIT`` rows;
+    otherwise the same summary as ``_pass_summary`` computed from it.
+    """
+    toks = T.token_array("t")
+    rows = F.concat(
+        F.transform(T.adjacent_pairs(toks), lambda p: F.struct(p.a.alias("a"), p.b.alias("b"))),
+        F.transform(toks, lambda x: F.struct(x.alias("a"), F.lit(None).cast("string").alias("b"))),
+    )
+    agg = (
+        state.select("n", F.explode(rows).alias("r"))
+        .groupBy(F.col("r.a").alias("a"), F.col("r.b").alias("b"))
+        .agg(F.sum("n").alias("n"))
+    )
+    got = agg.limit(PAIR_TABLE_LIMIT + 1).collect()
+    if len(got) > PAIR_TABLE_LIMIT:
+        return None
+    tokens = {r.a for r in got if r.b is None}
+    pairs = [(r.a, r.b, r.n) for r in got if r.b is not None]
+    maxl: dict = {}
+    maxr: dict = {}
+    for a, b, n in pairs:
+        if n > maxl.get(b, 0):
+            maxl[b] = n
+        if n > maxr.get(a, 0):
+            maxr[a] = n
+    pairs.sort(key=lambda x: (-x[2], x[0].encode(), x[1].encode()))
+    return pairs, maxl, maxr, tokens
+
+
 def _choose_batch(top_rows, maxl, maxr, tokens, room: int):
     """Longest prefix of the sorted pairs that one-at-a-time training would also pick.
 
@@ -114,12 +149,25 @@ def train_bpe(
         raise ValueError("target vocabulary size must be a positive integer")
     spark: SparkSession = docs.sparkSession
     ensure_checkpoint_dir(spark)
-    state = W.start_state(W.word_frequency(docs, text)).persist(StorageLevel.MEMORY_AND_DISK)
+    # distinct words spread over all shuffle partitions: the loop is CPU work on a small table
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    state = (
+        W.start_state(W.word_frequency(docs, text)).repartition(parts, "word").persist(StorageLevel.MEMORY_AND_DISK)
+    )
     rules: list[tuple[str, str, int]] = []
     sizes: list[int] = []
     passes = 0
+    prev = None
     while True:
-        top_rows, maxl, maxr, tokens = _pass_summary(state, top_k)
+        summary = _pass_summary_small(state)
+        if summary is None:
+            summary = _pass_summary(state, top_k)
+        else:
+            summary = (summary[0][:top_k],) + summary[1:]
+        top_rows, maxl, maxr, tokens = summary
+        if prev is not None:
+            prev.unpersist()  # the new state is materialized now
+            prev = None
         size = len(tokens) + 2  # + <PAD>, <END>
         sizes.append(size)
         if size >= target_size or not top_rows or top_rows[0][2] < 2:
@@ -139,9 +187,6 @@ def train_bpe(
         else:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
         prev, state = state, nxt
-        if passes % checkpoint_every != 0:
-            state.count()  # materialize before dropping the parent
-        prev.unpersist()
     merges = spark.createDataFrame(
         [(i + 1, a, b, a + b, n) for i, (a, b, n) in enumerate(rules)], MERGES_SCHEMA
     )
