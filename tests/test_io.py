@@ -43,7 +43,7 @@ def test_vocab_roundtrip_and_rules(spark, tiny_model, scratch):
 def test_read_ids(spark, scratch):
     p = _write(os.path.join(scratch, "a.ids"), b"3 99\n5\n")
     assert [r.token_id for r in IO.read_ids(spark, p).orderBy("pos").collect()] == [3, 99, 5]
-    kept = IO.drop_invalid_ids(IO.read_ids(spark, p), 8)
+    kept = IO.read_ids(spark, p, vocab_size=8)
     assert [(r.pos, r.token_id) for r in kept.collect()] == [(0, 3), (1, 5)]
     bad = _write(os.path.join(scratch, "b.ids"), b"3 x 5")
     with pytest.raises(IO.MalformedIdsError):

@@ -83,7 +83,34 @@ def _docs_ids_sql(sf: str = "") -> str:
 
 
 def _r(c, places=R):
-    return F.round(F.col(c) if isinstance(c, str) else c, places)
+    # + 0.0 turns a rounded -0.0 into 0.0 (same on the SQL side)
+    return F.round(F.col(c) if isinstance(c, str) else c, places) + F.lit(0.0)
+
+
+def _plus_zero(sql: str) -> str:
+    """Wrap every ``round(...)`` of an oracle as ``(round(...) + 0.0)``."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j])
+        out.append("(round(" + _plus_zero(sql[j + 6:k]) + ") + 0.0)")
+        i = k + 1
 
 
 # --------------------------------------------------------------------------- text
@@ -888,3 +915,4 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "gram_matrix": (q_gram_matrix, SQL_GRAM_MATRIX),
     "gram_trace": (q_gram_trace, SQL_GRAM_TRACE),
 }
+REGISTRY = {k: (fn, _plus_zero(sql) if sql else sql) for k, (fn, sql) in REGISTRY.items()}

@@ -60,33 +60,31 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     return _ordered_lines(spark, path).select(F.col("idx").cast("bigint").alias("token_id"), F.col("line").alias("token"))
 
 
-def read_ids(spark: SparkSession, path: str, mode: str = "failfast") -> DataFrame:
-    """White-space separated ids ``(pos, token_id)``.
-
-    A malformed item fails the whole read (``mode='failfast'``), or its rows
-    are returned with a null id (``mode='permissive'``).  An empty file gives
-    no rows.
+def read_ids(spark: SparkSession, path: str, mode: str = "failfast", vocab_size: int | None = None) -> DataFrame:
+    """S4 (+ F6): white-space separated ids ``(pos, token_id)``.
+
+    A malformed item fails the whole read (``mode='failfast'``), or is
+    skipped (``mode='permissive'``).  An empty file gives no rows.  With
+    ``vocab_size``, ids at or above it are removed *before* positions are
+    given, so neighbours close up -- done inside the id array, so no window
+    spans the stream.
     """
     raw = spark.read.text(path, wholetext=True).select(
         F.regexp_replace(F.col("value"), r"^\s+|\s+$", "").alias("v")
     )
-    items = raw.where(F.length("v") > 0).select(F.posexplode(F.split("v", r"\s+")).alias("pos", "item"))
+    items = raw.where(F.length("v") > 0).select(F.split("v", r"\s+").alias("items"))
     ids = items.select(
-        F.col("pos").cast("bigint").alias("pos"), "item",
-        F.when(F.col("item").rlike("^[0-9]+$"), F.expr("try_cast(item AS BIGINT)")).alias("token_id"),
+        F.transform("items", lambda x: F.when(x.rlike("^[0-9]+$"), x.try_cast("bigint"))).alias("ids"),
+        "items",
     )
     if mode == "failfast":
-        bad = ids.where(F.col("token_id").isNull()).limit(1).collect()
+        bad = ids.select(F.posexplode("ids").alias("pos", "token_id"), "items").where(
+            F.col("token_id").isNull()).select("pos", F.col("items")[F.col("pos")].alias("item")).limit(1).collect()
         if bad:
             raise MalformedIdsError(f"malformed token id {bad[0].item!r} at item {bad[0].pos}")
-        return ids.select("pos", "token_id")
-    return ids
-
-
-def drop_invalid_ids(ids: DataFrame, vocab_size: int) -> DataFrame:
-    """keep ids below the vocabulary size; positions close up (a file is one stream)."""
-    kept = ids.where((F.col("token_id") >= 0) & (F.col("token_id") < vocab_size))
-    return kept.select((F.row_number().over(Window.orderBy("pos")) - 1).cast("bigint").alias("pos"), "token_id")
+    keep = (lambda x: x.isNotNull()) if vocab_size is None else (lambda x: x.isNotNull() & (x < F.lit(vocab_size)))
+    return ids.select(F.posexplode(F.filter("ids", keep)).alias("pos", "token_id")).select(
+        F.col("pos").cast("bigint").alias("pos"), "token_id")
 
 
 def write_vocab(vocab: DataFrame, path: str, fmt: str = "parquet") -> None:
