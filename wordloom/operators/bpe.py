@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions import text as T
 from wordloom.operators import words as W
-from wordloom.session import ensure_checkpoint_dir
+from wordloom.session import durable, ensure_checkpoint_dir
 
 MERGES_SCHEMA = "rank int, a string, b string, merged string, n bigint"
 
@@ -183,7 +183,7 @@ def train_bpe(
         nxt = state.select("word", "n", T.apply_rules("t", [(a, b) for a, b, _ in batch]).alias("t"))
         if passes % checkpoint_every == 0:
             # reliable checkpoint in the shared checkpoint folder cuts the lineage
-            nxt = nxt.checkpoint(eager=True)
+            nxt = durable(nxt)
         else:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
         prev, state = state, nxt

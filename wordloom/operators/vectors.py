@@ -224,3 +224,27 @@ def gram_matrix(vectors: DataFrame, centered: bool = True) -> DataFrame:
 def diagonal_trace(gram: DataFrame) -> DataFrame:
     """Diagonal of a square coordinate matrix and its trace."""
     return gram.where(F.col("i") == F.col("j")).agg(F.sum("v").alias("trace"), F.count(F.lit(1)).alias("dim"))
+
+
+def knn_exact(vectors: DataFrame, queries: DataFrame, k: int, salts: int = 16) -> DataFrame:
+    """V2: the k rows most similar (cosine) to each query; ties go to the lower vec_id.
+
+    ``queries`` = ``(q_id, q_vec)`` is a bounded set (size checked) placed in
+    the row expression, so every row is scored against all queries without a
+    join.  Top-k runs in two steps -- per (query, salt) and then per query over
+    at most k x salts candidates -- so no group ever holds a whole query's rows.
+    """
+    qs = sorted(_collect_bounded(queries, "query set"), key=lambda r: r.q_id)
+    ids = F.array(*[F.lit(r.q_id) for r in qs])
+    mats = F.array(*[F.array(*[F.lit(float(x)) for x in r.q_vec]) for r in qs])
+    scored = vectors.select(
+        "vec_id",
+        F.explode(F.arrays_zip(ids.alias("q_id"), F.transform(mats, lambda q: V.cosine("embedding", q)).alias("sim"))).alias("s"),
+    ).select("vec_id", F.col("s.q_id").alias("q_id"), F.col("s.sim").alias("sim"))
+    from pyspark.sql import Window
+
+    salted = scored.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(salts)))
+    w1 = Window.partitionBy("q_id", "salt").orderBy(F.desc("sim"), "vec_id")
+    cand = salted.withColumn("r", F.row_number().over(w1)).where(F.col("r") <= k)
+    w2 = Window.partitionBy("q_id").orderBy(F.desc("sim"), "vec_id")
+    return cand.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k).select("q_id", "rank", "vec_id", "sim")

@@ -688,6 +688,29 @@ SQL_ASSIGN_NEAREST = (
 )
 
 
+KNN_K = 5
+
+
+def q_knn_exact(spark, sf):
+    """V2: 5 nearest rows (cosine) of every label centroid."""
+    e = _emb(spark, sf)
+    qs = VX.centroid_vectors(e).select(F.col("label").cast("bigint").alias("q_id"), F.col("centroid").alias("q_vec"))
+    r = VX.knn_exact(e, qs, KNN_K)
+    return r.select("q_id", F.col("rank").cast("bigint").alias("rank"), "vec_id", _r("sim").alias("sim"))
+
+
+SQL_KNN_EXACT = (
+    f"WITH {_CELLS}, cent AS (SELECT label AS q_id, i, avg(v) AS c FROM cells GROUP BY 1, 2), "
+    "dots AS (SELECT c.q_id, x.vec_id, sum(x.v * c.c) AS d FROM cells x JOIN cent c ON c.i = x.i GROUP BY 1, 2), "
+    "xn AS (SELECT vec_id, sqrt(sum(v * v)) AS nx FROM cells GROUP BY 1), "
+    "cn AS (SELECT q_id, sqrt(sum(c * c)) AS nc FROM cent GROUP BY 1), "
+    "sims AS (SELECT d.q_id, d.vec_id, CASE WHEN xn.nx > 0 AND cn.nc > 0 THEN d.d / (xn.nx * cn.nc) ELSE 0.0 END AS sim "
+    "FROM dots d JOIN xn USING (vec_id) JOIN cn USING (q_id)) "
+    f"SELECT q_id::BIGINT AS q_id, rank::BIGINT AS rank, vec_id, round(sim, {R}) AS sim FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY sim DESC, vec_id) AS rank FROM sims) WHERE rank <= 5"
+)
+
+
 def q_cluster_summary(spark, sf):
     s = VX.cluster_summary(VX.assign_nearest(_emb(spark, sf)))
     return s.select("nearest", "n", _r("mean_dist").alias("mean_dist"), F.col("same_label").cast("bigint").alias("same_label"))
@@ -903,6 +926,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "centroids": (q_centroids, SQL_CENTROIDS),
     "assign_nearest": (q_assign_nearest, SQL_ASSIGN_NEAREST),
     "cluster_summary": (q_cluster_summary, SQL_CLUSTER_SUMMARY),
+    "knn_exact": (q_knn_exact, SQL_KNN_EXACT),
     "vector_profile": (q_vector_profile, SQL_VECTOR_PROFILE),
     "standardize": (q_standardize, SQL_STANDARDIZE),
     "group_pool": (q_group_pool, SQL_GROUP_POOL),

@@ -53,3 +53,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Materialize once and write a reliable checkpoint of the result.
+
+    ``checkpoint()`` writes its files with a second job; persisting first makes
+    that job read the cached rows instead of recomputing the plan.
+    """
+    from pyspark import StorageLevel
+
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.count()
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
