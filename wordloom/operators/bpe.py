@@ -190,4 +190,6 @@ def train_bpe(
     merges = spark.createDataFrame(
         [(i + 1, a, b, a + b, n) for i, (a, b, n) in enumerate(rules)], MERGES_SCHEMA
     )
-    return BpeModel(merges=merges, vocab=W.vocabulary(state), state=state, rules=rules, passes=passes, sizes=sizes)
+    # the vocabulary (at most m rows) is written once; every later lookup reads it
+    vocab = durable(W.vocabulary(state))
+    return BpeModel(merges=merges, vocab=vocab, state=state, rules=rules, passes=passes, sizes=sizes)

@@ -372,7 +372,7 @@ def q_skipgram_pairs_global(spark, sf):
 
 SQL_SKIPGRAM_PAIRS_GLOBAL = (
     _docs_ids_sql()
-    + ", g AS (SELECT token_id, (row_number() OVER (ORDER BY doc_id, pos) - 1) AS gpos FROM ids) "
+    + ", g AS MATERIALIZED (SELECT token_id, (row_number() OVER (ORDER BY doc_id, pos) - 1) AS gpos FROM ids) "
     f", dd AS (SELECT unnest(range(-{WINDOW}, {WINDOW + 1})) AS d) "
     "SELECT a.token_id AS center, b.token_id AS context, count(*)::BIGINT AS n "
     "FROM g a CROSS JOIN dd JOIN g b ON b.gpos = a.gpos + dd.d WHERE dd.d <> 0 GROUP BY 1, 2"
@@ -422,7 +422,7 @@ def q_training_examples(spark, sf):
 
 _SQL_EXAMPLES = (
     _SQL_DRAWS
-    + ", ex AS (SELECT center, target, label, count(*)::BIGINT AS n FROM ("
+    + ", ex AS MATERIALIZED (SELECT center, target, label, count(*)::BIGINT AS n FROM ("
     "SELECT center, context AS target, 1 AS label FROM occ UNION ALL SELECT center, target, 0 AS label FROM negs) "
     "GROUP BY 1, 2, 3)"
 )

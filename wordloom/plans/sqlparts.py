@@ -46,9 +46,9 @@ def bpe(prefix: str, source: str, m: int, text: str = "text") -> str:
    (SELECT count(DISTINCT tok) + 2 AS vs FROM (SELECT unnest(string_split(trim(t), '  ')) AS tok FROM {p}_st)) v
   WHERE bp.n >= 2 AND v.vs < {m}
 ),
-{p}_merges AS (SELECT DISTINCT step::INTEGER AS rank, ra AS a, rb AS b, ra || rb AS merged, rn AS n FROM {p}_st WHERE step > 0),
-{p}_final AS (SELECT word, n, t FROM {p}_st WHERE step = (SELECT max(step) FROM {p}_st)),
-{p}_vocab AS (
+{p}_merges AS MATERIALIZED (SELECT DISTINCT step::INTEGER AS rank, ra AS a, rb AS b, ra || rb AS merged, rn AS n FROM {p}_st WHERE step > 0),
+{p}_final AS MATERIALIZED (SELECT word, n, t FROM {p}_st WHERE step = (SELECT max(step) FROM {p}_st)),
+{p}_vocab AS MATERIALIZED (
   SELECT 0::BIGINT AS token_id, '<PAD>' AS token UNION ALL SELECT 1::BIGINT, '<END>' UNION ALL
   SELECT (row_number() OVER (ORDER BY token) + 1)::BIGINT, token
   FROM (SELECT DISTINCT unnest(string_split(trim(t), '  ')) AS token FROM {p}_final) WHERE token NOT IN ('<PAD>', '<END>')
@@ -69,7 +69,7 @@ def encode_docs(name: str, source: str, rules: str, key: str = "doc_id", text: s
     spaced = SPACED_TEXT.format(text=text)
     s = "list_reduce(rl, lambda acc, x: replace(acc, x.p, x.r), sp)"
     return (
-        f"{name} AS (SELECT doc_id, {TOKENS.format(s='s')} AS tokens FROM "
+        f"{name} AS MATERIALIZED (SELECT doc_id, {TOKENS.format(s='s')} AS tokens FROM "
         f"(SELECT d.doc_id, {s} AS s FROM (SELECT {key} AS doc_id, {spaced} AS sp FROM {source}) d, {rules}))"
     )
 
@@ -87,7 +87,7 @@ def token_rows(name: str, enc: str) -> str:
 def id_rows(name: str, rows: str, vocab: str) -> str:
     """``(doc_id, pos, token, token_id)``: unknown tokens dropped, positions closed up."""
     return (
-        f"{name} AS (SELECT r.doc_id, (row_number() OVER (PARTITION BY r.doc_id ORDER BY r.pos) - 1)::BIGINT AS pos, "
+        f"{name} AS MATERIALIZED (SELECT r.doc_id, (row_number() OVER (PARTITION BY r.doc_id ORDER BY r.pos) - 1)::BIGINT AS pos, "
         f"r.token, v.token_id FROM {rows} r JOIN (SELECT token, min(token_id) AS token_id FROM {vocab} GROUP BY 1) v "
         f"ON r.token = v.token)"
     )
@@ -96,22 +96,23 @@ def id_rows(name: str, rows: str, vocab: str) -> str:
 def occurrences(name: str, ids: str, window: int) -> str:
     """Skip-gram occurrences ``(doc_id, i, d, center, context)`` within documents (equi-join on pos + d)."""
     return (
-        f"{name} AS (SELECT a.doc_id, a.pos AS i, dd.d::INTEGER AS d, a.token_id AS center, b.token_id AS context "
-        f"FROM {ids} a CROSS JOIN (SELECT unnest(range(-{window}, {window + 1})) AS d) dd "
-        f"JOIN {ids} b ON b.doc_id = a.doc_id AND b.pos = a.pos + dd.d WHERE dd.d <> 0)"
+        f"{name}_probe AS MATERIALIZED (SELECT a.doc_id, a.pos AS i, dd.d::INTEGER AS d, a.token_id AS center, "
+        f"a.pos + dd.d AS q FROM {ids} a CROSS JOIN (SELECT unnest(range(-{window}, {window + 1})) AS d) dd WHERE dd.d <> 0), "
+        f"{name} AS MATERIALIZED (SELECT p.doc_id, p.i, p.d, p.center, b.token_id AS context "
+        f"FROM {name}_probe p JOIN {ids} b ON b.doc_id = p.doc_id AND b.pos = p.q)"
     )
 
 
 def token_counts(name: str, ids: str, vocab: str) -> str:
     return (
-        f"{name} AS (SELECT v.token_id, coalesce(c.n, 0)::BIGINT AS n FROM {vocab} v LEFT JOIN "
+        f"{name} AS MATERIALIZED (SELECT v.token_id, coalesce(c.n, 0)::BIGINT AS n FROM {vocab} v LEFT JOIN "
         f"(SELECT token_id, count(*) AS n FROM {ids} GROUP BY 1) c ON v.token_id = c.token_id)"
     )
 
 
 def cdf(name: str, counts: str) -> str:
     return (
-        f"{name} AS (SELECT token_id, n, w, sum(w) OVER (ORDER BY token_id ROWS UNBOUNDED PRECEDING) - w AS lo, "
+        f"{name} AS MATERIALIZED (SELECT token_id, n, w, sum(w) OVER (ORDER BY token_id ROWS UNBOUNDED PRECEDING) - w AS lo, "
         f"sum(w) OVER (ORDER BY token_id ROWS UNBOUNDED PRECEDING) AS hi FROM "
         f"(SELECT token_id, n, CASE WHEN n > 0 THEN pow(n::DOUBLE, 0.75) ELSE 0.0 END AS w FROM {counts}))"
     )
@@ -120,7 +121,7 @@ def cdf(name: str, counts: str) -> str:
 def draws(name: str, occ: str, cdf_name: str, neg: int, seed: int, epoch: int = 0) -> str:
     """Negative draws ``(doc_id, i, d, center, context, k, target)`` with the context cut out."""
     u = uniform_sql(str(seed), str(epoch), "o.doc_id", "o.i", "o.d", "k.k")
-    return f"""{name} AS (
+    return f"""{name} AS MATERIALIZED (
   SELECT r.doc_id, r.i, r.d, r.center, r.context, r.k, c.token_id AS target
   FROM (
     SELECT *, CASE WHEN r0 >= clo THEN r0 + cw ELSE r0 END AS rr FROM (
