@@ -26,7 +26,6 @@ HEADLINE = [
     "skipgram_pairs",
     "skipgram_pairs_global",
     "sampling_cdf",
-    "training_examples",
     "sgns_fit",
     "centroids",
     "standardize",

@@ -76,3 +76,19 @@ def test_profile_dedup_winsorize_truncate(emb):
     x = np.array([r[1] for r in rows], dtype=np.float64)
     lab = np.array([r[2] for r in rows])
     assert np.allclose(b[4], x[lab == lab[4]].mean(axis=0))
+
+
+def test_knn_exact_matches_brute_force(emb, spark):
+    df, rows = emb
+    x = np.array([r[1] for r in rows], dtype=np.float64)
+    q = [(0, [1.0, 0, 0, 0, 0, 0]), (1, [float(v) for v in x[3]])]
+    qs = spark.createDataFrame(q, "q_id bigint, q_vec array<double>")
+    got = {}
+    for r in VX.knn_exact(df, qs, 4, salts=3).collect():
+        got.setdefault(r.q_id, []).append((r.rank, r.vec_id))
+    norms = np.linalg.norm(x, axis=1)
+    for qid, qv in q:
+        qv = np.array(qv)
+        sims = np.where(norms > 0, x @ qv / np.where(norms > 0, norms, 1) / np.linalg.norm(qv), 0.0)
+        order = sorted(range(len(rows)), key=lambda i: (-round(sims[i], 12), rows[i][0]))[:4]
+        assert [v for _, v in sorted(got[qid])] == [rows[i][0] for i in order]

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions import text as T
+from wordloom.session import spread
 
 LOOKUP_LIMIT = 1_000_000  # vocabulary rows that may be shipped to every task
 
@@ -45,7 +46,8 @@ def encode_documents(docs: DataFrame, rules: Sequence, text: str = "text", key:
     """``(doc_id, tokens ARRAY<STRING>)`` in text order, per document."""
     pairs = T.rules_for_text(_rule_pairs(rules))
     spaced = T.apply_rules(T.spaced_text(T.words_array(text)), pairs)
-    return docs.select(F.col(key).alias("doc_id"), T.token_array(spaced).alias("tokens"))
+    return spread(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))).select(
+        "doc_id", T.token_array(spaced).alias("tokens"))
 
 
 def token_stream(doc_tokens: DataFrame) -> DataFrame:

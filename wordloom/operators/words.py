@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions import text as T
+from wordloom.session import spread
 
 
 def extract_words(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``words(doc_id, wpos, word)`` -- one row per word occurrence, in text order."""
-    return docs.select(F.col(key).alias("doc_id"), F.posexplode(T.words_array(text)).alias("wpos", "word"))
+    src = spread(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
+    return src.select("doc_id", F.posexplode(T.words_array("text")).alias("wpos", "word"))
 
 
 def word_frequency(docs: DataFrame, text: str = "text") -> DataFrame:
     """A1: ``word_freq(word, n)``.  Partial (map-side) counts first, so a very
     frequent word never travels as many rows."""
     return (
-        docs.select(F.explode(T.words_array(text)).alias("word"))
+        spread(docs.select(text))
+        .select(F.explode(T.words_array(text)).alias("word"))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -68,3 +68,16 @@ def durable(df: DataFrame) -> DataFrame:
     out = df.checkpoint(eager=True)
     df.unpersist()
     return out
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work at least one partition per core.
+
+    A large input already arrives in many splits and is returned unchanged; a
+    small one (a single file, a single row group) is dealt round-robin, so one
+    task does not encode every document.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
