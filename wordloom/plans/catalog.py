@@ -350,8 +350,12 @@ SQL_SAMPLING_CDF = (
 
 
 def _kept(spark, sf):
+    """Encoded documents without tokens that lack an id, persisted once per session."""
     model = tokenizer(spark, sf)
-    return E.keep_known(encoded_documents(spark, sf), model.vocab), model
+    k = _key(spark, "kept", os.path.abspath(sf))
+    if k not in _CACHE:
+        _CACHE[k] = E.keep_known(encoded_documents(spark, sf), model.vocab).persist(StorageLevel.MEMORY_AND_DISK)
+    return _CACHE[k], model
 
 
 def q_skipgram_pairs(spark, sf):
