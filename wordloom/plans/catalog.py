@@ -574,8 +574,12 @@ SQL_INIT_VECTORS = (
 
 
 def _examples_and_tables(spark, sf):
+    """One epoch of training examples (persisted once per session) and the start tables."""
     model = tokenizer(spark, sf)
-    return q_training_examples(spark, sf), G.init_tables(model.vocab, DIM, SEED)
+    k = _key(spark, "examples", os.path.abspath(sf))
+    if k not in _CACHE:
+        _CACHE[k] = q_training_examples(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    return _CACHE[k], G.init_tables(model.vocab, DIM, SEED)
 
 
 def q_sgns_loss(spark, sf):
