@@ -81,7 +81,7 @@ def test_profile_dedup_winsorize_truncate(emb):
 def test_knn_exact_matches_brute_force(emb, spark):
     df, rows = emb
     x = np.array([r[1] for r in rows], dtype=np.float64)
-    q = [(0, [1.0, 0, 0, 0, 0, 0]), (1, [float(v) for v in x[3]])]
+    q = [(0, [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]), (1, [float(v) for v in x[3]])]
     qs = spark.createDataFrame(q, "q_id bigint, q_vec array<double>")
     got = {}
     for r in VX.knn_exact(df, qs, 4, salts=3).collect():

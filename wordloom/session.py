@@ -77,6 +77,8 @@ def spread(df: DataFrame) -> DataFrame:
     small one (a single file, a single row group) is dealt round-robin, so one
     task does not encode every document.
     """
+    if df.isStreaming:
+        return df  # micro-batches are planned per trigger
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
