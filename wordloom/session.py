@@ -64,8 +64,7 @@ def durable(df: DataFrame) -> DataFrame:
     from pyspark import StorageLevel
 
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    df.count()
-    out = df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)  # its first job fills the cache, the write job reads it
     df.unpersist()
     return out
 
