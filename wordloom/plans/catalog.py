@@ -624,6 +624,16 @@ SQL_SGNS_STEP = _SQL_SCORED + (
 )
 
 
+def q_write_embeddings(spark, sf):
+    """S9 body: the embedding text format (header, then token and values) of the start input table.
+
+    No SQL oracle: printf-style float text differs between engines; rows are checked.
+    """
+    model = tokenizer(spark, sf)
+    vecs = G.export_vectors(G.init_tables(model.vocab, DIM, SEED), model.vocab)
+    return IO.embedding_lines(vecs, model.vocab.count())
+
+
 def q_sgns_fit(spark, sf):
     """G6 + G7: trained input vectors (default options) of the documents stream; norm per token."""
     model = tokenizer(spark, sf)
@@ -927,6 +937,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "init_vectors": (q_init_vectors, SQL_INIT_VECTORS),
     "sgns_loss": (q_sgns_loss, SQL_SGNS_LOSS),
     "sgns_step": (q_sgns_step, SQL_SGNS_STEP),
+    "write_embeddings": (q_write_embeddings, None),
     "sgns_fit": (q_sgns_fit, None),
     "train_from_text": (q_train_from_text, None),
     "vector_norms": (q_vector_norms, SQL_VECTOR_NORMS),
