@@ -74,10 +74,11 @@ def _pass_summary_small(state: DataFrame):
     otherwise the same summary as ``_pass_summary`` computed from it.
     """
     toks = T.token_array("t")
-    rows = F.concat(
-        F.transform(T.adjacent_pairs(toks), lambda p: F.struct(p.a.alias("a"), p.b.alias("b"))),
-        F.transform(toks, lambda x: F.struct(x.alias("a"), F.lit(None).cast("string").alias("b"))),
-    )
+    # every token of a word with two or more tokens lies in one of its pairs, so
+    # only a one-token word needs its own row for the vocabulary
+    rows = F.when(
+        F.size(toks) == 1, F.array(F.struct(toks[0].alias("a"), F.lit(None).cast("string").alias("b")))
+    ).otherwise(T.adjacent_pairs(toks))
     agg = (
         state.select("n", F.explode(rows).alias("r"))
         .groupBy(F.col("r.a").alias("a"), F.col("r.b").alias("b"))
@@ -86,8 +87,11 @@ def _pass_summary_small(state: DataFrame):
     got = agg.limit(PAIR_TABLE_LIMIT + 1).collect()
     if len(got) > PAIR_TABLE_LIMIT:
         return None
-    tokens = {r.a for r in got if r.b is None}
     pairs = [(r.a, r.b, r.n) for r in got if r.b is not None]
+    tokens = {r.a for r in got if r.b is None}
+    for a, b, _ in pairs:
+        tokens.add(a)
+        tokens.add(b)
     maxl: dict = {}
     maxr: dict = {}
     for a, b, n in pairs:
