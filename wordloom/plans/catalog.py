@@ -544,6 +544,16 @@ SQL_WRITE_IDS = _docs_ids_sql() + (
 )
 
 
+def q_write_vocab(spark, sf):
+    """S5 body: one token per line, line number = id."""
+    return tokenizer(spark, sf).vocab.select(F.col("token_id").alias("line"), F.col("token").alias("value"))
+
+
+SQL_WRITE_VOCAB = (
+    "WITH RECURSIVE " + Q.bpe("t", "documents", TARGET_SIZE) + " SELECT token_id AS line, token AS value FROM t_vocab"
+)
+
+
 def q_write_merges(spark, sf):
     """S6 body: rule lines in rank order."""
     return tokenizer(spark, sf).merges.select("rank", T.format_rule("a", "b").alias("value"))
@@ -912,6 +922,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "bpe_train": (q_bpe_train, SQL_BPE_TRAIN),
     "vocabulary": (q_vocabulary, SQL_VOCABULARY),
     "parse_merge_rules": (q_parse_merge_rules, SQL_PARSE_MERGE_RULES),
+    "write_vocab": (q_write_vocab, SQL_WRITE_VOCAB),
     "write_merges": (q_write_merges, SQL_WRITE_MERGES),
     "encode_words": (q_encode_words, SQL_ENCODE_WORDS),
     "encode_documents": (q_encode_documents, SQL_ENCODE_DOCUMENTS),
