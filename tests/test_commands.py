@@ -42,3 +42,27 @@ def test_commands_end_to_end(spark, scratch):
         train_command(spark, base, out_a, options=opts)
     with pytest.raises(ValueError):
         bpe_command(spark, os.path.dirname(corpus), base, 0)
+
+
+def test_train_from_parquet_id_table(spark, scratch, tiny_model):
+    from tests.conftest import docs
+    from wordloom.operators import encode as E
+    from wordloom.sources import files as IO
+
+    base = os.path.join(scratch, "tok")
+    IO.write_vocab(tiny_model.vocab, base + ".voc", fmt="text")
+    IO.write_merges(tiny_model.merges, base + ".merges", fmt="text")
+    rules = [(a, b) for a, b, _ in tiny_model.rules]
+    enc = E.encode_documents(docs(spark, "low lower", "lowest low lower"), rules)
+    table = os.path.join(scratch, "ids.parquet")
+    E.ids_stream(enc, tiny_model.vocab).select("doc_id", "pos", "token_id").write.parquet(table)
+    opts = TrainOptions(dim=8, window=2, epochs=1, neg=2, lr=0.05, seed=123, batches=1)
+    a = train_command(spark, base, os.path.join(scratch, "m1"), tokens=table, options=opts)
+    text_dir = os.path.join(scratch, "texts")
+    docs(spark, "low lower", "lowest low lower").write.parquet(os.path.join(text_dir, "d.parquet"))
+    b = train_command(spark, base, os.path.join(scratch, "m2"), input_text=os.path.join(text_dir, "d.parquet"),
+                      options=opts)
+    assert a["token_count"] == b["token_count"] == 8
+    ea = [x.value for x in spark.read.text(os.path.join(scratch, "m1") + ".emb").collect()]
+    eb = [x.value for x in spark.read.text(os.path.join(scratch, "m2") + ".emb").collect()]
+    assert ea == eb

@@ -77,6 +77,20 @@ def _ids_as_tokens(spark: SparkSession, path: str, vocab: DataFrame) -> DataFram
     )
 
 
+def _id_table_as_tokens(spark: SparkSession, path: str, vocab: DataFrame) -> DataFrame:
+    """A parquet id table ``(doc_id, pos, token_id)`` as token arrays per document.
+
+    Ids at or above the vocabulary size are dropped before the arrays are built,
+    so neighbours close up; each group is one document.
+    """
+    size = vocab.count()
+    ids = spark.read.parquet(path).where((F.col("token_id") >= 0) & (F.col("token_id") < size))
+    toks = ids.join(F.broadcast(vocab.select("token_id", "token")), "token_id")
+    return toks.groupBy("doc_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda e: e.token).alias("tokens")
+    )
+
+
 def train_command(spark: SparkSession, mergefile: str, out: str, input_text=None, tokens: str | None = None,
                   options: TrainOptions = TrainOptions(), fmt: str = "text") -> dict:
     """Train token vectors from text (encoded with the rules) or from an ids file."""
@@ -86,6 +100,9 @@ def train_command(spark: SparkSession, mergefile: str, out: str, input_text=None
     if source == "input":
         doc_tokens = E.encode_documents(_docs(spark, input_text), _rules(spark, mergefile))
         corpus = str(input_text)
+    elif str(tokens).endswith(".parquet"):
+        doc_tokens = _id_table_as_tokens(spark, tokens, vocab)
+        corpus = str(tokens)
     else:
         doc_tokens = _ids_as_tokens(spark, f"{tokens}.ids", vocab)
         corpus = f"{tokens}.ids"
