@@ -16,6 +16,16 @@ from wordloom.functions import vecmath as V
 from wordloom.functions.rand import uniform
 
 SMALL_LIMIT = 100_000  # rows of a per-label / per-component table shipped to every task
+EXACT_QUANTILE_LIMIT = 1_000_000  # values per group for exact percentiles (one task holds a group)
+
+
+def _quantile_fn(df: DataFrame, keys):
+    """Exact ``percentile`` while the largest group is small enough for one task,
+    otherwise ``percentile_approx`` (bounded memory, accuracy 1e-4 of the rank)."""
+    biggest = df.groupBy(*keys).count().agg(F.max("count")).collect()[0][0] or 0
+    if biggest <= EXACT_QUANTILE_LIMIT:
+        return lambda c, q: F.percentile(c, q)
+    return lambda c, q: F.percentile_approx(c, q, 10000)
 
 
 def _collect_bounded(df: DataFrame, what: str):
@@ -43,13 +53,14 @@ def vector_norms(vectors: DataFrame) -> DataFrame:
 
 
 def norm_quantiles(vectors: DataFrame) -> DataFrame:
-    """V1: norm quartiles per label (exact percentiles)."""
+    """V1: norm quartiles per label (exact percentiles within the group-size bound)."""
     n = V.norm("embedding")
+    pct = _quantile_fn(vectors, ["label"])
     return vectors.select("label", n.alias("norm")).groupBy("label").agg(
         F.count(F.lit(1)).alias("n"),
-        F.percentile("norm", 0.25).alias("q1"),
-        F.percentile("norm", 0.5).alias("median"),
-        F.percentile("norm", 0.75).alias("q3"),
+        pct("norm", 0.25).alias("q1"),
+        pct("norm", 0.5).alias("median"),
+        pct("norm", 0.75).alias("q3"),
     )
 
 
@@ -130,7 +141,8 @@ def winsorize(vectors: DataFrame, lower: float = 0.05, upper: float = 0.95):
     Returns (clipped vectors, per-component report ``(i, lo, hi, n_low, n_high)``).
     """
     c = cells(vectors)
-    q = c.groupBy("i").agg(F.percentile("v", lower).alias("lo"), F.percentile("v", upper).alias("hi"))
+    pct = _quantile_fn(vectors.select(F.lit(0).alias("i")), ["i"])  # a component group holds one value per row
+    q = c.groupBy("i").agg(pct("v", lower).alias("lo"), pct("v", upper).alias("hi"))
     lo, hi = _component_arrays(q, ["lo", "hi"])
     clipped = vectors.select(
         "vec_id", "label",
