@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,8 +38,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder.
 
     On a cluster the folder comes from ``spark.checkpoint.dir`` (a shared
-    file system).  Only when nothing is configured -- local tests -- a fresh
-    scratch folder is created.
+    file system).  Only a local master without that setting -- tests -- gets a
+    fresh scratch folder; a cluster without it is an error, because a
+    machine-local folder is invisible to the other machines.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="wordloom-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
