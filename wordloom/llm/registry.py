@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from wordloom.llm import decontam, quality, secrets, simhash
+from wordloom.llm import decontam, pieces, quality, secrets, simhash
 
 REGISTRY = {
     "op2_secrets": (secrets.op2_secrets, None),
     "op4_decontaminate": (decontam.op4_decontaminate, None),
+    "op5_sentencepiece": (pieces.op5_sentencepiece, None),
     "op8_quality": (quality.op8_quality, None),
     "op9_simhash": (simhash.op9_simhash, None),
 }
