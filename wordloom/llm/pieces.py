@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -243,7 +244,7 @@ def decode(encoded: DataFrame, model: str | None = None, ids_col: str = "ids") -
     path = model or model_path()
 
     @F.pandas_udf("string")
-    def text(batches: Iterator) -> Iterator:
+    def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tool = segmenter(path)
         for rows in batches:
             yield rows.map(lambda ids: None if ids is None else tool.decode(ids.tolist()))
