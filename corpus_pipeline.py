@@ -11,18 +11,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import simhash
+from wordloom.llm import decontam, pieces, quality, secrets, simhash
 from wordloom.llm.common import materialize, read_table
 
 
+def _same_row(a: DataFrame, b: DataFrame):
+    return a["doc_id"].eqNullSafe(b["id"])
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the outlier test reject go."""
+    return quality.quality_filter(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one whose id is the component id."""
-    group = simhash.near_duplicates(docs).filter(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(group, F.col("doc_id").eqNullSafe(F.col("id"))).drop("id")
+    """One document of each SimHash group stays: the one whose id is the component id.
+
+    Rows with the same id count as one document, of which one row stays.
+    """
+    first = simhash.near_duplicates(docs).filter(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
+    return docs.join(first, _same_row(docs, first), "left_semi").dropDuplicates(["doc_id"])
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark window go."""
+    found = decontam.contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    dirty = found.filter(F.size("spans") > 0).select("id").distinct()
+    return docs.join(dirty, _same_row(docs, dirty), "left_anti")
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; ``n_chars`` follows the text."""
+    found = secrets.scan(docs)
+    text = secrets.redacted(F.col("text"), F.col("secrets"))
+    return found.withColumn("text", text).withColumn("n_chars", F.when(
+        F.size("secrets") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(
+        F.col("n_chars"))).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, ids, score, alternatives, lossless): the three best segmentations of every document."""
+    return pieces.encode(docs, n=3).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [
+    ("quality rules", quality_rules),
     ("simhash near-dedup", near_dedup),
+    ("benchmark decontamination", decontaminate),
+    ("secret scans", redact_secrets),
+    ("sentencepiece encoding", encode),
 ]
 
 
@@ -33,4 +70,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
+#: The outlier estimates, components and best segmentations are iterative; tests hold a brute-force version instead.
 ORACLE_SQL = None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wordloom.llm import decontam, pieces, quality, secrets, simhash
+from wordloom.llm import decontam, pieces, quality, secrets, simhash, substrings
 
 REGISTRY = {
     "op2_secrets": (secrets.op2_secrets, None),
@@ -10,4 +10,5 @@ REGISTRY = {
     "op5_sentencepiece": (pieces.op5_sentencepiece, None),
     "op8_quality": (quality.op8_quality, None),
     "op9_simhash": (simhash.op9_simhash, None),
+    "op10_substrings": (substrings.op10_substrings, None),
 }
