@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from wordloom.llm import decontam, pieces, quality, secrets, simhash, substrings
+from wordloom.llm import decontam, langid, pieces, quality, secrets, simhash, substrings
 
 REGISTRY = {
     "op2_secrets": (secrets.op2_secrets, None),
     "op4_decontaminate": (decontam.op4_decontaminate, None),
     "op5_sentencepiece": (pieces.op5_sentencepiece, None),
+    "op7_langid": (langid.op7_langid, None),
     "op8_quality": (quality.op8_quality, None),
     "op9_simhash": (simhash.op9_simhash, None),
     "op10_substrings": (substrings.op10_substrings, None),
