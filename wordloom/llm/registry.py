@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from wordloom.llm import decontam, langid, pieces, quality, secrets, simhash, substrings
+from wordloom.llm import decontam, extract, langid, pieces, quality, secrets, simhash, substrings
 
 REGISTRY = {
+    "op1_html": (extract.op1_html, None),
     "op2_secrets": (secrets.op2_secrets, None),
     "op4_decontaminate": (decontam.op4_decontaminate, None),
     "op5_sentencepiece": (pieces.op5_sentencepiece, None),
