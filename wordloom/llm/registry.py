@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from wordloom.llm import decontam, extract, langid, pieces, quality, secrets, simhash, substrings
+from wordloom.llm import decontam, extract, langid, pieces, quality, secrets, simhash, substrings, surrogates
 
 REGISTRY = {
     "op1_html": (extract.op1_html, None),
     "op2_secrets": (secrets.op2_secrets, None),
+    "op3_surrogates": (surrogates.op3_surrogates, None),
     "op4_decontaminate": (decontam.op4_decontaminate, None),
     "op5_sentencepiece": (pieces.op5_sentencepiece, None),
     "op7_langid": (langid.op7_langid, None),
