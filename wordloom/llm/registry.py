@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wordloom.llm import decontam, extract, langid, pieces, quality, secrets, simhash, substrings, surrogates
+from wordloom.llm import decontam, extract, langid, pieces, quality, secrets, simhash, substrings, surrogates, transcripts
 
 REGISTRY = {
     "op1_html": (extract.op1_html, None),
@@ -10,6 +10,7 @@ REGISTRY = {
     "op3_surrogates": (surrogates.op3_surrogates, None),
     "op4_decontaminate": (decontam.op4_decontaminate, None),
     "op5_sentencepiece": (pieces.op5_sentencepiece, None),
+    "op6_transcripts": (transcripts.op6_transcripts, None),
     "op7_langid": (langid.op7_langid, None),
     "op8_quality": (quality.op8_quality, None),
     "op9_simhash": (simhash.op9_simhash, None),

@@ -68,7 +68,8 @@ PATTERNS = (
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)", re.A),
      "."),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", re.A), "-"),
-    ("phone", re.compile(r"(?<!\w)\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}(?!\w)"
+    ("phone", re.compile(r"(?<!\w)\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)"
+                         r"|(?<!\w)\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}(?!\w)"
                          r"|(?<!\w)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w.-]\d)", re.A), ""),
     ("card", re.compile(r"(?<!\w)(?:\d{4}([ -])(?:\d{4}\1){2}\d{1,7}|\d{13,19})(?!\w)", re.A), ""),
     ("name", re.compile(rf"(?<!\w)({_TITLE})\.?[ \t]+({_NAME}(?:[ \t]+{_NAME}){{0,2}})"), " "),
@@ -103,10 +104,10 @@ def find(text: str | None) -> list[Entity]:
     for kind, pattern, sign in PATTERNS:
         if sign and sign not in text:
             continue
-        for m in pattern.finditer(text):
+        ends = [0, *(x for t in sorted(taken) for x in t), len(text)]
+        free = zip(ends[::2], ends[1::2], strict=True)  # what earlier kinds left
+        for m in [m for x, y in free for m in pattern.finditer(text, x, y)]:
             a, b = m.span(2) if kind == "name" else m.span()
-            if any(a < y and x < b for x, y in taken):
-                continue
             taken.append((a, b))
             if kind != "name":
                 out.append(Entity(a, b, kind, "", _canonical(kind, m[0])))
