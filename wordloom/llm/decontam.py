@@ -183,7 +183,7 @@ def _matcher(shared, slop: int):
         row = np.concatenate(found["row"])
         return pd.DataFrame({
             "block": docs["of"].iloc[0], "ord": docs["ord"].to_numpy()[row],
-            "item": found["item"], "first": np.concatenate(found["first"]).astype(np.int32),
+            "item": pd.Series(found["item"], dtype=object), "first": np.concatenate(found["first"]).astype(np.int32),
             "last": np.concatenate(found["last"]).astype(np.int32)})
 
     return match
@@ -201,11 +201,11 @@ def search(index: Index, wanted: DataFrame, slop: int = 0, round_bytes: int = RO
     size = wanted.select(F.sum(F.length(F.array_join(F.col("words").cast("array<string>"), " ")))).first()[0] or 0
     rounds = max(1, -(-size // round_bytes))
     item_type = wanted.schema["item"].dataType.simpleString()
-    schema = f"block bigint, ord int, item {item_type}, first int, last int"
+    schema = "block bigint, ord int, item binary, first int, last int"
     out = None
     for part in range(rounds):
         held = wanted.filter(F.pmod(F.xxhash64("words"), F.lit(rounds)) == part)
-        rows = [(r["item"], [bytes(w) for w in r["words"]]) for r in held.toLocalIterator()]
+        rows = [(None if r["item"] is None else str(r["item"]).encode(), [bytes(w) for w in r["words"]]) for r in held.toLocalIterator()]
         shared = spark.sparkContext.broadcast(rows)
         terms = held.select(F.explode("words").alias("token")).distinct()
 
@@ -215,7 +215,7 @@ def search(index: Index, wanted: DataFrame, slop: int = 0, round_bytes: int = RO
             index.docs.select(F.col("block").alias("of"), "ord", "start", "n_words").groupBy("of")).applyInPandas(
             _matcher(shared, slop), schema)
         out = hits if out is None else out.union(hits)
-    return out
+    return out.withColumn("item", F.col("item").cast("string").cast(item_type))
 
 
 def contamination(docs: DataFrame, items: DataFrame, length: int = 10, id_col: str = "doc_id", text_col: str = "text",

@@ -343,7 +343,8 @@ def _kept(part: Part, spans: pd.DataFrame) -> pd.DataFrame:
             at = max(at, b)
         kept += words[at:]
         rows.append((*key, n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest(), [list(x) for x in ranges]))
-    return pd.DataFrame(rows, columns=["k1", "k2", "n_words", "n_removed", "kept_sha256", "ranges"])
+    return pd.DataFrame(rows, columns=["k1", "k2", "n_words", "n_removed", "kept_sha256", "ranges"]).astype(
+        {"kept_sha256": object})
 
 
 def _stored(docs: DataFrame) -> tuple[DataFrame, int]:

@@ -259,11 +259,14 @@ def format_chats(pieces: DataFrame, model: Model) -> DataFrame:
     """(conv, at, roles, begins, rendered): one row per piece, the role of each line and whether it begins a turn."""
     def run(batches):
         for rows in batches:
+            if not len(rows):
+                continue
             yield pd.DataFrame({
                 "conv": rows["conv"], "at": rows["at"],
                 "roles": [[ROLES[s // 2] for s in x] for x in rows["states"]],
                 "begins": [[s % 2 == 0 for s in x] for x in rows["states"]],
-                "rendered": [rendered(*x) for x in zip(rows["lines"], rows["enter"], rows["states"], strict=True)]})
+                "rendered": pd.Series([rendered(*x) for x in zip(rows["lines"], rows["enter"], rows["states"], strict=True)],
+                                      dtype=object)})
 
     return decode(pieces, model).mapInPandas(
         run, "conv bigint, at bigint, roles array<string>, begins array<boolean>, rendered string")
