@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,8 @@ from wordloom.llm.common import read_table
 MARK = "▁"
 #: Score of a character without a piece, below the worst piece; it becomes byte pieces.
 PENALTY = 10.0
-#: Chunks that a task remembers.
-REMEMBERED = 400_000
+#: Chunks that a task remembers, and the longest one that is solved together with others.
+REMEMBERED, TOGETHER = 400_000, 40
 
 
 def model_path() -> str:
@@ -44,8 +45,8 @@ class Segmenter:
     """N-best segmentation with the pieces and scores of a model.
 
     ``pieces`` maps ordinary pieces to (id, score), ``byte_ids`` are the ids of
-    the 256 byte pieces. Ties go to the segmentation found first: the search
-    prefers shorter last pieces, and in a text changes further to the left.
+    the 256 byte pieces. Ties go to the segmentation with the shorter last
+    piece, and in a text to changes further to the left.
     """
 
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int]):
@@ -58,9 +59,22 @@ class Segmenter:
         joined = "".join(map(re.escape, inside))
         some = f"[{joined}]" if joined else "(?!)"
         self.cutter = re.compile(f"{MARK}+{some}*|{some}+|.", re.S)
-        self.memory: dict[str, tuple[tuple[int, ...], float, float]] = {}
-        self.texts = {i: p for p, (i, _) in pieces.items()}
-        self.bytes_of = {i: b for b, i in enumerate(byte_ids)}
+        # solved chunks: place of each, and by place the ids (as bytes), their number, the score, the second's loss
+        self.memory: dict[str, int] = {}
+        self.solved: list[bytes] = []
+        self.counts = np.zeros(REMEMBERED, np.int64)
+        self.scores, self.losses = np.zeros(REMEMBERED), np.zeros(REMEMBERED)
+        self.tables = self._tables()
+        size = max([i for i, _ in pieces.values()] + list(byte_ids)) + 1
+        self.texts = [""] * size
+        for piece, (i, _) in pieces.items():
+            self.texts[i] = piece.replace(MARK, " ")
+        for b, i in enumerate(byte_ids):
+            if b < 128:
+                self.texts[i] = chr(b)
+        self.high = np.zeros(size, bool)  # pieces that are part of a character
+        self.high[byte_ids[128:]] = True
+        self.bytes_of = {i: b for b, i in enumerate(byte_ids) if b >= 128}
 
     @classmethod
     def load(cls, path: str) -> Segmenter:
@@ -126,66 +140,189 @@ class Segmenter:
                 heapq.heappush(heap, (-(total + best[start]), made, total, start, ((start, at, piece), path)))
         return out
 
-    def _known(self, chunk: str) -> tuple[tuple[int, ...], float, float]:
-        """Best ids, their score, and the loss of the second best (infinite if there is none)."""
-        found = self.search(chunk, 2)
-        loss = found[0][0] - found[1][0] if len(found) > 1 else float("inf")
-        if len(self.memory) >= REMEMBERED:
-            self.memory.clear()
-        self.memory[chunk] = entry = (found[0][1], found[0][0], loss)
-        return entry
+    def _tables(self):
+        """Per length of pieces: their hashes in order, ids and scores."""
+        by_size: dict[int, list] = {}
+        for piece, (i, score) in self.pieces.items():
+            by_size.setdefault(len(piece), []).append((piece, i, score))
+        out = {}
+        for size, rows in by_size.items():
+            code = np.frombuffer("".join(r[0] for r in rows).encode("utf-32-le"), np.uint32).reshape(-1, size)
+            h = np.zeros(len(rows), np.uint64)
+            for k in range(size):
+                h = h * _BASE + code[:, k]
+            order = np.argsort(h)
+            out[size] = (h[order], np.array([r[1] for r in rows], np.int32)[order],
+                         np.array([r[2] for r in rows])[order])
+        return out
+
+    def solve(self, chunks: list[str]) -> None:
+        """Remembers the best ids of new chunks, their score, and the loss of the second best (infinite if none).
 
-    def nbest(self, text: str, n: int):
+        Chunks of one length run through the forward pass together; it keeps the
+        two best scores of every position.
+        """
+        by_size: dict[int, list[str]] = {}
+        for c in chunks:
+            by_size.setdefault(len(c), []).append(c)
+        for size, group in by_size.items():
+            if size > TOGETHER:
+                for c in group:
+                    found = self.search(c, 2)
+                    loss = found[0][0] - found[1][0] if len(found) > 1 else float("inf")
+                    self._remember(c, found[0][1], found[0][0], loss)
+            else:
+                for at in range(0, len(group), 8192):
+                    self._solve_together(size, group[at : at + 8192])
+
+    def _remember(self, chunk: str, ids, score: float, loss: float) -> None:
+        k = self.memory[chunk] = len(self.solved)
+        self.solved.append(array("i", ids).tobytes())
+        self.counts[k], self.scores[k], self.losses[k] = len(ids), score, loss
+
+    def _solve_together(self, size: int, group: list[str]) -> None:
+        n = len(group)
+        code = np.frombuffer("".join(group).encode("utf-32-le"), np.uint32).reshape(n, size).T.astype(np.uint64)
+        h = np.zeros((size, n), np.uint64)
+        ids, values = {}, {}
+        for width in range(1, min(size, self.longest) + 1):
+            h = h[: size - width + 1] * _BASE + code[width - 1 :]
+            if width not in self.tables:
+                continue
+            known, numbers, scores = self.tables[width]
+            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            hit = known[at] == h
+            ids[width] = np.where(hit, numbers[at], -1)
+            values[width] = np.where(hit, scores[at], -np.inf)
+        if 1 not in ids:
+            ids[1], values[1] = np.full((size, n), -1, np.int32), np.full((size, n), -np.inf)
+        values[1] = np.where(ids[1] < 0, self.unknown, values[1])
+        best, second = np.full((size + 1, n), -np.inf), np.full((size + 1, n), -np.inf)
+        back = np.zeros((size + 1, n), np.int32)
+        best[0] = 0
+        for j in range(1, size + 1):
+            top, next_, arg = best[j], second[j], back[j]
+            for width, value in values.items():
+                if width > j:
+                    continue
+                one = best[j - width] + value[j - width]
+                two = second[j - width] + value[j - width]
+                better = one > top
+                np.maximum(next_, np.where(better, top, one), out=next_)
+                np.maximum(next_, two, out=next_)
+                np.copyto(top, one, where=better)
+                arg[better] = width
+        column = np.arange(n)
+        at = np.full(n, size)
+        steps = []
+        while at.any():
+            width = back[at, column]
+            start = at - width
+            piece = np.full(n, -2, np.int32)
+            for w in np.unique(width[width > 0]):
+                here = width == w
+                piece[here] = ids[w][start[here], column[here]]
+            steps.append((piece, start))
+            at = start
+        unknown = any((p == -1).any() for p, _ in steps)
+        rows = np.array([p for p, _ in reversed(steps)]).T.tolist() if unknown else None
+        places = np.array([a for _, a in reversed(steps)]).T if unknown else None
+        losses = np.where(second[size] == -np.inf, np.inf, best[size] - second[size])
+        if places is not None:
+            for k, (c, row, score, loss) in enumerate(zip(group, rows, best[size].tolist(), losses.tolist(),
+                                                          strict=True)):
+                self._remember(c, [x for p, a in zip(row, places[k].tolist(), strict=True) if p > -2
+                                   for x in ([self.byte_ids[b] for b in c[a].encode()] if p == -1 else (p,))],
+                               score, loss)
+            return
+        pieces = np.array([p for p, _ in reversed(steps)], np.int32).T
+        counts = (pieces >= 0).sum(axis=1)
+        flat, ends = pieces[pieces >= 0].tobytes(), (4 * np.cumsum(counts)).tolist()
+        first = len(self.solved)
+        self.memory.update(zip(group, range(first, first + n), strict=True))
+        self.solved += [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        self.counts[first : first + n], self.scores[first : first + n] = counts, best[size]
+        self.losses[first : first + n] = losses
+
+    def nbest_all(self, texts: list[str], n: int) -> list[tuple]:
+        """``nbest`` of many texts."""
+        cut = [self.chunks(t) if t else [] for t in texts]
+        out = []
+        for first in range(0, len(texts), 256):
+            some = cut[first : first + 256]
+            wanted = set().union(*some)
+            new = [c for c in wanted if c not in self.memory]
+            if len(self.memory) + len(new) > REMEMBERED:
+                self.memory.clear()
+                self.solved.clear()
+                new = list(wanted)
+                if len(new) > len(self.scores):  # one round of texts may hold more
+                    self.counts, self.scores, self.losses = (np.zeros(len(new), x.dtype) for x in (
+                        self.counts, self.scores, self.losses))
+            self.solve(new)
+            out += [self._nbest(parts, n) for parts in some]
+        return out
+
+    def nbest(self, text: str, n: int) -> tuple:
         """Best ids, their score, and the next ``n - 1`` segmentations.
 
         Each of these is (score, edits), an edit (at, length, ids) replacing
         ``length`` ids of the best from index ``at``.
         """
-        if not text:
-            return [], 0.0, []
-        parts = self.chunks(text)
-        memory, known = self.memory, self._known
-        held = [memory.get(c) or known(c) for c in parts]
-        ids = [i for h in held for i in h[0]]
-        score = sum(h[1] for h in held)
+        return self.nbest_all([text], n)[0]
+
+    def _nbest(self, parts: list[str], n: int) -> tuple:
+        if not parts:
+            return np.empty(0, np.int32), 0.0, []
+        places = list(map(self.memory.__getitem__, parts))
+        ids = np.frombuffer(b"".join(map(self.solved.__getitem__, places)), np.int32)
+        score = float(self.scores[places].sum())
         if n < 2:
             return ids, score, []
-        losses = np.array([h[2] for h in held])
+        losses = self.losses[places]
         # a better combination only ever changes the n - 1 chunks that lose least
-        first = np.argsort(losses, kind="stable")[: n - 1]
+        limit = np.partition(losses, n - 2)[n - 2] if len(losses) >= n else np.inf
+        near = np.flatnonzero(losses <= limit)
+        first = near[np.argsort(losses[near], kind="stable")][: n - 1]
+        counts = self.counts[places]
+        starts = np.cumsum(counts) - counts
         choices = []
         for k in first[np.isfinite(losses[first])].tolist():
+            best = tuple(ids[starts[k] : starts[k] + counts[k]].tolist())
             options = self.search(parts[k], n)
-            choices.append((k, [(options[0][0] - s, i) for s, i in options[1:]]))
+            others = [o for o in options if o[1] != best][: n - 1]  # of equal scores any may be the best
+            choices.append((int(starts[k]), len(best), [(options[0][0] - s, i) for s, i in others]))
         sums: list[tuple] = [(0.0, ())]
-        for c, (_, options) in enumerate(choices):
-            more = [(loss + o[0], picks + ((c, j),)) for loss, picks in sums for j, o in enumerate(options)]
+        for c, (_, _, options) in enumerate(choices):
+            more = [(loss + o[0], (*picks, (c, j))) for loss, picks in sums for j, o in enumerate(options)]
             sums = heapq.nsmallest(n, sums + more, key=lambda x: x[0])
-        starts = np.concatenate(([0], np.cumsum([len(h[0]) for h in held])))
         rest = []
         for loss, picks in sums[1:]:
-            edits = [(int(starts[choices[c][0]]), len(held[choices[c][0]][0]), choices[c][1][j][1]) for c, j in picks]
+            edits = [(choices[c][0], choices[c][1], choices[c][2][j][1]) for c, j in picks]
             rest.append((score - loss, sorted(edits)))
         return ids, score, rest
 
     def decode(self, ids) -> str:
         """The text of a segmentation; invalid UTF-8 from byte pieces becomes U+FFFD."""
         texts, bytes_of = self.texts, self.bytes_of
+        ids = np.asarray(ids, np.int64)
+        if not self.high[ids].any():
+            return "".join(map(texts.__getitem__, ids.tolist()))[1:]
         out, held = [], bytearray()
-        for i in ids:
+        for i in ids.tolist():
             b = bytes_of.get(i)
-            if b is None:
-                if held:
-                    out.append(held.decode(errors="replace"))
-                    held.clear()
-                out.append(texts[i])
-            else:
+            if b is not None:
                 held.append(b)
-        if held:
-            out.append(held.decode(errors="replace"))
-        return "".join(out).replace(MARK, " ")[1:]
+                continue
+            if held:
+                out.append(held.decode(errors="replace"))
+                held.clear()
+            out.append(texts[i])
+        out.append(held.decode(errors="replace"))
+        return "".join(out)[1:]
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, for hashes of short strings
 _LOADED: dict[str, Segmenter] = {}
 
 
@@ -218,12 +355,11 @@ def encode(docs: DataFrame, model: str | None = None, n: int = 3, id_col: str =
         tool = segmenter(path)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for first in range(0, max(len(texts), 1), 512):  # bounds what is held besides the batch
+            for first in range(0, max(len(texts), 1), 1024):  # bounds what is held besides the batch
                 flat, ends, scores, rest, same = [], [0], [], [], []
-                part = texts[first : first + 512]
-                for text in part:
-                    ids, score, more = tool.nbest(text or "", n)
-                    flat.append(np.array(ids, np.int32))
+                part = texts[first : first + 1024]
+                for text, (ids, score, more) in zip(part, tool.nbest_all(part, n), strict=True):
+                    flat.append(ids)
                     ends.append(ends[-1] + len(ids))
                     scores.append(None if text is None else score)
                     rest.append([{"score": s, "edits": [dict(zip(("at", "length", "ids"), e, strict=True)) for e in es]}
@@ -233,7 +369,7 @@ def encode(docs: DataFrame, model: str | None = None, n: int = 3, id_col: str =
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
                     np.concatenate(flat) if flat else np.empty(0, np.int32)), mask=null)
                 yield pa.RecordBatch.from_arrays([
-                    keys.slice(first, 512), lists, pa.array(scores, pa.float64()), pa.array(rest, other),
+                    keys.slice(first, 1024), lists, pa.array(scores, pa.float64()), pa.array(rest, other),
                     pa.array(same, pa.bool_())], ["id", "ids", "score", "alternatives", "lossless"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
@@ -247,7 +383,7 @@ def decode(encoded: DataFrame, model: str | None = None, ids_col: str = "ids") -
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tool = segmenter(path)
         for rows in batches:
-            yield rows.map(lambda ids: None if ids is None else tool.decode(ids.tolist()))
+            yield rows.map(lambda ids: None if ids is None else tool.decode(ids))
 
     return encoded.withColumn("decoded", text(F.col(ids_col)))
 
