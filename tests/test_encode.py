@@ -1,4 +1,6 @@
-from pyspark.sql import functions as F
+import random
+
+import pytest
 
 from tests.conftest import docs
 from wordloom.operators import encode as E
@@ -45,12 +47,59 @@ def test_word_and_document_encoders_agree(spark, tiny_model):
     assert enc == [t for w in text.split() for t in per_word[w]]
 
 
-def test_rule_ending_word_is_not_crossing_words(spark):
+def test_rules_do_not_cross_words(spark):
     rules = [("a", "</w>"), ("a</w>", "b")]  # second can never fire inside a word
     enc = E.encode_documents(docs(spark, "a b"), rules).collect()[0].tokens
     assert enc == ["a</w>", "b", "</w>"]
 
 
+def _replayed(word, rules):
+    """Every rule in order, on all places from left to right."""
+    k = [*word, "</w>"]
+    for a, b in rules:
+        out, i = [], 0
+        while i < len(k):
+            if i + 1 < len(k) and (k[i], k[i + 1]) == (a, b):
+                out.append(a + b)
+                i += 2
+            else:
+                out.append(k[i])
+                i += 1
+        k = out
+    return k
+
+
+@pytest.mark.parametrize("n", [0, 50, 1000, 5000])
+def test_any_number_of_rules(spark, n):
+    rng = random.Random(n)
+    pieces = list("abc") + ["</w>"]
+    rules = []
+    for _ in range(n):  # rules on what earlier rules made, some repeated, some that never fire
+        a, b = rng.choice(pieces), rng.choice(pieces)
+        rules.append((a, b))
+        if len(a + b) < 9:
+            pieces.append(a + b)
+    words = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 14))) for _ in range(60)]
+    want = [t for w in words for t in _replayed(w, rules)]
+    assert E.encode_documents(docs(spark, " ".join(words)), rules).collect()[0].tokens == want
+    got = {r.word: r.tokens for r in E.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), rules).collect()}
+    assert all(got[w] == _replayed(w, rules) for w in words)
+
+
+def test_same_result_with_a_small_memory(spark, tiny_model, monkeypatch):
+    encoder = E.Encoder(_rules(tiny_model))
+    monkeypatch.setattr(E, "REMEMBERED", 2)
+    text = "slow lowest lower lo wer we lowlow lower slow"
+    assert encoder.text(text) == [t for w in text.split() for t in _replayed(w, _rules(tiny_model))]
+    assert encoder.text(None) == encoder.text("12 !") == []
+
+
+def test_model_size_is_checked(spark, tiny_model, monkeypatch):
+    monkeypatch.setattr(E, "MODEL_BYTES", 5)
+    with pytest.raises(OverflowError):
+        E.encode_documents(docs(spark, "low"), _rules(tiny_model))
+
+
 def test_duplicate_vocab_first_id_wins(spark):
     vocab = spark.createDataFrame([(0, "a"), (1, "b"), (2, "a")], "token_id bigint, token string")
     enc = spark.createDataFrame([(0, ["a", "b", "c", "a"])], "doc_id bigint, tokens array<string>")
@@ -63,5 +112,15 @@ def test_global_positions(spark, tiny_model):
     g = E.global_positions(enc).orderBy("gpos").collect()
     assert [r.gpos for r in g] == list(range(len(g)))
     assert [r.doc_id for r in g] == [0, 0, 1, 1, 1, 1, 1, 1, 3]
-    offs = {r.doc_id: r.offset for r in E.doc_offsets(enc, buckets=2).collect()}
+    offs = {r.doc_id: r.offset for r in E.doc_offsets(enc).collect()}
     assert offs == {0: 0, 1: 2, 2: 8, 3: 8}
+
+
+def test_offsets_in_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(E, "BUCKET_DOCS", 7)
+    rows = [(i * 3, ["t"] * (i % 5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>").repartition(4)
+    want, at = {}, 0
+    for i, k in rows:
+        want[i], at = at, at + len(k)
+    assert {r.doc_id: r.offset for r in E.doc_offsets(df).collect()} == want

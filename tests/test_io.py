@@ -41,17 +41,43 @@ def test_vocab_roundtrip_and_rules(spark, tiny_model, scratch):
 
 
 def test_read_ids(spark, scratch):
-    p = _write(os.path.join(scratch, "a.ids"), b"3 99\n5\n")
-    assert [r.token_id for r in IO.read_ids(spark, p).orderBy("pos").collect()] == [3, 99, 5]
-    kept = IO.read_ids(spark, p, vocab_size=8)
-    assert [(r.pos, r.token_id) for r in kept.collect()] == [(0, 3), (1, 5)]
+    p = _write(os.path.join(scratch, "a.ids"), b"3 99\n\n 5 7 \n")
+    got = [(r.doc_id, r.pos, r.token_id) for r in IO.read_ids(spark, p).orderBy("doc_id", "pos").collect()]
+    assert [x[1:] for x in got] == [(0, 3), (1, 99), (0, 5), (1, 7)] and len({x[0] for x in got}) == 2
+    kept = IO.read_ids(spark, p, vocab_size=8).orderBy("doc_id", "pos")
+    assert [(r.pos, r.token_id) for r in kept.collect()] == [(0, 3), (0, 5), (1, 7)]
     bad = _write(os.path.join(scratch, "b.ids"), b"3 x 5")
     with pytest.raises(IO.MalformedIdsError):
         IO.read_ids(spark, bad)
+    assert [r.token_id for r in IO.read_ids(spark, bad, mode="permissive").orderBy("pos").collect()] == [3, 5]
     empty = _write(os.path.join(scratch, "c.ids"), b"")
     assert IO.read_ids(spark, empty).count() == 0
 
 
+def test_ids_of_a_folder_keep_the_order_of_files_and_lines(spark, scratch):
+    folder = os.path.join(scratch, "many")
+    os.makedirs(folder)
+    lines = [f"{i} {i + 1}" for i in range(4000)]
+    for k in range(4):
+        _write(os.path.join(folder, f"part-{k:05d}.txt"), ("\n".join(lines[k * 1000 : (k + 1) * 1000]) + "\n").encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")  # a file is read in several blocks
+    try:
+        rows = IO.read_id_lines(spark, folder).orderBy("doc_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [" ".join(map(str, r.ids)) for r in rows] == lines
+
+
+def test_corpus_texts_are_not_sorted(spark, scratch):
+    d = os.path.join(scratch, "plain")
+    os.makedirs(d)
+    _write(os.path.join(d, "a.txt"), b"x")
+    plan = IO.read_corpus(spark, d)._jdf.queryExecution().executedPlan().toString()
+    # only sizes of parts meet in one task, and no window holds a text
+    assert plan.count("SinglePartition") == 1
+    assert not [x for x in plan.splitlines() if "Window" in x and ("value" in x or "text#" in x)]
+
+
 def test_tokens_and_ids_lines(spark, tiny_model, scratch):
     enc = E.encode_documents(docs(spark, "lowest lower", "slow"), [(a, b) for a, b, _ in tiny_model.rules])
     lines = {r.doc_id: r.value for r in IO.token_lines(enc).collect()}
@@ -68,7 +94,7 @@ def test_embeddings_and_meta(spark, tiny_model, scratch):
     from wordloom.sources.options import TrainOptions
 
     corp = E.encode_documents(docs(spark, "low lower lowest low lower"), [(a, b) for a, b, _ in tiny_model.rules])
-    opts = TrainOptions(dim=8, window=2, epochs=1, neg=2, lr=0.05, seed=123, batches=1)
+    opts = TrainOptions(dim=8, window=2, epochs=1, neg=2, lr=0.05, seed=123)
     res = G.sgns_fit(corp, tiny_model.vocab, opts)
     out = os.path.join(scratch, "emb")
     IO.write_embeddings(res.vectors, out, res.vocabulary_size, fmt="text")

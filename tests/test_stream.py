@@ -2,7 +2,7 @@ import os
 
 from tests.conftest import docs
 from wordloom.operators import encode as E
-from wordloom.streaming.encode_stream import encode_to_memory
+from wordloom.streaming.encode_stream import encode_available
 
 
 def test_stream_equals_batch(spark, tiny_model, scratch):
@@ -11,6 +11,24 @@ def test_stream_equals_batch(spark, tiny_model, scratch):
         "doc_id", "text", "'en' AS lang", "'s' AS source", "length(text) AS n_chars")
     d.repartition(2).write.parquet(src)
     rules = [(a, b) for a, b, _ in tiny_model.rules]
-    out = encode_to_memory(spark, src, rules, "enc_test", os.path.join(scratch, "ck"))
+    sink, checkpoint = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
+    out = encode_available(spark, src, rules, sink, checkpoint)
     batch = E.encode_documents(d, rules)
     assert sorted(out.collect()) == sorted(batch.collect())
+    # files that come later are encoded once, after a restart
+    more = docs(spark, "", "", "", "lowest").where("doc_id = 3").selectExpr(
+        "doc_id", "text", "'en' AS lang", "'s' AS source", "length(text) AS n_chars")
+    more.write.mode("append").parquet(src)
+    out = encode_available(spark, src, rules, sink, checkpoint)
+    assert sorted(out.collect()) == sorted(E.encode_documents(d.union(more), rules).collect())
+
+
+def test_stream_of_ids(spark, tiny_model, scratch):
+    src = os.path.join(scratch, "in")
+    d = docs(spark, "low lower lowest", "lo").selectExpr(
+        "doc_id", "text", "'en' AS lang", "'s' AS source", "length(text) AS n_chars")
+    d.write.parquet(src)
+    rules = [(a, b) for a, b, _ in tiny_model.rules]
+    out = encode_available(spark, src, rules, os.path.join(scratch, "out"), os.path.join(scratch, "ck"), tiny_model.vocab)
+    want = E.with_ids(E.encode_documents(d, rules), tiny_model.vocab)
+    assert sorted(out.collect()) == sorted(want.collect())

@@ -84,7 +84,7 @@ def test_knn_exact_matches_brute_force(emb, spark):
     q = [(0, [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]), (1, [float(v) for v in x[3]])]
     qs = spark.createDataFrame(q, "q_id bigint, q_vec array<double>")
     got = {}
-    for r in VX.knn_exact(df, qs, 4, salts=3).collect():
+    for r in VX.knn_exact(df.repartition(3), qs, 4).collect():
         got.setdefault(r.q_id, []).append((r.rank, r.vec_id))
     norms = np.linalg.norm(x, axis=1)
     for qid, qv in q:
@@ -92,3 +92,40 @@ def test_knn_exact_matches_brute_force(emb, spark):
         sims = np.where(norms > 0, x @ qv / np.where(norms > 0, norms, 1) / np.linalg.norm(qv), 0.0)
         order = sorted(range(len(rows)), key=lambda i: (-round(sims[i], 12), rows[i][0]))[:4]
         assert [v for _, v in sorted(got[qid])] == [rows[i][0] for i in order]
+
+
+def test_knn_metrics(emb, spark):
+    df, rows = emb
+    x = np.array([r[1] for r in rows], dtype=np.float64)
+    q = x[3]
+    qs = spark.createDataFrame([(9, [float(v) for v in q])], "q_id bigint, q_vec array<double>")
+    cosine = np.divide(x @ q, np.linalg.norm(x, axis=1) * np.linalg.norm(q), out=np.zeros(len(x)), where=np.linalg.norm(x, axis=1) > 0)
+    near = {"dot": x @ q, "distance2": -((x - q) ** 2).sum(axis=1), "angle": -np.arccos(np.clip(cosine, -1, 1))}
+    for metric, sims in near.items():
+        got = VX.knn_exact(df, qs, 5, metric).orderBy("rank").collect()
+        want = sorted(range(len(rows)), key=lambda i: (-round(sims[i], 9), rows[i][0]))[:5]
+        assert [r.vec_id for r in got] == [rows[i][0] for i in want]
+        assert np.allclose([r.sim for r in got], sims[want])
+    with pytest.raises(ValueError):
+        VX.knn_exact(df, qs, 5, "other")
+
+
+def test_quantiles_of_uneven_groups(spark):
+    rng = np.random.default_rng(1)
+    groups = {0: rng.normal(size=1000), 1: rng.normal(size=7), 2: np.array([3.0]), None: np.array([1.0, 1.0, 2.0])}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [(1, None)]
+    df = spark.createDataFrame(rows, "g int, v double").repartition(5)
+    got = {r.g: r for r in VX.group_quantiles(df, {"a": 0.05, "b": 0.5, "c": 1.0}).collect()}
+    for g, vs in groups.items():
+        assert got[g].n == len(vs)
+        assert np.allclose([got[g].a, got[g].b, got[g].c], np.quantile(vs, [0.05, 0.5, 1.0]))
+
+
+def test_lexicographic_order_and_label_profile(emb):
+    df, rows = emb
+    got = {r.vec_id: r.place for r in VX.lexicographic_order(df).collect()}
+    want = sorted(rows, key=lambda r: (r[1], r[0]))
+    assert [got[r[0]] for r in want] == list(range(len(rows)))
+    p = {r.label: r for r in VX.label_profile(df).collect()}
+    x = np.array([r[1] for r in rows if r[2] == 1])
+    assert p[1].n == len(x) and np.isclose(p[1].vmax, x.max()) and np.isclose(p[1].mean_sum, x.sum(axis=1).mean())

@@ -8,7 +8,8 @@ to right and never overlaps -- the greedy pair merge of the tokenizer.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import json
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,12 +47,19 @@ def merge_pair(spaced, a: str, b: str) -> Column:
     return F.replace(_c(spaced), F.lit(f" {a}{SEP}{b} "), F.lit(f" {a}{b} "))
 
 
+def rules_literal(rules: Iterable[tuple[str, str]]) -> Column:
+    """The rules as one constant array of (p, r): the spaced pair, and what replaces it."""
+    rows = [{"p": f" {a}{SEP}{b} ", "r": f" {a}{b} "} for a, b in rules]
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<p:string,r:string>>")
+
+
 def apply_rules(spaced, rules: Iterable[tuple[str, str]]) -> Column:
-    """Replay rules in order, each once (a chain of ``replace``)."""
-    out = _c(spaced)
-    for a, b in rules:
-        out = merge_pair(out, a, b)
-    return out
+    """Replay rules in order, each once, on a spaced token string.
+
+    The rules are data (one constant array) and the replay is a fold, so the
+    plan does not grow with their number.
+    """
+    return F.aggregate(rules_literal(rules), _c(spaced), lambda t, m: F.replace(t, m["p"], m["r"]))
 
 
 def token_array(spaced) -> Column:
@@ -93,13 +101,3 @@ def rule_can_match(a, b) -> Column:
 def format_rule(a, b) -> Column:
     """the text form of a merge rule."""
     return F.concat(_c(a), F.lit(" + "), _c(b), F.lit(" -> "), _c(a), _c(b))
-
-
-def rules_for_text(rules: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
-    """Rules that may fire when a whole document is encoded as one string.
-
-    A token ending in the word-end marker is always the last token of its word,
-    so a rule whose left side ends with it never fires inside a word; dropping it
-    keeps the document-wide replace from joining two words.
-    """
-    return [(a, b) for a, b in rules if not a.endswith(WORD_END)]

@@ -1,10 +1,10 @@
 """B1: byte-pair-encoding merge training as a loop of distributed passes.
 
-Each pass counts adjacent pairs over the *distinct* words (weighted by word
-frequency: one shuffle of at most distinct-pairs rows after map-side
-combine), brings the top pairs and per-symbol maxima to the driver (bounded
-by ``top_k`` and by the vocabulary), and applies a batch of merges as one
-chained ``replace`` projection.
+The pairs and tokens of the *distinct* words (weighted by word frequency) are
+counted once. Each pass brings the top pairs and the tokens in use to the driver
+(bounded by ``top_k`` and by the target size), applies a batch of merges to the
+words, and corrects the counts by the words that changed: their old pairs are
+taken off, their new ones added, combined map-side.
 
 A batch holds several merges only when that provably gives the same rules
 as merging one pair at a time (see ``_choose_batch``).
@@ -35,75 +35,31 @@ class BpeModel:
     sizes: list = field(default_factory=list)  # vocabulary size before each pass
 
 
-def _pass_summary(state: DataFrame, top_k: int):
-    """One pass: top pairs, per-symbol maxima and the tokens in use -- one small collect."""
-    pairs = W.pair_frequency(state)
-    top = (
-        pairs.orderBy(F.desc("n"), "a", "b")
-        .limit(top_k)
-        .select(F.lit("top").alias("kind"), "a", "b", "n")
-    )
-    # max count of a pair (x, s): s on the right; and of (s, y): s on the left
-    right_max = pairs.groupBy(F.col("b").alias("a")).agg(F.max("n").alias("n")).select(
-        F.lit("maxl").alias("kind"), "a", F.lit(None).cast("string").alias("b"), "n"
-    )
-    left_max = pairs.groupBy("a").agg(F.max("n").alias("n")).select(
-        F.lit("maxr").alias("kind"), "a", F.lit(None).cast("string").alias("b"), "n"
-    )
-    toks = W.state_tokens(state).select(
-        F.lit("tok").alias("kind"), F.col("token").alias("a"), F.lit(None).cast("string").alias("b"),
-        F.lit(0).cast("bigint").alias("n"),
-    )
-    rows = top.unionByName(right_max).unionByName(left_max).unionByName(toks).collect()
-    top_rows = sorted(
-        ((r.a, r.b, r.n) for r in rows if r.kind == "top"), key=lambda x: (-x[2], x[0].encode(), x[1].encode())
-    )
-    maxl = {r.a: r.n for r in rows if r.kind == "maxl"}
-    maxr = {r.a: r.n for r in rows if r.kind == "maxr"}
-    tokens = {r.a for r in rows if r.kind == "tok"}
-    return top_rows, maxl, maxr, tokens
+def _usage(spaced):
+    """What a word contributes: its adjacent pairs (a, b) and its tokens (a, null)."""
+    tokens = T.token_array(spaced)
+    alone = F.transform(tokens, lambda x: F.struct(x.alias("a"), F.lit(None).cast("string").alias("b")))
+    return F.concat(T.adjacent_pairs(tokens), alone)
 
 
-PAIR_TABLE_LIMIT = 200_000  # pair rows a pass may bring to the driver whole (pairs <= vocabulary^2)
+def _counted(rows: DataFrame) -> DataFrame:
+    """``rows(n, r)`` summed per pair or token; what has no occurrence left is dropped."""
+    return rows.groupBy(F.col("r.a").alias("a"), F.col("r.b").alias("b")).agg(F.sum("n").alias("n")).where("n > 0")
 
 
-def _pass_summary_small(state: DataFrame):
-    """One aggregation gives pair counts and the tokens in use.
+def _summary(counts: DataFrame, top_k: int):
+    """The ``top_k`` most frequent pairs, whether there are more, and the tokens in use -- one small collect.
 
-    Returns None when the table has more than ``PAIR_TABLE_LIMIT`` rows;
-    otherwise the same summary as ``_pass_summary`` computed from it.
+    Tokens in use are at most the target size, the pairs at most ``top_k``.
     """
-    toks = T.token_array("t")
-    # every token of a word with two or more tokens lies in one of its pairs, so
-    # only a one-token word needs its own row for the vocabulary
-    rows = F.when(
-        F.size(toks) == 1, F.array(F.struct(toks[0].alias("a"), F.lit(None).cast("string").alias("b")))
-    ).otherwise(T.adjacent_pairs(toks))
-    agg = (
-        state.select("n", F.explode(rows).alias("r"))
-        .groupBy(F.col("r.a").alias("a"), F.col("r.b").alias("b"))
-        .agg(F.sum("n").alias("n"))
-    )
-    got = agg.limit(PAIR_TABLE_LIMIT + 1).collect()
-    if len(got) > PAIR_TABLE_LIMIT:
-        return None
-    pairs = [(r.a, r.b, r.n) for r in got if r.b is not None]
-    tokens = {r.a for r in got if r.b is None}
-    for a, b, _ in pairs:
-        tokens.add(a)
-        tokens.add(b)
-    maxl: dict = {}
-    maxr: dict = {}
-    for a, b, n in pairs:
-        if n > maxl.get(b, 0):
-            maxl[b] = n
-        if n > maxr.get(a, 0):
-            maxr[a] = n
-    pairs.sort(key=lambda x: (-x[2], x[0].encode(), x[1].encode()))
-    return pairs, maxl, maxr, tokens
+    top = counts.where("b IS NOT NULL").orderBy(F.desc("n"), "a", "b").limit(top_k + 1)
+    rows = top.unionByName(counts.where("b IS NULL")).collect()
+    pairs = sorted(((r.a, r.b, r.n) for r in rows if r.b is not None),
+                   key=lambda x: (-x[2], x[0].encode(), x[1].encode()))
+    return pairs[:top_k], len(pairs) > top_k, {r.a for r in rows if r.b is None}
 
 
-def _choose_batch(top_rows, maxl, maxr, tokens, room: int):
+def _choose_batch(pairs, more: bool, tokens, room: int):
     """Longest prefix of the sorted pairs that one-at-a-time training would also pick.
 
     Pair p_j may follow p_1..p_{j-1} when
@@ -115,20 +71,29 @@ def _choose_batch(top_rows, maxl, maxr, tokens, room: int):
     lose, so p_j is then the next best pair.  A merge whose token already
     exists (or repeats in the batch) closes the batch.  ``room`` = m - size
     bounds the batch so that the size test ``size < m`` holds before each merge.
+
+    Counts that reach p_j's are all in the list, unless it is cut off (``more``)
+    at that very count: then the batch ends before it.
     """
+    left: dict = {}  # the highest count of a pair that begins (ends) with a symbol
+    right: dict = {}
+    for a, b, n in pairs:
+        left.setdefault(a, n)
+        right.setdefault(b, n)
+    last = pairs[-1][2] if more else 0
     batch = []
     used: set = set()
     made: set = set()
     bound = 0
-    for a, b, n in top_rows:
+    for a, b, n in pairs:
         if len(batch) >= room or n < 2:
             break
-        if batch and (a in used or b in used or n <= bound):
+        if batch and (a in used or b in used or n <= bound or n <= last):
             break
         merged = a + b
         batch.append((a, b, n))
         used.update((a, b, merged))
-        bound = max(bound, maxl.get(a, 0), maxr.get(b, 0))
+        bound = max(bound, right.get(a, 0), left.get(b, 0))
         if merged in tokens or merged in made:
             break
         made.add(merged)
@@ -158,39 +123,48 @@ def train_bpe(
     state = (
         W.start_state(W.word_frequency(docs, text)).repartition(parts, "word").persist(StorageLevel.MEMORY_AND_DISK)
     )
+    counts = _counted(state.select("n", F.explode(_usage("t")).alias("r"))).persist(StorageLevel.MEMORY_AND_DISK)
     rules: list[tuple[str, str, int]] = []
     sizes: list[int] = []
     passes = 0
-    prev = None
+    old: list[DataFrame] = []
+    base = state  # what the state's plan reads from the cache
     while True:
-        summary = _pass_summary_small(state)
-        if summary is None:
-            summary = _pass_summary(state, top_k)
-        else:
-            summary = (summary[0][:top_k],) + summary[1:]
-        top_rows, maxl, maxr, tokens = summary
-        if prev is not None:
-            prev.unpersist()  # the new state is materialized now
-            prev = None
+        pairs, more, tokens = _summary(counts, top_k)
+        for df in old:  # their successors are materialized now
+            df.unpersist()
+        old = []
         size = len(tokens) + 2  # + <PAD>, <END>
         sizes.append(size)
-        if size >= target_size or not top_rows or top_rows[0][2] < 2:
+        if size >= target_size or not pairs or pairs[0][2] < 2:
             break
         room = target_size - size
         if max_merges is not None:
             room = min(room, max_merges - len(rules))
             if room <= 0:
                 break
-        batch = _choose_batch(top_rows, maxl, maxr, tokens, room) if batched else [top_rows[0]]
+        batch = _choose_batch(pairs, more, tokens, room) if batched else [pairs[0]]
         passes += 1
         rules.extend(batch)
-        nxt = state.select("word", "n", T.apply_rules("t", [(a, b) for a, b, _ in batch]).alias("t"))
+        merged = T.apply_rules("t", [(a, b) for a, b, _ in batch])
+        moved = state.select("word", "n", F.col("t").alias("before"), merged.alias("t")).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        # only words that a merge changed are counted again: their old share goes, the new one comes
+        changed = moved.where("before <> t")
+        delta = changed.select((-F.col("n")).alias("n"), F.explode(_usage("before")).alias("r")).unionByName(
+            changed.select("n", F.explode(_usage("t")).alias("r")))
+        kept = counts.select("n", F.struct("a", "b").alias("r"))
+        summed = _counted(kept.unionByName(delta))
+        old = [base, counts]
+        state, base = moved.select("word", "n", "t"), moved
         if passes % checkpoint_every == 0:
-            # reliable checkpoint in the shared checkpoint folder cuts the lineage
-            nxt = durable(nxt)
+            # reliable checkpoints in the shared checkpoint folder cut the lineage
+            counts, state = durable(summed), durable(state)
+            old.append(moved)
+            base = state
         else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        prev, state = state, nxt
+            counts = summed.persist(StorageLevel.MEMORY_AND_DISK)
+    counts.unpersist()
     merges = spark.createDataFrame(
         [(i + 1, a, b, a + b, n) for i, (a, b, n) in enumerate(rules)], MERGES_SCHEMA
     )

@@ -1,53 +1,115 @@
 """Encoding text with merge rules, and token -> id lookup.
 
-Documents are encoded row by row: the whole document becomes one spaced
-token string and the rule chain runs over it, so encoding is a narrow map
-with no shuffle, no join and no skew -- a document is never split, and its
-token order is simply the array order.
-
-Token ids come from the vocabulary, whose size the caller checks
-(``LOOKUP_LIMIT``); within that bound the vocabulary goes into an ``isin``
-set (hashed by the optimizer) and a broadcast hash join.  Beyond it a
-shuffle join with a per-document window is used instead.
+Rules and vocabulary are a model: their size is the tokenizer's, whatever the
+corpus. They are sent to the tasks once, after a check of their bytes
+(``MODEL_BYTES``). Documents are encoded row by row in Arrow batches; a task
+remembers the words it has seen (up to a fixed number), so the rules are
+replayed on distinct words. A document is never split, nothing is shuffled, and
+the token order is the array order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.functions import text as T
-from wordloom.session import spread
-
-LOOKUP_LIMIT = 1_000_000  # vocabulary rows that may be shipped to every task
+from wordloom.functions.text import WORD_END
+from wordloom.session import stored
+
+#: Bytes of a model (rules or vocabulary) that may be sent to every task.
+MODEL_BYTES = 1 << 30
+#: Words that a task remembers.
+REMEMBERED = 500_000
+
+_WORDS = re.compile("[A-Za-z]+")
+
+
+class Encoder:
+    """Replays merge rules on words: each rule once, in order, on all its places from left to right."""
+
+    def __init__(self, rules: Sequence[tuple[str, str]]):
+        self.ranks: dict[tuple[str, str], list[int]] = {}
+        for rank, (a, b) in enumerate(rules):
+            self.ranks.setdefault((a, b), []).append(rank)
+        self.memory: dict[str, list[str]] = {}
+
+    def _replay(self, word: str) -> list[str]:
+        tokens = [*word, WORD_END]
+        done = -1
+        while len(tokens) > 1:
+            # the next rule in order that has a place: rules in between change nothing
+            best = None
+            for pair in zip(tokens, tokens[1:]):
+                ranks = self.ranks.get(pair)
+                if ranks and ranks[-1] > done:
+                    rank = ranks[bisect_right(ranks, done)]
+                    if best is None or rank < best[0]:
+                        best = (rank, pair)
+            if best is None:
+                break
+            done, (a, b) = best
+            out, i = [], 0
+            while i < len(tokens):
+                if i + 1 < len(tokens) and tokens[i] == a and tokens[i + 1] == b:
+                    out.append(a + b)
+                    i += 2
+                else:
+                    out.append(tokens[i])
+                    i += 1
+            tokens = out
+        return tokens
+
+    def word(self, word: str) -> list[str]:
+        found = self.memory.get(word)
+        if found is None:
+            if len(self.memory) >= REMEMBERED:
+                self.memory.clear()
+            found = self.memory[word] = self._replay(word)
+        return found
+
+    def text(self, text: str | None) -> list[str]:
+        """The tokens of a text's words (ASCII letter runs, lower-cased)."""
+        return [t for w in _WORDS.findall(text or "") for t in self.word(w.lower())]
+
+
+def _checked(size: int, what: str) -> None:
+    if size > MODEL_BYTES:
+        raise OverflowError(f"{what} of {size} bytes is above MODEL_BYTES={MODEL_BYTES}")
 
 
 def _rule_pairs(rules) -> list[tuple[str, str]]:
-    out = []
-    for r in rules:
-        a, b = r[0], r[1]
-        if a and b and not any(ch.isspace() for ch in a + b):
-            out.append((a, b))
+    out = [(r[0], r[1]) for r in rules if r[0] and r[1] and not any(c.isspace() for c in r[0] + r[1])]
+    _checked(sum(len(a) + len(b) for a, b in out), "a rule list")
     return out
 
 
-def encode_words(words: DataFrame, rules: Sequence, word: str = "word") -> DataFrame:
-    """E1 on a table of words: ``(word, tokens ARRAY<STRING>)``.
+def _encoding(rules, whole_text: bool):
+    pairs = _rule_pairs(rules)
 
-    Run it on *distinct* words; each rule is replayed once, in order.
-    """
-    chain = T.apply_rules(T.spaced_word(word), _rule_pairs(rules))
-    return words.select(F.col(word).alias("word"), T.token_array(chain).alias("tokens"))
+    @F.pandas_udf("array<string>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encoder = Encoder(pairs)
+        one = encoder.text if whole_text else lambda w: None if w is None else list(encoder.word(w))
+        for rows in batches:
+            yield pd.Series([one(x) for x in rows], dtype=object)
 
+    return run
+
+
+def encode_words(words: DataFrame, rules: Sequence, word: str = "word") -> DataFrame:
+    """E1 on a table of words: ``(word, tokens ARRAY<STRING>)``; each rule is replayed once, in order."""
+    return words.select(F.col(word).alias("word"), _encoding(rules, False)(F.col(word)).alias("tokens"))
 
-def encode_documents(docs: DataFrame, rules: Sequence, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``(doc_id, tokens ARRAY<STRING>)`` in text order, per document."""
-    pairs = T.rules_for_text(_rule_pairs(rules))
-    spaced = T.apply_rules(T.spaced_text(T.words_array(text)), pairs)
-    return spread(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))).select(
-        "doc_id", T.token_array(spaced).alias("tokens"))
+
+def encode_documents(docs: DataFrame, rules: Sequence, text: str = "text", key: str = "doc_id",
+                     keep: Sequence[str | Column] = ()) -> DataFrame:
+    """``(doc_id, *keep, tokens ARRAY<STRING>)`` in text order, per document (null text: no tokens)."""
+    return docs.select(F.col(key).alias("doc_id"), *keep, _encoding(rules, True)(F.col(text)).alias("tokens"))
 
 
 def token_stream(doc_tokens: DataFrame) -> DataFrame:
@@ -57,22 +119,37 @@ def token_stream(doc_tokens: DataFrame) -> DataFrame:
     )
 
 
-def _vocab_tokens(vocab: DataFrame) -> list[str]:
-    n = vocab.count()
-    if n > LOOKUP_LIMIT:
-        raise OverflowError(f"vocabulary of {n} rows exceeds LOOKUP_LIMIT={LOOKUP_LIMIT}")
-    return [r.token for r in vocab.select("token").distinct().collect()]
-
-
 def first_ids(vocab: DataFrame) -> DataFrame:
     """A vocabulary with one id per token: the first (lowest) id wins."""
     return vocab.groupBy("token").agg(F.min("token_id").alias("token_id"))
 
 
+def vocabulary_map(vocab: DataFrame) -> dict[str, int]:
+    """The vocabulary as token -> first id, after a check of its bytes."""
+    size = vocab.agg(F.sum(F.octet_length("token") + 64)).first()[0] or 0
+    _checked(size, "a vocabulary")
+    return {r.token: r.token_id for r in first_ids(vocab).toLocalIterator()}
+
+
+def with_ids(doc_tokens: DataFrame, vocab: DataFrame) -> DataFrame:
+    """F6 + J1: ``doc_tokens`` with tokens without an id dropped (later ones close up), and their ``ids``."""
+    shared = doc_tokens.sparkSession.sparkContext.broadcast(vocabulary_map(vocab))
+
+    @F.pandas_udf("struct<tokens:array<string>,ids:array<bigint>>")
+    def look_up(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        ids = shared.value
+        for rows in batches:
+            kept = [[t for t in tokens if t in ids] if tokens is not None else [] for tokens in rows]
+            yield pd.DataFrame({"tokens": pd.Series(kept, dtype=object),
+                                "ids": pd.Series([[ids[t] for t in k] for k in kept], dtype=object)})
+
+    rest = [c for c in doc_tokens.columns if c != "tokens"]
+    return doc_tokens.select(*rest, look_up("tokens").alias("known")).select(*rest, "known.*")
+
+
 def keep_known(doc_tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     """F6 for token arrays: drop tokens without an id; later tokens close up."""
-    known = _vocab_tokens(vocab)
-    return doc_tokens.select("doc_id", F.filter("tokens", lambda t: t.isin(known)).alias("tokens"))
+    return with_ids(doc_tokens, vocab).drop("ids")
 
 
 def ids_stream(doc_tokens: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -80,61 +157,52 @@ def ids_stream(doc_tokens: DataFrame, vocab: DataFrame) -> DataFrame:
 
     Positions are counted after the skip, so neighbours close up.
     """
-    if vocab.count() <= LOOKUP_LIMIT:
-        kept = token_stream(keep_known(doc_tokens, vocab))
-        return kept.join(F.broadcast(first_ids(vocab)), "token").select("doc_id", "pos", "token", "token_id")
-    # large vocabulary: shuffle join, then renumber inside each document
-    joined = token_stream(doc_tokens).join(first_ids(vocab), "token")
-    w = Window.partitionBy("doc_id").orderBy("pos")
-    return joined.select("doc_id", (F.row_number().over(w) - 1).cast("bigint").alias("pos"), "token", "token_id")
+    return with_ids(doc_tokens, vocab).select(
+        "doc_id", F.posexplode(F.arrays_zip("tokens", "ids")).alias("pos", "t")).select(
+        "doc_id", F.col("pos").cast("bigint").alias("pos"), F.col("t.tokens").alias("token"),
+        F.col("t.ids").alias("token_id"))
+
 
+def oov_tokens(doc_tokens: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Tokens that have no id, with counts (the tokenizer skips them silently).
 
-def ids_arrays(doc_tokens: DataFrame, vocab: DataFrame) -> DataFrame:
-    """``(doc_id, tokens)`` with unknown tokens removed -- the id stream as arrays."""
-    return keep_known(doc_tokens, vocab)
+    Counted first, so the join meets one row per distinct token.
+    """
+    counts = doc_tokens.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(vocab.select("token").distinct(), "token", "left_anti")
 
 
-def oov_tokens(doc_tokens: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Tokens that have no id, with counts (the tokenizer skips them silently)."""
-    toks = doc_tokens.select(F.explode("tokens").alias("token"))
-    return toks.join(F.broadcast(first_ids(vocab).select("token")), "token", "left_anti").groupBy("token").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+#: Documents in a bucket of the running sum over documents.
+BUCKET_DOCS = 1 << 16
 
 
-def doc_offsets(doc_tokens: DataFrame, buckets: int = 64) -> DataFrame:
-    """``(doc_id, offset)``: where each document starts in the one-stream view.
+def doc_offsets(doc_tokens: DataFrame) -> DataFrame:
+    """``(doc_id, offset)``: where each document starts in the one-stream view, documents in doc_id order.
 
-    A two-level running sum over one row per document: doc ids are cut into
-    ``buckets`` ranges of about equal document count (approximate quantiles),
-    bucket totals are summed on a table of ``buckets`` rows, and each bucket
-    sums its own documents.  No window spans all documents.
+    A running sum in two levels: documents are range partitioned by id, in
+    buckets of about ``BUCKET_DOCS``; the bucket totals are summed over one row
+    per bucket, and each bucket sums its own documents.
     """
     lens = doc_tokens.select("doc_id", F.size("tokens").cast("bigint").alias("len"))
-    edges = sorted(set(lens.approxQuantile("doc_id", [i / buckets for i in range(1, buckets)], 0.001)))
-    edge_arr = F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
-    lens = lens.withColumn("bucket", F.size(F.filter(edge_arr, lambda e: e < F.col("doc_id").cast("double"))))
+    n = lens.count()
+    lens = lens.repartitionByRange(max(1, -(-n // BUCKET_DOCS)), "doc_id").withColumn("bucket", F.spark_partition_id())
+    lens = stored(lens, "doc-lengths")  # the buckets are fixed here, for both uses below
     tot = lens.groupBy("bucket").agg(F.sum("len").alias("btot"))
-    tot = tot.select(
-        "bucket",
-        (F.sum("btot").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("btot")).alias(
-            "bstart"
-        ),
-    )
+    before = F.sum("btot").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("btot")
     inb = Window.partitionBy("bucket").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    return lens.join(F.broadcast(tot), "bucket").select(
+    return lens.join(tot.select("bucket", before.alias("bstart")), "bucket").select(
         "doc_id", (F.col("bstart") + F.sum("len").over(inb) - F.col("len")).alias("offset")
     )
 
 
-def global_positions(doc_tokens: DataFrame, buckets: int = 64) -> DataFrame:
+def global_positions(doc_tokens: DataFrame) -> DataFrame:
     """One stream over the whole corpus, documents in doc_id order.
 
     The offsets are joined document to document (one row each side) before
     the tokens are exploded.  Output ``(doc_id, pos, token, gpos)``.
     """
     return (
-        doc_tokens.join(doc_offsets(doc_tokens, buckets), "doc_id")
+        doc_tokens.join(doc_offsets(doc_tokens), "doc_id")
         .select("doc_id", "offset", F.posexplode("tokens").alias("pos", "token"))
         .select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token",
                 (F.col("offset") + F.col("pos")).cast("bigint").alias("gpos"))

@@ -1,38 +1,57 @@
-"""Table jobs over a vector table ``(vec_id, embedding ARRAY<FLOAT>, label)``.
-
-Small per-vector maths (norms, clamps, sub-vectors, matrix-vector products)
-runs inside the row with higher-order functions; anything across rows is a
-grouped aggregation on ``(group, component)`` cells.  Per-label and
-per-component results are bounded by labels x dim and are shipped back as
-broadcast joins or literal arrays (size checked).
+"""Table jobs over a vector table ``(vec_id, embedding ARRAY<FLOAT>, label)``.
+
+Small per-vector maths (norms, clamps, sub-vectors) runs inside the row with
+higher-order functions; anything across rows is a grouped aggregation on
+``(group, component)`` cells, or per-partition sums in numpy where the cells
+would be many times the input. Tables of one row per component are as long as a
+vector is wide, and only those are collected; centroids and queries are sent to
+the tasks after a check of their bytes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions import vecmath as V
-from wordloom.functions.rand import uniform
+from wordloom.operators.encode import MODEL_BYTES
+from wordloom.session import numbered, stored
+
+
+def group_quantiles(values: DataFrame, shares: dict[str, float]) -> DataFrame:
+    """Exact interpolated quantiles of ``values(g, v)``: ``(g, n, *names)``, whatever the size of a group.
 
-SMALL_LIMIT = 100_000  # rows of a per-label / per-component table shipped to every task
-EXACT_QUANTILE_LIMIT = 1_000_000  # values per group for exact percentiles (one task holds a group)
+    All values are sorted by (g, v) over the cluster and numbered; a quantile is
+    read off the one or two rows with its rank.
+    """
+    rows = numbered(values.where("v IS NOT NULL").select(F.struct("g", "v").alias("o")), "o", "k")
+    rows = stored(rows.select("o.g", "o.v", "k"), "ranked-values")
+    groups = stored(rows.groupBy("g").agg(F.min("k").alias("first"), F.count(F.lit(1)).alias("n")), "groups")
+    place = {name: F.lit(float(q)) * (F.col("n") - 1) for name, q in shares.items()}
+    spots = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), (F.col("first") + e(p)).alias("k"), w(p).alias("w"))
+                                for name, p in place.items() for e, w in (
+        (F.floor, lambda p: 1 - (p - F.floor(p))), (lambda p: F.floor(p) + 1, lambda p: p - F.floor(p)))]))
+    wanted = groups.select("g", "n", spots.alias("s")).select("g", "n", "s.*").where("w > 0")
+    hit = wanted.join(rows.select("k", "v"), "k")
+    return hit.groupBy("g", "n").agg(*[
+        F.sum(F.when(F.col("name") == name, F.col("w") * F.col("v"))).alias(name) for name in shares])
 
 
-def _quantile_fn(df: DataFrame, keys):
-    """Exact ``percentile`` while the largest group is small enough for one task,
-    otherwise ``percentile_approx`` (bounded memory, accuracy 1e-4 of the rank)."""
-    biggest = df.groupBy(*keys).count().agg(F.max("count")).collect()[0][0] or 0
-    if biggest <= EXACT_QUANTILE_LIMIT:
-        return lambda c, q: F.percentile(c, q)
-    return lambda c, q: F.percentile_approx(c, q, 10000)
+def _sent(rows: list) -> np.ndarray:
+    """The vectors of collected rows as a matrix."""
+    return np.array([list(r) for r in rows], np.float64).reshape(len(rows), -1)
 
 
-def _collect_bounded(df: DataFrame, what: str):
-    rows = df.limit(SMALL_LIMIT + 1).collect()
-    if len(rows) > SMALL_LIMIT:
-        raise OverflowError(f"{what} has more than {SMALL_LIMIT} rows")
-    return rows
+def _checked_rows(df: DataFrame, vector: str, what: str) -> list:
+    """The rows of a small table of vectors, after a check of its bytes."""
+    size = df.agg(F.sum(8 * F.size(vector) + 64)).first()[0] or 0
+    if size > MODEL_BYTES:
+        raise OverflowError(f"{what}: {size} bytes are above MODEL_BYTES={MODEL_BYTES}")
+    return df.collect()
 
 
 def cells(vectors: DataFrame, key: str = "vec_id", col: str = "embedding", extra=("label",)) -> DataFrame:
@@ -53,15 +72,9 @@ def vector_norms(vectors: DataFrame) -> DataFrame:
 
 
 def norm_quantiles(vectors: DataFrame) -> DataFrame:
-    """V1: norm quartiles per label (exact percentiles within the group-size bound)."""
-    n = V.norm("embedding")
-    pct = _quantile_fn(vectors, ["label"])
-    return vectors.select("label", n.alias("norm")).groupBy("label").agg(
-        F.count(F.lit(1)).alias("n"),
-        pct("norm", 0.25).alias("q1"),
-        pct("norm", 0.5).alias("median"),
-        pct("norm", 0.75).alias("q3"),
-    )
+    """V1: norm quartiles per label, exact and interpolated."""
+    norms = vectors.select(F.col("label").alias("g"), V.norm("embedding").alias("v"))
+    return group_quantiles(norms, {"q1": 0.25, "median": 0.5, "q3": 0.75}).withColumnRenamed("g", "label")
 
 
 def centroids(vectors: DataFrame) -> DataFrame:
@@ -74,17 +87,22 @@ def centroid_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def assign_nearest(vectors: DataFrame) -> DataFrame:
-    """V5: nearest centroid per vector (first label wins a tie).
+    """V5: nearest centroid per vector (least label wins a tie), scored in Arrow batches."""
+    rows = sorted(_checked_rows(centroid_vectors(vectors), "centroid", "centroids"), key=lambda r: r.label)
+    sent = vectors.sparkSession.sparkContext.broadcast((_sent([r.centroid for r in rows]),
+                                                        [r.label for r in rows]))
+    label_type = vectors.schema["label"].dataType.simpleString()
 
-    The centroids (labels x dim, size checked) are a literal inside the row
-    expression, so every vector is scored against them without a join.
-    """
-    cents = sorted(_collect_bounded(centroid_vectors(vectors), "centroids"), key=lambda r: r.label)
-    labels = F.array(*[F.lit(r.label) for r in cents])
-    mats = F.array(*[F.array(*[F.lit(float(x)) for x in r.centroid]) for r in cents])
-    d2 = F.transform(mats, lambda c: V.dist2("embedding", c))
-    best = F.array_min(F.transform(d2, lambda d, i: F.struct(d.alias("d"), i.alias("i"))))
-    return vectors.select("vec_id", "label", labels[best.i].alias("nearest"), F.sqrt(best.d).alias("dist"))
+    @F.pandas_udf(f"struct<nearest:{label_type},dist:double>")
+    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        centers, labels = sent.value
+        for embeddings in batches:
+            d2 = [((centers - np.asarray(x, np.float64)) ** 2).sum(axis=1) for x in embeddings]
+            best = [int(d.argmin()) for d in d2]
+            yield pd.DataFrame({"nearest": [labels[k] for k in best],
+                                "dist": [float(np.sqrt(d[k])) for d, k in zip(d2, best, strict=True)]})
+
+    return vectors.select("vec_id", "label", nearest("embedding").alias("a")).select("vec_id", "label", "a.*")
 
 
 def cluster_summary(assigned: DataFrame) -> DataFrame:
@@ -116,7 +134,7 @@ def component_stats(vectors: DataFrame) -> DataFrame:
 
 
 def _component_arrays(stats: DataFrame, cols):
-    rows = sorted(_collect_bounded(stats, "component table"), key=lambda r: r.i)
+    rows = sorted(stats.collect(), key=lambda r: r.i)  # one row per component of a vector
     return [F.array(*[F.lit(float(getattr(r, c)) if getattr(r, c) is not None else 0.0) for r in rows]) for c in cols]
 
 
@@ -141,14 +159,15 @@ def winsorize(vectors: DataFrame, lower: float = 0.05, upper: float = 0.95):
     Returns (clipped vectors, per-component report ``(i, lo, hi, n_low, n_high)``).
     """
     c = cells(vectors)
-    pct = _quantile_fn(vectors.select(F.lit(0).alias("i")), ["i"])  # a component group holds one value per row
-    q = c.groupBy("i").agg(pct("v", lower).alias("lo"), pct("v", upper).alias("hi"))
+    q = group_quantiles(c.select(F.col("i").alias("g"), "v"), {"lo": lower, "hi": upper}).select(
+        F.col("g").alias("i"), "lo", "hi")
+    q = stored(q, "column-quantiles")
     lo, hi = _component_arrays(q, ["lo", "hi"])
     clipped = vectors.select(
         "vec_id", "label",
         F.transform("embedding", lambda x, i: F.least(F.greatest(x.cast("double"), lo[i]), hi[i])).alias("clipped"),
     )
-    report = c.join(F.broadcast(q), "i").groupBy("i", "lo", "hi").agg(
+    report = c.join(q, "i").groupBy("i", "lo", "hi").agg(
         F.sum(F.when(F.col("v") < F.col("lo"), 1).otherwise(0)).cast("bigint").alias("n_low"),
         F.sum(F.when(F.col("v") > F.col("hi"), 1).otherwise(0)).cast("bigint").alias("n_high"),
     )
@@ -157,9 +176,7 @@ def winsorize(vectors: DataFrame, lower: float = 0.05, upper: float = 0.95):
 
 def blend_to_centroid(vectors: DataFrame, t: float = 0.5) -> DataFrame:
     """Move each vector a fraction t toward its label's centroid (lerp)."""
-    cents = centroid_vectors(vectors)
-    _collect_bounded(cents.select("label"), "centroids")
-    j = vectors.join(F.broadcast(cents), "label")
+    j = vectors.join(stored(centroid_vectors(vectors), "centroids"), "label")
     return j.select(
         "vec_id", "label",
         F.zip_with("embedding", "centroid", lambda x, c: x.cast("double") + F.lit(t) * (c - x.cast("double"))).alias(
@@ -169,10 +186,9 @@ def blend_to_centroid(vectors: DataFrame, t: float = 0.5) -> DataFrame:
 
 
 def vector_dedup(vectors: DataFrame) -> DataFrame:
-    """Exact duplicate vectors: ``(first_id, copies, ids)`` for groups of 2 or more.
+    """Exact duplicate vectors: ``(first_id, copies)`` for groups of 2 or more.
 
-    Grouping on the array shuffles by its hash; partial counts merge copies
-    map-side, and a group's id list is only built for duplicates.
+    Grouping on the array shuffles by its hash; partial counts merge copies map-side.
     """
     return (
         vectors.groupBy("embedding")
@@ -182,6 +198,19 @@ def vector_dedup(vectors: DataFrame) -> DataFrame:
     )
 
 
+def lexicographic_order(vectors: DataFrame) -> DataFrame:
+    """``(vec_id, place)``: the vectors numbered in lexicographic order, ties by id."""
+    rows = vectors.select(F.struct("embedding", "vec_id").alias("o"))
+    return numbered(rows, "o", "place").select(F.col("o.vec_id").alias("vec_id"), F.col("place").cast("bigint").alias("place"))
+
+
+def label_profile(vectors: DataFrame) -> DataFrame:
+    """V6 per label: ``(label, n, vmin, vmax, mean_sum, any_pos, all_pos)`` over its vectors."""
+    return vector_profile(vectors).groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.min("vmin").alias("vmin"), F.max("vmax").alias("vmax"),
+        F.avg("vsum").alias("mean_sum"), F.bool_or("any_pos").alias("any_pos"), F.bool_and("all_pos").alias("all_pos"))
+
+
 def truncate_vectors(vectors: DataFrame, d: int) -> DataFrame:
     """The first d components, re-normalized (zero-safe)."""
     sub = F.slice("embedding", 1, d)
@@ -193,26 +222,51 @@ def projection_matrix(dim: int, k: int, seed: int) -> list[list[float]]:
     import hashlib
 
     def u(*parts):
-        h = hashlib.md5("|".join(str(p) for p in parts).encode()).hexdigest()[:8]
-        return int(h, 16) / 4294967296.0
+        h = hashlib.md5("|".join(str(p) for p in parts).encode()).hexdigest()[:13]
+        return int(h, 16) / 4503599627370496.0
 
     return [[u(seed, j, i) - 0.5 for i in range(dim)] for j in range(k)]
 
 
 def project_vectors(vectors: DataFrame, matrix: list[list[float]]) -> DataFrame:
-    """y = M x for every row; M (k x dim) is a literal of the expression."""
-    rows = [F.array(*[F.lit(float(x)) for x in r]) for r in matrix]
-    return vectors.select("vec_id", "label", F.array(*[V.dot("embedding", r) for r in rows]).alias("y"))
+    """y = M x for every row; M (k x dim) goes to the tasks, rows are multiplied in Arrow batches."""
+    sent = vectors.sparkSession.sparkContext.broadcast(np.array(matrix, np.float64))
+
+    @F.pandas_udf("array<double>")
+    def product(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        m = sent.value
+        for embeddings in batches:
+            yield pd.Series([m @ np.asarray(x, np.float64) for x in embeddings], dtype=object)
+
+    return vectors.select("vec_id", "label", product("embedding").alias("y"))
+
+
+#: Inner indices that one task multiplies at once.
+INNER_BLOCK = 1024
 
 
 def matrix_multiply(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Coordinate matrices A(i, k, v) x B(k, j, w) -> C(i, j, v): join on k, sum per (i, j)."""
-    return (
-        a.select("i", F.col("j").alias("k"), F.col("v").alias("av"))
-        .join(b.select(F.col("i").alias("k"), F.col("j").alias("j"), F.col("v").alias("bv")), "k")
-        .groupBy("i", "j")
-        .agg(F.sum(F.col("av") * F.col("bv")).alias("v"))
-    )
+    """Coordinate matrices A(i, j, v) x B(i, j, v) -> C(i, j, v), with integer indices.
+
+    Both are dealt by blocks of the inner index; a block's product is summed in
+    numpy and gives each (i, j) once, so what is shuffled for the final sum is
+    one matrix per block, not one cell per inner index.
+    """
+    def block(df, inner):
+        return df.select("i", "j", "v", F.floor(F.col(inner) / INNER_BLOCK).alias("block")).groupBy("block")
+
+    def product(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        inner = np.intersect1d(x["j"], y["i"])
+        x, y = x[np.isin(x["j"], inner)], y[np.isin(y["i"], inner)]
+        rows, r = np.unique(x["i"].to_numpy(), return_inverse=True)
+        cols, c = np.unique(y["j"].to_numpy(), return_inverse=True)
+        left, right = np.zeros((len(rows), len(inner))), np.zeros((len(inner), len(cols)))
+        np.add.at(left, (r, np.searchsorted(inner, x["j"])), x["v"].to_numpy())
+        np.add.at(right, (np.searchsorted(inner, y["i"]), c), y["v"].to_numpy())
+        return pd.DataFrame({"i": np.repeat(rows, len(cols)), "j": np.tile(cols, len(rows)), "v": (left @ right).ravel()})
+
+    parts = block(a, "j").cogroup(block(b, "i")).applyInPandas(product, "i bigint, j bigint, v double")
+    return parts.groupBy("i", "j").agg(F.sum("v").alias("v"))
 
 
 def transpose(m: DataFrame) -> DataFrame:
@@ -220,17 +274,29 @@ def transpose(m: DataFrame) -> DataFrame:
 
 
 def gram_matrix(vectors: DataFrame, centered: bool = True) -> DataFrame:
-    """Second-moment (or covariance) matrix ``(i, j, v)`` as the sum of per-row outer products."""
-    e = V.to_double("embedding")
-    if centered:
-        (mean,) = _component_arrays(component_stats(vectors), ["mean"])
-        e = F.transform(e, lambda x, i: x - mean[i])
-    n = vectors.count()
-    outer = F.flatten(
-        F.transform(e, lambda x, i: F.transform(e, lambda y, j: F.struct(i.alias("i"), j.alias("j"), (x * y).alias("p"))))
-    )
-    g = vectors.select(F.explode(outer).alias("c")).groupBy("c.i", "c.j").agg(F.sum("c.p").alias("s"))
-    return g.select("i", "j", (F.col("s") / F.lit(float(max(n, 1)))).alias("v"))
+    """Second-moment (or covariance) matrix ``(i, j, v)``.
+
+    Every partition sums its rows' outer products in numpy and returns the upper
+    triangle once; the partitions' sums are added, then mirrored.
+    """
+    mean = np.array([r.mean for r in sorted(component_stats(vectors).collect(), key=lambda r: r.i)]) if centered else 0.0
+
+    def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for rows in batches:
+            if len(rows):
+                x = np.stack([np.asarray(v, np.float64) for v in rows["embedding"]]) - mean
+                total = x.T @ x + (0 if total is None else total)
+        if total is not None:
+            i, j = np.triu_indices(len(total))
+            yield pd.DataFrame({"i": i, "j": j, "s": total[i, j]})
+
+    n = F.lit(float(max(vectors.count(), 1)))
+    sums = vectors.select("embedding").mapInPandas(moments, "i int, j int, s double").groupBy("i", "j").agg(
+        (F.sum("s") / n).alias("v"))
+    sides = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
+        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
+    return sums.select(F.explode(sides).alias("c"), "v").select("c.i", "c.j", "v")
 
 
 def diagonal_trace(gram: DataFrame) -> DataFrame:
@@ -238,25 +304,51 @@ def diagonal_trace(gram: DataFrame) -> DataFrame:
     return gram.where(F.col("i") == F.col("j")).agg(F.sum("v").alias("trace"), F.count(F.lit(1)).alias("dim"))
 
 
-def knn_exact(vectors: DataFrame, queries: DataFrame, k: int, salts: int = 16) -> DataFrame:
-    """V2: the k rows most similar (cosine) to each query; ties go to the lower vec_id.
+METRICS = ("cosine", "dot", "distance2", "angle")
+
+
+def _similarities(x: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
+    """(rows, queries); larger is nearer. Zero vectors have cosine 0; the angle's cosine is clamped."""
+    if metric == "distance2":
+        return -((x[:, None, :] - q[None]) ** 2).sum(axis=2)
+    dots = x @ q.T
+    if metric == "dot":
+        return dots
+    norms = np.sqrt((x**2).sum(axis=1))[:, None] * np.sqrt((q**2).sum(axis=1))[None]
+    cosine = np.divide(dots, norms, out=np.zeros_like(dots), where=norms > 0)
+    return cosine if metric == "cosine" else -np.arccos(np.clip(cosine, -1.0, 1.0))
+
+
+def knn_exact(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine") -> DataFrame:
+    """V2: ``(q_id, rank, vec_id, sim)``: the k nearest rows of each query; ties go to the lower vec_id.
 
-    ``queries`` = ``(q_id, q_vec)`` is a bounded set (size checked) placed in
-    the row expression, so every row is scored against all queries without a
-    join.  Top-k runs in two steps -- per (query, salt) and then per query over
-    at most k x salts candidates -- so no group ever holds a whole query's rows.
+    ``queries`` = ``(q_id, q_vec)`` is a stated set whose bytes are checked; it
+    goes to the tasks, every row is scored against it in Arrow batches, and a
+    task keeps k rows per query, so only those are shuffled. ``sim`` is the
+    similarity, or the negative squared distance or angle.
     """
-    qs = sorted(_collect_bounded(queries, "query set"), key=lambda r: r.q_id)
-    ids = F.array(*[F.lit(r.q_id) for r in qs])
-    mats = F.array(*[F.array(*[F.lit(float(x)) for x in r.q_vec]) for r in qs])
-    scored = vectors.select(
-        "vec_id",
-        F.explode(F.arrays_zip(ids.alias("q_id"), F.transform(mats, lambda q: V.cosine("embedding", q)).alias("sim"))).alias("s"),
-    ).select("vec_id", F.col("s.q_id").alias("q_id"), F.col("s.sim").alias("sim"))
-    from pyspark.sql import Window
-
-    salted = scored.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(salts)))
-    w1 = Window.partitionBy("q_id", "salt").orderBy(F.desc("sim"), "vec_id")
-    cand = salted.withColumn("r", F.row_number().over(w1)).where(F.col("r") <= k)
-    w2 = Window.partitionBy("q_id").orderBy(F.desc("sim"), "vec_id")
-    return cand.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k).select("q_id", "rank", "vec_id", "sim")
+    if metric not in METRICS:
+        raise ValueError(f"metric must be one of {METRICS}")
+    rows = _checked_rows(queries.select("q_id", "q_vec"), "q_vec", "queries")
+    sent = vectors.sparkSession.sparkContext.broadcast((_sent([r.q_vec for r in rows]), [r.q_id for r in rows]))
+    types = f"q_id {queries.schema['q_id'].dataType.simpleString()}, vec_id bigint, sim double"
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        q, names = sent.value
+        best = [(np.empty(0), np.empty(0, np.int64)) for _ in names]  # similarities and ids, nearest first
+        for pdf in batches:
+            if not len(pdf) or not names:
+                continue
+            x = np.stack([np.asarray(v, np.float64) for v in pdf["embedding"]])
+            sims = np.concatenate([_similarities(x[a : a + 512], q, metric) for a in range(0, len(x), 512)])
+            ids = pdf["vec_id"].to_numpy()
+            for j in range(len(names)):
+                s, i = np.concatenate((best[j][0], sims[:, j])), np.concatenate((best[j][1], ids))
+                order = np.lexsort((i, -s))[:k]
+                best[j] = s[order], i[order]
+        yield pd.DataFrame([(name, int(i), float(s)) for name, b in zip(names, best, strict=True)
+                            for s, i in zip(*b, strict=True)], columns=["q_id", "vec_id", "sim"])
+
+    found = vectors.select("vec_id", "embedding").mapInPandas(nearest, types)
+    w = Window.partitionBy("q_id").orderBy(F.desc("sim"), "vec_id")  # k rows per partition of the input
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("q_id", "rank", "vec_id", "sim")

@@ -9,9 +9,9 @@ per session and table folder and reused by the queries that need them.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +25,7 @@ from wordloom.operators import vectors as VX
 from wordloom.operators import words as W
 from wordloom.functions.rand import uniform_sql
 from wordloom.plans import sqlparts as Q
-from wordloom.session import table
+from wordloom.session import ensure_checkpoint_dir, numbered, spread, stored, table
 from wordloom.sources import files as IO
 from wordloom.sources.options import TrainOptions
 
@@ -36,21 +36,25 @@ NEG = 5  # negatives per positive (trainer default)
 SEED = 1  # trainer default seed
 DIM = 64  # vector width (trainer default)
 LR = 0.025  # learning rate (trainer default)
-CAP = 64  # per-row step cap of the synchronous trainer
+RULES = 1200  # rules of the table that the encoding queries replay
 R = 6  # decimal places compared
 
 _CACHE: dict = {}
 
 
 def _key(spark: SparkSession, *parts):
-    return (id(spark),) + parts
+    return (spark.sparkContext.applicationId,) + parts
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def tokenizer(spark: SparkSession, sf_dir: str, lang: str | None = None) -> B.BpeModel:
     """BPE on ``documents`` (optionally one language), trained once per session."""
     k = _key(spark, "bpe", os.path.abspath(sf_dir), TARGET_SIZE, lang)
     if k not in _CACHE:
-        docs = table(spark, sf_dir, "documents")
+        docs = documents(spark, sf_dir)
         if lang is not None:
             docs = docs.where(F.col("lang") == lang)
         _CACHE[k] = B.train_bpe(docs, TARGET_SIZE)
@@ -62,15 +66,54 @@ def _rules(model: B.BpeModel):
 
 
 def encoded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, lang, text, tokens)`` with the trained rules, stored once per session."""
     k = _key(spark, "enc", os.path.abspath(sf_dir))
     if k not in _CACHE:
         model = tokenizer(spark, sf_dir)
-        _CACHE[k] = E.encode_documents(table(spark, sf_dir, "documents"), _rules(model)).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
+        _CACHE[k] = stored(E.encode_documents(documents(spark, sf_dir), _rules(model), keep=("lang", "text")), "encoded")
+    return _CACHE[k]
+
+
+def rule_table(spark: SparkSession, sf_dir: str) -> list[tuple[str, str]]:
+    """``RULES`` merge rules in order: the most frequent word beginnings, each from a shorter one and a letter."""
+    k = _key(spark, "rules", os.path.abspath(sf_dir))
+    if k not in _CACHE:
+        begun = W.word_frequency(documents(spark, sf_dir)).select(
+            "n", F.explode(F.when(F.length("word") > 1, F.sequence(F.lit(2), F.least(F.length("word"), F.lit(8))))).alias("k"), "word")
+        top = begun.groupBy(F.substring("word", F.lit(1), F.col("k")).alias("p")).agg(F.sum("n").alias("w")).orderBy(
+            F.desc("w"), "p").limit(RULES)
+        _CACHE[k] = [(r.p[:-1], r.p[-1]) for r in sorted(top.collect(), key=lambda r: (-r.w, r.p))]
+    return _CACHE[k]
+
+
+def _english_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the tokens that English documents use under the rule table (other texts hold tokens without an id)."""
+    k = _key(spark, "english", os.path.abspath(sf_dir))
+    if k not in _CACHE:
+        en = E.encode_documents(documents(spark, sf_dir).where("lang = 'en'"), rule_table(spark, sf_dir))
+        _CACHE[k] = stored(W.number_vocabulary(en.select(F.explode("tokens").alias("token")).distinct()), "english-vocabulary")
     return _CACHE[k]
 
 
+def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = spread(table(spark, sf_dir, "conversations"))
+    return conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
+
+
+#: Rule table and its list, for the oracles of the encoding queries.
+_SQL_RULES = Q.word_freq("wf", "documents") + ",\n" + Q.rule_table("rt", "wf", RULES) + ",\n" + Q.rule_list("rl", "rt", False)
+_SQL_TURNS = "turns AS (SELECT conv_id * 1000 + turn AS doc_id, text FROM conversations)"
+_SQL_ENGLISH = (
+    "en_docs AS (SELECT * FROM documents WHERE lang = 'en'),\n" + Q.encode_by_word("en", "en_docs", "rl") + ",\n"
+    + Q.vocabulary("en_vocab", "(SELECT unnest(tokens) AS token FROM en_e)")
+)
+_SQL_TOKENS_OF = (
+    "SELECT d.{key} AS doc_id, coalesce(sum(len(e.tokens)), 0)::BIGINT AS n_tokens, "
+    "coalesce(string_agg(array_to_string(e.tokens, ' '), ' ' ORDER BY e.wpos), '') AS tokens "
+    "FROM {source} d LEFT JOIN enc e ON e.doc_id = d.{key} GROUP BY 1"
+)
+
+
 def _docs_ids_sql(sf: str = "") -> str:
     """CTE chain: tokenizer on documents -> encoded documents -> id rows ``ids``."""
     return (
@@ -132,7 +175,7 @@ SQL_READ_CORPUS = (
 
 
 def q_extract_words(spark, sf):
-    w = W.extract_words(table(spark, sf, "documents"))
+    w = W.extract_words(documents(spark, sf))
     return w.select("doc_id", F.col("wpos").cast("bigint").alias("wpos"), "word")
 
 
@@ -143,21 +186,21 @@ SQL_EXTRACT_WORDS = (
 
 
 def q_word_frequency(spark, sf):
-    return W.word_frequency(table(spark, sf, "documents"))
+    return W.word_frequency(documents(spark, sf))
 
 
 SQL_WORD_FREQUENCY = "WITH " + Q.word_freq("wf", "documents") + " SELECT word, n FROM wf"
 
 
 def q_initial_tokens(spark, sf):
-    return W.start_state(W.word_frequency(table(spark, sf, "documents"))).select("word", "t")
+    return W.start_state(W.word_frequency(documents(spark, sf))).select("word", "t")
 
 
 SQL_INITIAL_TOKENS = "WITH " + Q.word_freq("wf", "documents") + f" SELECT word, {Q.SPACED_WORD.format(w='word')} AS t FROM wf"
 
 
 def q_pair_frequency(spark, sf):
-    return W.pair_frequency(W.start_state(W.word_frequency(table(spark, sf, "documents"))))
+    return W.pair_frequency(W.start_state(W.word_frequency(documents(spark, sf))))
 
 
 _SQL_START_PAIRS = (
@@ -191,8 +234,8 @@ SQL_VOCABULARY = "WITH RECURSIVE " + Q.bpe("t", "documents", TARGET_SIZE) + " SE
 
 def q_apply_merge(spark, sf):
     """the best start pair merged in every distinct word."""
-    best = q_best_pair(spark, sf).collect()
-    st = W.start_state(W.word_frequency(table(spark, sf, "documents")))
+    st = stored(W.start_state(W.word_frequency(documents(spark, sf))), "start-state")
+    best = W.best_pair(W.pair_frequency(st)).collect()
     if not best:
         return st.select("word", "t")
     return st.select("word", T.merge_pair("t", best[0].a, best[0].b).alias("t"))
@@ -206,111 +249,103 @@ SQL_APPLY_MERGE = (
 )
 
 
+BROKEN = ("a b", " + x -> x", "a + -> a", "a +b -> ab", "a + b", "x y + z -> xyz", "-> a + b")
+
+
 def q_parse_merge_rules(spark, sf):
-    """F3 + F4 + F10: learned rules written as text and parsed back."""
+    """F3 + F4 + F10: learned rules and broken ones written as text, read back, those that can fire kept."""
     m = tokenizer(spark, sf).merges
     lines = m.select("rank", T.format_rule("a", "b").alias("rule"))
+    bad = spark.createDataFrame([(1000 + i, r) for i, r in enumerate(BROKEN)], "rank int, rule string")
     a, b = T.parse_rule("rule")
-    return lines.select("rank", "rule", a.alias("a"), b.alias("b")).where(T.rule_can_match("a", "b"))
+    return IO.valid_rules(lines.unionByName(bad).select("rank", "rule", a.alias("a"), b.alias("b")))
 
 
 SQL_PARSE_MERGE_RULES = (
     "WITH RECURSIVE " + Q.bpe("t", "documents", TARGET_SIZE)
-    + ", lines AS (SELECT rank, a || ' + ' || b || ' -> ' || a || b AS rule FROM t_merges), "
-    "parsed AS (SELECT rank, rule, instr(rule, ' + ') AS p, instr(rule, ' -> ') AS q FROM lines) "
-    "SELECT rank, rule, CASE WHEN p > 1 AND q > p + 3 THEN substr(rule, 1, p - 1) END AS a, "
-    "CASE WHEN p > 1 AND q > p + 3 THEN substr(rule, p + 3, q - p - 3) END AS b FROM parsed "
-    "WHERE p > 1 AND q > p + 3"
+    + ", lines AS (SELECT rank, a || ' + ' || b || ' -> ' || a || b AS rule FROM t_merges"
+    + "".join(f" UNION ALL SELECT {1000 + i}, '{r}'" for i, r in enumerate(BROKEN)) + "), "
+    "cut AS (SELECT rank, rule, regexp_extract(rule, '^(.+?) \\+ (.+?) -> ', 1) AS a, "
+    "regexp_extract(rule, '^(.+?) \\+ (.+?) -> ', 2) AS b FROM lines) "
+    "SELECT rank::INTEGER AS rank, rule, a, b FROM cut "
+    "WHERE a <> '' AND b <> '' AND NOT regexp_matches(a, '\\s') AND NOT regexp_matches(b, '\\s')"
 )
 
 
 def q_encode_words(spark, sf):
-    """Distinct words of ``conversations`` encoded with the documents tokenizer."""
-    words = W.word_frequency(table(spark, sf, "conversations")).select("word")
-    enc = E.encode_words(words, _rules(tokenizer(spark, sf)))
+    """Distinct words of ``conversations`` encoded with the rule table."""
+    words = W.word_frequency(spread(table(spark, sf, "conversations"))).select("word")
+    enc = E.encode_words(words, rule_table(spark, sf))
     return enc.select("word", F.array_join("tokens", " ").alias("tokens"))
 
 
 SQL_ENCODE_WORDS = (
-    "WITH RECURSIVE " + Q.bpe("t", "documents", TARGET_SIZE) + ",\n"
-    + Q.rule_list("rl", "t_merges", False) + ",\n"
-    + Q.word_freq("cw", "conversations") + ",\n"
-    + Q.encode_words("ew", "cw", "rl")
+    "WITH " + _SQL_RULES + ",\n" + Q.word_freq("cw", "conversations") + ",\n" + Q.encode_words("ew", "cw", "rl")
     + " SELECT word, array_to_string(tokens, ' ') AS tokens FROM ew"
 )
 
 
-def q_encode_documents(spark, sf):
-    """Every document as its token sequence."""
-    enc = encoded_documents(spark, sf)
+def _token_lines(enc):
     return enc.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
 
 
+def q_encode_documents(spark, sf):
+    """Every document as its token sequence, with the rule table."""
+    return _token_lines(E.encode_documents(documents(spark, sf), rule_table(spark, sf)))
+
+
 SQL_ENCODE_DOCUMENTS = (
-    "WITH RECURSIVE " + Q.bpe("t", "documents", TARGET_SIZE) + ",\n"
-    + Q.rule_list("rl_text", "t_merges", True) + ",\n"
-    + Q.encode_docs("enc", "documents", "rl_text")
-    + " SELECT doc_id, len(tokens)::BIGINT AS n_tokens, array_to_string(tokens, ' ') AS tokens FROM enc"
+    "WITH " + _SQL_RULES + ",\n" + Q.encode_by_word("enc", "documents", "rl") + "\n"
+    + _SQL_TOKENS_OF.format(key="doc_id", source="documents")
 )
 
 
 def q_encode_ids(spark, sf):
-    """E3 (+J1, J2): ``benchmark`` texts to ids with the documents tokenizer."""
-    model = tokenizer(spark, sf)
-    bench = table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
-    return E.ids_stream(E.encode_documents(bench, _rules(model)), model.vocab).select("doc_id", "pos", "token_id")
+    """E3 (+J1, J2): ``benchmark`` texts to ids with the rule table and the English vocabulary."""
+    bench = spread(table(spark, sf, "benchmark")).select(F.col("item_id").alias("doc_id"), "text")
+    enc = E.encode_documents(bench, rule_table(spark, sf))
+    return E.ids_stream(enc, _english_vocab(spark, sf)).select("doc_id", "pos", "token_id")
 
 
 SQL_ENCODE_IDS = (
-    "WITH RECURSIVE " + Q.bpe("t", "documents", TARGET_SIZE) + ",\n"
-    + Q.rule_list("rl_text", "t_merges", True) + ",\n"
-    + Q.encode_docs("enc", "benchmark", "rl_text", key="item_id") + ",\n"
-    + Q.token_rows("trows", "enc") + ",\n"
-    + Q.id_rows("ids", "trows", "t_vocab")
+    "WITH " + _SQL_RULES + ",\n" + _SQL_ENGLISH + ",\n" + Q.encode_by_word("enc", "benchmark", "rl", key="item_id") + ",\n"
+    + Q.word_token_rows("trows", "enc") + ",\n" + Q.id_rows("ids", "trows", "en_vocab")
     + " SELECT doc_id, pos, token_id FROM ids"
 )
 
 
 def q_tokens_to_ids(spark, sf):
-    """Token -> id lookup over the encoded ``conversations`` (unknown tokens skipped)."""
-    model = tokenizer(spark, sf)
-    conv = table(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
-    ids = E.ids_stream(E.encode_documents(conv, _rules(model)), model.vocab)
-    return ids.groupBy("token_id", "token").agg(F.count(F.lit(1)).alias("n"))
+    """J1 + F6: ids of the encoded ``conversations`` of all languages under the English vocabulary, with positions."""
+    enc = E.encode_documents(_turns(spark, sf), rule_table(spark, sf))
+    return E.ids_stream(enc, _english_vocab(spark, sf)).groupBy("token_id", "token").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("pos").alias("pos_sum"))
 
 
+_SQL_TURN_TOKENS = (
+    "WITH " + _SQL_RULES + ",\n" + _SQL_ENGLISH + ",\n" + _SQL_TURNS + ",\n" + Q.encode_by_word("enc", "turns", "rl") + ",\n"
+    + Q.word_token_rows("trows", "enc")
+)
 SQL_TOKENS_TO_IDS = (
-    "WITH RECURSIVE " + Q.bpe("t", "documents", TARGET_SIZE) + ",\n"
-    + Q.rule_list("rl_text", "t_merges", True) + ",\n"
-    + "conv AS (SELECT conv_id * 1000 + turn AS doc_id, text FROM conversations),\n"
-    + Q.encode_docs("enc", "conv", "rl_text") + ",\n"
-    + Q.token_rows("trows", "enc") + ",\n"
-    + Q.id_rows("ids", "trows", "t_vocab")
-    + " SELECT token_id, token, count(*)::BIGINT AS n FROM ids GROUP BY 1, 2"
+    _SQL_TURN_TOKENS + ",\n" + Q.id_rows("ids", "trows", "en_vocab")
+    + " SELECT token_id, token, count(*)::BIGINT AS n, sum(pos)::BIGINT AS pos_sum FROM ids GROUP BY 1, 2"
 )
 
 
 def q_oov_report(spark, sf):
-    """Tokens of the encoded ``conversations`` that have no id."""
-    model = tokenizer(spark, sf)
-    conv = table(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
-    return E.oov_tokens(E.encode_documents(conv, _rules(model)), model.vocab)
+    """Tokens of the encoded ``conversations`` that have no id in the English vocabulary."""
+    return E.oov_tokens(E.encode_documents(_turns(spark, sf), rule_table(spark, sf)), _english_vocab(spark, sf))
 
 
-SQL_OOV_REPORT = (
-    "WITH RECURSIVE " + Q.bpe("t", "documents", TARGET_SIZE) + ",\n"
-    + Q.rule_list("rl_text", "t_merges", True) + ",\n"
-    + "conv AS (SELECT conv_id * 1000 + turn AS doc_id, text FROM conversations),\n"
-    + Q.encode_docs("enc", "conv", "rl_text") + ",\n"
-    + Q.token_rows("trows", "enc")
-    + " SELECT token, count(*)::BIGINT AS n FROM trows WHERE token NOT IN (SELECT token FROM t_vocab) GROUP BY 1"
+SQL_OOV_REPORT = _SQL_TURN_TOKENS + (
+    " SELECT token, count(*)::BIGINT AS n FROM trows WHERE token NOT IN (SELECT token FROM en_vocab) GROUP BY 1"
 )
 
 
 def q_token_positions(spark, sf):
     """The id stream of every document, positions after unknown tokens are skipped."""
     model = tokenizer(spark, sf)
-    return E.ids_stream(encoded_documents(spark, sf), model.vocab).select("doc_id", "pos", "token_id")
+    return E.ids_stream(encoded_documents(spark, sf).select("doc_id", "tokens"), model.vocab).select(
+        "doc_id", "pos", "token_id")
 
 
 SQL_TOKEN_POSITIONS = _docs_ids_sql() + " SELECT doc_id, pos, token_id FROM ids"
@@ -318,8 +353,7 @@ SQL_TOKEN_POSITIONS = _docs_ids_sql() + " SELECT doc_id, pos, token_id FROM ids"
 
 def q_global_positions(spark, sf):
     """Where each document starts in the one-stream view."""
-    model = tokenizer(spark, sf)
-    kept = E.keep_known(encoded_documents(spark, sf), model.vocab)
+    kept, _ = _kept(spark, sf)
     return E.doc_offsets(kept).select("doc_id", F.col("offset").cast("bigint").alias("offset"))
 
 
@@ -331,8 +365,8 @@ SQL_GLOBAL_POSITIONS = (
 
 
 def q_token_counts(spark, sf):
-    model = tokenizer(spark, sf)
-    return S.token_counts(E.keep_known(encoded_documents(spark, sf), model.vocab), model.vocab)
+    kept, model = _kept(spark, sf)
+    return S.token_counts(kept, model.vocab)
 
 
 SQL_TOKEN_COUNTS = _docs_ids_sql() + ", " + Q.token_counts("tc", "ids", "t_vocab") + " SELECT token_id, n FROM tc"
@@ -350,11 +384,12 @@ SQL_SAMPLING_CDF = (
 
 
 def _kept(spark, sf):
-    """Encoded documents without tokens that lack an id, persisted once per session."""
+    """Encoded documents without tokens that lack an id, and their ids, stored once per session."""
     model = tokenizer(spark, sf)
     k = _key(spark, "kept", os.path.abspath(sf))
     if k not in _CACHE:
-        _CACHE[k] = E.keep_known(encoded_documents(spark, sf), model.vocab).persist(StorageLevel.MEMORY_AND_DISK)
+        tokens = encoded_documents(spark, sf).select("doc_id", "tokens")
+        _CACHE[k] = stored(E.with_ids(tokens, model.vocab), "known-tokens")
     return _CACHE[k], model
 
 
@@ -438,10 +473,8 @@ SQL_TRAINING_EXAMPLES = _SQL_EXAMPLES + " SELECT center, target, label, n FROM e
 
 def q_corpus_profile(spark, sf):
     """Documents, words and tokens per language and overall (rollup)."""
-    d = table(spark, sf, "documents").select("doc_id", "lang", F.size(T.words_array("text")).alias("nw"))
-    enc = encoded_documents(spark, sf).select("doc_id", F.size("tokens").alias("nt"))
-    j = d.join(enc, "doc_id")
-    return j.rollup("lang").agg(
+    return encoded_documents(spark, sf).select(
+        "lang", F.size(T.words_array("text")).alias("nw"), F.size("tokens").alias("nt")).rollup("lang").agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum("nw").cast("bigint").alias("n_words"),
         F.sum("nt").cast("bigint").alias("n_tokens"),
     )
@@ -458,12 +491,8 @@ SQL_CORPUS_PROFILE = (
 
 def q_token_compression(spark, sf):
     """Encoded tokens against characters + 1 per word, per language."""
-    d = table(spark, sf, "documents").select(
-        "doc_id", "lang",
-        F.aggregate(T.words_array("text"), F.lit(0).cast("bigint"), lambda s, w: s + F.length(w) + 1).alias("nc"),
-    )
-    enc = encoded_documents(spark, sf).select("doc_id", F.size("tokens").alias("nt"))
-    g = d.join(enc, "doc_id").groupBy("lang").agg(
+    plain = F.aggregate(T.words_array("text"), F.lit(0).cast("bigint"), lambda s, w: s + F.length(w) + 1)
+    g = encoded_documents(spark, sf).select("lang", plain.alias("nc"), F.size("tokens").alias("nt")).groupBy("lang").agg(
         F.sum("nt").cast("bigint").alias("n_tokens"), F.sum("nc").cast("bigint").alias("n_plain")
     )
     return g.select("lang", "n_tokens", "n_plain", _r(F.col("n_tokens") / F.col("n_plain")).alias("ratio"))
@@ -481,25 +510,21 @@ SQL_TOKEN_COMPRESSION = (
 
 
 def q_artifact_diff(spark, sf):
-    """Vocabulary against the tokens the encoded corpus uses (both directions).
-
-    Training text never loses a token, so only the two specials remain.
-    """
-    model = tokenizer(spark, sf)
-    used = encoded_documents(spark, sf).select(F.explode("tokens").alias("token")).distinct()
-    vocab = model.vocab.select("token")
+    """A vocabulary file, written and read again, against the tokens the conversations use (both directions)."""
+    path = _scratch(spark, "vocab")
+    IO.write_vocab(_english_vocab(spark, sf), path, "text")
+    vocab = IO.read_vocab(spark, path).select("token")
+    enc = E.encode_documents(_turns(spark, sf), rule_table(spark, sf))
+    used = enc.select(F.explode("tokens").alias("token")).distinct()
     only_vocab = vocab.exceptAll(used).select("token", F.lit("vocab_only").alias("side"))
     only_used = used.exceptAll(vocab).select("token", F.lit("stream_only").alias("side"))
     return only_vocab.unionByName(only_used)
 
 
-SQL_ARTIFACT_DIFF = (
-    "WITH RECURSIVE " + Q.bpe("t", "documents", TARGET_SIZE) + ",\n"
-    + Q.rule_list("rl_text", "t_merges", True) + ",\n"
-    + Q.encode_docs("enc", "documents", "rl_text")
-    + ", used AS (SELECT DISTINCT unnest(tokens) AS token FROM enc) "
-    "SELECT token, 'vocab_only' AS side FROM (SELECT token FROM t_vocab EXCEPT ALL SELECT token FROM used) "
-    "UNION ALL SELECT token, 'stream_only' AS side FROM (SELECT token FROM used EXCEPT ALL SELECT token FROM t_vocab)"
+SQL_ARTIFACT_DIFF = _SQL_TURN_TOKENS + (
+    ", used AS (SELECT DISTINCT token FROM trows) "
+    "SELECT token, 'vocab_only' AS side FROM (SELECT token FROM en_vocab EXCEPT ALL SELECT token FROM used) "
+    "UNION ALL SELECT token, 'stream_only' AS side FROM (SELECT token FROM used EXCEPT ALL SELECT token FROM en_vocab)"
 )
 
 
@@ -522,28 +547,91 @@ SQL_VOCAB_OVERLAP = (
 )
 
 
-def q_write_tokens(spark, sf):
-    """S7 body: ``.tok`` lines of the encoded documents."""
-    return IO.token_lines(encoded_documents(spark, sf))
+def _scratch(spark, name):
+    """A new path below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-SQL_WRITE_TOKENS = SQL_ENCODE_DOCUMENTS.replace(
-    " SELECT doc_id, len(tokens)::BIGINT AS n_tokens, array_to_string(tokens, ' ') AS tokens FROM enc",
-    " SELECT doc_id, array_to_string(tokens, ' ') AS value FROM enc",
+def q_write_tokens(spark, sf):
+    """``.tok`` lines of the encoded documents, written and read again, in document order."""
+    path = _scratch(spark, "tok")
+    IO.write_tokens(E.encode_documents(documents(spark, sf), rule_table(spark, sf)), path)
+    lines = spark.read.text(path).select("value", F.struct(
+        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+    return numbered(lines, "at", "line").select("line", "value")
+
+
+SQL_WRITE_TOKENS = (
+    "WITH " + _SQL_RULES + ",\n" + Q.encode_by_word("enc", "documents", "rl") + ", lines AS ("
+    + _SQL_TOKENS_OF.format(key="doc_id", source="documents")
+    + ") SELECT row_number() OVER (ORDER BY doc_id) - 1 AS line, tokens AS value FROM lines"
 )
 
 
 def q_write_ids(spark, sf):
-    """S8 body: ``.ids`` lines of the encoded documents."""
-    model = tokenizer(spark, sf)
-    return IO.id_lines(E.ids_stream(encoded_documents(spark, sf), model.vocab))
+    """S8 + S4: ``.ids`` lines of the documents with an id, written as text and read again, in document order."""
+    kept, _ = _kept(spark, sf)
+    path = _scratch(spark, "ids")
+    IO.write_ids(kept, path, "text")
+    lines = numbered(IO.read_id_lines(spark, path), "doc_id", "line")
+    return lines.select("line", F.array_join(F.col("ids").cast("array<string>"), " ").alias("value"))
 
 
 SQL_WRITE_IDS = _docs_ids_sql() + (
-    " SELECT doc_id, array_to_string(list(token_id ORDER BY pos), ' ') AS value FROM ids GROUP BY 1"
+    " SELECT row_number() OVER (ORDER BY doc_id) - 1 AS line, value FROM "
+    "(SELECT doc_id, array_to_string(list(token_id ORDER BY pos), ' ') AS value FROM ids GROUP BY 1)"
 )
 
 
+def q_read_ids(spark, sf):
+    """S4 + F6 as rows: ``.ids`` lines with ids from 50 up dropped, positions closed up."""
+    kept, _ = _kept(spark, sf)
+    path = _scratch(spark, "ids")
+    IO.write_ids(kept, path, "text")
+    ids = IO.read_ids(spark, path, vocab_size=50)
+    return ids.groupBy("token_id").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("pos_sum"))
+
+
+SQL_READ_IDS = _docs_ids_sql() + (
+    ", low AS (SELECT token_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS pos FROM ids WHERE token_id < 50) "
+    "SELECT token_id, count(*)::BIGINT AS n, sum(pos)::BIGINT AS pos_sum FROM low GROUP BY 1"
+)
+
+
+def q_read_corpus_files(spark, sf):
+    """Every ``benchmark`` text written to a file of its own and read as a corpus, numbered by path."""
+    path = _scratch(spark, "corpus")
+    table(spark, sf, "benchmark").select(F.col("item_id").alias("item"), "text").write.partitionBy("item").text(path)
+    got = IO.read_corpus(spark, f"{path}/*/*.txt")
+    return got.select("doc_id", F.regexp_extract("path", "item=([0-9]+)", 1).cast("bigint").alias("item_id"), "text")
+
+
+SQL_READ_CORPUS_FILES = (
+    "SELECT row_number() OVER (ORDER BY 'item=' || item_id || '/') - 1 AS doc_id, item_id, text || chr(10) AS text FROM benchmark"
+)
+
+
+def q_read_rules(spark, sf):
+    """S6 + S2: the rule table written as a merges file and read again."""
+    path = _scratch(spark, "merges")
+    rules = spark.createDataFrame([(i + 1, a, b) for i, (a, b) in enumerate(rule_table(spark, sf))], "rank int, a string, b string")
+    IO.write_merges(rules, path, "text")
+    return IO.read_rule_lines(spark, path)
+
+
+SQL_READ_RULES = "WITH " + _SQL_RULES + " SELECT rank::INTEGER AS rank, a || ' + ' || b || ' -> ' || p AS rule, a, b FROM rt"
+
+
+def q_read_vocab(spark, sf):
+    """S5 + S3: the English vocabulary written as a file and read again."""
+    path = _scratch(spark, "vocab")
+    IO.write_vocab(_english_vocab(spark, sf), path, "text")
+    return IO.read_vocab(spark, path)
+
+
+SQL_READ_VOCAB = "WITH " + _SQL_RULES + ",\n" + _SQL_ENGLISH + " SELECT token_id, token FROM en_vocab"
+
+
 def q_write_vocab(spark, sf):
     """S5 body: one token per line, line number = id."""
     return tokenizer(spark, sf).vocab.select(F.col("token_id").alias("line"), F.col("token").alias("value"))
@@ -588,8 +676,8 @@ def _examples_and_tables(spark, sf):
     model = tokenizer(spark, sf)
     k = _key(spark, "examples", os.path.abspath(sf))
     if k not in _CACHE:
-        _CACHE[k] = q_training_examples(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
-    return _CACHE[k], G.init_tables(model.vocab, DIM, SEED)
+        _CACHE[k] = stored(q_training_examples(spark, sf), "examples")
+    return _CACHE[k], stored(G.init_tables(model.vocab, DIM, SEED), "tables")
 
 
 def q_sgns_loss(spark, sf):
@@ -616,7 +704,7 @@ SQL_SGNS_LOSS = _SQL_SCORED + (
 def q_sgns_step(spark, sf):
     """One synchronous step from the start tables over one epoch of examples, as cells."""
     ex, tables = _examples_and_tables(spark, sf)
-    new = G.sgns_step(tables, ex, LR, CAP)
+    new = G.sgns_step(tables, ex, LR)
     return new.select("tbl", "token_id", F.posexplode("vec").alias("i", "v")).select(
         F.col("tbl").cast("int").alias("tbl"), "token_id", F.col("i").cast("bigint").alias("i"),
         _r(F.col("v").cast("double")).alias("v"),
@@ -629,36 +717,86 @@ SQL_SGNS_STEP = _SQL_SCORED + (
     "UNION ALL SELECT 1 AS tbl, target AS token_id, n, i - 1 AS i, n * (label - p) * u[i]::DOUBLE AS x FROM sc, range(1, len(u) + 1) r(i)), "
     "cells AS (SELECT tbl, token_id, i, sum(x) AS gsum, sum(n) AS rows_n FROM contrib GROUP BY 1, 2, 3) "
     f"SELECT iv.tbl::INTEGER AS tbl, iv.token_id, iv.i::BIGINT AS i, round(CASE WHEN c.gsum IS NULL THEN iv.v::DOUBLE "
-    f"ELSE CAST(iv.v::DOUBLE + {LR} * least(c.rows_n::DOUBLE, {float(CAP)}) / c.rows_n * c.gsum AS FLOAT)::DOUBLE END, {R}) AS v "
+    f"ELSE CAST(iv.v::DOUBLE + {LR} * c.gsum AS FLOAT)::DOUBLE END, {R}) AS v "
     "FROM iv LEFT JOIN cells c ON c.tbl = iv.tbl AND c.token_id = iv.token_id AND c.i = iv.i"
 )
 
 
 def q_write_embeddings(spark, sf):
-    """S9 body: the embedding text format (header, then token and values) of the start input table.
-
-    No SQL oracle: printf-style float text differs between engines; rows are checked.
-    """
+    """The embedding text format of the start input table, written, read again and compared with the vectors."""
     model = tokenizer(spark, sf)
     vecs = G.export_vectors(G.init_tables(model.vocab, DIM, SEED), model.vocab)
-    return IO.embedding_lines(vecs, model.vocab.count())
+    path = _scratch(spark, "emb")
+    IO.write_embeddings(vecs, path, model.vocab.count(), "text")
+    cut = spark.read.text(path).select(F.split("value", "\t").alias("c"))
+    lines = cut.where(F.size("c") > 1).select(
+        F.col("c")[0].alias("token"), F.transform(F.slice("c", 2, DIM + 1), lambda x: x.cast("double")).alias("x"))
+    off = F.zip_with("x", "vec", lambda a, b: F.abs(a - b))
+    body = lines.join(vecs, "token").select("token_id", "token", F.size("x").cast("bigint").alias("n_values"),
+                                            (F.array_max(off) < 1e-6).alias("close"))
+    head = cut.where(F.size("c") == 1).select(F.lit(-1).cast("bigint").alias("token_id"), F.col("c")[0].alias("token"),
+                                              F.lit(0).cast("bigint").alias("n_values"), F.lit(True).alias("close"))
+    return body.unionByName(head)
+
+
+SQL_WRITE_EMBEDDINGS = (
+    "WITH RECURSIVE " + Q.bpe("t", "documents", TARGET_SIZE)
+    + f" SELECT token_id, token, {DIM}::BIGINT AS n_values, true AS close FROM t_vocab UNION ALL "
+    f"SELECT -1, 'tokens=' || count(*) || ' dim={DIM}', 0, true FROM t_vocab"
+)
+
+
+def _trained(spark, sf):
+    """The trainer's result with default options, trained once per session."""
+    k = _key(spark, "fit", os.path.abspath(sf))
+    if k not in _CACHE:
+        kept, model = _kept(spark, sf)
+        _CACHE[k] = G.sgns_fit(kept, model.vocab, TrainOptions(seed=SEED))
+    return _CACHE[k]
 
 
 def q_sgns_fit(spark, sf):
     """G6 + G7: trained input vectors (default options) of the documents stream; norm per token."""
+    return _trained(spark, sf).vectors.select("token_id", "token", _r(V.norm("vec")).alias("norm"))
+
+
+def q_sgns_examples(spark, sf):
+    """How many examples each epoch of the trainer had: every pair occurrence and its draws."""
+    rows = [(e, n) for e, n in enumerate(_trained(spark, sf).examples)]
+    return spark.createDataFrame(rows, "epoch bigint, examples bigint")
+
+
+SQL_SGNS_EXAMPLES = _docs_ids_sql() + ", " + Q.occurrences("occ", "ids", WINDOW) + (
+    f" SELECT e AS epoch, (SELECT count(*) FROM occ) * {1 + NEG} AS examples FROM range(0, {TrainOptions().epochs}) r(e)"
+)
+
+
+def q_sgns_empty(spark, sf):
+    """A stream without tokens (no document has this language) gives zero vectors for the whole vocabulary."""
     model = tokenizer(spark, sf)
-    res = G.sgns_fit(encoded_documents(spark, sf), model.vocab, TrainOptions(seed=SEED))
+    none = encoded_documents(spark, sf).where("lang = 'none'").select("doc_id", "tokens")
+    res = G.sgns_fit(none, model.vocab, TrainOptions(seed=SEED))
     return res.vectors.select("token_id", "token", _r(V.norm("vec")).alias("norm"))
 
 
+SQL_SGNS_EMPTY = "WITH RECURSIVE " + Q.bpe("t", "documents", TARGET_SIZE) + " SELECT token_id, token, 0.0::DOUBLE AS norm FROM t_vocab"
+
+
 def q_train_from_text(spark, sf):
-    """Train from raw ``documents`` text with the learned rules (same path as G6)."""
+    """G2 + S10: train from raw ``documents`` text with the learned rules; the run's metadata, written and read again."""
     model = tokenizer(spark, sf)
-    docs = table(spark, sf, "documents")
-    res = G.sgns_fit(E.encode_documents(docs, _rules(model)), model.vocab, TrainOptions(seed=SEED))
-    return IO.run_row(spark, "documents-bpe", "documents", TrainOptions(seed=SEED), res).select(
-        "tokenizer", "corpus", "dim", "window", "epochs", "neg", "lr", "seed", "token_count", "vocabulary_size"
-    )
+    options = TrainOptions(seed=SEED, epochs=1, dim=16)
+    res = G.sgns_fit(E.encode_documents(documents(spark, sf), _rules(model)), model.vocab, options)
+    path = _scratch(spark, "runs")
+    IO.write_run_metadata(IO.run_row(spark, "documents-bpe", "documents", options, res), path)
+    return spark.read.parquet(path).drop("elapsed_ms")
+
+
+SQL_TRAIN_FROM_TEXT = _docs_ids_sql() + (
+    f" SELECT 'documents-bpe' AS tokenizer, 'documents' AS corpus, 16::INTEGER AS dim, {WINDOW}::INTEGER AS \"window\", "
+    f"1::INTEGER AS epochs, {NEG}::INTEGER AS neg, {LR}::DOUBLE AS lr, {SEED}::BIGINT AS seed, "
+    "(SELECT count(*) FROM ids) AS token_count, (SELECT count(*) FROM t_vocab) AS vocabulary_size"
+)
 
 
 # ---------------------------------------------------------------------- vectors
@@ -815,11 +953,62 @@ SQL_BLEND_TO_CENTROID = (
 )
 
 
+def q_label_profile(spark, sf):
+    p = VX.label_profile(_emb(spark, sf))
+    return p.select("label", "n", _r("vmin").alias("vmin"), _r("vmax").alias("vmax"), _r("mean_sum").alias("mean_sum"),
+                    "any_pos", "all_pos")
+
+
+SQL_LABEL_PROFILE = (
+    f"WITH {_CELLS}, s AS (SELECT vec_id, label, min(v) AS vmin, max(v) AS vmax, sum(v) AS vsum, bool_or(v > 0) AS any_pos, "
+    "bool_and(v > 0) AS all_pos FROM cells GROUP BY 1, 2) "
+    f"SELECT label, count(*)::BIGINT AS n, round(min(vmin), {R}) AS vmin, round(max(vmax), {R}) AS vmax, "
+    f"round(avg(vsum), {R}) AS mean_sum, bool_or(any_pos) AS any_pos, bool_and(all_pos) AS all_pos FROM s GROUP BY 1"
+)
+
+
+def _signs(spark, sf):
+    """The signs of the first eight components: vectors of which many are equal."""
+    return _emb(spark, sf).withColumn("embedding", F.transform(
+        F.slice("embedding", 1, 8), lambda x: F.signum(x.cast("double")).cast("float")))
+
+
 def q_vector_dedup(spark, sf):
-    return VX.vector_dedup(_emb(spark, sf))
+    """V11 on the signs of the first eight components."""
+    return VX.vector_dedup(_signs(spark, sf))
+
+
+_SQL_SIGNS = "list_transform(embedding[1:8], lambda x: sign(x)::FLOAT)"
+SQL_VECTOR_DEDUP = (
+    f"SELECT min(vec_id) AS first_id, count(*)::BIGINT AS copies FROM (SELECT vec_id, {_SQL_SIGNS} AS e FROM embeddings) "
+    "GROUP BY e HAVING count(*) > 1"
+)
 
 
-SQL_VECTOR_DEDUP = "SELECT min(vec_id) AS first_id, count(*)::BIGINT AS copies FROM embeddings GROUP BY embedding HAVING count(*) > 1"
+def q_lexicographic_order(spark, sf):
+    """Places in lexicographic order, ties by id."""
+    return VX.lexicographic_order(_signs(spark, sf))
+
+
+SQL_LEXICOGRAPHIC_ORDER = (
+    f"SELECT vec_id, row_number() OVER (ORDER BY {_SQL_SIGNS}, vec_id) - 1 AS place FROM embeddings"
+)
+
+
+def q_knn_distance(spark, sf):
+    """V2 by squared distance: 5 nearest rows of every label centroid."""
+    e = _emb(spark, sf)
+    qs = VX.centroid_vectors(e).select(F.col("label").cast("bigint").alias("q_id"), F.col("centroid").alias("q_vec"))
+    r = VX.knn_exact(e, qs, KNN_K, "distance2")
+    return r.select("q_id", F.col("rank").cast("bigint").alias("rank"), "vec_id", _r(-F.col("sim")).alias("d2"))
+
+
+SQL_KNN_DISTANCE = (
+    f"WITH {_CELLS}, cent AS (SELECT label AS q_id, i, avg(v) AS c FROM cells GROUP BY 1, 2), "
+    "d AS (SELECT c.q_id, x.vec_id, sum((x.v - c.c) * (x.v - c.c)) AS d2 FROM cells x JOIN cent c ON c.i = x.i GROUP BY 1, 2) "
+    f"SELECT q_id::BIGINT AS q_id, rank::BIGINT AS rank, vec_id, round(d2, {R}) AS d2 FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY d2, vec_id) AS rank FROM d) WHERE rank <= 5"
+)
 
 
 def q_truncate_vectors(spark, sf):
@@ -894,21 +1083,22 @@ SQL_GRAM_TRACE = (
 
 
 def q_encode_stream(spark, sf):
-    """The documents folder read as a file stream, encoded, run to completion."""
-    from wordloom.session import ensure_checkpoint_dir
-    from wordloom.streaming.encode_stream import encode_to_memory
+    """The documents folder read as a file stream, encoded to tokens and ids, into a parquet sink."""
+    from wordloom.streaming.encode_stream import encode_available
 
-    model = tokenizer(spark, sf)
-    base = ensure_checkpoint_dir(spark)
-    name = f"encoded_stream_{abs(hash((id(spark), sf))) % 10**8}"
-    if not spark.catalog.tableExists(name):
-        encode_to_memory(spark, os.path.join(sf, "documents*.parquet"), _rules(model), name,
-                         os.path.join(base, f"stream-{name}"))
-    out = spark.table(name)
-    return out.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
+    base = _scratch(spark, "stream")
+    out = encode_available(spark, os.path.join(sf, "documents*.parquet"), rule_table(spark, sf), f"{base}/sink",
+                           f"{base}/checkpoint", _english_vocab(spark, sf))
+    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), F.array_join("tokens", " ").alias("tokens"),
+                      F.aggregate("ids", F.lit(0).cast("bigint"), lambda s, i: s + i).alias("id_sum"))
 
 
-SQL_ENCODE_STREAM = SQL_ENCODE_DOCUMENTS
+SQL_ENCODE_STREAM = (
+    "WITH " + _SQL_RULES + ",\n" + _SQL_ENGLISH + ",\n" + Q.encode_by_word("enc", "documents", "rl") + ",\n"
+    + Q.word_token_rows("trows", "enc") + ",\n" + Q.id_rows("ids", "trows", "en_vocab")
+    + " SELECT d.doc_id, count(i.token_id)::BIGINT AS n_ids, coalesce(string_agg(i.token, ' ' ORDER BY i.pos), '') AS tokens, "
+    "coalesce(sum(i.token_id), 0)::BIGINT AS id_sum FROM documents d LEFT JOIN ids i ON i.doc_id = d.doc_id GROUP BY 1"
+)
 
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
@@ -932,6 +1122,10 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "oov_report": (q_oov_report, SQL_OOV_REPORT),
     "token_positions": (q_token_positions, SQL_TOKEN_POSITIONS),
     "global_positions": (q_global_positions, SQL_GLOBAL_POSITIONS),
+    "read_corpus_files": (q_read_corpus_files, SQL_READ_CORPUS_FILES),
+    "read_rules": (q_read_rules, SQL_READ_RULES),
+    "read_vocab": (q_read_vocab, SQL_READ_VOCAB),
+    "read_ids": (q_read_ids, SQL_READ_IDS),
     "write_tokens": (q_write_tokens, SQL_WRITE_TOKENS),
     "write_ids": (q_write_ids, SQL_WRITE_IDS),
     "token_counts": (q_token_counts, SQL_TOKEN_COUNTS),
@@ -948,9 +1142,11 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "init_vectors": (q_init_vectors, SQL_INIT_VECTORS),
     "sgns_loss": (q_sgns_loss, SQL_SGNS_LOSS),
     "sgns_step": (q_sgns_step, SQL_SGNS_STEP),
-    "write_embeddings": (q_write_embeddings, None),
+    "write_embeddings": (q_write_embeddings, SQL_WRITE_EMBEDDINGS),
     "sgns_fit": (q_sgns_fit, None),
-    "train_from_text": (q_train_from_text, None),
+    "sgns_examples": (q_sgns_examples, SQL_SGNS_EXAMPLES),
+    "sgns_empty": (q_sgns_empty, SQL_SGNS_EMPTY),
+    "train_from_text": (q_train_from_text, SQL_TRAIN_FROM_TEXT),
     "vector_norms": (q_vector_norms, SQL_VECTOR_NORMS),
     "norm_quantiles": (q_norm_quantiles, SQL_NORM_QUANTILES),
     "centroids": (q_centroids, SQL_CENTROIDS),
@@ -962,6 +1158,9 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "group_pool": (q_group_pool, SQL_GROUP_POOL),
     "winsorize": (q_winsorize, SQL_WINSORIZE),
     "blend_to_centroid": (q_blend_to_centroid, SQL_BLEND_TO_CENTROID),
+    "label_profile": (q_label_profile, SQL_LABEL_PROFILE),
+    "lexicographic_order": (q_lexicographic_order, SQL_LEXICOGRAPHIC_ORDER),
+    "knn_distance": (q_knn_distance, SQL_KNN_DISTANCE),
     "vector_dedup": (q_vector_dedup, SQL_VECTOR_DEDUP),
     "truncate_vectors": (q_truncate_vectors, SQL_TRUNCATE_VECTORS),
     "project_vectors": (q_project_vectors, SQL_PROJECT_VECTORS),

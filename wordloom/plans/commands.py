@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from wordloom.operators import bpe as B
 from wordloom.operators import encode as E
 from wordloom.operators import sgns as G
+from wordloom.session import spread, stored
 from wordloom.sources import files as IO
 from wordloom.sources.options import TrainOptions, validate_sources, validate_target_size
 
@@ -28,7 +29,7 @@ def _docs(spark: SparkSession, src) -> DataFrame:
     if isinstance(src, DataFrame):
         return src.select("doc_id", "text")
     if str(src).endswith(".parquet"):
-        return spark.read.parquet(src).select("doc_id", "text")
+        return spread(spark.read.parquet(src).select("doc_id", "text"))
     return IO.read_corpus(spark, src).select("doc_id", "text")
 
 
@@ -50,45 +51,30 @@ def _rules(spark: SparkSession, mergefile: str):
 def encode_command(spark: SparkSession, mergefile: str, src, out: str, ids: str | None = None) -> dict:
     """Encode text with the rules of ``mergefile``; ids need ``<mergefile>.voc``."""
     t0 = time.time()
+    # encoded once; both outputs and the counts are read from the stored result
     enc = E.encode_documents(_docs(spark, src), _rules(spark, mergefile))
+    if ids is not None:
+        known = E.with_ids(enc.withColumn("all", F.col("tokens")), IO.read_vocab(spark, f"{mergefile}.voc"))
+        enc = known.select("doc_id", F.col("all").alias("tokens"), "ids")
+    enc = stored(enc, "encoded")
     IO.write_tokens(enc, f"{out}.tok")
-    res = {"tokens": enc.select(F.sum(F.size("tokens"))).collect()[0][0] or 0}
+    res = {"tokens": enc.select(F.sum(F.size("tokens"))).first()[0] or 0}
     if ids is not None:
-        vocab = IO.read_vocab(spark, f"{mergefile}.voc")
-        stream = E.ids_stream(enc, vocab)
-        IO.write_ids(stream, f"{ids}.ids", fmt="text")
-        res["ids"] = stream.count()
+        IO.write_ids(enc.select("doc_id", "ids"), f"{ids}.ids", fmt="text")
+        res["ids"] = enc.select(F.sum(F.size("ids"))).first()[0] or 0
     res["elapsed_ms"] = int((time.time() - t0) * 1000)
     return res
 
 
-def _ids_as_tokens(spark: SparkSession, path: str, vocab: DataFrame) -> DataFrame:
-    """An ``.ids`` file as one document of tokens (ids at or above the vocabulary size dropped).
-
-    The text format is a single stream and is read as one row (``wholetext``),
-    so the stream is bounded by one row already; large id corpora belong in the
-    parquet ``(doc_id, pos, token_id)`` table, which is trained per document.
-    """
-    size = vocab.count()
-    ids = IO.read_ids(spark, path, vocab_size=size)
-    toks = ids.join(F.broadcast(vocab.select("token_id", "token")), "token_id")
-    return toks.groupBy(F.lit(0).cast("bigint").alias("doc_id")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda e: e.token).alias("tokens")
-    )
-
-
-def _id_table_as_tokens(spark: SparkSession, path: str, vocab: DataFrame) -> DataFrame:
-    """A parquet id table ``(doc_id, pos, token_id)`` as token arrays per document.
+def _id_table(spark: SparkSession, path: str, size: int) -> DataFrame:
+    """A parquet id table ``(doc_id, pos, token_id)`` as ``(doc_id, ids)``.
 
     Ids at or above the vocabulary size are dropped before the arrays are built,
     so neighbours close up; each group is one document.
     """
-    size = vocab.count()
     ids = spark.read.parquet(path).where((F.col("token_id") >= 0) & (F.col("token_id") < size))
-    toks = ids.join(F.broadcast(vocab.select("token_id", "token")), "token_id")
-    return toks.groupBy("doc_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda e: e.token).alias("tokens")
-    )
+    return ids.groupBy("doc_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "token_id"))), lambda e: e.token_id).alias("ids"))
 
 
 def train_command(spark: SparkSession, mergefile: str, out: str, input_text=None, tokens: str | None = None,
@@ -101,10 +87,10 @@ def train_command(spark: SparkSession, mergefile: str, out: str, input_text=None
         doc_tokens = E.encode_documents(_docs(spark, input_text), _rules(spark, mergefile))
         corpus = str(input_text)
     elif str(tokens).endswith(".parquet"):
-        doc_tokens = _id_table_as_tokens(spark, tokens, vocab)
+        doc_tokens = _id_table(spark, tokens, vocab.count())
         corpus = str(tokens)
     else:
-        doc_tokens = _ids_as_tokens(spark, f"{tokens}.ids", vocab)
+        doc_tokens = IO.read_id_lines(spark, f"{tokens}.ids", vocab_size=vocab.count())
         corpus = f"{tokens}.ids"
     res = G.sgns_fit(doc_tokens, vocab, options)
     IO.write_embeddings(res.vectors, f"{out}.emb", res.vocabulary_size, fmt)

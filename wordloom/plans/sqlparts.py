@@ -112,9 +112,9 @@ def token_counts(name: str, ids: str, vocab: str) -> str:
 
 def cdf(name: str, counts: str) -> str:
     return (
-        f"{name} AS MATERIALIZED (SELECT token_id, n, w, sum(w) OVER (ORDER BY token_id ROWS UNBOUNDED PRECEDING) - w AS lo, "
-        f"sum(w) OVER (ORDER BY token_id ROWS UNBOUNDED PRECEDING) AS hi FROM "
-        f"(SELECT token_id, n, CASE WHEN n > 0 THEN pow(n::DOUBLE, 0.75) ELSE 0.0 END AS w FROM {counts}))"
+        f"{name} AS MATERIALIZED (SELECT token_id, n, w, coalesce(lag(hi) OVER (ORDER BY token_id), 0.0) AS lo, hi FROM "
+        f"(SELECT *, sum(w) OVER (ORDER BY token_id ROWS UNBOUNDED PRECEDING) AS hi FROM "
+        f"(SELECT token_id, n, CASE WHEN n > 0 THEN pow(n::DOUBLE, 0.75) ELSE 0.0 END AS w FROM {counts})))"
     )
 
 
@@ -127,7 +127,7 @@ def draws(name: str, occ: str, cdf_name: str, neg: int, seed: int, epoch: int =
     SELECT *, CASE WHEN r0 >= clo THEN r0 + cw ELSE r0 END AS rr FROM (
       SELECT o.doc_id, o.i, o.d, o.center, o.context, k.k, x.w AS cw, x.lo AS clo, {u} * (z.z - x.w) AS r0
       FROM {occ} o JOIN {cdf_name} x ON x.token_id = o.context
-      CROSS JOIN (SELECT sum(w) AS z FROM {cdf_name}) z CROSS JOIN range(1, {neg + 1}) k(k)
+      CROSS JOIN (SELECT max(hi) AS z FROM {cdf_name}) z CROSS JOIN range(1, {neg + 1}) k(k)
       WHERE z.z - x.w > 0)
   ) r JOIN {cdf_name} c ON c.w > 0 AND r.rr >= c.lo AND r.rr < c.hi
 )"""
@@ -140,3 +140,41 @@ def init_vectors(name: str, vocab: str, dim: int, seed: int) -> str:
         f"{name} AS (SELECT t.tbl, v.token_id, i.i, CAST(({u} - 0.5) / {float(dim)} AS FLOAT) AS v "
         f"FROM {vocab} v, (SELECT 0 AS tbl UNION ALL SELECT 1) t, range(0, {dim}) i(i))"
     )
+
+
+def rule_table(name: str, wf: str, rules: int, longest: int = 8) -> str:
+    """``(rank, a, b)``: the ``rules`` most frequent word beginnings, each made of a shorter one and a letter."""
+    return (
+        f"{name}_p AS (SELECT substr(word, 1, k) AS p, sum(n) AS w FROM {wf}, range(2, {longest + 1}) r(k) "
+        f"WHERE k <= length(word) GROUP BY 1),\n"
+        f"{name} AS MATERIALIZED (SELECT row_number() OVER (ORDER BY w DESC, p) AS rank, p, substr(p, 1, length(p) - 1) AS a, "
+        f"substr(p, length(p), 1) AS b FROM {name}_p ORDER BY w DESC, p LIMIT {rules})"
+    )
+
+
+def encode_by_word(name: str, source: str, rules: str, key: str = "doc_id", text: str = "text") -> str:
+    """``(doc_id, wpos, tokens)``: every word of a text, its distinct form encoded by itself."""
+    return (
+        f"{name}_w AS MATERIALIZED (SELECT doc_id, i AS wpos, w[i] AS word FROM "
+        f"(SELECT {key} AS doc_id, {WORDS.format(text=text)} AS w FROM {source}), range(1, len(w) + 1) r(i)),\n"
+        f"{name}_d AS (SELECT DISTINCT word FROM {name}_w),\n" + encode_words(name + "_e", name + "_d", rules).replace(
+            f"{name}_e AS (", f"{name}_e AS MATERIALIZED (") + ",\n"
+        f"{name} AS MATERIALIZED (SELECT w.doc_id, w.wpos, e.tokens FROM {name}_w w JOIN {name}_e e ON e.word = w.word)"
+    )
+
+
+def word_token_rows(name: str, enc: str) -> str:
+    """``(doc_id, pos, token)`` from encoded words, positions over the whole document."""
+    return (
+        f"{name} AS MATERIALIZED (SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY wpos, k) - 1)::BIGINT AS pos, "
+        f"tokens[k] AS token FROM {enc}, range(1, len(tokens) + 1) r(k))"
+    )
+
+
+def vocabulary(name: str, tokens: str) -> str:
+    """Ids of distinct tokens: the two specials first, the rest by token."""
+    return (
+        f"{name} AS MATERIALIZED (SELECT 0::BIGINT AS token_id, '<PAD>' AS token UNION ALL SELECT 1::BIGINT, '<END>' UNION ALL "
+        f"SELECT (row_number() OVER (ORDER BY token) + 1)::BIGINT, token FROM (SELECT DISTINCT token FROM {tokens}) "
+        f"WHERE token NOT IN ('<PAD>', '<END>'))"
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,16 +74,43 @@ def durable(df: DataFrame) -> DataFrame:
     return out
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work at least one partition per core.
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
+
+    Cuts the lineage like a checkpoint, and its size is known to the planner:
+    a small table is broadcast, a large one joined by a shuffle.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(rows: DataFrame, order: str, name: str = "number", per_part: int = 1 << 20) -> DataFrame:
+    """``rows`` with consecutive numbers from 0 in the order of a column (ties in any order).
+
+    Rows are range partitioned and stored; the parts' sizes are summed over one
+    row per part, and each part numbers its own rows, so no task sees all rows.
+    """
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    parts = max(1, -(-rows.count() // per_part))
+    cut = stored(rows.repartitionByRange(parts, order).withColumn("part_", F.spark_partition_id()), "numbered")
+    sizes = cut.groupBy("part_").agg(F.count(F.lit(1)).alias("size_"))
+    before = F.sum("size_").over(Window.orderBy("part_")) - F.col("size_")
+    inside = F.row_number().over(Window.partitionBy("part_").orderBy(order)) - 1
+    return cut.join(sizes.select("part_", before.alias("before_")), "part_").withColumn(
+        name, F.col("before_") + inside).drop("part_", "before_")
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A file scan with at least one partition per core, for CPU-heavy work on its rows.
 
     A large input already arrives in many splits and is returned unchanged; a
-    small one (a single file, a single row group) is dealt round-robin, so one
-    task does not encode every document.
+    small one (a single row group) is dealt round-robin. Only for bare scans:
+    their partitions are known without running anything.
     """
-    if df.isStreaming:
-        return df  # micro-batches are planned per trigger
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.isStreaming or scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores)

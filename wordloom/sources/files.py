@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions import text as T
+from wordloom.session import numbered, stored
 
 
 class MalformedIdsError(ValueError):
@@ -22,10 +23,13 @@ class MalformedIdsError(ValueError):
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """Each file is one document, bytes kept: ``(doc_id, path, text)``.
 
-    doc_id numbers the files in path order (a table of one row per file).
+    doc_id numbers the files in path order; only the paths are sorted, the texts
+    stay where they are read and meet their numbers in a join.
     """
-    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
-    return raw.select((F.dense_rank().over(Window.orderBy("path")) - 1).cast("bigint").alias("doc_id"), "path", "text")
+    paths = spark.read.format("binaryFile").load(path).select("path")
+    ids = numbered(paths, "path", "doc_id").withColumnRenamed("path", "of")
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return raw.join(ids, raw["path"] == ids["of"]).select(F.col("doc_id").cast("bigint").alias("doc_id"), "path", "text")
 
 
 def _ordered_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -60,31 +64,39 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     return _ordered_lines(spark, path).select(F.col("idx").cast("bigint").alias("token_id"), F.col("line").alias("token"))
 
 
-def read_ids(spark: SparkSession, path: str, mode: str = "failfast", vocab_size: int | None = None) -> DataFrame:
-    """S4 (+ F6): white-space separated ids ``(pos, token_id)``.
+def read_id_lines(spark: SparkSession, path: str, mode: str = "failfast", vocab_size: int | None = None) -> DataFrame:
+    """S4 (+ F6): ``(doc_id, ids)``, one row per line with an id, of one ``.ids`` file or a folder of them.
 
-    A malformed item fails the whole read (``mode='failfast'``), or is
-    skipped (``mode='permissive'``).  An empty file gives no rows.  With
-    ``vocab_size``, ids at or above it are removed *before* positions are
-    given, so neighbours close up -- done inside the id array, so no window
-    spans the stream.
+    A line is a document; doc_id grows with file, place of the line's block in
+    the file, and line, so the order of the files is kept although they are read
+    in blocks in parallel. A malformed item fails the whole read
+    (``mode='failfast'``), or is skipped (``mode='permissive'``). With
+    ``vocab_size``, ids at or above it are removed, so neighbours close up.
     """
-    raw = spark.read.text(path, wholetext=True).select(
-        F.regexp_replace(F.col("value"), r"^\s+|\s+$", "").alias("v")
-    )
-    items = raw.where(F.length("v") > 0).select(F.split("v", r"\s+").alias("items"))
-    ids = items.select(
-        F.transform("items", lambda x: F.when(x.rlike("^[0-9]+$"), x.try_cast("bigint"))).alias("ids"),
-        "items",
-    )
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), F.regexp_replace("value", r"^\s+|\s+$", "").alias("v"))
+    items = raw.where(F.length("v") > 0).withColumn("items", F.split("v", r"\s+"))
+    ids = F.transform("items", lambda x: F.when(x.rlike("^[0-9]+$"), x.try_cast("bigint")))
+    lines = stored(items.select("file", "block", "line", "items", ids.alias("ids")), "id-lines")
     if mode == "failfast":
-        bad = ids.select(F.posexplode("ids").alias("pos", "token_id"), "items").where(
-            F.col("token_id").isNull()).select("pos", F.col("items")[F.col("pos")].alias("item")).limit(1).collect()
+        bad = lines.where(F.exists("ids", lambda x: x.isNull())).select(F.posexplode(
+            F.arrays_zip("items", "ids")).alias("pos", "x")).where("x.ids IS NULL").limit(1).collect()
         if bad:
-            raise MalformedIdsError(f"malformed token id {bad[0].item!r} at item {bad[0].pos}")
+            raise MalformedIdsError(f"malformed token id {bad[0].x['items']!r} at item {bad[0].pos} of its line")
+    # one row per block of a file
+    blocks = lines.groupBy("file", "block").agg(F.min("line").alias("first"))
+    rank = F.row_number().over(Window.orderBy("file", "block")) - 1
+    blocks = stored(blocks.withColumn("rank", rank.cast("bigint")), "id-blocks")
     keep = (lambda x: x.isNotNull()) if vocab_size is None else (lambda x: x.isNotNull() & (x < F.lit(vocab_size)))
-    return ids.select(F.posexplode(F.filter("ids", keep)).alias("pos", "token_id")).select(
-        F.col("pos").cast("bigint").alias("pos"), "token_id")
+    return lines.join(blocks, ["file", "block"]).select(
+        (F.shiftleft("rank", 32) + F.col("line") - F.col("first")).alias("doc_id"), F.filter("ids", keep).alias("ids"))
+
+
+def read_ids(spark: SparkSession, path: str, mode: str = "failfast", vocab_size: int | None = None) -> DataFrame:
+    """S4 (+ F6) as rows: ``(doc_id, pos, token_id)``, positions within the line."""
+    return read_id_lines(spark, path, mode, vocab_size).select("doc_id", F.posexplode("ids").alias("pos", "token_id")).select(
+        "doc_id", F.col("pos").cast("bigint").alias("pos"), "token_id")
 
 
 def write_vocab(vocab: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -92,7 +104,7 @@ def write_vocab(vocab: DataFrame, path: str, fmt: str = "parquet") -> None:
     if fmt == "parquet":
         vocab.write.mode("overwrite").parquet(path)
     else:
-        vocab.orderBy("token_id").select("token").coalesce(1).write.mode("overwrite").text(path)
+        vocab.coalesce(1).sortWithinPartitions("token_id").select("token").write.mode("overwrite").text(path)
 
 
 def write_merges(merges: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -100,7 +112,7 @@ def write_merges(merges: DataFrame, path: str, fmt: str = "parquet") -> None:
     if fmt == "parquet":
         merges.write.mode("overwrite").parquet(path)
     else:
-        merges.orderBy("rank").select(T.format_rule("a", "b").alias("value")).coalesce(1).write.mode(
+        merges.coalesce(1).sortWithinPartitions("rank").select(T.format_rule("a", "b").alias("value")).write.mode(
             "overwrite"
         ).text(path)
 
@@ -118,16 +130,17 @@ def write_tokens(doc_tokens: DataFrame, path: str) -> None:
 def id_lines(ids: DataFrame) -> DataFrame:
     """S8 body: ids of a document joined by a space, in position order.
 
-    Groups are documents (bounded by one row of text each).
+    ``ids`` has rows ``(doc_id, pos, token_id)`` (groups are documents, bounded
+    by one row of text each) or arrays ``(doc_id, ids)``.
     """
-    return ids.groupBy("doc_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token_id"))), lambda e: e.token_id), " ")
-        .alias("value")
-    )
+    if "ids" not in ids.columns:
+        ids = ids.groupBy("doc_id").agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("pos", "token_id"))), lambda e: e.token_id).alias("ids"))
+    return ids.where(F.size("ids") > 0).select("doc_id", F.array_join(F.col("ids").cast("array<string>"), " ").alias("value"))
 
 
 def write_ids(ids: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Parquet ``(doc_id, pos, token_id)`` or ``.ids`` text lines in doc_id order."""
+    """Parquet as given, or ``.ids`` text lines in doc_id order."""
     if fmt == "parquet":
         ids.write.mode("overwrite").parquet(path)
     else:
@@ -157,7 +170,7 @@ def write_embeddings(vectors: DataFrame, path: str, vocab_size: int, fmt: str =
     if fmt == "parquet":
         vectors.write.mode("overwrite").parquet(path)
     else:
-        embedding_lines(vectors, vocab_size).orderBy("token_id").select("value").coalesce(1).write.mode(
+        embedding_lines(vectors, vocab_size).coalesce(1).sortWithinPartitions("token_id").select("value").write.mode(
             "overwrite"
         ).text(path)
 

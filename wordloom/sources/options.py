@@ -22,16 +22,12 @@ class TrainOptions:
     neg: int = DEFAULT_NEG
     lr: float = DEFAULT_LR
     seed: int = DEFAULT_SEED
-    # synchronous mini-batch training (ours): batches per epoch, per-row step cap
-    batches: int = 4
-    cap: int = 64
-    stream: str = "document"  # or "global"
-    # "pair": neg draws per distinct (center, context) of a step, weighted by its count
-    # (cost bounded by the vocabulary); "occurrence": neg draws per pair occurrence
-    draws: str = "pair"
+    # tokens of a shard that is trained sequentially (more for a large vocabulary)
+    shard_tokens: int = 1 << 17
+    stream: str = "document"  # or "global": documents concatenated in doc_id order
 
     def validate(self) -> "TrainOptions":
-        for name in ("dim", "window", "epochs", "neg", "seed", "batches", "cap"):
+        for name in ("dim", "window", "epochs", "neg", "seed", "shard_tokens"):
             v = getattr(self, name)
             if isinstance(v, bool) or not isinstance(v, int) or v <= 0:
                 raise ValueError(f"{name} must be a positive integer, got {v!r}")
@@ -42,8 +38,6 @@ class TrainOptions:
             raise ValueError(f"lr must be a finite number above 0, got {lr!r}")
         if self.stream not in ("document", "global"):
             raise ValueError("stream must be 'document' or 'global'")
-        if self.draws not in ("occurrence", "pair"):
-            raise ValueError("draws must be 'occurrence' or 'pair'")
         return self
 
     def as_dict(self) -> dict:

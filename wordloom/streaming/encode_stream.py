@@ -1,7 +1,7 @@
 """Encoding as a stateless Structured Streaming query.
 
 New document files landing in a folder are encoded with fixed rules by the
-same row expression as the batch encoder; ``availableNow`` processes what is
+same row function as the batch encoder; ``availableNow`` processes what is
 there and stops, ``processingTime`` keeps running.
 """
 
@@ -9,30 +9,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.operators.encode import encode_documents
+from wordloom.operators.encode import encode_documents, with_ids
 
 DOC_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
-def encoded_stream(spark: SparkSession, source_dir: str, rules, schema: str = DOC_SCHEMA,
+def encoded_stream(spark: SparkSession, source_dir: str, rules, vocab: DataFrame | None = None, schema: str = DOC_SCHEMA,
                    max_files_per_trigger: int = 64) -> DataFrame:
+    """``(doc_id, tokens)`` of the files as they come, with a vocabulary also their ``ids`` (tokens without one dropped)."""
     docs = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
-    return encode_documents(docs, rules)
+    tokens = encode_documents(docs, rules)
+    return tokens if vocab is None else with_ids(tokens, vocab)
 
 
 def start_encode_stream(spark: SparkSession, source_dir: str, rules, sink_dir: str, checkpoint_dir: str,
-                        available_now: bool = True, schema: str = DOC_SCHEMA):
-    """Start the query writing ``(doc_id, tokens)`` parquet files to ``sink_dir``."""
-    w = encoded_stream(spark, source_dir, rules, schema).writeStream.format("parquet").option(
+                        vocab: DataFrame | None = None, available_now: bool = True, schema: str = DOC_SCHEMA):
+    """Start the query, writing parquet files to ``sink_dir``; a restart goes on from ``checkpoint_dir``."""
+    w = encoded_stream(spark, source_dir, rules, vocab, schema).writeStream.format("parquet").option(
         "path", sink_dir).option("checkpointLocation", checkpoint_dir).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
-def encode_to_memory(spark: SparkSession, source_dir: str, rules, name: str, checkpoint_dir: str,
-                     schema: str = DOC_SCHEMA):
-    """Run the stream to completion into a memory table ``name`` (for checks)."""
-    q = (encoded_stream(spark, source_dir, rules, schema).writeStream.format("memory").queryName(name)
-         .option("checkpointLocation", checkpoint_dir).outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.table(name)
+def encode_available(spark: SparkSession, source_dir: str, rules, sink_dir: str, checkpoint_dir: str,
+                     vocab: DataFrame | None = None, schema: str = DOC_SCHEMA) -> DataFrame:
+    """Encode what is there, then read the sink."""
+    start_encode_stream(spark, source_dir, rules, sink_dir, checkpoint_dir, vocab, True, schema).awaitTermination()
+    return spark.read.parquet(sink_dir)
