@@ -31,6 +31,12 @@ def spaced_words(text: Column) -> Column:
     return F.filter(pieces, lambda w: w != "")
 
 
+def slices(batch, rows: int = 512):
+    """An Arrow batch as lists of Python values per column, a few rows at a time, which bounds the objects alive."""
+    for first in range(0, batch.num_rows, rows):
+        yield first, [c.slice(first, rows).to_pylist() for c in batch.columns]
+
+
 def let(value: Column, body) -> Column:
     """``body(v)`` with ``v`` bound to ``value`` once, so that no lambda recomputes it."""
     return F.element_at(F.transform(F.array(value), body), 1)

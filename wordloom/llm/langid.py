@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import read_table
+from wordloom.llm.common import read_table, slices
 
 #: The sample: rows and characters of a row that a language's dictionary is made of, and its greatest size.
 SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 2000, 256 << 10
@@ -54,19 +54,22 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                        & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.xxhash64(text_col).alias("mark"),
         F.col(text_col).alias("text"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang")
-    langs = [(r["lang"], r["rows"]) for r in counts.take(MOST_LANGUAGES + 1)]
-    if len(langs) > MOST_LANGUAGES:
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("mark").alias("texts"))
+    found = counts.orderBy(F.desc("rows"), "lang").take(MOST_LANGUAGES + 1)
+    if len(found) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
-    ranked = rows.select("lang", "mark").distinct().withColumn(
-        "k", F.row_number().over(Window.partitionBy("lang").orderBy("mark"))).filter(F.col("k") <= SAMPLE_ROWS)
-    last = F.broadcast(ranked.groupBy("lang").agg(F.max("mark").alias("last")))  # one row per language
-    chosen = rows.join(last, "lang").filter("mark <= last").groupBy("lang", "mark").agg(
+    langs = [r["lang"] for r in found]
+    # hashes are spread evenly: about twice the sample lies under this bound, so no language is ranked as a whole
+    bounds = [(r["lang"], min((1 << 63) - 1, int(2 * SAMPLE_ROWS / r["texts"] * (1 << 64)) - (1 << 63))) for r in found]
+    bound = F.broadcast(docs.sparkSession.createDataFrame(bounds, "lang string, bound bigint"))
+    few = rows.join(bound, "lang").filter("mark <= bound").groupBy("lang", "mark").agg(
         F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
-    sample: dict[str, list[tuple]] = {lang: [] for lang, _ in langs}
+    chosen = few.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("mark"))).filter(
+        F.col("k") <= SAMPLE_ROWS)
+    sample: dict[str, list[tuple]] = {lang: [] for lang in langs}
     for r in chosen.collect():  # at most SAMPLE_ROWS rows per language
         sample[r["lang"]].append((r["mark"], letters(r["text"])))
-    return [(lang, " ".join(t for _, t in sorted(sample[lang])).encode()[-DICTIONARY_BYTES:]) for lang, _ in langs]
+    return [(lang, " ".join(t for _, t in sorted(sample[lang])).encode()[-DICTIONARY_BYTES:]) for lang in langs]
 
 
 class Classifier:
@@ -106,7 +109,7 @@ def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = Classifier(shared.value)
         for batch in batches:
-            found = [tool.predict(t) for t in batch.column(1).to_pylist()]
+            found = [tool.predict(t) for _, (_, texts) in slices(batch) for t in texts]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([f[0] for f in found], pa.string()),
                 pa.array([f[1] for f in found], pa.float64()),
