@@ -183,6 +183,7 @@ def estimates(vectors: DataFrame) -> DataFrame:
         near = rows.join(est, "key").select("key", "n", *x, F.floor(
             BINS * F.ln(F.greatest(F.lit(1e-6), F.least(F.lit(1e6), _distance(x))))).alias("b"))
         cut = _quantile_bins(near.groupBy("key", "b").agg(F.count(F.lit(1)).alias("n")), ["key"], {"cut": SHARE})
+        cut = materialize(cut, "quality-cuts")  # of known size: a small one is broadcast, no group meets in one task
         kept = near.drop("n").join(cut, "key").filter(F.col("b") <= F.col("cut"))
         sums = kept.groupBy("key").agg(
             F.max("n").alias("n"), *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(x)],
@@ -238,13 +239,13 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def quality_filter(docs: DataFrame, text_col: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The rows of ``docs`` that the rules keep, columns unchanged (names with ``q``, ``kept`` and so on may clash).
 
-    The statistics are computed twice, which costs less than moving the texts.
+    The rows are stored with their statistics, which takes less than counting twice.
     """
     names = docs.columns
     whole = docs.select(F.struct(*[docs[f"`{c}`"] for c in names]).alias("row"),
                         *[docs[f"`{c}`"].alias(n) for c, n in ((text_col, "text"), (lang, "lang"), (source, "source"))])
-    est = estimates(_vectors(with_statistics(whole.drop("row")).drop("text"), "lang", "source"))
-    return judge(with_statistics(whole), est).filter("kept").select("row.*")
+    stats = materialize(with_statistics(whole).drop("text"), "quality-rows")
+    return judge(stats, estimates(_vectors(stats, "lang", "source"))).filter("kept").select("row.*")
 
 
 def op8_quality(spark, sf_dir: str) -> DataFrame:

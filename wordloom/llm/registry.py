@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
-from wordloom.llm import decontam, extract, langid, pieces, quality, secrets, simhash, substrings, surrogates, transcripts
+from wordloom.llm import (
+    decontam,
+    extract,
+    langid,
+    oracles,
+    pieces,
+    quality,
+    secrets,
+    simhash,
+    substrings,
+    surrogates,
+    transcripts,
+)
 
 REGISTRY = {
     "op1_html": (extract.op1_html, None),
-    "op2_secrets": (secrets.op2_secrets, None),
+    "op2_secrets": (secrets.op2_secrets, oracles.secret_spans()),
     "op3_surrogates": (surrogates.op3_surrogates, None),
-    "op4_decontaminate": (decontam.op4_decontaminate, None),
+    "op4_decontaminate": (decontam.op4_decontaminate, oracles.decontaminate()),
     "op5_sentencepiece": (pieces.op5_sentencepiece, None),
     "op6_transcripts": (transcripts.op6_transcripts, None),
     "op7_langid": (langid.op7_langid, None),
-    "op8_quality": (quality.op8_quality, None),
+    "op8_quality": (quality.op8_quality, oracles.quality()),
     "op9_simhash": (simhash.op9_simhash, None),
-    "op10_substrings": (substrings.op10_substrings, None),
+    "op10_substrings": (substrings.op10_substrings, oracles.substrings()),
 }
