@@ -30,6 +30,8 @@ HEADLINE = [
     "centroids",
     "standardize",
     "gram_matrix",
+    "matrix_multiply",
+    "knn_exact",
 ]
 
 

@@ -352,3 +352,11 @@ def knn_exact(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cos
     found = vectors.select("vec_id", "embedding").mapInPandas(nearest, types)
     w = Window.partitionBy("q_id").orderBy(F.desc("sim"), "vec_id")  # k rows per partition of the input
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("q_id", "rank", "vec_id", "sim")
+
+
+def neighbour_change(vectors: DataFrame, queries: DataFrame, k: int, d: int) -> DataFrame:
+    """``(q_id, rank, vec_id, truncated_id)``: the k nearest rows of each query by all components, and by the first d."""
+    whole = knn_exact(vectors, queries, k).select("q_id", "rank", "vec_id")
+    cut = knn_exact(vectors.withColumn("embedding", F.slice("embedding", 1, d)),
+                    queries.withColumn("q_vec", F.slice("q_vec", 1, d)), k)
+    return whole.join(cut.select("q_id", "rank", F.col("vec_id").alias("truncated_id")), ["q_id", "rank"])

@@ -941,6 +941,19 @@ SQL_WINSORIZE = (
 )
 
 
+def q_winsorize_vectors(spark, sf):
+    """V9: the clipped vectors as cells."""
+    clipped, _ = VX.winsorize(_emb(spark, sf))
+    return clipped.select("vec_id", F.posexplode("clipped").alias("i", "x")).select(
+        "vec_id", F.col("i").cast("bigint").alias("i"), _r("x").alias("x"))
+
+
+SQL_WINSORIZE_VECTORS = (
+    f"WITH {_CELLS}, q AS (SELECT i, quantile_cont(v, 0.05) AS lo, quantile_cont(v, 0.95) AS hi FROM cells GROUP BY 1) "
+    f"SELECT c.vec_id, c.i::BIGINT AS i, round(least(greatest(c.v, q.lo), q.hi), {R}) AS x FROM cells c JOIN q ON q.i = c.i"
+)
+
+
 def q_blend_to_centroid(spark, sf):
     b = VX.blend_to_centroid(_emb(spark, sf), 0.5)
     return b.select("vec_id", F.posexplode("blended").alias("i", "x")).select(
@@ -1023,6 +1036,35 @@ SQL_TRUNCATE_VECTORS = (
     f"list_sum(list_transform(embedding[1:16], lambda x: x::DOUBLE / {_TNORM})) ELSE 0.0 END, {R}) AS unit_sum FROM embeddings"
 )
 
+TRUNCATED = 16
+
+
+def q_truncated_neighbours(spark, sf):
+    """The 5 nearest rows of every centroid by all components and by the first 16, place by place."""
+    e = _emb(spark, sf)
+    qs = VX.centroid_vectors(e).select(F.col("label").cast("bigint").alias("q_id"), F.col("centroid").alias("q_vec"))
+    return VX.neighbour_change(e, qs, KNN_K, TRUNCATED).select(
+        "q_id", F.col("rank").cast("bigint").alias("rank"), "vec_id", "truncated_id")
+
+
+def _sql_neighbours(name: str, cells: str) -> str:
+    return (
+        f"{name}_c AS (SELECT label AS q_id, i, avg(v) AS c FROM {cells} GROUP BY 1, 2), "
+        f"{name}_d AS (SELECT c.q_id, x.vec_id, sum(x.v * c.c) AS d FROM {cells} x JOIN {name}_c c ON c.i = x.i GROUP BY 1, 2), "
+        f"{name}_x AS (SELECT vec_id, sqrt(sum(v * v)) AS nx FROM {cells} GROUP BY 1), "
+        f"{name}_n AS (SELECT q_id, sqrt(sum(c * c)) AS nc FROM {name}_c GROUP BY 1), "
+        f"{name} AS (SELECT q_id, vec_id, row_number() OVER (PARTITION BY q_id ORDER BY sim DESC, vec_id) AS rank FROM ("
+        f"SELECT d.q_id, d.vec_id, CASE WHEN nx > 0 AND nc > 0 THEN d / (nx * nc) ELSE 0.0 END AS sim "
+        f"FROM {name}_d d JOIN {name}_x x ON x.vec_id = d.vec_id JOIN {name}_n n ON n.q_id = d.q_id))"
+    )
+
+
+SQL_TRUNCATED_NEIGHBOURS = (
+    f"WITH {_CELLS}, few AS (SELECT * FROM cells WHERE i < {TRUNCATED}), " + _sql_neighbours("whole", "cells") + ", "
+    + _sql_neighbours("cut", "few") + " SELECT a.q_id::BIGINT AS q_id, a.rank::BIGINT AS rank, a.vec_id, b.vec_id AS truncated_id "
+    "FROM whole a JOIN cut b ON b.q_id = a.q_id AND b.rank = a.rank WHERE a.rank <= 5"
+)
+
 PROJ_K = 8
 
 
@@ -1157,6 +1199,8 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "standardize": (q_standardize, SQL_STANDARDIZE),
     "group_pool": (q_group_pool, SQL_GROUP_POOL),
     "winsorize": (q_winsorize, SQL_WINSORIZE),
+    "winsorize_vectors": (q_winsorize_vectors, SQL_WINSORIZE_VECTORS),
+    "truncated_neighbours": (q_truncated_neighbours, SQL_TRUNCATED_NEIGHBOURS),
     "blend_to_centroid": (q_blend_to_centroid, SQL_BLEND_TO_CENTROID),
     "label_profile": (q_label_profile, SQL_LABEL_PROFILE),
     "lexicographic_order": (q_lexicographic_order, SQL_LEXICOGRAPHIC_ORDER),
