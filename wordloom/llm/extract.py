@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import read_table
+from wordloom.llm.common import bounded_batches, materialize, read_table, slices
 
 #: Paths that a page votes for, and paths of a host that are tried in turn.
 VOTES, WINNERS = 2, 3
@@ -237,8 +237,7 @@ def winning_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     """(host, paths): the up to ``WINNERS`` paths of every host with the most votes, best first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(h, p, v) for h, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                    for p, v in votes(page)]
+            rows = [(h, p, v) for _, part in slices(batch) for h, page in zip(*part, strict=True) for p, v in votes(page)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()),
                                               pa.array([r[1] for r in rows], pa.string()),
                                               pa.array([r[2] for r in rows], pa.float64())], ["host", "path", "vote"])
@@ -260,15 +259,16 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     urls form a host of their own; null ids and repeated rows are kept; other
     columns are not read; an empty table gives an empty result.
     """
+    bounded_batches(pages)
     id_type = pages.schema[id_col].dataType.simpleString()
-    paths = winning_paths(pages, url_col, html_col).withColumnRenamed("host", "of")
+    paths = materialize(winning_paths(pages, url_col, html_col).withColumnRenamed("host", "of"), "winning-paths")
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     joined = rows.join(paths, host(F.col("url")) == paths["of"], "left").select("id", "url", "html", "paths")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [main_text(page, ways or []) for page, ways in zip(
-                batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            found = [main_text(page, ways or []) for _, (_, _, pages, paths) in slices(batch)
+                     for page, ways in zip(pages, paths, strict=True)]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()),
                 pa.array([f[1] for f in found], pa.string())], ["id", "url", "text", "path"])
