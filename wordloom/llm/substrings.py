@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import materialize, read_table
+from wordloom.llm.common import bounded_batches, materialize, read_table
 from wordloom.session import ensure_checkpoint_dir
 
 WINDOW, GRAM = 35, 8
 #: Bytes of text in a part, and bytes that are hashed at once.
-PART_BYTES, HASH_BYTES = 6 << 20, 1 << 20
+PART_BYTES, HASH_BYTES = 4 << 20, 1 << 18
 #: Bytes that one task streams through a shard.
-STREAM_BYTES = 8 << 20
+STREAM_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -389,7 +389,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty table gives an empty result. Windows are compared by 64-bit hashes
     first and then word by word in the automaton.
     """
-    keyed = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    keyed = bounded_batches(docs).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     keyed = keyed.withColumn("k1", F.xxhash64("text")).withColumn("k2", F.xxhash64(F.lit(1), "text"))
     texts, parts = _stored(keyed)
 
@@ -422,11 +422,12 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = materialize(by_part.cogroup(reply.groupBy("part")).applyInPandas(stretches, STRETCH), "stretches")
     # the tasks of a shard: one row per part at most
     loads = found.filter("NOT reference").groupBy("shard").agg(F.sum(F.octet_length("text")).alias("load"))
-    loads = loads.select("shard", F.ceil(F.col("load") / STREAM_BYTES).cast("int").alias("tasks"))
+    loads = materialize(loads.select("shard", F.ceil(F.col("load") / STREAM_BYTES).cast("int").alias("tasks")), "loads")
     dealt = found.join(loads, "shard", "left").withColumn("tasks", F.coalesce("tasks", F.lit(1)))
     dealt = dealt.withColumn("salt", F.explode(F.when(
         F.col("reference"), F.sequence(F.lit(0), F.col("tasks") - 1)).otherwise(
         F.array(F.pmod(F.xxhash64("k1", "first"), F.col("tasks")).cast("int")))))
+    dealt = dealt.repartition("shard", "salt")  # else a join by shard leaves a shard in one task
     spans = dealt.groupBy("shard", "salt").applyInPandas(_stream, SPANS)
     result = by_part.cogroup(spans.groupBy("part")).applyInPandas(
         kept, "k1 bigint, k2 bigint, n_words bigint, n_removed bigint, kept_sha256 string, ranges array<array<int>>")
