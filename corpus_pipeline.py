@@ -27,10 +27,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays: the one whose id is the component id.
 
-    Rows with the same id count as one document, of which one row stays.
+    Rows with the same id count as one document, of which one row stays. Of
+    rows without an id one per fingerprint stays where no document of the group
+    has an id.
     """
-    first = simhash.near_duplicates(docs).filter(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
-    return docs.join(first, _same_row(docs, first), "left_semi").dropDuplicates(["doc_id"])
+    found = simhash.near_duplicates(docs)
+    first = found.filter("id = component_id").select("id").distinct()
+    named = docs.join(first, docs["doc_id"] == first["id"], "left_semi").dropDuplicates(["doc_id"])
+    alone = found.filter("component_id IS NULL").select(F.col("fp").alias("alone")).distinct()
+    rest = docs.filter("doc_id IS NULL").withColumn("fp", simhash.simhash(F.col("text")))
+    rest = rest.join(alone, rest["fp"] == alone["alone"], "left_semi").dropDuplicates(["fp"])
+    return named.union(rest.select(*docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

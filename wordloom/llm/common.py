@@ -13,15 +13,17 @@ from wordloom.session import ensure_checkpoint_dir
 SPACES = " \t\n\x0b\x0c\r"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
     This cuts the lineage: a lost executor costs its running tasks only, and a
-    plan that reads the table twice does not compute it twice.
+    plan that reads the table twice does not compute it twice. ``few``: a table
+    of groups or counts, written by at most one task per core, so that a small
+    one is not scattered over as many files as the shuffle has partitions.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.coalesce(max(1, spark.sparkContext.defaultParallelism)) if few else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -74,19 +76,19 @@ def smallest_reachable(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         big, small = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
         return df.filter("a <> b").select(big, small).distinct()
 
-    cur = materialize(ordered(edges), "edges")
+    cur = materialize(ordered(edges), "edges", few=True)
     seen = fingerprint(cur)
     for _ in range(max_rounds):
         if not seen[0]:
             break
-        both = materialize(cur.union(cur.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both")
-        low = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "low")
+        both = materialize(cur.union(cur.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both", few=True)
+        low = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "low", few=True)
         large = ordered(both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
-        large = materialize(large, "large")
-        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "low")
+        large = materialize(large, "large", few=True)
+        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "low", few=True)
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             low.select("a", F.col("m").alias("b")))
-        cur = materialize(ordered(small), "edges")
+        cur = materialize(ordered(small), "edges", few=True)
         now = fingerprint(cur)
         if now == seen:
             break

@@ -22,17 +22,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import materialize, smallest_reachable
+from wordloom.llm.common import bounded_batches, materialize, smallest_reachable
 
 FANOUT = 16
 #: Node pairs that are opened at once (each gives FANOUT x FANOUT child pairs).
 OPEN_PAIRS = 1024
 
 
-def fingerprint_batch(texts, shingle: int = 3, chunk: int = 1 << 18) -> np.ndarray:
+def fingerprint_batch(texts, shingle: int = 3, chunk: int = 1 << 16) -> np.ndarray:
     """Signed 64-bit SimHash fingerprints of the texts (None: no words)."""
     out = np.zeros(len(texts), np.uint64)
     hashes: list[int] = []
@@ -72,6 +72,16 @@ def fingerprint_batch(texts, shingle: int = 3, chunk: int = 1 << 18) -> np.ndarr
     return out.view(np.int64)
 
 
+def simhash(text: Column, shingle: int = 3) -> Column:
+    """The fingerprint of a text column as a signed long."""
+    @F.pandas_udf("bigint")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(fingerprint_batch(texts, shingle))
+
+    return run(text)
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp): the fingerprint of every row's whole text, as a signed long.
 
@@ -79,12 +89,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
     than ``shingle`` is one shingle; null, empty and blank texts have
     fingerprint zero. Repeated rows and null ids are kept.
     """
-    @F.pandas_udf("bigint")
-    def simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(fingerprint_batch(texts.tolist(), shingle))
-
-    return docs.select(F.col(id_col).alias("id"), simhash(F.col(text_col)).alias("fp"))
+    return bounded_batches(docs).select(F.col(id_col).alias("id"), simhash(F.col(text_col), shingle).alias("fp"))
 
 
 def _compress(parent: np.ndarray) -> np.ndarray:
@@ -226,13 +231,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, block_
     columns of ``docs`` are not read. An empty table gives an empty result.
     """
     found = materialize(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    fps = materialize(found.groupBy("fp").agg(F.min("id").alias("low")), "distinct_fps")
-    comps = materialize(smallest_reachable(links(fps.select("fp"), max_bits, block_rows)), "components")
+    fps = materialize(found.groupBy("fp").agg(F.min("id").alias("low")), "distinct_fps", few=True)
+    comps = materialize(smallest_reachable(links(fps.select("fp"), max_bits, block_rows)), "components", few=True)
     member = fps.join(comps, fps["fp"] == comps["node"]).select("fp", "root", "low")
     low = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    low = materialize(member.select("fp", "root").join(low, "root").select("fp", "component_id"), "linked")
+    low = materialize(member.select("fp", "root").join(low, "root").select("fp", "component_id"), "linked", few=True)
     label = materialize(fps.join(low, "fp", "left").select(
-        "fp", F.coalesce("component_id", "low").alias("component_id")), "labels")
+        "fp", F.coalesce("component_id", "low").alias("component_id")), "labels", few=True)
     return found.join(label, "fp").select("id", "fp", "component_id")
 
 
