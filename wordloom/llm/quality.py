@@ -31,6 +31,8 @@ QUANTILE = 0.9999
 #: that are zero in most texts have no spread of their own).
 VECTOR = (("ln_words", 0.25), ("ln_word_length", 0.08), ("symbols", 0.5), ("repeated", 1.0), ("dup_lines", 1.0))
 D = len(VECTOR)
+#: Parts into which the rows of a group are dealt where they meet its estimate.
+SALTS = 32
 #: Width of a bin of a component, and bins per unit of the logarithm of a distance.
 STEP, BINS = 0.01, 50
 
@@ -165,7 +167,12 @@ def estimates(vectors: DataFrame) -> DataFrame:
     """MCD estimates of ``vectors(lang, source, x_0 ...)``, a row per group and level."""
     x = [F.col(f"x_{i}") for i in range(D)]
     keys = F.explode(F.array(*[_key(level, F.col("lang"), F.col("source")) for level in range(3)]))
-    rows = materialize(vectors.select(keys.alias("key"), *x), "quality-vectors")
+    rows = vectors.select(keys.alias("key"), F.pmod(F.xxhash64(*x), F.lit(SALTS)).cast("int").alias("salt"), *x)
+    rows = materialize(rows, "quality-vectors")
+
+    def dealt(groups):  # a hot source's rows meet their estimate in SALTS tasks if the estimates are not broadcast
+        return groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
     # start: median and quartile range of each component, from exact counts per bin
     bins = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.floor(c / STEP).alias("b")) for i, c in enumerate(x)]))
     counts = rows.select("key", bins.alias("v")).groupBy("key", "v.i", "v.b").agg(F.count(F.lit(1)).alias("n"))
@@ -178,13 +185,13 @@ def estimates(vectors: DataFrame) -> DataFrame:
     for i in range(D):
         for j in range(i):
             start = start.withColumn(f"c_{i}_{j}", F.lit(0.0))
-    est = materialize(_decomposed(start), "quality-estimates")
+    est = materialize(_decomposed(start), "quality-estimates", few=True)
     for _ in range(STEPS):
-        near = rows.join(est, "key").select("key", "n", *x, F.floor(
+        near = rows.join(dealt(est), ["key", "salt"]).select("key", "salt", "n", *x, F.floor(
             BINS * F.ln(F.greatest(F.lit(1e-6), F.least(F.lit(1e6), _distance(x))))).alias("b"))
         cut = _quantile_bins(near.groupBy("key", "b").agg(F.count(F.lit(1)).alias("n")), ["key"], {"cut": SHARE})
-        cut = materialize(cut, "quality-cuts")  # of known size: a small one is broadcast, no group meets in one task
-        kept = near.drop("n").join(cut, "key").filter(F.col("b") <= F.col("cut"))
+        cut = materialize(cut, "quality-cuts", few=True)  # of known size: a small one is broadcast, no group meets in one task
+        kept = near.drop("n").join(dealt(cut), ["key", "salt"]).filter(F.col("b") <= F.col("cut"))
         sums = kept.groupBy("key").agg(
             F.max("n").alias("n"), *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(x)],
             *[F.avg(x[i] * x[j]).alias(f"c_{i}_{j}") for i in range(D) for j in range(i + 1)])
@@ -192,7 +199,7 @@ def estimates(vectors: DataFrame) -> DataFrame:
             for j in range(i + 1):
                 sums = sums.withColumn(f"c_{i}_{j}", CONSISTENCY * (
                     F.col(f"c_{i}_{j}") - F.col(f"m_{i}") * F.col(f"m_{j}")))
-        est = materialize(_decomposed(sums), "quality-estimates")
+        est = materialize(_decomposed(sums), "quality-estimates", few=True)
     return est
 
 
