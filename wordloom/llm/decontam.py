@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import materialize, read_table
+from wordloom.llm.common import bounded_batches, materialize, read_table, release, slices
 
 #: Tokens after which a block is closed (a document is never split).
 BLOCK_TOKENS = 1 << 21
@@ -56,6 +56,7 @@ def build_index(docs: DataFrame, gap: int, id_col: str = "doc_id", text_col: str
     Null and blank texts have no tokens but a row in ``docs``; repeated rows and
     repeated or null ids are separate entries.
     """
+    bounded_batches(docs)
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"block bigint, ord int, id {id_type}, start int, n_words int, token binary, positions array<int>"
 
@@ -99,7 +100,7 @@ def build_index(docs: DataFrame, gap: int, id_col: str = "doc_id", text_col: str
         id_arrow = pa.int64()
         for batch in batches:
             id_arrow = batch.column(0).type
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for key, text in (x for _, part in slices(batch) for x in zip(*part, strict=True)):
                 words = tokens(text)
                 n = len(words)
                 rows.append((key, at, n))
@@ -110,6 +111,7 @@ def build_index(docs: DataFrame, gap: int, id_col: str = "doc_id", text_col: str
                     yield from close(id_arrow)
         if rows:
             yield from close(id_arrow)
+        release()
 
     stored = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(index, schema)
     stored = materialize(stored, "positional-index")
@@ -197,7 +199,7 @@ def search(index: Index, wanted: DataFrame, slop: int = 0, round_bytes: int = RO
     so what a round sends to the tasks is bounded however long the list is.
     """
     spark = wanted.sparkSession
-    wanted = materialize(wanted, "phrases")
+    wanted = materialize(wanted, "phrases", few=True)
     size = wanted.select(F.sum(F.length(F.array_join(F.col("words").cast("array<string>"), " ")))).first()[0] or 0
     rounds = max(1, -(-size // round_bytes))
     item_type = wanted.schema["item"].dataType.simpleString()

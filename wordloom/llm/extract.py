@@ -261,7 +261,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     bounded_batches(pages)
     id_type = pages.schema[id_col].dataType.simpleString()
-    paths = materialize(winning_paths(pages, url_col, html_col).withColumnRenamed("host", "of"), "winning-paths")
+    paths = materialize(winning_paths(pages, url_col, html_col).withColumnRenamed("host", "of"), "winning-paths", few=True)
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     joined = rows.join(paths, host(F.col("url")) == paths["of"], "left").select("id", "url", "html", "paths")
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import read_table, slices
+from wordloom.llm.common import bounded_batches, read_table, slices
 
 #: The sample: rows and characters of a row that a language's dictionary is made of, and its greatest size.
 SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 2000, 256 << 10
@@ -103,6 +103,7 @@ def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], id_col: str
     Null ids and repeated rows are kept, other columns are not read. ``rejected``
     is true where the margin is narrow and for ``und``.
     """
+    bounded_batches(docs)
     id_type = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
 

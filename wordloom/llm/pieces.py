@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import read_table
+from wordloom.llm.common import bounded_batches, read_table, release, slices
 
 MARK = "▁"
 #: Score of a character without a piece, below the worst piece; it becomes byte pieces.
 PENALTY = 10.0
 #: Chunks that a task remembers, and the longest one that is solved together with others.
-REMEMBERED, TOGETHER = 400_000, 40
+REMEMBERED, TOGETHER = 150_000, 40
 
 
 def model_path() -> str:
@@ -175,6 +175,11 @@ class Segmenter:
                 for at in range(0, len(group), 8192):
                     self._solve_together(size, group[at : at + 8192])
 
+    def forget(self) -> None:
+        """Drops the solved chunks."""
+        self.memory.clear()
+        self.solved.clear()
+
     def _remember(self, chunk: str, ids, score: float, loss: float) -> None:
         k = self.memory[chunk] = len(self.solved)
         self.solved.append(array("i", ids).tobytes())
@@ -248,13 +253,12 @@ class Segmenter:
         """``nbest`` of many texts."""
         cut = [self.chunks(t) if t else [] for t in texts]
         out = []
-        for first in range(0, len(texts), 256):
-            some = cut[first : first + 256]
+        for first in range(0, len(texts), 1024):
+            some = cut[first : first + 1024]
             wanted = set().union(*some)
             new = [c for c in wanted if c not in self.memory]
             if len(self.memory) + len(new) > REMEMBERED:
-                self.memory.clear()
-                self.solved.clear()
+                self.forget()
                 new = list(wanted)
                 if len(new) > len(self.scores):  # one round of texts may hold more
                     self.counts, self.scores, self.losses = (np.zeros(len(new), x.dtype) for x in (
@@ -344,6 +348,7 @@ def encode(docs: DataFrame, model: str | None = None, n: int = 3, id_col: str =
     null ids are kept, other columns are not read. ``model`` is a path that
     every executor can read.
     """
+    bounded_batches(docs)
     path = model or model_path()
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = (f"id {id_type}, ids array<int>, score double, alternatives array<struct<score:double,"
@@ -354,10 +359,8 @@ def encode(docs: DataFrame, model: str | None = None, n: int = 3, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = segmenter(path)
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for first in range(0, max(len(texts), 1), 1024):  # bounds what is held besides the batch
+            for first, (_, part) in slices(batch, 1024):
                 flat, ends, scores, rest, same = [], [0], [], [], []
-                part = texts[first : first + 1024]
                 for text, (ids, score, more) in zip(part, tool.nbest_all(part, n), strict=True):
                     flat.append(ids)
                     ends.append(ends[-1] + len(ids))
@@ -369,8 +372,10 @@ def encode(docs: DataFrame, model: str | None = None, n: int = 3, id_col: str =
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
                     np.concatenate(flat) if flat else np.empty(0, np.int32)), mask=null)
                 yield pa.RecordBatch.from_arrays([
-                    keys.slice(first, 1024), lists, pa.array(scores, pa.float64()), pa.array(rest, other),
+                    batch.column(0).slice(first, len(part)), lists, pa.array(scores, pa.float64()), pa.array(rest, other),
                     pa.array(same, pa.bool_())], ["id", "ids", "score", "alternatives", "lossless"])
+        tool.forget()
+        release()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 

@@ -14,6 +14,7 @@ turns into a broadcast when the candidates are few.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from itertools import product
 from re import _constants as op
@@ -193,8 +194,11 @@ def candidates(index: DataFrame, rules=RULES) -> DataFrame:
     """(id, mark, kinds): the documents whose postings satisfy a rule's query, with those rules."""
     wanted = queries(rules)
     spark = index.sparkSession
-    # one row per trigram of the fixed rules
-    asked = F.broadcast(spark.createDataFrame(wanted, "kind string, clause int, choice int, trigram string, need int"))
+    # one row per trigram of the fixed rules, a constant of the plan
+    names = ("kind", "clause", "choice", "trigram", "need")
+    rows = F.from_json(F.lit(json.dumps([dict(zip(names, w, strict=True)) for w in wanted])),
+                       "array<struct<kind:string,clause:int,choice:int,trigram:string,need:int>>")
+    asked = F.broadcast(spark.range(1).select(F.inline(rows)))
     clauses = {r.kind: len(trigram_query(r.pattern)) for r in rules}
     held = index.repartition("id", "mark").join(asked, "trigram")
     met = held.groupBy("id", "mark", "kind", "clause", "choice", "need").agg(F.count(F.lit(1)).alias("n")).filter(
@@ -219,7 +223,7 @@ def scan(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "
                        F.coalesce(docs[f"`{text_col}`"], F.lit("")).alias("text"))
     rows = rows.withColumn("mark", F.xxhash64("text"))
     terms = sorted({t for *_, t, _ in queries(rules)})
-    index = materialize(postings(rows.drop("row"), terms), "trigram-postings")
+    index = materialize(postings(rows.drop("row"), terms), "trigram-postings", few=True)
     found = candidates(index, rules).withColumnsRenamed({"id": "c_id", "mark": "c_mark"})
     joined = rows.join(found, rows["id"].eqNullSafe(found["c_id"]) & (rows["mark"] == found["c_mark"]), "left")
     def named(rank, rule):

@@ -422,7 +422,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = materialize(by_part.cogroup(reply.groupBy("part")).applyInPandas(stretches, STRETCH), "stretches")
     # the tasks of a shard: one row per part at most
     loads = found.filter("NOT reference").groupBy("shard").agg(F.sum(F.octet_length("text")).alias("load"))
-    loads = materialize(loads.select("shard", F.ceil(F.col("load") / STREAM_BYTES).cast("int").alias("tasks")), "loads")
+    loads = materialize(loads.select("shard", F.ceil(F.col("load") / STREAM_BYTES).cast("int").alias("tasks")), "loads", few=True)
     dealt = found.join(loads, "shard", "left").withColumn("tasks", F.coalesce("tasks", F.lit(1)))
     dealt = dealt.withColumn("salt", F.explode(F.when(
         F.col("reference"), F.sequence(F.lit(0), F.col("tasks") - 1)).otherwise(

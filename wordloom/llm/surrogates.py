@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import materialize, read_table
+from wordloom.llm.common import bounded_batches, materialize, read_table
 
 #: The key of the registered query; real runs pass their own.
 DEMO_KEY = b"wordloom-demo-key"
@@ -279,17 +279,17 @@ def assigned(entities: DataFrame, key: bytes, max_attempts: int = 1000) -> DataF
         return df.withColumn("surrogate", draw("kind", "grp", "canon", "attempt"))
 
     cur = materialize(drawn(entities.select("kind", "grp", "canon").distinct().withColumn("attempt", F.lit(0))),
-                      "surrogates")
+                      "surrogates", few=True)
     for _ in range(max_attempts):
         mine = F.struct("attempt", "grp", "canon")
         clash = cur.groupBy("kind", "surrogate").agg(F.count(F.lit(1)).alias("n"), F.min(mine).alias("first")).filter(
             "n > 1").select("kind", "surrogate", "first")
-        clash = materialize(clash, "clashes")
+        clash = materialize(clash, "clashes", few=True)
         if clash.isEmpty():
             return cur
         lost = cur.join(clash, ["kind", "surrogate"], "left").withColumn(
             "attempt", F.col("attempt") + F.coalesce((mine != F.col("first")).cast("int"), F.lit(0)))
-        cur = materialize(drawn(lost.select("kind", "grp", "canon", "attempt")), "surrogates")
+        cur = materialize(drawn(lost.select("kind", "grp", "canon", "attempt")), "surrogates", few=True)
     raise RuntimeError("names still share surrogates")
 
 
@@ -301,6 +301,7 @@ def pseudonymize(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
     ids are kept; other columns are not read; an empty table gives an empty
     result.
     """
+    bounded_batches(docs)
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("k1", F.xxhash64("text")).withColumn("k2", F.xxhash64(F.lit(1), "text"))
