@@ -15,10 +15,6 @@ from wordloom.llm import decontam, pieces, quality, secrets, simhash
 from wordloom.llm.common import materialize, read_table
 
 
-def _same_row(a: DataFrame, b: DataFrame):
-    return a["doc_id"].eqNullSafe(b["id"])
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the outlier test reject go."""
     return quality.quality_filter(docs)
@@ -41,10 +37,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a benchmark window go."""
-    found = decontam.contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    dirty = found.filter(F.size("spans") > 0).select("id").distinct()
-    return docs.join(dirty, _same_row(docs, dirty), "left_anti")
+    """Rows with a benchmark window go; rows without one stay, also beside a dirty row of the same id or without an id."""
+    key = F.struct("doc_id", F.md5("text").alias("md5")).alias("row")  # equal texts have the same windows
+    found = decontam.contamination(docs.select(key, "text"), read_table(spark, sf_dir, "benchmark"), id_col="row")
+    dirty = found.filter(F.size("spans") > 0).select("id.*").distinct()
+    same = docs["doc_id"].eqNullSafe(dirty["doc_id"]) & (F.md5(docs["text"]) == dirty["md5"])
+    return docs.join(dirty, same, "left_anti")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,3 +68,17 @@ def test_stages_keep_the_columns(spark, odd_docs, tmp_path):
         if name != C.STAGES[-1][0]:
             assert out.columns == docs.columns and out.dtypes == docs.dtypes
     assert len(C.STAGES) == 5 and secrets.RULES
+
+
+def test_contaminated_rows_go_alone(spark, tmp_path):
+    """A clean text stays beside a contaminated one that shares its id, or that has no id either."""
+    item = " ".join(f"item{i}" for i in range(12))
+    rows = [(None, f"one {item} two"), (None, "a clean text without an id"), (7, f"{item} here"), (7, "clean under seven"),
+            (7, None), (None, None), (8, f"one {item} two"), (9, f"{item} here"), (9, f"{item} here")]
+    rows = [(i, t, "en", "a", 0) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = C.decontaminate(spark, docs.repartition(2), str(tmp_path))
+    assert got.columns == docs.columns
+    assert collections.Counter(map(tuple, got.collect())) == collections.Counter(
+        r for r in rows if r[1] is None or item not in r[1])
