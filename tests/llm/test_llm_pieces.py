@@ -100,3 +100,26 @@ def test_best_score_beats_the_library(odd_rows):
 def test_empty_table(no_docs):
     out = P.encode(no_docs)
     assert out.count() == 0 and P.decode(out).filter(F.col("decoded").isNull()).count() == 0
+
+
+def test_lengths_and_ids_against_the_library(spark):
+    """Best segmentations are about as short as the library's and mostly the same words."""
+    from sentencepiece import SentencePieceProcessor
+
+    model = SentencePieceProcessor(model_file=P.model_path())
+    texts = ["The quick brown fox jumps over the unbelievable lazy dog while internationalization proceeds.",
+             "Device drivers are loaded when the system starts, and the log shows which ones failed.",
+             "Der schnelle Fuchs springt  über den faulen Hund\tund 1234 mal ① zurück.", "", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 20)], "doc_id bigint, text string").repartition(3)
+    own = [model.encode(t) for t in texts if t]
+    want = np.bincount(np.concatenate(own), minlength=model.get_piece_size()) * 20
+    assert (P.piece_counts(docs) == want).all()
+    got = {r.id: r for r in P.encode(docs, n=2).collect()}
+    for k, t in enumerate(texts[:3]):
+        ids = got[k].ids
+        assert model.decode(ids) == t and got[k].lossless and len(ids) <= 1.05 * len(own[k])
+        same = set(map(model.id_to_piece, ids)) & set(map(model.id_to_piece, own[k]))
+        assert len(same) >= 0.9 * len(set(own[k]))
+    assert [model.id_to_piece(i) for i in got[0].ids[:3]] == ["▁The", "▁quick", "▁brown"]
+    scores = P.log_probabilities(want)
+    assert abs(got[0].score - sum(scores[i] for i in got[0].ids)) < 1e-6

@@ -10,6 +10,10 @@ No piece crosses certain positions (before a word mark that follows another
 character, and around a character that is in no longer piece), so the lattice
 falls into chunks there and the N best of a text are combined from the N best
 of its chunks. Tasks remember the chunks they have seen, up to a fixed number.
+
+The scores are unigram log probabilities. Those of a BPE model are merge ranks,
+which must not be added up; so the pieces of the model's own encoding are
+counted over the corpus first, and a piece scores log(n / total).
 """
 
 from __future__ import annotations
@@ -17,7 +21,9 @@ from __future__ import annotations
 import heapq
 import re
 from array import array
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,6 +38,8 @@ MARK = "▁"
 PENALTY = 10.0
 #: Chunks that a task remembers, and the longest one that is solved together with others.
 REMEMBERED, TOGETHER = 400_000, 40
+#: Count of a piece that the corpus does not have.
+UNSEEN = 0.5
 
 
 def model_path() -> str:
@@ -77,7 +85,8 @@ class Segmenter:
         self.bytes_of = {i: b for b, i in enumerate(byte_ids) if b >= 128}
 
     @classmethod
-    def load(cls, path: str) -> Segmenter:
+    def load(cls, path: str, scores: np.ndarray | None = None) -> Segmenter:
+        """With the model's own scores, or with ``scores`` by id."""
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
@@ -87,7 +96,7 @@ class Segmenter:
             if model.is_byte(i):
                 byte_ids[int(text[3:5], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
-                pieces[text] = (i, model.get_score(i))
+                pieces[text] = (i, model.get_score(i) if scores is None else float(scores[i]))
         return cls(pieces, byte_ids)
 
     def chunks(self, text: str) -> list[str]:
@@ -327,14 +336,77 @@ class Segmenter:
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, for hashes of short strings
-_LOADED: dict[str, Segmenter] = {}
+_LOADED: dict[str, tuple[bytes, Segmenter]] = {}
+
+
+def segmenter(path: str, scores: np.ndarray | None = None) -> Segmenter:
+    """One segmenter per worker process and model, with the scores of the last call."""
+    key = b"" if scores is None else scores.tobytes()
+    if path not in _LOADED or _LOADED[path][0] != key:
+        _LOADED[path] = key, Segmenter.load(path, scores)
+    return _LOADED[path][1]
 
 
-def segmenter(path: str) -> Segmenter:
-    """One segmenter per worker process and model."""
-    if path not in _LOADED:
-        _LOADED[path] = Segmenter.load(path)
-    return _LOADED[path]
+def piece_counts(docs: DataFrame, model: str | None = None, text_col: str = "text") -> np.ndarray:
+    """How often the model's own encoding of all texts has each piece, by id.
+
+    No piece crosses the start of a run of spaces (else texts stay whole), so
+    tasks count words with the spaces before them and encode each distinct one once.
+    """
+    bounded_batches(docs)
+    path = model or model_path()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from sentencepiece import SentencePieceProcessor
+
+        own = SentencePieceProcessor(model_file=path)
+        tool = segmenter(path)
+        spaced = re.compile(" +[^ ]*")
+        # a character of no longer piece, before a word, takes the mark that the model puts in front
+        front = next(c for c in "\n\t\x01\x02\x03\x04\x05" if all(c not in p for p in tool.pieces if len(p) > 1))
+        skip = len(own.encode(front))
+        counts = np.zeros(own.get_piece_size(), np.int64)
+        seen: Counter[str] = Counter()  # without the first space
+
+        def settle():
+            names, times = list(seen), np.fromiter(seen.values(), np.int64, len(seen))
+            for at in range(0, len(names), 8192):
+                ids = [x[skip:] for x in own.encode([f"{front} {w}" for w in names[at : at + 8192]])]
+                sizes = list(map(len, ids))
+                flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(sizes))
+                np.add.at(counts, flat, np.repeat(times[at : at + 8192], sizes))
+            seen.clear()
+
+        for batch in batches:
+            for _, (part,) in slices(batch, 1024):
+                for text in filter(None, part):
+                    text = text.replace(MARK, " ")
+                    if tool.crossing:
+                        seen[text] += 1
+                    elif text[0] == " " or "  " in text:
+                        seen.update(w[1:] for w in spaced.findall(" " + text))
+                    else:
+                        seen.update(text.split(" "))
+                if len(seen) > REMEMBERED:
+                    settle()
+        settle()
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], ["id", "n"])
+        release()
+
+    from sentencepiece import SentencePieceProcessor
+
+    total = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "id int, n bigint").groupBy("id").agg(
+        F.sum("n").alias("n"))
+    out = np.zeros(SentencePieceProcessor(model_file=path).get_piece_size(), np.int64)
+    for r in total.collect():  # at most as many rows as the model has pieces
+        out[r["id"]] = r["n"]
+    return out
+
+
+def log_probabilities(counts: np.ndarray) -> np.ndarray:
+    """Unigram scores log(n / total); a piece that does not occur counts ``UNSEEN``."""
+    return np.log(np.maximum(counts, UNSEEN) / max(int(counts.sum()), 1))
 
 
 def encode(docs: DataFrame, model: str | None = None, n: int = 3, id_col: str = "doc_id",
@@ -346,10 +418,12 @@ def encode(docs: DataFrame, model: str | None = None, n: int = 3, id_col: str =
     it holds the word mark U+2581 itself). Null gives null ids and score, an
     empty text no ids and score 0; both have no alternatives. Repeated rows and
     null ids are kept, other columns are not read. ``model`` is a path that
-    every executor can read.
+    every executor can read. Scores are log probabilities of the pieces in
+    ``docs`` itself, so ``docs`` is read twice.
     """
     bounded_batches(docs)
     path = model or model_path()
+    scores = docs.sparkSession.sparkContext.broadcast(log_probabilities(piece_counts(docs, path, text_col)))
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = (f"id {id_type}, ids array<int>, score double, alternatives array<struct<score:double,"
               "edits:array<struct<at:int,length:int,ids:array<int>>>>>, lossless boolean")
@@ -357,14 +431,14 @@ def encode(docs: DataFrame, model: str | None = None, n: int = 3, id_col: str =
     other = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(edit))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = segmenter(path)
+        tool = segmenter(path, scores.value)
         for batch in batches:
             for first, (_, part) in slices(batch, 1024):
-                flat, ends, scores, rest, same = [], [0], [], [], []
+                flat, ends, totals, rest, same = [], [0], [], [], []
                 for text, (ids, score, more) in zip(part, tool.nbest_all(part, n), strict=True):
                     flat.append(ids)
                     ends.append(ends[-1] + len(ids))
-                    scores.append(None if text is None else score)
+                    totals.append(None if text is None else score)
                     rest.append([{"score": s, "edits": [dict(zip(("at", "length", "ids"), e, strict=True)) for e in es]}
                                  for s, es in more])
                     same.append(None if text is None else tool.decode(ids) == text)
@@ -372,7 +446,7 @@ def encode(docs: DataFrame, model: str | None = None, n: int = 3, id_col: str =
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
                     np.concatenate(flat) if flat else np.empty(0, np.int32)), mask=null)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(first, len(part)), lists, pa.array(scores, pa.float64()), pa.array(rest, other),
+                    batch.column(0).slice(first, len(part)), lists, pa.array(totals, pa.float64()), pa.array(rest, other),
                     pa.array(same, pa.bool_())], ["id", "ids", "score", "alternatives", "lossless"])
         tool.forget()
         release()
