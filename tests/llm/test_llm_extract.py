@@ -53,3 +53,22 @@ def test_long_page_takes_linear_time():
     page = "<article>" + "<p>word <i>word</i> &amp; word</p>" * 20_000
     assert len(X.main_text(page, [])[0].split("\n\n")) == 20_000
     assert X.main_text("<div>" * 5000 + "x", [])[0] == "x"
+
+
+def test_articles_in_several_containers(spark):
+    """Unequal parts of one generalised path, an intro beside a body, and parts two levels below an article."""
+    one, two = "one " * 250, "two " * 125
+    want = f"{one.strip()}\n\n{two.strip()}"
+    pages = [
+        f"<body><div class=entry><div class=part-1>{one}</div><div class=part-2>{two}</div></div></body>",
+        f"<body><div class=entry><div class=intro><p>{one}</div><div class=body><p>{two}</div><div class=ad>Buy</div></div></body>",
+        f"<article><div class=x><div class=part-1>{one}</div><div class=y><div class=part-2>{two}</div></div></div></article>",
+        f"<div class=a><div class=b><div class=part-1>{one}</div></div><div class=c>{two}</div></div>",
+    ]
+    for page in pages:
+        assert X.main_text(page, [])[0] == want
+    path = ">body>div.entry>div.part"
+    assert X.main_text(pages[0], [path]) == (want, path)
+    rows = [(i, f"http://h{k}.example/{i}", page) for k, page in enumerate(pages) for i in range(3)]
+    got = X.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert len(got) == len(rows) and {r.text for r in got} == {want}

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,6 +38,8 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
         "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
         "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
         "body": ({"head"}, {"html"})}
+#: Elements that hold no running text.
+SHORT = frozenset("li dt td th h1 h2 h3 h4 h5 h6 address".split())
 CONTAINERS = frozenset("article body center dd div html main section td table".split())
 # Elements, class words and roles that hold no article text.
 OUTSIDE = frozenset("nav footer aside form button select menu dialog object audio video canvas head".split())
@@ -187,7 +190,7 @@ def scores(blocks) -> list[tuple[float, Node]]:
     found: dict[int, list] = {}
     for holder, text, linked, _ in blocks:
         value = max(len(text) - 2 * linked, 0) + 1.0
-        if holder.tag in ("li", "dt", "td", "th", "h1", "h2", "h3", "h4", "h5", "h6", "address"):
+        if holder.tag in SHORT:
             value /= 4
         node, share = holder, 1.0
         while node is not None and share > 0.1:
@@ -199,23 +202,49 @@ def scores(blocks) -> list[tuple[float, Node]]:
     return sorted(ranked, key=lambda x: (-x[0], x[1].order))
 
 
+def whole(node: Node, blocks) -> Node:
+    """The container that holds all of an article of which ``node`` is the best part.
+
+    It climbs while the next container up has running text beside the node (a
+    block, not marked as outside, most of it not in links), past containers
+    that hold nothing but the node, and not above ``article`` and ``main``.
+    """
+    def beside(up, some):
+        return any(up.order <= k < up.close and not node.order <= k < node.close for k in some)
+
+    every = [h.order for h, *_ in blocks]
+    running = [h.order for h, text, linked, _ in blocks if h.tag not in SHORT and 2 * linked < len(text)]
+    up = node
+    while up.tag not in ("article", "main") and up.parent is not None:
+        up = up.parent
+        if up.tag not in CONTAINERS and up.parent is not None:
+            continue
+        if beside(up, running):
+            node = up
+        elif beside(up, every):
+            break
+    return node
+
+
 def votes(page: str | None) -> list[tuple[str, float]]:
-    """(path, share of the page's best score) of a page's best containers."""
-    ranked = scores(parse(page)[1]) if page else []
-    out: dict[str, float] = {}
+    """(path, share of the page's best score) of a page's best containers; the best one votes for its whole article."""
+    blocks = parse(page)[1] if page else []
+    ranked = scores(blocks)
+    out: dict[str, float] = {whole(ranked[0][1], blocks).path: 1.0} if ranked else {}
     for value, node in ranked:
-        if node.path not in out:
-            out[node.path] = value / ranked[0][0]
         if len(out) == VOTES:
             break
+        if node.path not in out:
+            out[node.path] = value / ranked[0][0]
     return list(out.items())
 
 
 def main_text(page: str | None, paths: list[str]) -> tuple[str, str | None]:
-    """The text below the best container on the first path of ``paths`` that has text, and that path.
+    """The text below all elements on the first path of ``paths`` that has text, and that path.
 
     Blocks are joined by an empty line. A page without any of the paths is
-    extracted at its own best container; null and pages without text give "".
+    extracted at its own best container, or the one that holds the whole
+    article; null and pages without text give "".
     """
     if not page:
         return "", None
@@ -223,9 +252,13 @@ def main_text(page: str | None, paths: list[str]) -> tuple[str, str | None]:
     ranked = scores(blocks)
     if not ranked:
         return "", None
-    chosen = next((n for path in paths for _, n in ranked if n.path == path), ranked[0][1])
-    inside = [text for holder, text, *_ in blocks if chosen.order <= holder.order < chosen.close]
-    return "\n\n".join(inside), chosen.path
+    have = {n.path for _, n in ranked}
+    chosen = next((path for path in paths if path in have), None) or whole(ranked[0][1], blocks).path
+    spans = sorted((n.order, n.close) for _, n in ranked if n.path == chosen)
+    starts = [a for a, _ in spans]  # elements of one path are not inside each other
+    inside = [text for holder, text, *_ in blocks
+              if (k := bisect_right(starts, holder.order)) and holder.order < spans[k - 1][1]]
+    return "\n\n".join(inside), chosen
 
 
 def host(url: Column) -> Column:
