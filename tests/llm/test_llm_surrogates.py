@@ -66,3 +66,21 @@ def test_surrogates_of_a_corpus_are_distinct(spark, odd_docs, odd_rows):
 
 def test_empty_table(no_docs):
     assert S.pseudonymize(no_docs, b"k").count() == 0
+
+
+def test_names_without_a_title():
+    """Later mentions of a titled name, listed given names before a surname, and what follows from these."""
+    text = ("Mr John Smith came. Smith said that JOHN and John Smith's friend Mary Q. Jones met Dr Kim Brown. Jones left; Mary "
+            "and Brown stayed, the smith and a brown dog too. Сергей Иванов и Иванов.")
+    new, spans = S.replaced(b"k", text, {})
+    found = [(k, new[a:b]) for k, a, b in spans]
+    for name in ("Smith", "John", "JOHN", "Mary", "Jones", "Brown", "Kim", "Сергей", "Иванов"):
+        assert not re.search(rf"(?<!\w){name}(?!\w)", new), name
+    kinds = [k for k, _ in found]
+    assert kinds == ["given", "surname", "surname", "given", "given", "surname", "given", "surname", "given", "surname",
+                     "surname", "given", "surname", "given", "surname", "surname"]
+    smith, john, mary, jones = found[1][1], found[0][1], found[6][1], found[7][1]
+    assert found[2][1] == found[5][1] == smith and found[3][1] == john.upper() and found[4][1] == john
+    assert found[10][1] == jones and found[11][1] == mary and found[12][1] == found[9][1] and found[15][1] == found[14][1]
+    assert "the smith and a brown dog" in new and f"{smith}'s friend" in new and " Q. " in new
+    assert S.find("The House of Commons met. Smith came.") == []

@@ -46,6 +46,19 @@ GIVEN = {
     ("greek", "m"): "Άρης Βασίλης Γιάννης Δήμος Ηλίας Θωμάς Κώστας Λουκάς Μάριος Νίκος".split(),
     ("greek", "f"): "Άννα Βάσω Γεωργία Δέσποινα Ελένη Ζωή Ηρώ Θάλεια Κατερίνα Μαρία".split(),
 }
+# Given names, besides those of ``GIVEN``, that tell a name without a form of address.
+LISTED = {
+    "m": ("James John Robert Michael William Richard Thomas Charles Christopher Daniel Matthew Anthony Steven Andrew Joshua "
+          "Kenneth Kevin Brian George Edward Ronald Timothy Jason Jeffrey Ryan Jacob Nicholas Jonathan Stephen Justin Scott "
+          "Benjamin Samuel Gregory Alexander Patrick Peter Hans Jürgen Wolfgang Klaus Stefan Andreas Matthias Uwe Jean Pierre "
+          "Michel Philippe Jacques François José Juan Carlos Luis Miguel Pedro Javier Fernando Jorge "
+          "Александр Дмитрий Сергей Андрей Алексей Михаил Николай Владимир Γιώργος Δημήτρης Κωνσταντίνος Ιωάννης").split(),
+    "f": ("Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Lisa Nancy Sandra Margaret Ashley Kimberly "
+          "Emily Donna Michelle Carol Amanda Melissa Deborah Stephanie Rebecca Sharon Cynthia Kathleen Amy Angela Anna Anne "
+          "Catherine Alice Jane Ursula Monika Petra Sabine Renate Marie Nathalie Isabelle Sylvie Françoise Carmen Ana Isabel "
+          "Pilar Teresa Lucía Ольга Татьяна Наталья Екатерина Светлана Людмила Ελένη Αικατερίνη Βασιλική Σοφία").split(),
+}
+KNOWN = {n.lower(): g for g in "mf" for n in (*LISTED[g], *(n for (_, h), ns in GIVEN.items() if h == g for n in ns))}
 # Letters of which surnames are made, and endings.
 SYLLABLES = {"latin": ("bdfgklmnprstv", "aeiou", ("n", "r", "s", "l", "")),
              "cyrillic": ("бвгдзклмнпрст", "аеиоу", ("ов", "ин", "ко", "ев", "ук")),
@@ -74,6 +87,10 @@ PATTERNS = (
     ("card", re.compile(r"(?<!\w)(?:\d{4}([ -])(?:\d{4}\1){2}\d{1,7}|\d{13,19})(?!\w)", re.A), ""),
     ("name", re.compile(rf"(?<!\w)({_TITLE})\.?[ \t]+({_NAME}(?:[ \t]+{_NAME}){{0,2}})"), " "),
 )
+# a listed given name, more names or initials, and a surname; any capitalised word
+_PAIR = re.compile(rf"(?<![\w-])({'|'.join(sorted((n.title() for n in KNOWN), key=lambda n: (-len(n), n)))})"
+                   rf"((?:[ \t]+(?:{_NAME}|[{_UPPER}]\.)){{0,1}}[ \t]+{_NAME})(?!\w)")
+_CAPITAL = re.compile(rf"(?<!\w){_NAME}(?!\w)")
 
 
 @dataclass(frozen=True)
@@ -96,28 +113,53 @@ def find(text: str | None) -> list[Entity]:
     """The entities of a text in order; of overlapping ones the kind that comes first in ``PATTERNS`` counts.
 
     A name with a title gives one entity per word: given names, and the surname.
+    So does a listed given name (``KNOWN``) before a surname. Wherever else the
+    text has one of its names as a capitalised word, that is the same entity.
     """
     if not text:
         return []
+    names: dict[str, dict[str, str]] = {"given": {}, "surname": {}}  # of this text: canonical form and group
+
+    def free():  # what was not claimed so far
+        ends = [0, *(x for t in sorted(taken) for x in t), len(text)]
+        return list(zip(ends[::2], ends[1::2], strict=True))
+
+    def named(at, words, gender):
+        for k, w in enumerate(words):
+            kind = "surname" if k == len(words) - 1 else "given"
+            canon = w[0].lower()
+            group = script(w[0]) + (f"/{gender}" if kind == "given" else "")
+            names[kind].setdefault(canon, group)
+            out.append(Entity(at + w.start(), at + w.end(), kind, group, canon))
+
     taken: list[tuple[int, int]] = []
     out: list[Entity] = []
     for kind, pattern, sign in PATTERNS:
         if sign and sign not in text:
             continue
-        ends = [0, *(x for t in sorted(taken) for x in t), len(text)]
-        free = zip(ends[::2], ends[1::2], strict=True)  # what earlier kinds left
-        for m in [m for x, y in free for m in pattern.finditer(text, x, y)]:
+        for m in [m for x, y in free() for m in pattern.finditer(text, x, y)]:
             a, b = m.span(2) if kind == "name" else m.span()
             taken.append((a, b))
             if kind != "name":
                 out.append(Entity(a, b, kind, "", _canonical(kind, m[0])))
                 continue
-            gender = GENDER[m[1].lower()]
-            words = list(re.finditer(r"\S+", m[2]))
-            for k, w in enumerate(words):
-                last = k == len(words) - 1
-                group = script(w[0]) + ("" if last else f"/{gender}")
-                out.append(Entity(a + w.start(), a + w.end(), "surname" if last else "given", group, w[0].lower()))
+            named(a, list(re.finditer(r"\S+", m[2])), GENDER[m[1].lower()])
+    for m in [m for x, y in free() for m in _PAIR.finditer(text, x, y)]:
+        taken.append(m.span())
+        words = [w for w in re.finditer(r"\S+", m[0]) if not w[0].endswith(".")]  # initials stay
+        first = words[0][0].lower()
+        gender = names["given"].get(first, f"/{KNOWN[first]}").partition("/")[2]
+        named(m.start(), words, gender)
+    if names["given"] or names["surname"]:
+        for x, y in free():
+            found = list(_CAPITAL.finditer(text, x, y))
+            for m, after in zip(found, [*found[1:], None], strict=False):
+                canon = m[0].lower()
+                before_name = after is not None and after[0].lower() in names["surname"] and not text[
+                    m.end() : after.start()].strip(" \t")
+                kind = "given" if canon in names["given"] and (before_name or canon not in names["surname"]) else "surname"
+                if canon in names[kind]:
+                    out.append(Entity(m.start(), m.end(), kind, names[kind][canon], canon))
     return sorted(out, key=lambda e: e.start)
 
 
