@@ -50,6 +50,13 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(k.n, 0)::BIGINT AS n_remo
 FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id"""
 
 
+def exact_duplicates() -> str:
+    return """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WINDOW same AS (PARTITION BY t)"""
+
+
 def _re2(pattern: str) -> str:
     """A rule's expression for RE2, whose ``(?i)`` would fold more letters than ASCII ones."""
     if pattern.startswith("(?i)"):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from wordloom.llm import (
     decontam,
+    exact,
     extract,
     langid,
     oracles,
@@ -27,4 +28,5 @@ REGISTRY = {
     "op8_quality": (quality.op8_quality, oracles.quality()),
     "op9_simhash": (simhash.op9_simhash, None),
     "op10_substrings": (substrings.op10_substrings, oracles.substrings()),
+    "op11_exact": (exact.op11_exact, oracles.exact_duplicates()),
 }
