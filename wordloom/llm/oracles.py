@@ -57,6 +57,40 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WINDOW same AS (PARTITION BY t)"""
 
 
+def divergence(least_docs: int = 10, top_terms: int = 10) -> str:
+    """Every group with every kept term of its language, and every pair of its groups."""
+    share = "1 + (1000000000::HUGEINT * ({n} + 2)) // ({total} + 2 * v)"
+    far = "((p - q) * (p - q)) // (p + q)"
+    return f"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+said AS MATERIALIZED (SELECT r, lang, source, unnest(w) AS term FROM docs),
+kept AS MATERIALIZED (SELECT lang, term, count(*) AS all_n FROM said GROUP BY 1, 2 HAVING count(DISTINCT r) >= {least_docs}),
+langs AS (SELECT lang, count(*) AS v, sum(all_n) AS lang_n FROM kept GROUP BY 1),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM said JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+own AS (SELECT lang, source, sum(n) AS own_n FROM counts GROUP BY 1, 2),
+cells AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, {share.format(n='coalesce(c.n, 0)', total='coalesce(o.own_n, 0)')} AS p,
+    {share.format(n='k.all_n', total='l.lang_n')} AS q
+  FROM groups g JOIN kept k ON k.lang = g.lang JOIN langs l ON l.lang = g.lang
+    LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (SELECT lang, source, item, sum({far}) AS value FROM (
+  SELECT a.lang, a.source, b.source AS item, a.p, b.p AS q FROM cells a JOIN cells b
+    ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source) GROUP BY 1, 2, 3),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value FROM groups a
+    JOIN groups b ON b.lang = a.lang AND b.source <> a.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, {far} FROM cells WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+WHERE part = 'pair' OR rank <= {top_terms}"""
+
+
 def _re2(pattern: str) -> str:
     """A rule's expression for RE2, whose ``(?i)`` would fold more letters than ASCII ones."""
     if pattern.startswith("(?i)"):

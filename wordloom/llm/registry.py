@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from wordloom.llm import (
     decontam,
+    divergence,
     exact,
     extract,
     langid,
@@ -12,6 +13,7 @@ from wordloom.llm import (
     quality,
     secrets,
     simhash,
+    spelling,
     substrings,
     surrogates,
     transcripts,
@@ -29,4 +31,6 @@ REGISTRY = {
     "op9_simhash": (simhash.op9_simhash, None),
     "op10_substrings": (substrings.op10_substrings, oracles.substrings()),
     "op11_exact": (exact.op11_exact, oracles.exact_duplicates()),
+    "op12_divergence": (divergence.op12_divergence, oracles.divergence()),
+    "op13_spelling": (spelling.op13_spelling, None),  # SQL has no crc32
 }
