@@ -129,3 +129,42 @@ def test_lexicographic_order_and_label_profile(emb):
     p = {r.label: r for r in VX.label_profile(df).collect()}
     x = np.array([r[1] for r in rows if r[2] == 1])
     assert p[1].n == len(x) and np.isclose(p[1].vmax, x.max()) and np.isclose(p[1].mean_sum, x.sum(axis=1).mean())
+
+
+def _coordinates(spark, m, path=None):
+    df = spark.createDataFrame([(int(i), int(j), float(m[i, j])) for i, j in zip(*np.nonzero(m))], "i bigint, j bigint, v double")
+    if path:
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+    return df
+
+
+def _dense(df, shape):
+    out = np.full(shape, np.nan)
+    for r in df.collect():
+        assert np.isnan(out[r.i, r.j])
+        out[r.i, r.j] = r.v
+    return out
+
+
+@pytest.mark.parametrize("bits", [10, 2])
+def test_products_of_one_stored_table(spark, scratch, monkeypatch, bits):
+    monkeypatch.setattr(VX, "BLOCK_BITS", bits)
+    rng = np.random.default_rng(0)
+    m = rng.normal(size=(13, 13)) * (rng.random((13, 13)) < 0.4)
+    a = _coordinates(spark, m, f"{scratch}/a")
+    for left, right, want in ((a, a, (m, m)), (VX.transpose(a), a, (m.T, m)), (a, VX.transpose(a), (m, m.T))):
+        got = _dense(VX.matrix_multiply(left, right), (13, 13))
+        terms = (want[0] != 0).astype(int) @ (want[1] != 0)
+        assert (np.isnan(got) == (terms == 0)).all() and np.allclose(np.nan_to_num(got), want[0] @ want[1])
+
+
+def test_sparse_products_stay_sparse(spark, monkeypatch):
+    one = spark.range(300).selectExpr("id AS i", "id AS j", "1.0D AS v")
+    rows = VX.matrix_multiply(one, one).collect()
+    assert len(rows) == 300 and all(r.i == r.j and r.v == 1 for r in rows)
+    cancel = spark.createDataFrame([(0, 0, 1.0), (0, 1, -1.0), (0, 1, 0.0), (-5000, 0, 2.0)], "i bigint, j bigint, v double")
+    ones = spark.createDataFrame([(0, 7, 1.0), (1, 7, 1.0)], "i bigint, j bigint, v double")
+    got = {(r.i, r.j): r.v for r in VX.matrix_multiply(cancel, ones).collect()}
+    assert got == {(0, 7): 0.0, (-5000, 7): 2.0}  # a sum of zero is a cell, as in a join
+    assert VX.matrix_multiply(one, one.limit(0)).count() == 0

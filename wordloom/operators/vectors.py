@@ -241,31 +241,51 @@ def project_vectors(vectors: DataFrame, matrix: list[list[float]]) -> DataFrame:
     return vectors.select("vec_id", "label", product("embedding").alias("y"))
 
 
-#: Inner indices that one task multiplies at once.
-INNER_BLOCK = 1024
+#: Side of a block of a matrix product, as a power of two: a task holds one block of each factor.
+BLOCK_BITS = 10
+
+
+def _block_product(rows: pd.DataFrame) -> pd.DataFrame:
+    """The product of two blocks from rows (second, r, c, v): (i, j, v) of the cells that have a term."""
+    second = rows["second"].to_numpy()
+    x, y = rows[~second], rows[second]
+    outer, i = np.unique(x["r"].to_numpy(), return_inverse=True)
+    last, j = np.unique(y["c"].to_numpy(), return_inverse=True)
+    inner = np.intersect1d(x["c"].to_numpy(), y["r"].to_numpy())
+    left, right = np.zeros((len(outer), len(inner))), np.zeros((len(inner), len(last)))
+    has_left, has_right = (np.zeros(m.shape, np.float32) for m in (left, right))
+    for m, has, at, k, v in ((left, has_left, i, x["c"], x["v"]), (right.T, has_right.T, j, y["r"], y["v"])):
+        place = np.minimum(np.searchsorted(inner, k), max(len(inner) - 1, 0))
+        met = inner[place] == k.to_numpy() if len(inner) else np.zeros(len(k), bool)
+        np.add.at(m, (at[met], place[met]), v.to_numpy()[met])
+        has[at[met], place[met]] = 1
+    a, b = np.nonzero(has_left @ has_right)
+    return pd.DataFrame({"i": outer[a], "j": last[b], "v": (left @ right)[a, b]})
 
 
 def matrix_multiply(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Coordinate matrices A(i, j, v) x B(i, j, v) -> C(i, j, v), with integer indices.
-
-    Both are dealt by blocks of the inner index; a block's product is summed in
-    numpy and gives each (i, j) once, so what is shuffled for the final sum is
-    one matrix per block, not one cell per inner index.
+    """Coordinate matrices A(i, j, v) x B(i, j, v) -> C(i, j, v), with integer indices; repeated cells add up.
+
+    Both are cut into square blocks. The lists of blocks that have cells are
+    joined on the inner block, which gives the grid of block products (row
+    block, inner block, column block) and how often each block is sent; a task
+    multiplies one block by one block. C has the cells for which some inner
+    index has both factors, as a join of the cells has; their sums over the
+    inner blocks are added. A and B may come from the same table.
     """
-    def block(df, inner):
-        return df.select("i", "j", "v", F.floor(F.col(inner) / INNER_BLOCK).alias("block")).groupBy("block")
-
-    def product(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        inner = np.intersect1d(x["j"], y["i"])
-        x, y = x[np.isin(x["j"], inner)], y[np.isin(y["i"], inner)]
-        rows, r = np.unique(x["i"].to_numpy(), return_inverse=True)
-        cols, c = np.unique(y["j"].to_numpy(), return_inverse=True)
-        left, right = np.zeros((len(rows), len(inner))), np.zeros((len(inner), len(cols)))
-        np.add.at(left, (r, np.searchsorted(inner, x["j"])), x["v"].to_numpy())
-        np.add.at(right, (np.searchsorted(inner, y["i"]), c), y["v"].to_numpy())
-        return pd.DataFrame({"i": np.repeat(rows, len(cols)), "j": np.tile(cols, len(rows)), "v": (left @ right).ravel()})
-
-    parts = block(a, "j").cogroup(block(b, "i")).applyInPandas(product, "i bigint, j bigint, v double")
+    def cut(df, second):
+        cell = df.select(F.col("i").cast("bigint").alias("r"), F.col("j").cast("bigint").alias("c"),
+                         F.col("v").cast("double").alias("v"))
+        rb, cb = F.shiftright("r", BLOCK_BITS), F.shiftright("c", BLOCK_BITS)
+        return stored(cell.select("r", "c", "v", (cb if second else rb).alias("side"), (rb if second else cb).alias("inner")),
+                      "matrix-cells")
+
+    x, y = cut(a, False), cut(b, True)
+    grid = stored(x.select(F.col("side").alias("ib"), "inner").distinct().join(
+        y.select(F.col("side").alias("jb"), "inner").distinct(), "inner"), "block-grid")
+    first = x.withColumnRenamed("side", "ib").join(grid, ["ib", "inner"]).withColumn("second", F.lit(False))
+    other = y.withColumnRenamed("side", "jb").join(grid, ["jb", "inner"]).withColumn("second", F.lit(True))
+    parts = first.unionByName(other).groupBy("ib", "inner", "jb").applyInPandas(_block_product, "i bigint, j bigint, v double")
     return parts.groupBy("i", "j").agg(F.sum("v").alias("v"))
 
 

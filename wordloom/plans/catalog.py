@@ -19,6 +19,7 @@ from wordloom.functions import text as T
 from wordloom.functions import vecmath as V
 from wordloom.operators import bpe as B
 from wordloom.operators import encode as E
+from wordloom.operators import nearness as NN
 from wordloom.operators import sgns as G
 from wordloom.operators import skipgram as S
 from wordloom.operators import vectors as VX
@@ -877,6 +878,24 @@ SQL_KNN_EXACT = (
 )
 
 
+RADIUS = 1.125  # of the similarity join
+
+
+def q_similarity_join(spark, sf):
+    """V3: every vector's component and number of links at a distance of at most RADIUS, exact."""
+    return NN.similarity_join(_emb(spark, sf), RADIUS)
+
+
+SQL_SIMILARITY_JOIN = (
+    f"WITH RECURSIVE {_CELLS}, links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM cells a JOIN cells b "
+    f"ON b.i = a.i AND b.vec_id <> a.vec_id GROUP BY 1, 2 HAVING sum((a.v - b.v) * (a.v - b.v)) <= {RADIUS * RADIUS}), "
+    "reached(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b), "
+    "least AS (SELECT a, min(b) AS b FROM reached GROUP BY 1), counts AS (SELECT a, count(*) AS n FROM links GROUP BY 1) "
+    "SELECT e.vec_id, least(e.vec_id, coalesce(l.b, e.vec_id)) AS component_id, coalesce(c.n, 0)::BIGINT AS n_links "
+    "FROM embeddings e LEFT JOIN least l ON l.a = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id"
+)
+
+
 def q_cluster_summary(spark, sf):
     s = VX.cluster_summary(VX.assign_nearest(_emb(spark, sf)))
     return s.select("nearest", "n", _r("mean_dist").alias("mean_dist"), F.col("same_label").cast("bigint").alias("same_label"))
@@ -1097,6 +1116,22 @@ SQL_MATRIX_MULTIPLY = (
 )
 
 
+def q_matrix_chain(spark, sf):
+    """(X^T X)(X^T X) with the first product stored and multiplied by itself."""
+    c = VX.cells(_emb(spark, sf), extra=())
+    x = c.select(F.col("vec_id").alias("i"), F.col("i").alias("j"), "v")
+    g = stored(VX.matrix_multiply(VX.transpose(x), x), "gram")
+    p = VX.matrix_multiply(g, g)
+    return p.select(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"), _r("v", 4).alias("v"))
+
+
+SQL_MATRIX_CHAIN = (
+    f"WITH {_CELLS}, g AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.v * b.v) AS v "
+    "FROM cells a JOIN cells b ON a.vec_id = b.vec_id GROUP BY 1, 2) "
+    "SELECT a.i::BIGINT AS i, b.j::BIGINT AS j, round(sum(a.v * b.v), 4) AS v FROM g a JOIN g b ON b.i = a.j GROUP BY 1, 2"
+)
+
+
 def q_gram_matrix(spark, sf):
     g = VX.gram_matrix(_emb(spark, sf), centered=True)
     return g.select(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"), _r("v").alias("v"))
@@ -1193,6 +1228,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "norm_quantiles": (q_norm_quantiles, SQL_NORM_QUANTILES),
     "centroids": (q_centroids, SQL_CENTROIDS),
     "assign_nearest": (q_assign_nearest, SQL_ASSIGN_NEAREST),
+    "similarity_join": (q_similarity_join, SQL_SIMILARITY_JOIN),
     "cluster_summary": (q_cluster_summary, SQL_CLUSTER_SUMMARY),
     "knn_exact": (q_knn_exact, SQL_KNN_EXACT),
     "vector_profile": (q_vector_profile, SQL_VECTOR_PROFILE),
@@ -1209,6 +1245,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "truncate_vectors": (q_truncate_vectors, SQL_TRUNCATE_VECTORS),
     "project_vectors": (q_project_vectors, SQL_PROJECT_VECTORS),
     "matrix_multiply": (q_matrix_multiply, SQL_MATRIX_MULTIPLY),
+    "matrix_chain": (q_matrix_chain, SQL_MATRIX_CHAIN),
     "gram_matrix": (q_gram_matrix, SQL_GRAM_MATRIX),
     "gram_trace": (q_gram_trace, SQL_GRAM_TRACE),
 }
