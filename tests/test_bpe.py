@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -77,3 +78,66 @@ def test_batched_equals_brute_force(spark):
         m = rnd.randint(8, 30)
         model = train_bpe(docs(spark, " ".join(words)), m)
         assert [(a, b) for a, b, _ in model.rules] == _python_bpe(words, m)
+
+
+def _indexed_bpe(freq, m):
+    """The same trainer with counts kept up to date word by word, for larger inputs."""
+    from collections import Counter, defaultdict
+
+    state = {w: [*w, "</w>"] for w in freq}
+    pairs, where, tokens = Counter(), defaultdict(set), Counter()
+
+    def count(w, sign):
+        k = state[w]
+        for t in k:
+            tokens[t] += sign * freq[w]
+        for p in zip(k, k[1:]):
+            pairs[p] += sign * freq[w]
+            where[p].add(w)
+
+    for w in freq:
+        count(w, 1)
+    rules = []
+    while sum(n > 0 for n in tokens.values()) + 2 < m:
+        (a, b), n = min(pairs.items(), key=lambda x: (-x[1], x[0]), default=((None, None), 0))
+        if n < 2:
+            break
+        rules.append((a, b, n))
+        for w in list(where[a, b]):
+            count(w, -1)
+            out = []
+            for t in state[w]:
+                if out and out[-1] == a and t == b and not joined:
+                    out[-1] = a + b
+                    joined = True
+                else:
+                    out.append(t)
+                    joined = False
+            state[w] = out
+            count(w, 1)
+        pairs = +pairs
+    return rules
+
+
+@pytest.mark.parametrize("held", [200_000, 40])
+def test_a_thousand_tokens(spark, held):
+    """m = 1000 on all documents of the smallest table; with few counts held the words are counted again."""
+    from collections import Counter
+
+    path = "/root/testdata/sf0.001/documents.parquet"
+    df = spark.read.parquet(path).repartition(4)
+    m = 1000 if held > 1000 else 150
+    model = train_bpe(df, m, held_pairs=held)
+    words = re.findall("[A-Za-z]+", " ".join(r.text for r in df.select("text").collect()))
+    assert model.rules == _indexed_bpe(Counter(w.lower() for w in words), m)
+    assert model.recounts > 0 if held < 1000 else model.recounts == 0
+    assert model.passes < len(model.rules) and model.sizes[-1] <= m
+
+
+def test_repeated_letters_and_one_at_a_time(spark):
+    text = "aaaa aaaa aaa aabaab baab bbbb bbb abab " * 3
+    want = _python_bpe(text.split(), 14)
+    for batched in (True, False):
+        assert [(a, b) for a, b, _ in train_bpe(docs(spark, text), 14, batched=batched).rules] == want
+    assert [(a, b) for a, b, _ in train_bpe(docs(spark, text), 14, max_merges=3).rules] == want[:3]
+    assert [(a, b) for a, b, _ in train_bpe(docs(spark, text), 14, held_pairs=1).rules] == want

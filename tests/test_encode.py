@@ -124,3 +124,29 @@ def test_offsets_in_many_buckets(spark, monkeypatch):
     for i, k in rows:
         want[i], at = at, at + len(k)
     assert {r.doc_id: r.offset for r in E.doc_offsets(df).collect()} == want
+
+
+def test_long_words_and_many_rules():
+    """A run of a million letters under 30,000 rules: the work grows with the letters, not with the rules."""
+    import time
+
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rules = [(a, b) for a in letters for b in letters]
+    rules += [(a + b, c) for a, b in rules for c in letters] + [(a + b, c + d) for a, b in rules[:150] for c, d in rules[:80]]
+    encoder, word = E.Encoder(rules[:30_000]), "".join(rng.choices(letters, k=1_000_000))
+    start = time.time()
+    assert "".join(encoder.word(word)) == word + "</w>"
+    assert time.time() - start < 60
+    short = E.Encoder(rules[:30_000]).word(word[:400])
+    assert short == _replayed(word[:400], rules[:30_000])
+
+
+def test_ids_in_one_pass(spark, tiny_model):
+    df = docs(spark, "lowest lower", "slow", "lo", "", None, "LOW 12 low")
+    want = E.with_ids(E.encode_documents(df, _rules(tiny_model), keep=["text"]), tiny_model.vocab)
+    both = E.encode_to_ids(df, _rules(tiny_model), tiny_model.vocab, keep=["text"], tokens=True)
+    assert both.columns == want.columns and sorted(both.collect(), key=str) == sorted(want.collect(), key=str)
+    ids = E.encode_to_ids(df, _rules(tiny_model), tiny_model.vocab)
+    assert sorted(ids.collect()) == sorted(want.select("doc_id", "ids").collect())
+    assert sorted(E.doc_offsets(ids).collect()) == sorted(E.doc_offsets(want.drop("ids")).collect())

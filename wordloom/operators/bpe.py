@@ -1,10 +1,17 @@
-"""B1: byte-pair-encoding merge training as a loop of distributed passes.
+"""B1: byte-pair-encoding merge training over an index from letter pairs to words.
 
-The pairs and tokens of the *distinct* words (weighted by word frequency) are
-counted once. Each pass brings the top pairs and the tokens in use to the driver
-(bounded by ``top_k`` and by the target size), applies a batch of merges to the
-words, and corrects the counts by the words that changed: their old pairs are
-taken off, their new ones added, combined map-side.
+The distinct words, weighted by their frequency, are indexed once by their
+adjacent letters: rows (letter pair, word), sorted and cached. A pass chooses a
+batch of merges. The words that a merge changes hold its merged string, so they
+are among the words of any letter pair in it: the rarest one is looked up, and
+the rules are replayed on what holds the string, with and without the batch. The
+pairs and tokens that these words lose and gain are summed. The index never
+changes, and a pass reads no state of the pass before it.
+
+The counts of the most frequent pairs (``HELD_PAIRS``) and of the tokens in use
+(at most the target size) are kept by the driver. No other pair can have a count
+above a known bound; when the best count is not above it, all words are counted
+again.
 
 A batch holds several merges only when that provably gives the same rules
 as merging one pair at a time (see ``_choose_batch``).
@@ -12,17 +19,26 @@ as merging one pair at a time (see ``_choose_batch``).
 
 from __future__ import annotations
 
+import heapq
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions import text as T
 from wordloom.operators import words as W
-from wordloom.session import durable, ensure_checkpoint_dir
+from wordloom.operators.encode import Encoder, encode_words
+from wordloom.session import ensure_checkpoint_dir, stored
 
 MERGES_SCHEMA = "rank int, a string, b string, merged string, n bigint"
+#: Pairs whose counts the driver keeps, and those of them that a batch is chosen from.
+HELD_PAIRS, TOP_PAIRS = 200_000, 2000
+#: The end of a word in the index.
+STOP = "$"
 
 
 @dataclass
@@ -33,33 +49,10 @@ class BpeModel:
     rules: list = field(default_factory=list)  # [(a, b, n)] in rank order
     passes: int = 0
     sizes: list = field(default_factory=list)  # vocabulary size before each pass
+    recounts: int = 0  # how often all words were counted
 
 
-def _usage(spaced):
-    """What a word contributes: its adjacent pairs (a, b) and its tokens (a, null)."""
-    tokens = T.token_array(spaced)
-    alone = F.transform(tokens, lambda x: F.struct(x.alias("a"), F.lit(None).cast("string").alias("b")))
-    return F.concat(T.adjacent_pairs(tokens), alone)
-
-
-def _counted(rows: DataFrame) -> DataFrame:
-    """``rows(n, r)`` summed per pair or token; what has no occurrence left is dropped."""
-    return rows.groupBy(F.col("r.a").alias("a"), F.col("r.b").alias("b")).agg(F.sum("n").alias("n")).where("n > 0")
-
-
-def _summary(counts: DataFrame, top_k: int):
-    """The ``top_k`` most frequent pairs, whether there are more, and the tokens in use -- one small collect.
-
-    Tokens in use are at most the target size, the pairs at most ``top_k``.
-    """
-    top = counts.where("b IS NOT NULL").orderBy(F.desc("n"), "a", "b").limit(top_k + 1)
-    rows = top.unionByName(counts.where("b IS NULL")).collect()
-    pairs = sorted(((r.a, r.b, r.n) for r in rows if r.b is not None),
-                   key=lambda x: (-x[2], x[0].encode(), x[1].encode()))
-    return pairs[:top_k], len(pairs) > top_k, {r.a for r in rows if r.b is None}
-
-
-def _choose_batch(pairs, more: bool, tokens, room: int):
+def _choose_batch(pairs, last: int, tokens, room: int):
     """Longest prefix of the sorted pairs that one-at-a-time training would also pick.
 
     Pair p_j may follow p_1..p_{j-1} when
@@ -72,15 +65,13 @@ def _choose_batch(pairs, more: bool, tokens, room: int):
     exists (or repeats in the batch) closes the batch.  ``room`` = m - size
     bounds the batch so that the size test ``size < m`` holds before each merge.
 
-    Counts that reach p_j's are all in the list, unless it is cut off (``more``)
-    at that very count: then the batch ends before it.
+    ``last`` bounds the counts of pairs that are not in the list: the batch ends before it.
     """
     left: dict = {}  # the highest count of a pair that begins (ends) with a symbol
     right: dict = {}
     for a, b, n in pairs:
         left.setdefault(a, n)
         right.setdefault(b, n)
-    last = pairs[-1][2] if more else 0
     batch = []
     used: set = set()
     made: set = set()
@@ -100,15 +91,115 @@ def _choose_batch(pairs, more: bool, tokens, room: int):
     return batch
 
 
-def train_bpe(
-    docs: DataFrame,
-    target_size: int,
-    text: str = "text",
-    top_k: int = 2000,
-    checkpoint_every: int = 8,
-    max_merges: int | None = None,
-    batched: bool = True,
-) -> BpeModel:
+class Counts:
+    """Counts of pairs and of tokens in use, as far as the driver holds them."""
+
+    def __init__(self, rows, held: int):
+        self.held = held
+        self.tokens: Counter = Counter({a: n for a, b, n in rows if b is None})
+        self.pairs = {(a, b): n for a, b, n in rows if b is not None}
+        self.bound = 0  # no pair that is not held has a higher count
+        self.fresh = True
+        self._prune(held)
+
+    def _prune(self, most: int) -> None:
+        if len(self.pairs) > most:
+            kept = heapq.nlargest(self.held, self.pairs.items(), key=lambda x: x[1])
+            self.bound = max(self.bound, kept[-1][1])
+            self.pairs = dict(kept)
+
+    def add(self, rows) -> None:
+        """Changes ``(a, b, n)`` of one pass; ``b`` is null for a token."""
+        self.fresh = False
+        new = {a for a, b, n in rows if b is None and self.tokens[a] == 0}
+        for a, b, n in rows:
+            if b is None:
+                self.tokens[a] += n
+            elif (a, b) in self.pairs or not self.bound or a in new or b in new:
+                now = self.pairs.get((a, b), 0) + n  # a pair with a new token has no other occurrences
+                if now > 0:
+                    self.pairs[a, b] = now
+                else:
+                    self.pairs.pop((a, b), None)
+            elif n > 0:
+                self.bound += n  # some pair that is not held has gained
+        self.tokens = +self.tokens
+        self._prune(2 * self.held)
+
+    def top(self, count: int = TOP_PAIRS):
+        """The most frequent pairs in order, and a bound for all others."""
+        best = heapq.nsmallest(count + 1, self.pairs.items(), key=lambda x: (-x[1], x[0][0].encode(), x[0][1].encode()))
+        rest = best[count][1] if len(best) > count else 0
+        return [(a, b, n) for (a, b), n in best[:count]], max(rest, self.bound)
+
+
+def _counted(words: DataFrame, rules, held: int) -> Counts:
+    """Pairs and tokens of all words under ``rules``: the ``held`` most frequent pairs, and all tokens."""
+    tokens = encode_words(words, rules, keep=["n"]) if rules else words.select(
+        "n", T.token_array(T.spaced_word("word")).alias("tokens"))
+    alone = F.transform("tokens", lambda x: F.struct(x.alias("a"), F.lit(None).cast("string").alias("b")))
+    rows = tokens.select("n", F.explode(F.concat(T.adjacent_pairs("tokens"), alone)).alias("r")).groupBy(
+        "r.a", "r.b").agg(F.sum("n").alias("n"))
+    rows = stored(rows, "pair-counts")
+    top = rows.where("b IS NOT NULL").orderBy(F.desc("n")).limit(held + 1)
+    return Counts([tuple(r) for r in top.unionByName(rows.where("b IS NULL")).collect()], held)
+
+
+def _changes(rules, batch):
+    """What words lose and gain by the batch: (a, b, n), with a null ``b`` for tokens."""
+    pairs = [(a, b) for a, b, _ in rules]
+    swaps = [(f" {a}{T.SEP}{b} ", f" {a}{b} ") for a, b, _ in batch]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(pairs)
+        tally: Counter = Counter()
+        for rows in batches:
+            for word, n in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+                old = encoder.replay(word)
+                spaced = f" {T.SEP.join(old)} "
+                for pair, merged in swaps:
+                    spaced = spaced.replace(pair, merged)
+                new = spaced[1:-1].split(T.SEP)
+                if len(new) == len(old):
+                    continue
+                for sign, tokens in ((-n, old), (n, new)):
+                    for t in tokens:
+                        tally[t, None] += sign
+                    for pair in zip(tokens, tokens[1:]):
+                        tally[pair] += sign
+        left = [(a, b, n) for (a, b), n in tally.items() if n]
+        if left:
+            a, b, n = zip(*left, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(n, pa.int64())],
+                                             ["a", "b", "n"])
+
+    return run
+
+
+class LetterIndex:
+    """Rows ``(pair, word, n)``: words by their adjacent letters, the last one with ``STOP``."""
+
+    def __init__(self, words: DataFrame):
+        marked = F.concat("word", F.lit(STOP))
+        pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substring(marked, i, F.lit(2))))
+        rows = words.select(F.explode(pairs).alias("pair"), "word", "n")
+        parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # a word's rows are in one partition; sorted, so that a lookup skips most of the cached rows
+        self.rows = rows.repartition(parts, "word").sortWithinPartitions("pair").persist(StorageLevel.MEMORY_AND_DISK)
+        self.sizes = {r.pair: r["count"] for r in self.rows.groupBy("pair").count().collect()}  # of 27 letters
+
+    def lookup(self, batch) -> DataFrame:
+        """``(word, n)``: the words that hold a merged string of the batch, each once."""
+        wanted = F.lit(False)
+        for a, b, _ in batch:
+            held = (a + b).replace(T.WORD_END, STOP)
+            rarest = min((held[i : i + 2] for i in range(len(held) - 1)), key=lambda p: self.sizes.get(p, 0))
+            wanted |= (F.col("pair") == rarest) & F.concat("word", F.lit(STOP)).contains(held)
+        return self.rows.where(wanted).dropDuplicates(["word"]).select("word", "n")
+
+
+def train_bpe(docs: DataFrame, target_size: int, text: str = "text", max_merges: int | None = None, batched: bool = True,
+              held_pairs: int = HELD_PAIRS) -> BpeModel:
     """Learn merge rules until the vocabulary reaches ``target_size``.
 
     Stops also when no pair is left or the best count is below 2.  The
@@ -118,23 +209,21 @@ def train_bpe(
         raise ValueError("target vocabulary size must be a positive integer")
     spark: SparkSession = docs.sparkSession
     ensure_checkpoint_dir(spark)
-    # distinct words spread over all shuffle partitions: the loop is CPU work on a small table
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    state = (
-        W.start_state(W.word_frequency(docs, text)).repartition(parts, "word").persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    counts = _counted(state.select("n", F.explode(_usage("t")).alias("r"))).persist(StorageLevel.MEMORY_AND_DISK)
+    words = stored(W.word_frequency(docs, text), "distinct-words")
+    counts = _counted(words, [], held_pairs)
+    index = None
     rules: list[tuple[str, str, int]] = []
     sizes: list[int] = []
-    passes = 0
-    old: list[DataFrame] = []
-    base = state  # what the state's plan reads from the cache
+    passes = recounts = 0
     while True:
-        pairs, more, tokens = _summary(counts, top_k)
-        for df in old:  # their successors are materialized now
-            df.unpersist()
-        old = []
-        size = len(tokens) + 2  # + <PAD>, <END>
+        size = len(counts.tokens) + 2  # + <PAD>, <END>
+        pairs, last = counts.top()
+        while size < target_size and counts.bound >= max(2, pairs[0][2] if pairs else 0):
+            if counts.fresh:
+                held_pairs *= 2  # more pairs share the best count than were held
+            counts = _counted(words, [(a, b) for a, b, _ in rules], held_pairs)
+            recounts += 1
+            pairs, last = counts.top()
         sizes.append(size)
         if size >= target_size or not pairs or pairs[0][2] < 2:
             break
@@ -143,31 +232,20 @@ def train_bpe(
             room = min(room, max_merges - len(rules))
             if room <= 0:
                 break
-        batch = _choose_batch(pairs, more, tokens, room) if batched else [pairs[0]]
+        batch = _choose_batch(pairs, last, counts.tokens, room) if batched else [pairs[0]]
         passes += 1
+        index = index or LetterIndex(words)
+        moved = index.lookup(batch).mapInArrow(_changes(rules, batch), "a string, b string, n bigint").groupBy("a", "b").agg(
+            F.sum("n").alias("n")).collect()  # at most the pairs that hold a token of the batch
+        counts.add([tuple(r) for r in moved])
         rules.extend(batch)
-        merged = T.apply_rules("t", [(a, b) for a, b, _ in batch])
-        moved = state.select("word", "n", F.col("t").alias("before"), merged.alias("t")).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        # only words that a merge changed are counted again: their old share goes, the new one comes
-        changed = moved.where("before <> t")
-        delta = changed.select((-F.col("n")).alias("n"), F.explode(_usage("before")).alias("r")).unionByName(
-            changed.select("n", F.explode(_usage("t")).alias("r")))
-        kept = counts.select("n", F.struct("a", "b").alias("r"))
-        summed = _counted(kept.unionByName(delta))
-        old = [base, counts]
-        state, base = moved.select("word", "n", "t"), moved
-        if passes % checkpoint_every == 0:
-            # reliable checkpoints in the shared checkpoint folder cut the lineage
-            counts, state = durable(summed), durable(state)
-            old.append(moved)
-            base = state
-        else:
-            counts = summed.persist(StorageLevel.MEMORY_AND_DISK)
-    counts.unpersist()
-    merges = spark.createDataFrame(
-        [(i + 1, a, b, a + b, n) for i, (a, b, n) in enumerate(rules)], MERGES_SCHEMA
-    )
+    if index is not None:
+        index.rows.unpersist()
+    merges = spark.createDataFrame([(i + 1, a, b, a + b, n) for i, (a, b, n) in enumerate(rules)], MERGES_SCHEMA)
     # the vocabulary (at most m rows) is written once; every later lookup reads it
-    vocab = durable(W.vocabulary(state))
-    return BpeModel(merges=merges, vocab=vocab, state=state, rules=rules, passes=passes, sizes=sizes)
+    tokens = sorted(t for t in counts.tokens if t not in (T.PAD, T.END))
+    vocab = stored(spark.createDataFrame([(0, T.PAD), (1, T.END), *[(i + 2, t) for i, t in enumerate(tokens)]],
+                                         "token_id bigint, token string"), "vocabulary")
+    state = encode_words(words, [(a, b) for a, b, _ in rules], keep=["n"]).select(
+        "word", "n", F.concat(F.lit(" "), F.array_join("tokens", T.SEP), F.lit(" ")).alias("t"))
+    return BpeModel(merges, vocab, state, rules, passes, sizes, recounts)

@@ -13,8 +13,11 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
+from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,46 +33,49 @@ _WORDS = re.compile("[A-Za-z]+")
 
 
 class Encoder:
-    """Replays merge rules on words: each rule once, in order, on all its places from left to right."""
+    """Replays merge rules on words: each rule once, in order, on all its places from left to right.
+
+    The places where a rule could be applied wait in a heap by (rank, place), and
+    the tokens are a linked list, so the work grows with the letters of a word
+    and not with the rules.
+    """
 
     def __init__(self, rules: Sequence[tuple[str, str]]):
+        self.rules = list(rules)
         self.ranks: dict[tuple[str, str], list[int]] = {}
-        for rank, (a, b) in enumerate(rules):
-            self.ranks.setdefault((a, b), []).append(rank)
+        for rank, pair in enumerate(self.rules):
+            self.ranks.setdefault(pair, []).append(rank)
         self.memory: dict[str, list[str]] = {}
 
-    def _replay(self, word: str) -> list[str]:
-        tokens = [*word, WORD_END]
-        done = -1
-        while len(tokens) > 1:
-            # the next rule in order that has a place: rules in between change nothing
-            best = None
-            for pair in zip(tokens, tokens[1:]):
-                ranks = self.ranks.get(pair)
-                if ranks and ranks[-1] > done:
-                    rank = ranks[bisect_right(ranks, done)]
-                    if best is None or rank < best[0]:
-                        best = (rank, pair)
-            if best is None:
-                break
-            done, (a, b) = best
-            out, i = [], 0
-            while i < len(tokens):
-                if i + 1 < len(tokens) and tokens[i] == a and tokens[i + 1] == b:
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(tokens[i])
-                    i += 1
-            tokens = out
-        return tokens
+    def replay(self, word: str) -> list[str]:
+        tokens: list = [*word, WORD_END]
+        end = len(tokens)
+        after, before = [*range(1, end + 1)], [*range(-1, end - 1)]
+        ranks = self.ranks
+        heap = [(r[0], i) for i, pair in enumerate(zip(tokens, tokens[1:])) if (r := ranks.get(pair))]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i]
+            if j >= end or (tokens[i], tokens[j]) != self.rules[rank]:
+                continue  # one of the two has been merged meanwhile
+            tokens[i] += tokens[j]
+            tokens[j] = None
+            after[i] = k = after[j]
+            h = before[i]
+            if k < end:
+                before[k] = i
+            for x, y in ((h, i), (i, k)):
+                if 0 <= x and y < end and (r := ranks.get((tokens[x], tokens[y]))) and r[-1] > rank:
+                    heappush(heap, (r[bisect_right(r, rank)], x))  # rules before this one have had their turn
+        return [t for t in tokens if t is not None]
 
     def word(self, word: str) -> list[str]:
         found = self.memory.get(word)
         if found is None:
             if len(self.memory) >= REMEMBERED:
                 self.memory.clear()
-            found = self.memory[word] = self._replay(word)
+            found = self.memory[word] = self.replay(word)
         return found
 
     def text(self, text: str | None) -> list[str]:
@@ -88,22 +94,35 @@ def _rule_pairs(rules) -> list[tuple[str, str]]:
     return out
 
 
+def _lists(flat: list, sizes: list[int], kind: pa.DataType) -> pa.Array:
+    """Lists of the given sizes, cut from one flat list."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(flat, kind))
+
+
 def _encoding(rules, whole_text: bool):
     pairs = _rule_pairs(rules)
 
-    @F.pandas_udf("array<string>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(pairs)
-        one = encoder.text if whole_text else lambda w: None if w is None else list(encoder.word(w))
         for rows in batches:
-            yield pd.Series([one(x) for x in rows], dtype=object)
+            if whole_text:
+                flat, sizes = [], []
+                for text in rows.to_pylist():
+                    sizes.append(-len(flat))
+                    for w in _WORDS.findall(text or ""):
+                        flat += encoder.word(w.lower())
+                    sizes[-1] += len(flat)
+                yield _lists(flat, sizes, pa.string())
+            else:
+                yield pa.array([None if w is None else encoder.word(w) for w in rows.to_pylist()], pa.list_(pa.string()))
 
     return run
 
 
-def encode_words(words: DataFrame, rules: Sequence, word: str = "word") -> DataFrame:
-    """E1 on a table of words: ``(word, tokens ARRAY<STRING>)``; each rule is replayed once, in order."""
-    return words.select(F.col(word).alias("word"), _encoding(rules, False)(F.col(word)).alias("tokens"))
+def encode_words(words: DataFrame, rules: Sequence, word: str = "word", keep: Sequence[str | Column] = ()) -> DataFrame:
+    """E1 on a table of words: ``(word, *keep, tokens ARRAY<STRING>)``; each rule is replayed once, in order."""
+    return words.select(F.col(word).alias("word"), *keep, _encoding(rules, False)(F.col(word)).alias("tokens"))
 
 
 def encode_documents(docs: DataFrame, rules: Sequence, text: str = "text", key: str = "doc_id",
@@ -112,6 +131,44 @@ def encode_documents(docs: DataFrame, rules: Sequence, text: str = "text", key:
     return docs.select(F.col(key).alias("doc_id"), *keep, _encoding(rules, True)(F.col(text)).alias("tokens"))
 
 
+def encode_to_ids(docs: DataFrame, rules: Sequence, vocab: DataFrame, text: str = "text", key: str = "doc_id",
+                  keep: Sequence[str | Column] = (), tokens: bool = False) -> DataFrame:
+    """E3 in one pass: ``(doc_id, *keep, ids)``, with ``tokens`` also the tokens; those without an id are dropped.
+
+    A task remembers the ids of a word, so the tokens of a text are not looked up one by one.
+    """
+    pairs = _rule_pairs(rules)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary_map(vocab))
+
+    @F.arrow_udf("struct<tokens:array<string>,ids:array<bigint>>" if tokens else "struct<ids:array<bigint>>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, numbers = Encoder(pairs), shared.value
+        known: dict[str, tuple[list[str], list[int]]] = {}
+        for rows in batches:
+            flat_tokens, flat_ids, sizes = [], [], []
+            for row in rows.to_pylist():
+                sizes.append(-len(flat_ids))
+                for w in _WORDS.findall(row or ""):
+                    found = known.get(w)
+                    if found is None:
+                        if len(known) >= REMEMBERED:
+                            known.clear()
+                        kept = [t for t in encoder.word(w.lower()) if t in numbers]
+                        found = known[w] = kept, [numbers[t] for t in kept]
+                    if tokens:
+                        flat_tokens += found[0]
+                    flat_ids += found[1]
+                sizes[-1] += len(flat_ids)
+            ids = _lists(flat_ids, sizes, pa.int64())
+            if tokens:
+                yield pa.StructArray.from_arrays([_lists(flat_tokens, sizes, pa.string()), ids], ["tokens", "ids"])
+            else:
+                yield pa.StructArray.from_arrays([ids], ["ids"])
+
+    done = docs.select(F.col(key).alias("doc_id"), *keep, run(F.col(text)).alias("known"))
+    return done.select(*[c for c in done.columns if c != "known"], "known.*")
+
+
 def token_stream(doc_tokens: DataFrame) -> DataFrame:
     """Token rows ``(doc_id, pos, token)``; pos is the array index."""
     return doc_tokens.select("doc_id", F.posexplode("tokens").alias("pos", "token")).select(
@@ -183,7 +240,8 @@ def doc_offsets(doc_tokens: DataFrame) -> DataFrame:
     buckets of about ``BUCKET_DOCS``; the bucket totals are summed over one row
     per bucket, and each bucket sums its own documents.
     """
-    lens = doc_tokens.select("doc_id", F.size("tokens").cast("bigint").alias("len"))
+    items = "ids" if "ids" in doc_tokens.columns else "tokens"
+    lens = doc_tokens.select("doc_id", F.size(items).cast("bigint").alias("len"))
     n = lens.count()
     lens = lens.repartitionByRange(max(1, -(-n // BUCKET_DOCS)), "doc_id").withColumn("bucket", F.spark_partition_id())
     lens = stored(lens, "doc-lengths")  # the buckets are fixed here, for both uses below
