@@ -1,4 +1,4 @@
-"""Helpers shared by the operators: shared-folder tables, graph components."""
+"""Helpers shared by the operators: shared-folder tables, words, batches."""
 
 from __future__ import annotations
 
@@ -7,23 +7,22 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordloom.operators.graph import smallest_reachable  # noqa: F401
 from wordloom.session import ensure_checkpoint_dir
 
 #: ASCII white space, the separators of the word definition ``[^\x20\x09-\x0D]+``.
 SPACES = " \t\n\x0b\x0c\r"
 
 
-def materialize(df: DataFrame, name: str, few: bool = False) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
     This cuts the lineage: a lost executor costs its running tasks only, and a
-    plan that reads the table twice does not compute it twice. ``few``: a table
-    of groups or counts, written by at most one task per core, so that a small
-    one is not scattered over as many files as the shuffle has partitions.
+    plan that reads the table twice does not compute it twice.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    (df.coalesce(max(1, spark.sparkContext.defaultParallelism)) if few else df).write.parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -60,44 +59,5 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def smallest_reachable(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Connected components of ``edges(a, b)``: (node, root), root the smallest node reachable.
-
-    Alternates the large-star and small-star steps; every step is one minimum
-    per node (combined before the shuffle) and one join, whose two sides are
-    tables, so that a hub's rows can be split. Nodes are longs. Self loops and
-    repeated edges are ignored; a node without an edge is not returned.
-    """
-    def fingerprint(df):
-        row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        return row["n"], row["h"]
-
-    def ordered(df):
-        big, small = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-        return df.filter("a <> b").select(big, small).distinct()
-
-    cur = materialize(ordered(edges), "edges", few=True)
-    seen = fingerprint(cur)
-    for _ in range(max_rounds):
-        if not seen[0]:
-            break
-        both = materialize(cur.union(cur.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both", few=True)
-        low = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "low", few=True)
-        large = ordered(both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
-        large = materialize(large, "large", few=True)
-        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "low", few=True)
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            low.select("a", F.col("m").alias("b")))
-        cur = materialize(ordered(small), "edges", few=True)
-        now = fingerprint(cur)
-        if now == seen:
-            break
-        seen = now
-    else:
-        raise RuntimeError(f"no fixed point after {max_rounds} rounds")
-    roots = cur.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return cur.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

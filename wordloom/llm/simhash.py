@@ -222,6 +222,20 @@ def links(fps: DataFrame, max_bits: int = 3, block_rows: int = 1 << 16, flush_ro
     return dealt.repartition(*keys).sortWithinPartitions(*keys, "rank").mapInPandas(search, "a bigint, b bigint")
 
 
+def labels(found: DataFrame, max_bits: int = 3, block_rows: int = 1 << 16) -> DataFrame:
+    """(fp, root, component_id) of the distinct fingerprints of ``found(id, fp)``.
+
+    ``root`` is the smallest fingerprint reachable, ``component_id`` the smallest id; null if no row of the component has one.
+    """
+    fps = materialize(found.groupBy("fp").agg(F.min("id").alias("low")), "distinct_fps")
+    comps = materialize(smallest_reachable(links(fps.select("fp"), max_bits, block_rows)), "components")
+    member = fps.join(comps, fps["fp"] == comps["node"]).select("fp", "root", "low")
+    low = member.groupBy("root").agg(F.min("low").alias("component_id"))
+    linked = materialize(member.select("fp", "root").join(low, "root").select("fp", "root", "component_id"), "linked")
+    alone = fps.join(linked.select("fp"), "fp", "left_anti").select("fp", F.col("fp").alias("root"), "low")
+    return materialize(linked.union(alone), "labels")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, block_rows: int = 1 << 16,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, component_id): one row per row of ``docs``; component_id is the smallest id reachable.
@@ -231,14 +245,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, block_
     columns of ``docs`` are not read. An empty table gives an empty result.
     """
     found = materialize(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    fps = materialize(found.groupBy("fp").agg(F.min("id").alias("low")), "distinct_fps", few=True)
-    comps = materialize(smallest_reachable(links(fps.select("fp"), max_bits, block_rows)), "components", few=True)
-    member = fps.join(comps, fps["fp"] == comps["node"]).select("fp", "root", "low")
-    low = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    low = materialize(member.select("fp", "root").join(low, "root").select("fp", "component_id"), "linked", few=True)
-    label = materialize(fps.join(low, "fp", "left").select(
-        "fp", F.coalesce("component_id", "low").alias("component_id")), "labels", few=True)
-    return found.join(label, "fp").select("id", "fp", "component_id")
+    return found.join(labels(found, max_bits, block_rows).drop("root"), "fp").select("id", "fp", "component_id")
 
 
 def op9_simhash(spark, sf_dir: str) -> DataFrame:

@@ -280,35 +280,39 @@ def _dressed(kind: str, raw: str, new: str) -> str:
     return new
 
 
-def replaced(key: bytes, text: str, attempts: dict[tuple[str, str, str], int]) -> tuple[str, list[tuple]]:
-    """The text with surrogates, and (kind, start, end) of each in the new text."""
+def replaced(key: bytes, text: str, attempts: dict[tuple[str, str, str], int], entities=None) -> tuple[str, list[tuple]]:
+    """The text with surrogates for its entities, and (kind, start, end) of each in the new text.
+
+    ``entities`` are those found before, as (kind, group, canon, start, end).
+    """
+    if entities is None:
+        entities = [(e.kind, e.group, e.canon, e.start, e.end) for e in find(text)]
     out, spans, at, size = [], [], 0, 0
-    for e in find(text):
-        raw = text[e.start : e.end]
-        new = _dressed(e.kind, raw, surrogate(key, e.kind, e.group, e.canon, attempts.get((e.kind, e.group, e.canon), 0)))
-        out += [text[at : e.start], new]
-        size += e.start - at
-        spans.append((e.kind, size, size + len(new)))
+    for kind, group, canon, start, end in entities:
+        new = _dressed(kind, text[start:end], surrogate(key, kind, group, canon, attempts.get((kind, group, canon), 0)))
+        out += [text[at:start], new]
+        size += start - at
+        spans.append((kind, size, size + len(new)))
         size += len(new)
-        at = e.end
+        at = end
     out.append(text[at:])
     return "".join(out), spans
 
 
-ENTITY = "kind string, grp string, canon string"
+_FOUND = pa.list_(pa.struct([("kind", pa.string()), ("grp", pa.string()), ("canon", pa.string()),
+                             ("start", pa.int32()), ("end", pa.int32())]))
+_FOUND_SQL = "array<struct<kind:string,grp:string,canon:string,start:int,end:int>>"
 
 
-def _entities(rows: DataFrame) -> DataFrame:
-    """(k1, k2, kind, grp, canon): the distinct entities of every text of ``rows(k1, k2, text)``."""
+def _scanned(rows: DataFrame, id_type: str) -> DataFrame:
+    """``rows(id, text)`` with the entities of every text in order; each text is read once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(k1, k2, *e) for k1, k2, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
-                   for e in {(x.kind, x.group, x.canon) for x in find(text)}]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([r[i] for r in out], pa.int64() if i < 2 else pa.string()) for i in range(5)],
-                ["k1", "k2", "kind", "grp", "canon"])
+            found = [[{"kind": e.kind, "grp": e.group, "canon": e.canon, "start": e.start, "end": e.end} for e in find(t)]
+                     if t else [] for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, _FOUND)], ["id", "text", "found"])
 
-    return rows.select("k1", "k2", "text").mapInArrow(run, f"k1 bigint, k2 bigint, {ENTITY}")
+    return rows.mapInArrow(run, f"id {id_type}, text string, found {_FOUND_SQL}")
 
 
 def assigned(entities: DataFrame, key: bytes, max_attempts: int = 1000) -> DataFrame:
@@ -321,17 +325,17 @@ def assigned(entities: DataFrame, key: bytes, max_attempts: int = 1000) -> DataF
         return df.withColumn("surrogate", draw("kind", "grp", "canon", "attempt"))
 
     cur = materialize(drawn(entities.select("kind", "grp", "canon").distinct().withColumn("attempt", F.lit(0))),
-                      "surrogates", few=True)
+                      "surrogates")
     for _ in range(max_attempts):
         mine = F.struct("attempt", "grp", "canon")
         clash = cur.groupBy("kind", "surrogate").agg(F.count(F.lit(1)).alias("n"), F.min(mine).alias("first")).filter(
             "n > 1").select("kind", "surrogate", "first")
-        clash = materialize(clash, "clashes", few=True)
+        clash = materialize(clash, "clashes")
         if clash.isEmpty():
             return cur
         lost = cur.join(clash, ["kind", "surrogate"], "left").withColumn(
             "attempt", F.col("attempt") + F.coalesce((mine != F.col("first")).cast("int"), F.lit(0)))
-        cur = materialize(drawn(lost.select("kind", "grp", "canon", "attempt")), "surrogates", few=True)
+        cur = materialize(drawn(lost.select("kind", "grp", "canon", "attempt")), "surrogates")
     raise RuntimeError("names still share surrogates")
 
 
@@ -345,32 +349,33 @@ def pseudonymize(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
     """
     bounded_batches(docs)
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = rows.withColumn("k1", F.xxhash64("text")).withColumn("k2", F.xxhash64(F.lit(1), "text"))
-    drawn = assigned(_entities(rows), key)
-    again = drawn.filter("attempt > 0").select("kind", "grp", "canon", "attempt")
+    rows = _scanned(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), id_type)
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "texts-with-entities")
+    entity = ["kind", "grp", "canon"]
+    named = rows.select("row", F.explode("found").alias("e")).select("row", "e.kind", "e.grp", "e.canon")
+    again = assigned(named, key).filter("attempt > 0").select(*entity, "attempt")
     if again.isEmpty():  # nothing but first draws: the texts need not move
         rows = rows.withColumn("again", F.lit(None).cast(
             "array<struct<kind:string,grp:string,canon:string,attempt:int>>"))
     else:
-        per_text = _entities(rows).distinct().join(again, ["kind", "grp", "canon"]).groupBy("k1", "k2").agg(
-            F.collect_list(F.struct("kind", "grp", "canon", "attempt")).alias("again"))
-        rows = rows.join(per_text, ["k1", "k2"], "left")
+        per_row = named.distinct().join(again, entity).groupBy("row").agg(
+            F.collect_list(F.struct(*entity, "attempt")).alias("again"))  # the entities of one text
+        rows = rows.join(materialize(per_row, "attempts"), "row", "left")
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, spans = [], []
-            for text, more in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for text, found, more in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
                 attempts = {(x["kind"], x["grp"], x["canon"]): x["attempt"] for x in more or ()}
-                new, found = replaced(key, text, attempts) if text else (text, [])
+                new, put = replaced(key, text, attempts, [tuple(e.values()) for e in found]) if found else (text, [])
                 texts.append(new)
-                spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
+                spans.append([{"kind": k, "start": a, "end": b} for k, a, b in put])
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(texts, pa.string()), pa.array([len(s) for s in spans], pa.int32()),
                 pa.array(spans, span)], ["id", "text", "n_entities", "entities"])
 
-    return rows.select("id", "text", "again").mapInArrow(
+    return rows.select("id", "text", "found", "again").mapInArrow(
         run, f"id {id_type}, text string, n_entities int, entities array<struct<kind:string,start:int,end:int>>")
 
 
