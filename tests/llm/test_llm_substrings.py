@@ -84,3 +84,17 @@ def test_word_hashes_and_windows():
 
 def test_empty_table(no_docs):
     assert S.repeated_ranges(no_docs).count() == 0
+
+
+def test_more_parts_than_buckets(spark, monkeypatch):
+    """A table may have fewer buckets than the texts have parts: a bucket then holds several."""
+    monkeypatch.setattr(S, "PART_BYTES", 500)
+    name = "spark.sql.sources.bucketing.maxBuckets"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    try:
+        rng = random.Random(6)
+        passage = " ".join(str(rng.randrange(900)) for _ in range(50))
+        compare(spark, [" ".join(str(rng.randrange(900)) for _ in range(60)) + (" " + passage) * (i % 3 == 0) for i in range(30)])
+    finally:
+        spark.conf.set(name, before)

@@ -372,10 +372,12 @@ def _stored(docs: DataFrame) -> tuple[DataFrame, int]:
 
     rows = docs.select("k1", "k2", F.col("text").cast("binary").alias("text")).mapInArrow(
         once, "k1 bigint, k2 bigint, n bigint, text binary")
-    rows = rows.select(F.pmod("k1", F.lit(parts)).cast("int").alias("part"), "*").repartition(parts, "part")
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    buckets = min(parts, most)  # beyond that, a bucket holds several parts, which its task takes one after the other
+    rows = rows.select(F.pmod("k1", F.lit(parts)).cast("int").alias("part"), "*").repartition(buckets, "part")
     name = f"substring_texts_{uuid.uuid4().hex}"
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
-    rows.write.bucketBy(parts, "part").sortBy("part").option("path", path).saveAsTable(name)
+    rows.write.bucketBy(buckets, "part").sortBy("part").option("path", path).saveAsTable(name)
     return spark.table(name), parts
 
 
@@ -422,7 +424,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = materialize(by_part.cogroup(reply.groupBy("part")).applyInPandas(stretches, STRETCH), "stretches")
     # the tasks of a shard: one row per part at most
     loads = found.filter("NOT reference").groupBy("shard").agg(F.sum(F.octet_length("text")).alias("load"))
-    loads = materialize(loads.select("shard", F.ceil(F.col("load") / STREAM_BYTES).cast("int").alias("tasks")), "loads", few=True)
+    loads = materialize(loads.select("shard", F.ceil(F.col("load") / STREAM_BYTES).cast("int").alias("tasks")), "loads")
     dealt = found.join(loads, "shard", "left").withColumn("tasks", F.coalesce("tasks", F.lit(1)))
     dealt = dealt.withColumn("salt", F.explode(F.when(
         F.col("reference"), F.sequence(F.lit(0), F.col("tasks") - 1)).otherwise(
