@@ -82,3 +82,19 @@ def test_contaminated_rows_go_alone(spark, tmp_path):
     assert got.columns == docs.columns
     assert collections.Counter(map(tuple, got.collect())) == collections.Counter(
         r for r in rows if r[1] is None or item not in r[1])
+
+
+def test_near_dedup_by_row(spark, odd_docs):
+    """A text stays although its id also names a copy of another text, however the rows are dealt out."""
+    a, b, c = "one two three four five six", "quite another text of seven words here", "a third text without any id"
+    rows = [(3, a), (7, a), (7, b), (3, a), (None, c), (None, c), (None, b + " x y z"), (9, None), (8, "")]
+    rows = [(i, t, "en", "s", 0) for i, t in rows]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    for parts in (1, 2, 3, 9):
+        got = C.near_dedup(spark, spark.createDataFrame(rows, schema).repartition(parts), "")
+        assert got.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        assert collections.Counter((r.doc_id, r.text) for r in got.collect()) == collections.Counter(
+            [(3, a), (7, b), (None, c), (None, b + " x y z"), (8, "")])
+    extra = C.near_dedup(spark, odd_docs, "")  # columns with clashing names go along
+    assert extra.columns == odd_docs.columns and extra.count() > 40
+    assert C.near_dedup(spark, odd_docs.limit(0), "").count() == 0
