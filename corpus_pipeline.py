@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm import decontam, pieces, quality, secrets, simhash
-from wordloom.llm.common import materialize, read_table
+from wordloom.llm.common import bounded_batches, materialize, read_table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,19 +21,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one whose id is the component id.
+    """One row of each SimHash group stays: of the rows with the group's smallest id, the one with the least fingerprint and text.
 
-    Rows with the same id count as one document, of which one row stays. Of
-    rows without an id one per fingerprint stays where no document of the group
-    has an id.
+    A row belongs to the group of its own text, whatever other rows have its
+    id. A group without an id keeps one row too. Null, empty and blank texts
+    are one group. Of equal rows one stays.
     """
-    found = simhash.near_duplicates(docs)
-    first = found.filter("id = component_id").select("id").distinct()
-    named = docs.join(first, docs["doc_id"] == first["id"], "left_semi").dropDuplicates(["doc_id"])
-    alone = found.filter("component_id IS NULL").select(F.col("fp").alias("alone")).distinct()
-    rest = docs.filter("doc_id IS NULL").withColumn("fp", simhash.simhash(F.col("text")))
-    rest = rest.join(alone, rest["fp"] == alone["alone"], "left_semi").dropDuplicates(["fp"])
-    return named.union(rest.select(*docs.columns))
+    number = F.monotonically_increasing_id()
+    rows = bounded_batches(docs).select(F.struct(*docs.columns).alias("doc"), simhash.simhash(F.col("text")).alias("fp"))
+    rows = materialize(rows.select("doc", "fp", number.alias("row")), "fingerprinted")
+    found = rows.select(F.col("doc.doc_id").alias("id"), "fp", "row", F.md5("doc.text").alias("md5"))
+    label = simhash.labels(found.select("id", "fp"))
+    first = found.join(label, "fp").filter("id <=> component_id").groupBy("root").agg(
+        F.min(F.struct("fp", "md5", "row")).alias("first")).select("first.row")
+    return rows.join(materialize(first, "kept-rows"), "row", "left_semi").select("doc.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
