@@ -83,14 +83,14 @@ class Encoder:
         return [t for w in _WORDS.findall(text or "") for t in self.word(w.lower())]
 
 
-def _checked(size: int, what: str) -> None:
+def checked_size(size: int, what: str) -> None:
     if size > MODEL_BYTES:
         raise OverflowError(f"{what} of {size} bytes is above MODEL_BYTES={MODEL_BYTES}")
 
 
 def _rule_pairs(rules) -> list[tuple[str, str]]:
     out = [(r[0], r[1]) for r in rules if r[0] and r[1] and not any(c.isspace() for c in r[0] + r[1])]
-    _checked(sum(len(a) + len(b) for a, b in out), "a rule list")
+    checked_size(sum(len(a) + len(b) for a, b in out), "a rule list")
     return out
 
 
@@ -184,7 +184,7 @@ def first_ids(vocab: DataFrame) -> DataFrame:
 def vocabulary_map(vocab: DataFrame) -> dict[str, int]:
     """The vocabulary as token -> first id, after a check of its bytes."""
     size = vocab.agg(F.sum(F.octet_length("token") + 64)).first()[0] or 0
-    _checked(size, "a vocabulary")
+    checked_size(size, "a vocabulary")
     return {r.token: r.token_id for r in first_ids(vocab).toLocalIterator()}
 
 

@@ -118,19 +118,48 @@ def cdf(name: str, counts: str) -> str:
     )
 
 
-def draws(name: str, occ: str, cdf_name: str, neg: int, seed: int, epoch: int = 0) -> str:
-    """Negative draws ``(doc_id, i, d, center, context, k, target)`` with the context cut out."""
-    u = uniform_sql(str(seed), str(epoch), "o.doc_id", "o.i", "o.d", "k.k")
-    return f"""{name} AS MATERIALIZED (
-  SELECT r.doc_id, r.i, r.d, r.center, r.context, r.k, c.token_id AS target
-  FROM (
-    SELECT *, CASE WHEN r0 >= clo THEN r0 + cw ELSE r0 END AS rr FROM (
-      SELECT o.doc_id, o.i, o.d, o.center, o.context, k.k, x.w AS cw, x.lo AS clo, {u} * (z.z - x.w) AS r0
-      FROM {occ} o JOIN {cdf_name} x ON x.token_id = o.context
-      CROSS JOIN (SELECT max(hi) AS z FROM {cdf_name}) z CROSS JOIN range(1, {neg + 1}) k(k)
-      WHERE z.z - x.w > 0)
-  ) r JOIN {cdf_name} c ON c.w > 0 AND r.rr >= c.lo AND r.rr < c.hi
-)"""
+def alias_table(name: str, cdf_name: str) -> str:
+    """``(k, token_id, p, other)``: the alias table of the positive weights, by prefix sums of light and heavy slots."""
+    return (
+        f"{name}_w AS (SELECT row_number() OVER (ORDER BY token_id) - 1 AS k, token_id, w, sum(w) OVER () / count(*) OVER () AS mean "
+        f"FROM {cdf_name} WHERE w > 0), "
+        f"{name}_l AS (SELECT *, sum(mean - w) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) AS given FROM {name}_w WHERE w <= mean), "
+        f"{name}_lb AS (SELECT *, coalesce(lag(given) OVER (ORDER BY k), 0.0) AS before FROM {name}_l), "
+        f"{name}_h AS (SELECT *, sum(w - mean) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) AS owned, "
+        f"lead(token_id) OVER (ORDER BY k) AS next_id FROM {name}_w WHERE w > mean), "
+        f"{name}_lf AS (SELECT l.k, l.token_id, l.w / l.mean AS p, coalesce(h.token_id, (SELECT arg_max(token_id, k) FROM {name}_h)) AS other "
+        f"FROM {name}_lb l ASOF LEFT JOIN {name}_h h ON l.before <= h.owned), "
+        f"{name}_hf AS (SELECT h.k, h.token_id, CASE WHEN l.given IS NULL OR h.next_id IS NULL THEN 1.0 "
+        f"ELSE 1 - (l.given - h.owned) / h.mean END AS p, coalesce(h.next_id, h.token_id) AS other "
+        f"FROM {name}_h h ASOF LEFT JOIN {name}_l l ON h.owned < l.given), "
+        f"{name} AS MATERIALIZED (SELECT k, token_id, p, coalesce(other, token_id) AS other FROM {name}_lf "
+        f"UNION ALL SELECT k, token_id, p, other FROM {name}_hf)"
+    )
+
+
+def draws(name: str, occ: str, cdf_name: str, neg: int, seed: int, epoch: int = 0, attempts: int = 8) -> str:
+    """Negative draws ``(doc_id, i, d, center, context, k, target)``: alias draws, then the context cut out."""
+    def u(attempt, of):
+        return uniform_sql(str(seed), str(epoch), *(f"{of}.{c}" for c in ("doc_id", "i", "d", "k")), str(attempt))
+
+    cols = "doc_id, i, d, center, context, k"
+    ctes = [alias_table(f"{name}_alias", cdf_name), f"{name}_n AS (SELECT count(*) AS n FROM {name}_alias)",
+            f"{name}_0 AS (SELECT o.*, k.k, NULL::BIGINT AS target FROM {occ} o CROSS JOIN range(1, {neg + 1}) k(k))"]
+    for j in range(1, attempts + 1):
+        again = "" if j == 1 else " WHERE target = context"
+        ctes.append(
+            f"{name}_{j} AS MATERIALIZED (SELECT {', '.join('x.' + c for c in cols.split(', '))}, "
+            f"CASE WHEN x.x - s.k < s.p THEN s.token_id ELSE s.other END AS target FROM "
+            f"(SELECT {cols}, {u(j, 'q')} * n AS x FROM (SELECT * FROM {name}_{j - 1}{again}) q CROSS JOIN {name}_n) x "
+            f"JOIN {name}_alias s ON s.k = floor(x.x)::BIGINT)")
+    last = (
+        f"SELECT {', '.join('r.' + c for c in cols.split(', '))}, c.token_id AS target FROM ("
+        f"SELECT *, CASE WHEN r0 >= clo THEN r0 + cw ELSE r0 END AS rr FROM (SELECT {cols}, x.w AS cw, x.lo AS clo, "
+        f"{u(0, 'q')} * (z.z - x.w) AS r0 FROM {name}_{attempts} q JOIN {cdf_name} x ON x.token_id = q.context "
+        f"CROSS JOIN (SELECT max(hi) AS z FROM {cdf_name}) z WHERE q.target = q.context)) r "
+        f"JOIN {cdf_name} c ON c.w > 0 AND r.rr >= c.lo AND r.rr < c.hi")
+    found = " UNION ALL ".join(f"SELECT {cols}, target FROM {name}_{j} WHERE target <> context" for j in range(1, attempts + 1))
+    return ", ".join(ctes) + f", {name} AS MATERIALIZED ({found} UNION ALL {last})"
 
 
 def init_vectors(name: str, vocab: str, dim: int, seed: int) -> str:
