@@ -168,3 +168,35 @@ def test_sparse_products_stay_sparse(spark, monkeypatch):
     got = {(r.i, r.j): r.v for r in VX.matrix_multiply(cancel, ones).collect()}
     assert got == {(0, 7): 0.0, (-5000, 7): 2.0}  # a sum of zero is a cell, as in a join
     assert VX.matrix_multiply(one, one.limit(0)).count() == 0
+
+
+def test_quantiles_of_ties_and_magnitudes(spark, monkeypatch):
+    """Null groups, a value held by most rows, values of all magnitudes and signs, groups of one row; few bins."""
+    monkeypatch.setattr(VX, "BINS", 8)
+    rng = np.random.default_rng(1)
+    groups = {None: rng.normal(size=50), 1: np.concatenate((np.full(300, 0.5), rng.random(120))),
+              2: np.sign(rng.normal(size=90)) * 10.0 ** rng.integers(-300, 300, 90), 3: np.array([7.0]),
+              4: np.array([-1.5e308, 1.5e308, 0.0]), 5: 2.0 ** np.arange(-200, 0)}
+    rows = [(g, float(x)) for g, v in groups.items() for x in v] + [(1, None), (9, None)]
+    df = spark.createDataFrame(rows, "g int, v double").repartition(3)
+    shares = {"low": 0.0, "a": 0.05, "b": 0.5, "c": 0.77, "high": 1.0}
+    got = {r.g: r for r in VX.group_quantiles(df, shares).collect()}
+    assert set(got) == set(groups)
+    for g, v in groups.items():
+        assert got[g].n == len(v)
+        for name, q in shares.items():
+            v = np.sort(v)
+            at = q * (len(v) - 1)
+            k = int(at)
+            want = v[k] if at == k else v[k] * (1 - (at - k)) + v[k + 1] * (at - k)
+            assert np.isclose(got[g][name], want, rtol=1e-12), (g, name)
+
+
+def test_blocks_by_bytes(emb, spark, monkeypatch):
+    df, rows = emb
+    queries = spark.createDataFrame([(q, rows[q][1]) for q in (0, 5, 30)], "q_id int, q_vec array<float>")
+    for metric in VX.METRICS:
+        want = [tuple(r) for r in VX.knn_exact(df, queries, 7, metric).orderBy("q_id", "rank").collect()]
+        monkeypatch.setattr(VX, "BLOCK_BYTES", 500)
+        assert [tuple(r) for r in VX.knn_exact(df, queries, 7, metric).orderBy("q_id", "rank").collect()] == want
+        monkeypatch.setattr(VX, "BLOCK_BYTES", 1 << 26)

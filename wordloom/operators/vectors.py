@@ -22,23 +22,59 @@ from wordloom.operators.encode import MODEL_BYTES
 from wordloom.session import numbered, stored
 
 
+#: Bins of a histogram of values.
+BINS = 1024
+
+
+def _histograms(counts: DataFrame, ranges: DataFrame, spread: bool) -> DataFrame:
+    """(g, lo, hi, low, high, least, c): the bins of every range of ``ranges(g, lo, hi)`` that hold values.
+
+    ``low`` and ``high`` are the least and greatest value of a bin, ``c`` its
+    occurrences. ``spread``: bins of equal ratio above ``lo`` instead of equal width.
+    """
+    share = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+    share = F.log1p(share * F.lit(2.0**40)) / F.log1p(F.lit(2.0**40)) if spread else share
+    inside = counts.join(ranges, counts["g"].eqNullSafe(ranges["of"])).where("lo <= v AND v <= hi")
+    bins = inside.withColumn("bin", F.least(F.floor(share * BINS).cast("int"), F.lit(BINS - 1)))
+    return bins.groupBy("g", "lo", "hi", "bin").agg(
+        F.min("v").alias("low"), F.max("v").alias("high"), F.sum("n").alias("c"))
+
+
 def group_quantiles(values: DataFrame, shares: dict[str, float]) -> DataFrame:
     """Exact interpolated quantiles of ``values(g, v)``: ``(g, n, *names)``, whatever the size of a group.
 
-    All values are sorted by (g, v) over the cluster and numbered; a quantile is
-    read off the one or two rows with its rank.
+    Occurrences are counted per (g, v), so equal values are one row. Every rank
+    that is wanted lies in a range of values, at first the group's; a histogram
+    of the range tells the bin it lies in, which is the next range, until it is
+    one value. Histograms are sums that combine inside the tasks; nothing is
+    sorted but the bins of a range. Null values are left out; the others are finite.
     """
-    rows = numbered(values.where("v IS NOT NULL").select(F.struct("g", "v").alias("o")), "o", "k")
-    rows = stored(rows.select("o.g", "o.v", "k"), "ranked-values")
-    groups = stored(rows.groupBy("g").agg(F.min("k").alias("first"), F.count(F.lit(1)).alias("n")), "groups")
+    counts = stored(values.where("v IS NOT NULL").groupBy("g", "v").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    groups = stored(counts.groupBy("g").agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")), "groups")
     place = {name: F.lit(float(q)) * (F.col("n") - 1) for name, q in shares.items()}
-    spots = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), (F.col("first") + e(p)).alias("k"), w(p).alias("w"))
+    ranks = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), e(p).cast("bigint").alias("k"), w(p).alias("w"))
                                 for name, p in place.items() for e, w in (
         (F.floor, lambda p: 1 - (p - F.floor(p))), (lambda p: F.floor(p) + 1, lambda p: p - F.floor(p)))]))
-    wanted = groups.select("g", "n", spots.alias("s")).select("g", "n", "s.*").where("w > 0")
-    hit = wanted.join(rows.select("k", "v"), "k")
-    return hit.groupBy("g", "n").agg(*[
-        F.sum(F.when(F.col("name") == name, F.col("w") * F.col("v"))).alias(name) for name in shares])
+    wanted = groups.select("g", "n", "lo", "hi", ranks.alias("s")).select("g", "n", "lo", "hi", "s.*").where("w > 0")
+    wanted = stored(wanted.withColumn("before", F.lit(0).cast("bigint")), "ranks")
+    done = wanted.where("lo = hi")
+    turn = 0
+    while not (rest := wanted.where("lo < hi")).isEmpty():
+        ranges = rest.select(F.col("g").alias("of"), "lo", "hi").distinct()
+        bins = _histograms(counts, ranges, turn % 3 == 2)  # values of many magnitudes would fall into one bin again and again
+        run = Window.partitionBy("g", "lo", "hi").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+        bins = bins.select(F.col("g").alias("of"), F.col("lo").alias("from"), F.col("hi").alias("to"), "low", "high", "c",
+                           (F.sum("c").over(run) - F.col("c")).alias("under"))
+        same = rest["g"].eqNullSafe(bins["of"]) & (rest["lo"] == bins["from"]) & (rest["hi"] == bins["to"])
+        rank = F.col("k") - F.col("before")
+        rest = rest.join(bins, same).where((F.col("under") <= rank) & (rank < F.col("under") + F.col("c"))).select(
+            "g", "n", F.col("low").alias("lo"), F.col("high").alias("hi"), "name", "k", "w",
+            (F.col("before") + F.col("under")).alias("before"))
+        wanted = stored(rest, "ranks")
+        done = done.unionByName(wanted.where("lo = hi"))
+        turn += 1
+    return done.groupBy("g", "n").agg(*[
+        F.sum(F.when(F.col("name") == name, F.col("w") * F.col("lo"))).alias(name) for name in shares])
 
 
 def _sent(rows: list) -> np.ndarray:
@@ -46,6 +82,20 @@ def _sent(rows: list) -> np.ndarray:
     return np.array([list(r) for r in rows], np.float64).reshape(len(rows), -1)
 
 
+#: Bytes of the differences of rows and queries that are held at once.
+BLOCK_BYTES = 1 << 26
+
+
+def _blocks(embeddings: pd.Series, queries: int) -> Iterator[np.ndarray]:
+    """Vectors as matrices of so many rows that their differences to all queries stay below ``BLOCK_BYTES``."""
+    first = 0
+    while first < len(embeddings):
+        dim = max(len(embeddings.iloc[first]), 1)
+        rows = max(1, BLOCK_BYTES // (8 * dim * max(queries, 1)))
+        yield np.array([np.asarray(x, np.float64) for x in embeddings.iloc[first : first + rows]])
+        first += rows
+
+
 def _checked_rows(df: DataFrame, vector: str, what: str) -> list:
     """The rows of a small table of vectors, after a check of its bytes."""
     size = df.agg(F.sum(8 * F.size(vector) + 64)).first()[0] or 0
@@ -97,10 +147,13 @@ def assign_nearest(vectors: DataFrame) -> DataFrame:
     def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         centers, labels = sent.value
         for embeddings in batches:
-            d2 = [((centers - np.asarray(x, np.float64)) ** 2).sum(axis=1) for x in embeddings]
-            best = [int(d.argmin()) for d in d2]
-            yield pd.DataFrame({"nearest": [labels[k] for k in best],
-                                "dist": [float(np.sqrt(d[k])) for d, k in zip(d2, best, strict=True)]})
+            best, dist = [], []
+            for x in _blocks(embeddings, len(centers)):
+                d2 = ((x[:, None, :] - centers[None]) ** 2).sum(axis=2)
+                best.append(d2.argmin(axis=1))
+                dist.append(np.sqrt(d2.min(axis=1)))
+            best = np.concatenate(best) if best else []
+            yield pd.DataFrame({"nearest": [labels[k] for k in best], "dist": np.concatenate(dist) if dist else []})
 
     return vectors.select("vec_id", "label", nearest("embedding").alias("a")).select("vec_id", "label", "a.*")
 
@@ -236,7 +289,8 @@ def project_vectors(vectors: DataFrame, matrix: list[list[float]]) -> DataFrame:
     def product(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = sent.value
         for embeddings in batches:
-            yield pd.Series([m @ np.asarray(x, np.float64) for x in embeddings], dtype=object)
+            y = [row for x in _blocks(embeddings, 1) for row in x @ m.T]
+            yield pd.Series(y, dtype=object)
 
     return vectors.select("vec_id", "label", product("embedding").alias("y"))
 
@@ -359,13 +413,18 @@ def knn_exact(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cos
         for pdf in batches:
             if not len(pdf) or not names:
                 continue
-            x = np.stack([np.asarray(v, np.float64) for v in pdf["embedding"]])
-            sims = np.concatenate([_similarities(x[a : a + 512], q, metric) for a in range(0, len(x), 512)])
-            ids = pdf["vec_id"].to_numpy()
-            for j in range(len(names)):
-                s, i = np.concatenate((best[j][0], sims[:, j])), np.concatenate((best[j][1], ids))
-                order = np.lexsort((i, -s))[:k]
-                best[j] = s[order], i[order]
+            first = 0
+            for x in _blocks(pdf["embedding"], len(names)):
+                sims = _similarities(x, q, metric)
+                ids = pdf["vec_id"].to_numpy()[first : first + len(x)]
+                first += len(x)
+                for j in range(len(names)):
+                    s, i = best[j]
+                    new = np.flatnonzero(sims[:, j] >= s[-1]) if len(s) == k else np.arange(len(x))
+                    if len(new):
+                        s, i = np.concatenate((s, sims[new, j])), np.concatenate((i, ids[new]))
+                        order = np.lexsort((i, -s))[:k]
+                        best[j] = s[order], i[order]
         yield pd.DataFrame([(name, int(i), float(s)) for name, b in zip(names, best, strict=True)
                             for s, i in zip(*b, strict=True)], columns=["q_id", "vec_id", "sim"])
 
