@@ -8,6 +8,7 @@ per session and table folder and reused by the queries that need them.
 
 from __future__ import annotations
 
+import math
 import os
 import uuid
 from collections.abc import Callable
@@ -31,7 +32,8 @@ from wordloom.sources import files as IO
 from wordloom.sources.options import TrainOptions
 
 # Parameters of the registered queries (fixed up front).
-TARGET_SIZE = 96  # BPE target vocabulary size m
+TARGET_SIZE = 96  # BPE target vocabulary size m where SQL trains too
+LARGE_SIZE = 1000  # BPE target vocabulary size m elsewhere
 WINDOW = 4  # skip-gram window (trainer default)
 NEG = 5  # negatives per positive (trainer default)
 SEED = 1  # trainer default seed
@@ -51,14 +53,29 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents"))
 
 
-def tokenizer(spark: SparkSession, sf_dir: str, lang: str | None = None) -> B.BpeModel:
+def tokenizer(spark: SparkSession, sf_dir: str, lang: str | None = None, size: int = TARGET_SIZE) -> B.BpeModel:
     """BPE on ``documents`` (optionally one language), trained once per session."""
-    k = _key(spark, "bpe", os.path.abspath(sf_dir), TARGET_SIZE, lang)
+    k = _key(spark, "bpe", os.path.abspath(sf_dir), size, lang)
     if k not in _CACHE:
         docs = documents(spark, sf_dir)
         if lang is not None:
             docs = docs.where(F.col("lang") == lang)
-        _CACHE[k] = B.train_bpe(docs, TARGET_SIZE)
+        _CACHE[k] = B.train_bpe(docs, size)
+    return _CACHE[k]
+
+
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "benchmark")).select(F.col("item_id").alias("doc_id"), "text")
+
+
+def _item_ids(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, B.BpeModel]:
+    """Ids of all ``benchmark`` texts and the tokenizer trained on them, once per session: the corpus of the queries
+    whose SQL draws every sample again."""
+    k = _key(spark, "items", os.path.abspath(sf_dir))
+    if k not in _CACHE:
+        items = _items(spark, sf_dir)
+        model = B.train_bpe(items, TARGET_SIZE)
+        _CACHE[k] = stored(E.encode_to_ids(items, _rules(model), model.vocab), "item-ids"), model
     return _CACHE[k]
 
 
@@ -115,12 +132,13 @@ _SQL_TOKENS_OF = (
 )
 
 
-def _docs_ids_sql(sf: str = "") -> str:
-    """CTE chain: tokenizer on documents -> encoded documents -> id rows ``ids``."""
+def _docs_ids_sql(source: str = "documents") -> str:
+    """CTE chain: tokenizer on the source's texts -> encoded texts -> id rows ``ids``."""
+    items = "items AS (SELECT item_id AS doc_id, text FROM benchmark),\n" if source == "items" else ""
     return (
-        "WITH RECURSIVE " + Q.bpe("t", "documents", TARGET_SIZE) + ",\n"
+        "WITH RECURSIVE " + items + Q.bpe("t", source, TARGET_SIZE) + ",\n"
         + Q.rule_list("rl_text", "t_merges", True) + ",\n"
-        + Q.encode_docs("enc", "documents", "rl_text") + ",\n"
+        + Q.encode_docs("enc", source, "rl_text") + ",\n"
         + Q.token_rows("trows", "enc") + ",\n"
         + Q.id_rows("ids", "trows", "t_vocab")
     )
@@ -226,6 +244,11 @@ def q_bpe_train(spark, sf):
 SQL_BPE_TRAIN = "WITH RECURSIVE " + Q.bpe("t", "documents", TARGET_SIZE) + " SELECT rank, a, b, merged, n FROM t_merges"
 
 
+def q_bpe_train_large(spark, sf):
+    """B1 at m = LARGE_SIZE; tests hold it against a plain trainer."""
+    return tokenizer(spark, sf, size=LARGE_SIZE).merges
+
+
 def q_vocabulary(spark, sf):
     return tokenizer(spark, sf).vocab
 
@@ -344,9 +367,9 @@ SQL_OOV_REPORT = _SQL_TURN_TOKENS + (
 
 def q_token_positions(spark, sf):
     """The id stream of every document, positions after unknown tokens are skipped."""
-    model = tokenizer(spark, sf)
-    return E.ids_stream(encoded_documents(spark, sf).select("doc_id", "tokens"), model.vocab).select(
-        "doc_id", "pos", "token_id")
+    kept, _ = _kept(spark, sf)
+    return kept.select("doc_id", F.posexplode("ids").alias("pos", "token_id")).select(
+        "doc_id", F.col("pos").cast("bigint").alias("pos"), "token_id")
 
 
 SQL_TOKEN_POSITIONS = _docs_ids_sql() + " SELECT doc_id, pos, token_id FROM ids"
@@ -385,12 +408,11 @@ SQL_SAMPLING_CDF = (
 
 
 def _kept(spark, sf):
-    """Encoded documents without tokens that lack an id, and their ids, stored once per session."""
+    """Ids of the documents, encoded and looked up in one pass and stored once per session, and the tokenizer."""
     model = tokenizer(spark, sf)
     k = _key(spark, "kept", os.path.abspath(sf))
     if k not in _CACHE:
-        tokens = encoded_documents(spark, sf).select("doc_id", "tokens")
-        _CACHE[k] = stored(E.with_ids(tokens, model.vocab), "known-tokens")
+        _CACHE[k] = stored(E.encode_to_ids(documents(spark, sf), _rules(model), model.vocab), "document-ids")
     return _CACHE[k], model
 
 
@@ -436,20 +458,20 @@ SQL_COOCCURRENCE_PPMI = (
 
 
 def _negatives(spark, sf):
-    kept, model = _kept(spark, sf)
+    kept, model = _item_ids(spark, sf)
     occ = S.occurrence_ids(kept, model.vocab, WINDOW)
     cdf = S.sampling_cdf(S.token_counts(kept, model.vocab))
     return occ, S.negative_draws(occ, cdf, NEG, SEED, 0)
 
 
 def q_negative_samples(spark, sf):
-    """``neg`` draws per pair occurrence over the whole documents stream, counted per (center, target)."""
+    """``neg`` draws per pair occurrence over all ``benchmark`` texts, counted per (center, target)."""
     _, negs = _negatives(spark, sf)
     return negs.groupBy("center", "target").agg(F.count(F.lit(1)).alias("n"))
 
 
 _SQL_DRAWS = (
-    _docs_ids_sql() + ", " + Q.occurrences("occ", "ids", WINDOW) + ", " + Q.token_counts("tc", "ids", "t_vocab")
+    _docs_ids_sql("items") + ", " + Q.occurrences("occ", "ids", WINDOW) + ", " + Q.token_counts("tc", "ids", "t_vocab")
     + ", " + Q.cdf("cdf", "tc") + ", " + Q.draws("negs", "occ", "cdf", NEG, SEED, 0)
 )
 SQL_NEGATIVE_SAMPLES = _SQL_DRAWS + " SELECT center, target, count(*)::BIGINT AS n FROM negs GROUP BY 1, 2"
@@ -633,9 +655,16 @@ def q_read_vocab(spark, sf):
 SQL_READ_VOCAB = "WITH " + _SQL_RULES + ",\n" + _SQL_ENGLISH + " SELECT token_id, token FROM en_vocab"
 
 
+def _line_rows(lines):
+    """Lines of a single file with their numbers."""
+    return lines.select("value", F.monotonically_increasing_id().alias("line"))
+
+
 def q_write_vocab(spark, sf):
-    """S5 body: one token per line, line number = id."""
-    return tokenizer(spark, sf).vocab.select(F.col("token_id").alias("line"), F.col("token").alias("value"))
+    """The vocabulary written as text, its lines read as they are: one token per line, line number = id."""
+    path = _scratch(spark, "vocab")
+    IO.write_vocab(tokenizer(spark, sf).vocab, path, "text")
+    return _line_rows(spark.read.text(path)).select("line", "value")
 
 
 SQL_WRITE_VOCAB = (
@@ -644,8 +673,10 @@ SQL_WRITE_VOCAB = (
 
 
 def q_write_merges(spark, sf):
-    """S6 body: rule lines in rank order."""
-    return tokenizer(spark, sf).merges.select("rank", T.format_rule("a", "b").alias("value"))
+    """The rules written as text, their lines read as they are, in rank order."""
+    path = _scratch(spark, "merges")
+    IO.write_merges(tokenizer(spark, sf).merges, path, "text")
+    return _line_rows(spark.read.text(path)).select((F.col("line") + 1).cast("int").alias("rank"), "value")
 
 
 SQL_WRITE_MERGES = (
@@ -673,8 +704,8 @@ SQL_INIT_VECTORS = (
 
 
 def _examples_and_tables(spark, sf):
-    """One epoch of training examples (persisted once per session) and the start tables."""
-    model = tokenizer(spark, sf)
+    """One epoch of training examples (stored once per session) and the start tables."""
+    _, model = _item_ids(spark, sf)
     k = _key(spark, "examples", os.path.abspath(sf))
     if k not in _CACHE:
         _CACHE[k] = stored(q_training_examples(spark, sf), "examples")
@@ -761,6 +792,16 @@ def q_sgns_fit(spark, sf):
     return _trained(spark, sf).vectors.select("token_id", "token", _r(V.norm("vec")).alias("norm"))
 
 
+def q_sgns_losses(spark, sf):
+    """Whether the mean loss of every epoch is below that of the epoch before, at first below ln 2."""
+    losses = _trained(spark, sf).losses
+    rows = [(e, bool(x < y)) for e, (x, y) in enumerate(zip(losses, [math.log(2), *losses]))]
+    return spark.createDataFrame(rows, "epoch bigint, lower boolean")
+
+
+SQL_SGNS_LOSSES = f"SELECT e AS epoch, true AS lower FROM range(0, {TrainOptions().epochs}) r(e)"
+
+
 def q_sgns_examples(spark, sf):
     """How many examples each epoch of the trainer had: every pair occurrence and its draws."""
     rows = [(e, n) for e, n in enumerate(_trained(spark, sf).examples)]
@@ -784,22 +825,22 @@ SQL_SGNS_EMPTY = "WITH RECURSIVE " + Q.bpe("t", "documents", TARGET_SIZE) + " SE
 
 
 def q_train_from_text(spark, sf):
-    """G2 + S10: train from raw ``documents`` text with the learned rules; the run's metadata, written and read again."""
-    model = tokenizer(spark, sf)
-    options = TrainOptions(seed=SEED, epochs=1, dim=16)
-    res = G.sgns_fit(E.encode_documents(documents(spark, sf), _rules(model)), model.vocab, options)
+    """G2 + S10: train from raw ``benchmark`` text with the learned rules; the run's metadata, written and read again."""
+    _, model = _item_ids(spark, sf)
+    options = TrainOptions(seed=SEED)
+    res = G.train_from_text(_items(spark, sf), _rules(model), model.vocab, options)
     path = _scratch(spark, "runs")
-    IO.write_run_metadata(IO.run_row(spark, "documents-bpe", "documents", options, res), path)
+    IO.write_run_metadata(IO.run_row(spark, "benchmark-bpe", "benchmark", options, res), path)
     return spark.read.parquet(path).drop("elapsed_ms")
 
 
-SQL_TRAIN_FROM_TEXT = _docs_ids_sql() + (
-    f" SELECT 'documents-bpe' AS tokenizer, 'documents' AS corpus, 16::INTEGER AS dim, {WINDOW}::INTEGER AS \"window\", "
-    f"1::INTEGER AS epochs, {NEG}::INTEGER AS neg, {LR}::DOUBLE AS lr, {SEED}::BIGINT AS seed, "
+_OPTIONS = TrainOptions()
+SQL_TRAIN_FROM_TEXT = _docs_ids_sql("items") + (
+    f" SELECT 'benchmark-bpe' AS tokenizer, 'benchmark' AS corpus, {_OPTIONS.dim}::INTEGER AS dim, {WINDOW}::INTEGER AS \"window\", "
+    f"{_OPTIONS.epochs}::INTEGER AS epochs, {NEG}::INTEGER AS neg, {LR}::DOUBLE AS lr, {SEED}::BIGINT AS seed, "
     "(SELECT count(*) FROM ids) AS token_count, (SELECT count(*) FROM t_vocab) AS vocabulary_size"
 )
 
-
 # ---------------------------------------------------------------------- vectors
 
 
@@ -999,32 +1040,33 @@ SQL_LABEL_PROFILE = (
 )
 
 
-def _signs(spark, sf):
-    """The signs of the first eight components: vectors of which many are equal."""
-    return _emb(spark, sf).withColumn("embedding", F.transform(
-        F.slice("embedding", 1, 8), lambda x: F.signum(x.cast("double")).cast("float")))
+def _twice(spark, sf):
+    """All vectors, and those with an odd label once more under other ids: a table that holds copies."""
+    e = _emb(spark, sf).select("vec_id", "embedding", "label")
+    return e.unionByName(e.where("label % 2 = 1").withColumn("vec_id", -F.col("vec_id") - 1))
+
+
+_SQL_TWICE = (
+    "SELECT vec_id, embedding AS e FROM embeddings UNION ALL SELECT -vec_id - 1, embedding FROM embeddings WHERE label % 2 = 1"
+)
 
 
 def q_vector_dedup(spark, sf):
-    """V11 on the signs of the first eight components."""
-    return VX.vector_dedup(_signs(spark, sf))
+    """Groups of equal vectors, compared whole."""
+    return VX.vector_dedup(_twice(spark, sf))
 
 
-_SQL_SIGNS = "list_transform(embedding[1:8], lambda x: sign(x)::FLOAT)"
 SQL_VECTOR_DEDUP = (
-    f"SELECT min(vec_id) AS first_id, count(*)::BIGINT AS copies FROM (SELECT vec_id, {_SQL_SIGNS} AS e FROM embeddings) "
-    "GROUP BY e HAVING count(*) > 1"
+    f"SELECT min(vec_id) AS first_id, count(*)::BIGINT AS copies FROM ({_SQL_TWICE}) GROUP BY e HAVING count(*) > 1"
 )
 
 
 def q_lexicographic_order(spark, sf):
-    """Places in lexicographic order, ties by id."""
-    return VX.lexicographic_order(_signs(spark, sf))
+    """Places in lexicographic order of the whole vectors, ties by id."""
+    return VX.lexicographic_order(_twice(spark, sf))
 
 
-SQL_LEXICOGRAPHIC_ORDER = (
-    f"SELECT vec_id, row_number() OVER (ORDER BY {_SQL_SIGNS}, vec_id) - 1 AS place FROM embeddings"
-)
+SQL_LEXICOGRAPHIC_ORDER = f"SELECT vec_id, row_number() OVER (ORDER BY e, vec_id) - 1 AS place FROM ({_SQL_TWICE})"
 
 
 def q_knn_distance(spark, sf):
@@ -1187,6 +1229,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "best_pair": (q_best_pair, SQL_BEST_PAIR),
     "apply_merge": (q_apply_merge, SQL_APPLY_MERGE),
     "bpe_train": (q_bpe_train, SQL_BPE_TRAIN),
+    "bpe_train_large": (q_bpe_train_large, None),
     "vocabulary": (q_vocabulary, SQL_VOCABULARY),
     "parse_merge_rules": (q_parse_merge_rules, SQL_PARSE_MERGE_RULES),
     "write_vocab": (q_write_vocab, SQL_WRITE_VOCAB),
@@ -1221,6 +1264,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "sgns_step": (q_sgns_step, SQL_SGNS_STEP),
     "write_embeddings": (q_write_embeddings, SQL_WRITE_EMBEDDINGS),
     "sgns_fit": (q_sgns_fit, None),
+    "sgns_losses": (q_sgns_losses, SQL_SGNS_LOSSES),
     "sgns_examples": (q_sgns_examples, SQL_SGNS_EXAMPLES),
     "sgns_empty": (q_sgns_empty, SQL_SGNS_EMPTY),
     "train_from_text": (q_train_from_text, SQL_TRAIN_FROM_TEXT),
@@ -1249,4 +1293,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "gram_matrix": (q_gram_matrix, SQL_GRAM_MATRIX),
     "gram_trace": (q_gram_trace, SQL_GRAM_TRACE),
 }
-REGISTRY = {k: (fn, _plus_zero(sql) if sql else sql) for k, (fn, sql) in REGISTRY.items()}
+#: Queries whose SQL trains the tokenizer on all documents again come last.
+REGISTRY = {k: (fn, _plus_zero(sql) if sql else sql) for k, (fn, sql) in sorted(
+    REGISTRY.items(), key=lambda x: x[1][1] is None or "RECURSIVE t_wf" in x[1][1] or "RECURSIVE en_docs" in x[1][1]
+    or x[0] == "sgns_losses")}
