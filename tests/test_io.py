@@ -138,3 +138,38 @@ def test_argument_checks():
         validate_sources()
     with pytest.raises(ValueError):
         validate_sources(input_text="x", token_ids="y")
+
+
+def test_lines_are_numbered_over_blocks_and_files(spark, scratch):
+    """A vocabulary in several files and in blocks of a few bytes: no file is one row, ids follow the lines."""
+    tokens = [f"t{i}é" for i in range(3000)]
+    os.makedirs(os.path.join(scratch, "v"))
+    for k in range(3):
+        body = "".join(f"{t}\r\n" + "\n" * (i % 3) for i, t in enumerate(tokens[1000 * k : 1000 * k + 1000]))
+        _write(os.path.join(scratch, "v", f"part-{k}.voc"), body.encode())
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "700")
+    try:
+        got = IO.read_vocab(spark, os.path.join(scratch, "v"))
+        assert spark.read.text(os.path.join(scratch, "v")).rdd.getNumPartitions() > 10
+        assert [(r.token_id, r.token) for r in got.orderBy("token_id").collect()] == list(enumerate(tokens))
+    finally:
+        spark.conf.set(size, before)
+    assert IO.read_vocab(spark, _write(os.path.join(scratch, "empty.voc"), b"\n\r\n")).count() == 0
+
+
+def test_embeddings_roundtrip(spark, scratch):
+    rows = [(i, f"tok{i}</w>", [i / 7, -1.5e-9 * i, 3.0]) for i in range(500)]
+    vecs = spark.createDataFrame(rows, "token_id bigint, token string, vec array<float>").repartition(4)
+    path = os.path.join(scratch, "x.emb")
+    IO.write_embeddings(vecs, path, 500, "text")
+    back, n = IO.read_embeddings(spark, path)
+    back = back.orderBy("token_id").collect()
+    assert n == 500 and [(r.token_id, r.token) for r in back] == [r[:2] for r in rows]
+    assert all(abs(a - b) <= 1e-5 * abs(b) + 1e-30 for r, w in zip(back, rows) for a, b in zip(r.vec, w[2]))
+    for body in (b"", b"no header\n", b"tokens=1 dim=2\na\t1\n"):
+        with pytest.raises(ValueError):
+            IO.read_embeddings(spark, _write(os.path.join(scratch, "bad.emb"), body))
+    none, n = IO.read_embeddings(spark, _write(os.path.join(scratch, "none.emb"), b"tokens=4 dim=0\n"))
+    assert n == 4 and none.count() == 0

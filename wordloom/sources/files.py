@@ -2,13 +2,16 @@
 
 Parquet is the native form of every table; the plain-text formats (one
 token per line, one rule per line, space-separated ids, tab-separated
-vectors, key=value metadata) are exports and imports around it.  Text files
-are read with ``wholetext`` where line order is the meaning (rule rank,
-vocabulary id): those files are vocabulary sized.
+vectors, key=value metadata) are exports and imports around it.  Where line
+order is the meaning (rule rank, vocabulary id), files are still read in blocks
+in parallel: the lines of every block are counted, and the blocks' sums number
+the lines.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,14 +35,27 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     return raw.join(ids, raw["path"] == ids["of"]).select(F.col("doc_id").cast("bigint").alias("doc_id"), "path", "text")
 
 
+def _lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Non-empty lines ``(file, block, line, value)``, a trailing CR removed, and one row per block of a file.
+
+    ``line`` grows with the place in a block by one; blocks are ``(file, block,
+    first, rows, rank)``, ranked by file and place in the file.
+    """
+    raw = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.regexp_replace("value", "\r$", "").alias("value")).where(F.length("value") > 0)
+    lines = stored(raw.withColumn("line", F.monotonically_increasing_id()), "lines")
+    blocks = lines.groupBy("file", "block").agg(F.min("line").alias("first"), F.count(F.lit(1)).alias("rows"))
+    rank = F.row_number().over(Window.orderBy("file", "block")) - 1
+    return lines, stored(blocks.withColumn("rank", rank.cast("bigint")), "line-blocks")
+
+
 def _ordered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-empty lines with a trailing CR removed, numbered from 0 after the drop."""
-    raw = spark.read.text(path, wholetext=True)
-    lines = F.filter(
-        F.transform(F.split(F.col("value"), "\n"), lambda s: F.regexp_replace(s, "\r$", "")),
-        lambda s: F.length(s) > 0,
-    )
-    return raw.select(F.posexplode(lines).alias("idx", "line"))
+    """Non-empty lines with a trailing CR removed, numbered from 0 after the drop, over the files in path order."""
+    lines, blocks = _lines(spark, path)
+    before = F.sum("rows").over(Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)) - F.col("rows")
+    return lines.join(blocks.withColumn("before", before), ["file", "block"]).select(
+        (F.col("before") + F.col("line") - F.col("first")).alias("idx"), F.col("value").alias("line"))
 
 
 def read_rule_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -73,9 +89,8 @@ def read_id_lines(spark: SparkSession, path: str, mode: str = "failfast", vocab_
     (``mode='failfast'``), or is skipped (``mode='permissive'``). With
     ``vocab_size``, ids at or above it are removed, so neighbours close up.
     """
-    raw = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"), F.regexp_replace("value", r"^\s+|\s+$", "").alias("v"))
+    raw, blocks = _lines(spark, path)
+    raw = raw.withColumn("v", F.regexp_replace("value", r"^\s+|\s+$", ""))
     items = raw.where(F.length("v") > 0).withColumn("items", F.split("v", r"\s+"))
     ids = F.transform("items", lambda x: F.when(x.rlike("^[0-9]+$"), x.try_cast("bigint")))
     lines = stored(items.select("file", "block", "line", "items", ids.alias("ids")), "id-lines")
@@ -84,10 +99,6 @@ def read_id_lines(spark: SparkSession, path: str, mode: str = "failfast", vocab_
             F.arrays_zip("items", "ids")).alias("pos", "x")).where("x.ids IS NULL").limit(1).collect()
         if bad:
             raise MalformedIdsError(f"malformed token id {bad[0].x['items']!r} at item {bad[0].pos} of its line")
-    # one row per block of a file
-    blocks = lines.groupBy("file", "block").agg(F.min("line").alias("first"))
-    rank = F.row_number().over(Window.orderBy("file", "block")) - 1
-    blocks = stored(blocks.withColumn("rank", rank.cast("bigint")), "id-blocks")
     keep = (lambda x: x.isNotNull()) if vocab_size is None else (lambda x: x.isNotNull() & (x < F.lit(vocab_size)))
     return lines.join(blocks, ["file", "block"]).select(
         (F.shiftleft("rank", 32) + F.col("line") - F.col("first")).alias("doc_id"), F.filter("ids", keep).alias("ids"))
@@ -175,6 +186,23 @@ def write_embeddings(vectors: DataFrame, path: str, vocab_size: int, fmt: str =
         ).text(path)
 
 
+def read_embeddings(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """S9 read again: ``(token_id, token, vec)`` of the text format, and the number of tokens its header states.
+
+    Rows are numbered in the order of the lines; the header must state their width.
+    """
+    lines = stored(_ordered_lines(spark, path), "embedding-lines")
+    head = [r.line for r in lines.where("idx = 0").select("line").collect()]
+    found = re.fullmatch(r"tokens=(\d+) dim=(\d+)", head[0]) if head else None
+    if found is None:
+        raise ValueError("an embedding file begins with tokens=N dim=D")
+    cut = lines.where("idx > 0").withColumn("c", F.split("line", "\t"))
+    if not cut.where(F.size("c") != 1 + int(found[2])).isEmpty():
+        raise ValueError(f"a line does not hold a token and {found[2]} values")
+    vec = F.transform(F.slice("c", 2, max(int(found[2]), 1)), lambda x: x.cast("float"))
+    return cut.select((F.col("idx") - 1).alias("token_id"), F.col("c")[0].alias("token"), vec.alias("vec")), int(found[1])
+
+
 RUNS_SCHEMA = (
     "tokenizer string, corpus string, dim int, window int, epochs int, neg int, lr double, seed bigint, "
     "token_count bigint, vocabulary_size bigint, elapsed_ms bigint"
