@@ -88,3 +88,28 @@ def test_no_rows(spark):
 def test_local_components():
     parent = local_components(np.arange(8), np.array([7, 1, 2, 2]), np.array([2, 4, 5, 5]))
     assert parent.tolist() == [0, 1, 2, 3, 1, 2, 6, 2]
+
+
+@pytest.mark.parametrize("k", [1, 4, 500])
+def test_pivot_index_is_exact(spark, k):
+    x = clustered(np.random.default_rng(7))
+    ids = np.random.default_rng(6).permutation(len(x)) * 3 + 1
+    index = N.PivotIndex(frame(spark, x, ids), pivots=9)
+    queries = [x[0], x[50], np.full(5, 9.0), np.zeros(5)]
+    qs = spark.createDataFrame([(q, [float(c) for c in v]) for q, v in enumerate(queries)], "q_id int, q_vec array<double>")
+    out = index.nearest(qs, k).orderBy("q_id", "rank").collect()
+    for q, v in enumerate(queries):
+        want = sorted((float(((np.array(y) - v) ** 2).sum()), int(i)) for y, i in zip(x, ids) if y is not None)[:k]
+        mine = [r for r in out if r.q_id == q]
+        assert [r.vec_id for r in mine] == [i for _, i in want] and [r["rank"] for r in mine] == list(range(1, len(want) + 1))
+        assert np.allclose([-r.sim for r in mine], [d for d, _ in want])
+
+
+def test_pivot_index_skips_cells(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(12, 8))[rng.integers(0, 12, 600)] * 10 + rng.normal(size=(600, 8)) * 0.1
+    index = N.PivotIndex(frame(spark, x), pivots=12)
+    qs = spark.createDataFrame([(0, [float(c) for c in x[5]])], "q_id int, q_vec array<double>")
+    assert index.nearest(qs, 5).first().vec_id == 5 and len(index.read) < len(index.cells) == 12
+    none = N.PivotIndex(frame(spark, []))
+    assert none.nearest(qs, 3).count() == 0 and index.nearest(qs.limit(0), 3).count() == 0

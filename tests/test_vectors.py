@@ -200,3 +200,29 @@ def test_blocks_by_bytes(emb, spark, monkeypatch):
         monkeypatch.setattr(VX, "BLOCK_BYTES", 500)
         assert [tuple(r) for r in VX.knn_exact(df, queries, 7, metric).orderBy("q_id", "rank").collect()] == want
         monkeypatch.setattr(VX, "BLOCK_BYTES", 1 << 26)
+
+
+@pytest.mark.parametrize("factors", [64, 2])
+def test_principal_components_against_numpy(spark, monkeypatch, factors):
+    monkeypatch.setattr(VX, "FACTORS", factors)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(300, 12)) * np.linspace(6, 0.5, 12) @ np.linalg.qr(rng.normal(size=(12, 12)))[0] + 3.0
+    df = spark.createDataFrame([(i, [float(c) for c in v], 0) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>, label int")
+    pca = VX.principal_components(df.repartition(7), 3)
+    values, basis = np.linalg.eigh(np.cov(x.T, bias=True))
+    values, basis = values[::-1][:3], basis[:, ::-1][:, :3]
+    assert np.allclose(pca.variance, values, rtol=1e-6) and np.allclose(pca.mean, x.mean(axis=0))
+    m = np.array(pca.matrix)
+    assert np.allclose(m @ m.T, np.eye(3), atol=1e-9)
+    assert np.allclose(np.abs(np.diag(m @ basis)), 1, atol=1e-5)  # the same directions, up to the sign
+    y = np.array([r.y for r in VX.project_vectors(df, pca.matrix).orderBy("vec_id").collect()])
+    assert np.allclose(np.cov(y.T, bias=True), np.diag(values), atol=1e-3)
+
+
+def test_principal_components_of_few_rows(spark):
+    df = spark.createDataFrame([(0, [1.0, 2.0, 3.0], 0), (1, [3.0, 2.0, 1.0], 0), (2, None, 0)],
+                               "vec_id bigint, embedding array<double>, label int").repartition(3)
+    pca = VX.principal_components(df, 2)
+    assert np.allclose(pca.variance, [2.0, 0.0], atol=1e-9) and np.allclose(np.abs(pca.matrix[0]), [0.5**0.5, 0, 0.5**0.5])
+    with pytest.raises(ValueError):
+        VX.principal_components(df, 4)

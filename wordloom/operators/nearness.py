@@ -1,4 +1,4 @@
-"""V3: similarity join of a vector table: for each vector its linked component and its number of links.
+"""V3: similarity join of a vector table: for each vector its linked component and its number of links. V2: an index by pivots.
 
 Equal vectors are one entry with a count, so copies are never paired. A link
 search deals entries by keys: each entry is at *home* under one key per table and
@@ -22,15 +22,17 @@ stands for its group), never the pairs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordloom.operators.encode import checked_size
 from wordloom.operators.graph import local_components, smallest_reachable
-from wordloom.session import stored
+from wordloom.session import ensure_checkpoint_dir, stored
 
 #: Entries that a block holds, and those of them that are compared at once.
 BLOCK_ROWS, AT_ONCE = 2048, 256
@@ -220,3 +222,103 @@ def similarity_join(vectors: DataFrame, radius: float, metric: str = "distance",
     return placed.join(least, "component", "left").select(
         "vec_id", F.coalesce("component_id", "vec_id").alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+
+
+class PivotIndex:
+    """V2: vectors stored by their nearest pivot's cell, with the cells' least and greatest distance to it.
+
+    The triangle inequality bounds the distance of a query to a whole cell from
+    below, and to each row of it by the row's stored distance to its pivot, so
+    ``nearest`` reads the cells that can hold an answer and no others.
+    """
+
+    def __init__(self, vectors: DataFrame, pivots: int = PIVOTS):
+        spark = vectors.sparkSession
+        rows = stored(vectors.where("embedding IS NOT NULL").select(
+            F.col("vec_id").alias("node"), F.transform("embedding", lambda v: v.cast("double")).alias("x")), "index-vectors")
+        self.pivots = choose_pivots(rows, pivots)
+        centers = self.pivots
+
+        @F.pandas_udf("struct<cell:int,far:double>")
+        def home(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for x in batches:
+                d = _distances(_matrix(x), centers) if len(x) else np.zeros((0, 1))
+                yield pd.DataFrame({"cell": d.argmin(axis=1), "far": d.min(axis=1)})
+
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pivot-index-{uuid.uuid4().hex}"
+        placed = rows.select("node", "x", home("x").alias("h")).select("node", "x", "h.*")
+        placed.write.partitionBy("cell").parquet(path)
+        self.rows = spark.read.schema("node bigint, x array<double>, far double, cell int").parquet(path)
+        stats = self.rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("far").alias("low"), F.max("far").alias("high"))
+        self.cells = {r.cell: (r.n, r.low, r.high) for r in stats.collect()}  # one row per pivot
+        self.read: list[int] = []  # cells that the last search has read
+
+    def _scan(self, wanted: dict[int, dict[int, float]], queries: np.ndarray, k: int) -> list:
+        """(query, distance, node): the ``k`` nearest of each query in the cells ``wanted`` = {cell: {query: bound}}."""
+        if not wanted:
+            return []
+        pivots = self.pivots
+
+        def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            for rows in batches:
+                for cell, part in rows.groupby("cell"):
+                    x, far, node = _matrix(part["x"]), part["far"].to_numpy(), part["node"].to_numpy()
+                    for q, bound in wanted[cell].items():
+                        off = np.sqrt(((queries[q] - pivots[cell]) ** 2).sum())
+                        some = np.flatnonzero(np.abs(far - off) <= bound + 1e-9 * (1 + off))
+                        d = ((x[some] - queries[q]) ** 2).sum(axis=1)
+                        old = best.get(q, (np.empty(0), np.empty(0, np.int64)))
+                        d, i = np.concatenate((old[0], d)), np.concatenate((old[1], node[some]))
+                        order = np.lexsort((i, d))[:k]
+                        best[q] = d[order], i[order]
+            yield pd.DataFrame([(q, float(d), int(i)) for q, b in best.items() for d, i in zip(*b, strict=True)],
+                               columns=["q", "d2", "node"])
+
+        found = self.rows.where(F.col("cell").isin(list(wanted))).mapInPandas(nearest, "q int, d2 double, node bigint")
+        w = Window.partitionBy("q").orderBy("d2", "node")
+        rows = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        return [(r.q, r.d2, r.node) for r in rows.collect()]  # k rows per query of a stated set
+
+    def nearest(self, queries: DataFrame, k: int) -> DataFrame:
+        """``(q_id, rank, vec_id, sim)``: the k nearest rows of every query of a stated set ``(q_id, q_vec)``, exact.
+
+        ``sim`` is the negative squared distance; ties go to the lower vec_id.
+        """
+        spark = queries.sparkSession
+        names = [(r.q_id, r.q_vec) for r in queries.select("q_id", "q_vec").collect()]
+        checked_size(sum(8 * len(v) + 64 * (k + 1) for _, v in names), "queries and their answers")
+        kind = f"q_id {queries.schema['q_id'].dataType.simpleString()}, rank int, vec_id bigint, sim double"
+        self.read = []
+        if not names or not self.cells:
+            return spark.createDataFrame([], kind)
+        x = _matrix([v for _, v in names])
+        off = _distances(x, self.pivots)
+        low = {q: {c: max(0.0, off[q, c] - high, least - off[q, c]) for c, (_, least, high) in self.cells.items()}
+               for q in range(len(x))}
+        first: dict[int, dict[int, float]] = {}
+        for q, bounds in low.items():
+            seen = 0
+            for c in sorted(bounds, key=lambda c: (bounds[c], off[q, c])):
+                first.setdefault(c, {})[q] = np.inf
+                seen += self.cells[c][0]
+                if seen >= k:
+                    break
+        found = self._scan(first, x, k)
+        limit = {q: np.inf for q in low}
+        for q in low:
+            d = sorted(d for p, d, _ in found if p == q)
+            if len(d) >= k:
+                limit[q] = float(np.sqrt(d[k - 1]))
+        more: dict[int, dict[int, float]] = {}
+        for q, bounds in low.items():
+            for c, least in bounds.items():
+                if q not in first.get(c, {}) and least <= limit[q] + 1e-9 * (1 + limit[q]):
+                    more.setdefault(c, {})[q] = limit[q]
+        found += self._scan(more, x, k)
+        self.read = sorted({*first, *more})
+        out = []
+        for q in low:
+            best = sorted((d, i) for p, d, i in found if p == q)[:k]
+            out += [(names[q][0], rank + 1, i, -d) for rank, (d, i) in enumerate(best)]
+        return spark.createDataFrame(out, kind)

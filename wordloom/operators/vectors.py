@@ -11,6 +11,7 @@ the tasks after a check of their bytes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -183,7 +184,8 @@ def vector_profile(vectors: DataFrame) -> DataFrame:
 
 def component_stats(vectors: DataFrame) -> DataFrame:
     """Column mean and population deviation per component ``(i, mean, sd)``."""
-    return cells(vectors).groupBy("i").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("sd"))
+    rows = vectors.select(F.posexplode("embedding").alias("i", "v")).select("i", F.col("v").cast("double").alias("v"))
+    return rows.groupBy("i").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("sd"))
 
 
 def _component_arrays(stats: DataFrame, cols):
@@ -295,6 +297,95 @@ def project_vectors(vectors: DataFrame, matrix: list[list[float]]) -> DataFrame:
     return vectors.select("vec_id", "label", product("embedding").alias("y"))
 
 
+@dataclass
+class Components:
+    mean: list[float]
+    matrix: list[list[float]]  # one row per component, for ``project_vectors``
+    variance: list[float]
+    rounds: int
+
+
+#: Triangular factors that one task joins.
+FACTORS = 64
+
+
+def _factor(stack: list[np.ndarray]) -> np.ndarray:
+    """The triangular factor of matrices on top of each other."""
+    return np.linalg.qr(np.concatenate(stack), mode="r")
+
+
+def _iterate(mean: np.ndarray, base: np.ndarray):
+    """One pass of a partition: its share of X^T X Q, and the triangular factor of its rows of X Q."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        product, factor = np.zeros(base.shape), np.zeros((0, base.shape[1]))
+        for rows in batches:
+            for x in _blocks(rows["embedding"], base.shape[1]):
+                x = x - mean
+                y = x @ base
+                product += x.T @ y
+                factor = _factor([factor, y])
+        i, j = (k.ravel() for k in np.indices(product.shape))
+        yield pd.DataFrame({"kind": 0, "i": i, "j": j, "v": product.ravel()})
+        i, j = (k.ravel() for k in np.indices(factor.shape))
+        yield pd.DataFrame({"kind": 1, "i": i, "j": j, "v": factor.ravel()})
+
+    return run
+
+
+def _joined_factors(rows: pd.DataFrame) -> pd.DataFrame:
+    parts = [p.pivot(index="i", columns="j", values="v").to_numpy() for _, p in rows.groupby("part")]
+    factor = _factor(parts)
+    i, j = (k.ravel() for k in np.indices(factor.shape))
+    return pd.DataFrame({"part": int(rows["to"].iloc[0]), "i": i, "j": j, "v": factor.ravel()})
+
+
+def principal_components(vectors: DataFrame, k: int, seed: int = 1, tolerance: float = 1e-10, max_rounds: int = 200) -> Components:
+    """The ``k`` directions of greatest variance, by block power iteration.
+
+    A round multiplies all rows with a block of a few directions Q and the
+    result with the rows again (X^T X Q, summed over the partitions), and makes
+    it orthonormal. The singular values of X Q come from its triangular factor,
+    which is taken per partition and joined in a tree; the rounds end when they
+    settle, and the factor's own singular vectors turn Q into the components.
+    Signs are such that a component's largest entry is positive.
+    """
+    vectors = vectors.where("embedding IS NOT NULL").select("embedding")
+    mean = np.array([r.mean for r in sorted(component_stats(vectors).collect(), key=lambda r: r.i)])
+    dim, n = len(mean), vectors.count()
+    if not 0 < k <= dim:
+        raise ValueError("k must be between 1 and the length of the vectors")
+    if 16 * dim * k > MODEL_BYTES:
+        raise OverflowError(f"{k} directions of {dim} are above MODEL_BYTES={MODEL_BYTES}")
+    width = min(dim, k + 8)  # a few more directions settle the last ones sooner
+    base = np.linalg.qr(np.random.default_rng(seed).normal(size=(dim, width)))[0]
+    before = np.zeros(k)
+    for turn in range(1, max_rounds + 1):
+        passed = vectors.mapInPandas(_iterate(mean, base), "kind int, i int, j int, v double")
+        passed = stored(passed.withColumn("part", F.spark_partition_id()), "power-iteration")
+        product = np.zeros((dim, width))
+        for r in passed.where("kind = 0").groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
+            product[r.i, r.j] = r.v
+        factors = passed.where("kind = 1").select("part", "i", "j", "v")
+        while (parts := factors.select("part").distinct().count()) > 1:
+            to = F.pmod(F.col("part"), F.lit(-(-parts // FACTORS)))
+            factors = stored(factors.withColumn("to", to).groupBy("to").applyInPandas(
+                _joined_factors, "part int, i int, j int, v double"), "factors")
+        rows = factors.collect()
+        factor = np.zeros((max((r.i for r in rows), default=-1) + 1, width))
+        for r in rows:
+            factor[r.i, r.j] = r.v
+        _, values, turned = np.linalg.svd(factor, full_matrices=False)
+        values = np.concatenate((values, np.zeros(k)))[:k]
+        settled = np.abs(values - before).max() <= tolerance * max(values.max(), 1e-300)
+        if settled:
+            break
+        before, base = values, np.linalg.qr(product)[0]
+    turned = np.concatenate((turned, np.eye(width)))[:k]
+    matrix = turned @ base.T
+    matrix *= np.sign(matrix[np.arange(k), np.abs(matrix).argmax(axis=1)])[:, None]
+    return Components(mean.tolist(), matrix.tolist(), (values**2 / max(n, 1)).tolist(), turn)
+
+
 #: Side of a block of a matrix product, as a power of two: a task holds one block of each factor.
 BLOCK_BITS = 10
 

@@ -1077,6 +1077,14 @@ def q_knn_distance(spark, sf):
     return r.select("q_id", F.col("rank").cast("bigint").alias("rank"), "vec_id", _r(-F.col("sim")).alias("d2"))
 
 
+def q_knn_pivots(spark, sf):
+    """V2 through the pivot index: the same neighbours."""
+    e = _emb(spark, sf)
+    qs = VX.centroid_vectors(e).select(F.col("label").cast("bigint").alias("q_id"), F.col("centroid").alias("q_vec"))
+    r = NN.PivotIndex(e).nearest(qs, KNN_K)
+    return r.select("q_id", F.col("rank").cast("bigint").alias("rank"), "vec_id", _r(-F.col("sim")).alias("d2"))
+
+
 SQL_KNN_DISTANCE = (
     f"WITH {_CELLS}, cent AS (SELECT label AS q_id, i, avg(v) AS c FROM cells GROUP BY 1, 2), "
     "d AS (SELECT c.q_id, x.vec_id, sum((x.v - c.c) * (x.v - c.c)) AS d2 FROM cells x JOIN cent c ON c.i = x.i GROUP BY 1, 2) "
@@ -1144,6 +1152,19 @@ SQL_PROJECT_VECTORS = (
 )
 
 
+COMPONENTS = 4
+
+
+def q_principal_components(spark, sf):
+    """The variance of the vectors projected on their principal components; the components are uncorrelated."""
+    e = _emb(spark, sf)
+    pca = VX.principal_components(e, COMPONENTS)
+    y = VX.project_vectors(e, pca.matrix).select("vec_id", F.posexplode("y").alias("j", "y"))
+    got = y.groupBy("j").agg(F.var_pop("y").alias("variance"))
+    said = spark.createDataFrame(list(enumerate(pca.variance)), "j int, said double")
+    return got.join(said, "j").select(F.col("j").cast("bigint").alias("j"), _r("variance").alias("variance"), _r("said").alias("said"))
+
+
 def q_matrix_multiply(spark, sf):
     """X^T X with coordinate matrices (join on the shared row index)."""
     c = VX.cells(_emb(spark, sf), extra=())
@@ -1285,8 +1306,10 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "label_profile": (q_label_profile, SQL_LABEL_PROFILE),
     "lexicographic_order": (q_lexicographic_order, SQL_LEXICOGRAPHIC_ORDER),
     "knn_distance": (q_knn_distance, SQL_KNN_DISTANCE),
+    "knn_pivots": (q_knn_pivots, SQL_KNN_DISTANCE),
     "vector_dedup": (q_vector_dedup, SQL_VECTOR_DEDUP),
     "truncate_vectors": (q_truncate_vectors, SQL_TRUNCATE_VECTORS),
+    "principal_components": (q_principal_components, None),
     "project_vectors": (q_project_vectors, SQL_PROJECT_VECTORS),
     "matrix_multiply": (q_matrix_multiply, SQL_MATRIX_MULTIPLY),
     "matrix_chain": (q_matrix_chain, SQL_MATRIX_CHAIN),
