@@ -72,3 +72,46 @@ def test_articles_in_several_containers(spark):
     rows = [(i, f"http://h{k}.example/{i}", page) for k, page in enumerate(pages) for i in range(3)]
     got = X.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
     assert len(got) == len(rows) and {r.text for r in got} == {want}
+
+
+BODY = "".join(f"<p>Paragraph {i} of the article tells at some length what happened on that day.</p>" for i in range(6))
+SAID = "\n\n".join(f"Paragraph {i} of the article tells at some length what happened on that day." for i in range(6))
+
+
+def test_wrappers_that_hold_the_article():
+    """Marks of the layout, a form around the page, and an end tag that is missing do not hide the article."""
+    talk = "<div class=comments>" + "<p>I disagree with all of it, at great length and with many words.</p>" * 20 + "</div>"
+    for page in (
+        f"<div class='layout-sidebar-right'><article>{BODY}</article></div>",
+        f"<div class='layout-sidebar-right'><div class=text>{BODY}</div></div>",
+        f"<body><div class='page legal'><h1>T</h1>{BODY}</div></body>",
+        f"<body><div class='share-enabled'><div>{BODY}</div></div></body>",
+        f"<body><form id='aspnetForm'><div class=nav><a href=x>Home</a></div><div class=c><h1>T</h1>{BODY}</div></form></body>",
+        f"<body><nav><ul><li><a href=x>Home</a></ul><main><h1>T</h1>{BODY}</main></body>",
+        f"<body><nav><a href=x>Home</a><article>{BODY}</article></body>",
+        f"<body><nav><a href=x>Home</a><div><h1>T</h1>{BODY}</div></body>",
+        f"<div class='layout-sidebar-right'><div class=text>{BODY}</div>{talk}</div>",
+        f"<div id=sidebar><p>Beside it stands a short text.</p></div><div class=legal><h1>T</h1>{BODY}</div>",
+    ):
+        text, _ = X.main_text(page, [])
+        assert text.removeprefix("T\n\n") == SAID, page
+
+
+def test_marks_that_hold():
+    """Sidebars, notices and talk stay outside, also long ones; so does what is hidden."""
+    long = "<p>This stands beside the article and is longer than it, with many words that say nothing.</p>" * 8
+    for tag in ("div class=sidebar", "aside", "div class=comments", "div class='comment-list'", "div class=notice", "form class=search",
+                "div hidden", "div class='cookie-bar'", "nav", "footer", "div role=complementary", "section id=comments"):
+        page = f"<body><div class=post>{BODY}</div><{tag}>{long}</{tag.split()[0]}></body>"
+        assert X.main_text(page, [])[0] == SAID, tag
+    assert X.main_text(f"<body><div class=comments>{long}</div></body>", [])[0] == ""
+    assert X.main_text(f"<article>{BODY}</article><aside><article><p>Another story.</p></article></aside>", [])[0] == SAID
+
+
+def test_a_second_block_beside_the_winning_path(spark):
+    """Other pages of the host vote for one path; this page has more of its article beside it."""
+    second = "The article goes on in a second block, which other pages of this host do not have. " * 6
+    rows = [(i, f"http://h.example/{i}", f"<body><div class=a><div class=b>{BODY}</div></div></body>") for i in range(5)]
+    rows.append((9, "http://h.example/9", f"<body><div class=a><div class=b>{BODY}</div><div class=c><p>{second}</p></div></div></body>"))
+    got = {r.id: r.text for r in X.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[0] == SAID and got[9] == f"{SAID}\n\n{second.strip()}"

@@ -23,6 +23,8 @@ from wordloom.llm.common import bounded_batches, materialize, read_table, slices
 
 #: Paths that a page votes for, and paths of a host that are tried in turn.
 VOTES, WINNERS = 2, 3
+#: Running text beside a winning path that is still taken for the same article, in multiples of the path's own.
+BESIDE = 3
 
 # Element names, from the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,9 +51,21 @@ OUTSIDE_WORDS = frozenset((
     "modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations "
     "comment comments commentlist disqus respond replies reply login search pagination pager copyright legal "
     "disclaimer widget widgets toolbar hidden alert").split())
+#: Those that also name the layout or the subject of a page: what bears them may hold the article.
+LAYOUT_WORDS = frozenset((
+    "banner sidebar side header masthead notice notices share sharing social related copyright legal disclaimer widget "
+    "widgets toolbar promo promotion").split())
 #: Words of class names that tell what stands beside an element, not what it is.
 SAYING = frozenset("with has no without".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
+#: How surely an element is outside the article: by a word inside a longer name, by its whole name, in any case.
+MAYBE, LIKELY, SURELY = 1, 2, 3
+#: Shares of a page's running text with which an element is not outside: with any mark of the layout that is no whole
+#: name, or with a title or an article inside; and with any mark of the layout.
+MOST, NEARLY_ALL = 0.5, 0.9
+#: Elements that an article is in, and those of which an open one ends where such an element begins.
+TITLED = frozenset("main article h1".split())
+LEFT_OPEN = {"main": frozenset("nav aside footer menu button select".split()), "article": frozenset(["nav"]), "h1": frozenset(["nav"])}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
@@ -62,7 +76,7 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    """An element: its generalised path, parent, whether it is outside the article, and its order of opening."""
+    """An element: its generalised path, parent, how surely it is outside the article, and its order of opening."""
 
     __slots__ = ("tag", "path", "parent", "outside", "order", "close")
 
@@ -70,24 +84,45 @@ class Node:
         self.tag, self.path, self.parent, self.outside, self.order, self.close = tag, path, parent, outside, order, None
 
 
-def _classes(raw: str) -> tuple[str, bool]:
-    """The generalised class part of a path, and whether the attributes say that it is no article text."""
+def _classes(raw: str) -> tuple[str, int]:
+    """The generalised class part of a path, and how surely the attributes say that it is no article text."""
     if not raw or raw.isspace():
-        return "", False
+        return "", 0
     held = {}
     for m in _ATTRIBUTE.finditer(raw):
         held.setdefault((m[1] or m[3]).lower(), html.unescape((m[2] or "").strip("\"'")))
     names = held.get("class", "").lower().split()
-    ident = held.get("id", "").lower()
-    outside = ("hidden" in held or held.get("aria-hidden", "").lower() == "true"
-               or bool(_HIDDEN.search(held.get("style", "")))
-               or held.get("role", "").lower() in OUTSIDE_ROLES
-               or any(not OUTSIDE_WORDS.isdisjoint(w) and SAYING.isdisjoint(w)
-                      for w in map(_WORD.findall, (*names, ident))))
+    outside = 0
+    if ("hidden" in held or held.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(held.get("style", ""))
+            or held.get("role", "").lower() in OUTSIDE_ROLES):
+        outside = SURELY
+    for name in (*names, held.get("id", "").lower()):
+        words = _WORD.findall(name)
+        said = OUTSIDE_WORDS.intersection(words)
+        if said and SAYING.isdisjoint(words):
+            outside = max(outside, SURELY if said - LAYOUT_WORDS else LIKELY if len(words) == 1 else MAYBE)
     general = sorted({re.sub(r"\d+", "", n).strip("-_") for n in names} - {""})
     return "".join(f".{n}" for n in general), outside
 
 
+def _holding(nodes: list[Node], blocks) -> set[int]:
+    """The marked elements that hold the article after all, by its running text."""
+    running = [(holder.order, len(text), marked) for holder, text, linked, marked in blocks
+               if holder.tag not in SHORT and 2 * linked < len(text) and all(n.outside < SURELY for n in marked)]
+    total = sum(size for _, size, _ in running)
+    below: dict[int, int] = {}
+    for _, size, marked in running:
+        for n in marked:
+            below[n.order] = below.get(n.order, 0) + size
+    out = set()
+    for k, size in below.items():
+        node, share = nodes[k], size / total
+        titled = any(n.tag in TITLED for n in nodes[k + 1 : node.close])
+        if share > (MOST if node.outside == MAYBE or titled else NEARLY_ALL):
+            out.add(k)
+    return out
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
     """The elements of a page and its blocks (element, text, characters of it inside links), in page order."""
     root = Node("", "", None, False, 0)
@@ -102,8 +137,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
             joined = " ".join(html.unescape("".join(text)).split())
             if joined:
                 holder = next(n for n in reversed(stack) if n.tag in BLOCK or n is root)
-                outside = any(n.outside for n in stack)
-                blocks.append((holder, joined, linked, outside))
+                blocks.append((holder, joined, linked, [n for n in stack if n.outside]))
             text.clear()
         linked = 0
 
@@ -157,6 +191,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
                 k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
                 if k and not any(n.tag in ("td", "th", "table", "button") for n in stack[k:]):
                     pop(k)
+        if tag in LEFT_OPEN:
+            k = next((i for i in range(1, len(stack)) if stack[i].tag in LEFT_OPEN[tag]), 0)
+            if k:
+                flush()
+                pop(k)
         if tag in ENDS:
             ended, held = ENDS[tag]
             for k in range(len(stack) - 1, 0, -1):
@@ -169,8 +208,12 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
             continue
         parent = stack[-1]
         classes, outside = _classes(m[3])
-        outside = (outside and tag not in ("body", "html", "article", "main")) or tag in OUTSIDE or (
-            tag == "header" and not any(n.tag in ("article", "main") for n in stack))
+        if tag in ("body", "html", "article", "main"):
+            outside = 0
+        elif tag in OUTSIDE:
+            outside = max(outside, MAYBE if tag == "form" else LIKELY if tag == "aside" else SURELY)
+        elif tag == "header" and not any(n.tag in ("article", "main") for n in stack):
+            outside = max(outside, LIKELY)
         node = Node(tag, f"{parent.path}>{tag}{classes}", parent, outside, len(nodes))
         nodes.append(node)
         stack.append(node)
@@ -178,7 +221,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
     flush()
     pop(1)
     root.close = len(nodes)
-    return nodes, [b for b in blocks if not b[3]]
+    holding = _holding(nodes, blocks)
+    return nodes, [b for b in blocks if all(n.order in holding for n in b[3])]
 
 
 def scores(blocks) -> list[tuple[float, Node]]:
@@ -242,9 +286,10 @@ def votes(page: str | None) -> list[tuple[str, float]]:
 def main_text(page: str | None, paths: list[str]) -> tuple[str, str | None]:
     """The text below all elements on the first path of ``paths`` that has text, and that path.
 
-    Blocks are joined by an empty line. A page without any of the paths is
-    extracted at its own best container, or the one that holds the whole
-    article; null and pages without text give "".
+    Where the page has running text beside them in the container that holds the
+    whole article, at most ``BESIDE`` times theirs, that is taken too. Blocks are joined by an empty line. A
+    page without any of the paths is extracted at its own best container, or the
+    one that holds the whole article; null and pages without text give "".
     """
     if not page:
         return "", None
@@ -254,10 +299,20 @@ def main_text(page: str | None, paths: list[str]) -> tuple[str, str | None]:
         return "", None
     have = {n.path for _, n in ranked}
     chosen = next((path for path in paths if path in have), None) or whole(ranked[0][1], blocks).path
-    spans = sorted((n.order, n.close) for _, n in ranked if n.path == chosen)
+    nodes = [n for _, n in ranked if n.path == chosen]
+    spans = sorted((n.order, n.close) for n in nodes)
     starts = [a for a, _ in spans]  # elements of one path are not inside each other
-    inside = [text for holder, text, *_ in blocks
-              if (k := bisect_right(starts, holder.order)) and holder.order < spans[k - 1][1]]
+
+    def held(holder):
+        k = bisect_right(starts, holder.order)
+        return k and holder.order < spans[k - 1][1]
+
+    up = whole(nodes[0], blocks)
+    running = [(h, len(text)) for h, text, linked, _ in blocks if h.tag not in SHORT and 2 * linked < len(text)]
+    more = sum(n for h, n in running if up.order <= h.order < up.close and not held(h))
+    if more > BESIDE * sum(n for h, n in running if held(h)):
+        up = nodes[0]
+    inside = [text for holder, text, *_ in blocks if held(holder) or up.order <= holder.order < up.close]
     return "\n\n".join(inside), chosen
 
 
