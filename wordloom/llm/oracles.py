@@ -146,8 +146,8 @@ def _factors() -> str:
             rest = "".join(f" - l_{i}_{k} * l_{j}_{k} * d_{k}" for k in range(j))
             out.append(f"(c_{i}_{j}{rest}) / d_{j} AS l_{i}_{j}")
         rest = "".join(f" - l_{i}_{k} * l_{i}_{k} * d_{k}" for k in range(i))
-        out.append(f"greatest(c_{i}_{i}{rest}, 0.0) + {Q.VECTOR[i][1] ** 2!r} AS d_{i}")
-    return ", ".join(out)
+        out.append(f"greatest(c_{i}_{i}{rest}, {Q.VECTOR[i][1] ** 2!r}) AS d_{i}")
+    return ", ".join(out) + ", " + " + ".join(f"ln(d_{i})" for i in range(Q.D)) + " AS ld"
 
 
 def quality() -> str:
@@ -184,20 +184,42 @@ def quality() -> str:
     ctes.append(f"b0 AS ({bins})")
     ctes.append(f"q0 AS ({quantiles('b0', 'key, i', {'q1': 0.25, 'q2': 0.5, 'q3': 0.75})})")
     mids = ", ".join(f"max({Q.STEP!r} * (q2 + 0.5)) FILTER (WHERE i = {i}) AS m_{i}" for i in range(Q.D))
-    spread = f"({Q.STEP!r} * (q3 - q1) / 1.349)"
-    first = ", ".join(f"max({spread} * {spread}) FILTER (WHERE i = {i}) AS c_{i}_{i}" if i == j else f"0.0::DOUBLE AS c_{i}_{j}" for i, j in covs)
-    ctes.append(f"s0 AS (SELECT key, max(n) AS n, {mids}, {first} FROM q0 GROUP BY key)")
-    ctes.append(f"e0 AS MATERIALIZED (SELECT *, {_factors()} FROM s0)")
+    spread = f"{Q.STEP!r} * (q3 - q1) / 1.349"
+    spreads = ", ".join(f"max(greatest({spread}, {Q.VECTOR[i][1]!r})) FILTER (WHERE i = {i}) AS s_{i}" for i in range(Q.D))
+    ms = ", ".join(f"m_{i}" for i in range(Q.D))
+    ctes.append(f"mid AS MATERIALIZED (SELECT key, max(n) AS n, {mids}, {spreads} FROM q0 GROUP BY key)")
+    zs = ", ".join(f"(x.x_{i} - m.m_{i}) / m.s_{i} AS z_{i}" for i in range(Q.D))
+    size = "greatest(sqrt(" + " + ".join(f"z_{i} * z_{i}" for i in range(Q.D)) + "), 1e-12)"
+    ctes.append(f"z AS (SELECT x.key, {zs} FROM lev x JOIN mid m ON m.key = x.key)")
+    ctes.append("tu AS (SELECT key, " + ", ".join(f"tanh(z_{i}) AS t_{i}, z_{i} / {size} AS u_{i}" for i in range(Q.D)) + " FROM z)")
+    ctes.append("co AS (SELECT key, " + ", ".join(
+        f"avg(t_{i} * t_{j}) - avg(t_{i}) * avg(t_{j}) AS t_{i}_{j}, avg(u_{i} * u_{j}) AS u_{i}_{j}" for i, j in covs) + " FROM tu GROUP BY key)")
+    first = []
+    for start in range(Q.STARTS):
+        v = " tu"[start]
+        cs = ", ".join(
+            f"s_{i} * s_{j} AS c_{i}_{j}" if i == j else f"0.0::DOUBLE AS c_{i}_{j}" if not start else
+            f"CASE WHEN {v}_{i}_{i} * {v}_{j}_{j} > 1e-12 THEN s_{i} * s_{j} * {v}_{i}_{j} / sqrt({v}_{i}_{i} * {v}_{j}_{j}) ELSE 0.0 END AS c_{i}_{j}"
+            for i, j in covs)
+        first.append(f"SELECT m.key, {start} AS start, n, {ms}, {cs} FROM mid m JOIN co c ON c.key = m.key")
+    fitted = ", ".join(Q.FITTED)
+    ctes.append(f"e0 AS MATERIALIZED (SELECT * REPLACE (1e300 AS ld) FROM (SELECT *, {_factors()} FROM ({' UNION ALL '.join(first)})))")
     for k in range(1, Q.STEPS + 1):
-        ctes.append(f"n{k} AS MATERIALIZED (SELECT x.*, floor({Q.BINS} * ln(greatest(1e-6, least(1e6, {_distance()})))) AS b "
+        ctes.append(f"n{k} AS MATERIALIZED (SELECT x.*, e.start, floor({Q.BINS} * ln(greatest(1e-6, least(1e6, {_distance()})))) AS b "
                     f"FROM lev x JOIN e{k - 1} e ON e.key = x.key)")
-        ctes.append(f"c{k} AS (" + quantiles(f"(SELECT key, b, count(*) AS n FROM n{k} GROUP BY 1, 2)", "key", {"cut": Q.SHARE}) + ")")
+        ctes.append(f"c{k} AS (" + quantiles(f"(SELECT key, start, b, count(*) AS n FROM n{k} GROUP BY 1, 2, 3)", "key, start", {"cut": Q.SHARE}) + ")")
         means = ", ".join(f"avg(x_{i}) AS m_{i}" for i in range(Q.D))
         seconds = ", ".join(f"avg(x_{i} * x_{j}) AS p_{i}_{j}" for i, j in covs)
-        ctes.append(f"a{k} AS (SELECT x.key, max(c.n) AS n, {means}, {seconds} FROM n{k} x JOIN c{k} c ON c.key = x.key AND x.b <= c.cut GROUP BY x.key)")
+        ctes.append(f"a{k} AS (SELECT x.key, x.start, max(c.n) AS n, {means}, {seconds} FROM n{k} x JOIN c{k} c "
+                    f"ON c.key = x.key AND c.start = x.start AND x.b <= c.cut GROUP BY 1, 2)")
         scaled = ", ".join(f"{Q.CONSISTENCY!r} * (p_{i}_{j} - m_{i} * m_{j}) AS c_{i}_{j}" for i, j in covs)
-        ctes.append(f"e{k} AS MATERIALIZED (SELECT *, {_factors()} FROM (SELECT *, {scaled} FROM a{k}))")
-    ctes.append(f"fit AS (SELECT * FROM e{Q.STEPS} WHERE n >= {Q.MIN_ROWS} OR key = '2')")
+        ctes.append(f"f{k} AS MATERIALIZED (SELECT *, {_factors()} FROM (SELECT *, {scaled} FROM a{k}))")
+        ctes.append(f"e{k} AS MATERIALIZED (SELECT o.key, o.start, " + ", ".join(
+            f"CASE WHEN f.ld < o.ld - {Q.FALL!r} THEN f.{c} ELSE o.{c} END AS {c}" for c in Q.FITTED)
+            + f" FROM e{k - 1} o JOIN f{k} f ON f.key = o.key AND f.start = o.start)")
+    ctes.append(f"best AS (SELECT key, start, {fitted} FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ld, start) AS r "
+                f"FROM e{Q.STEPS}) WHERE r = 1)")
+    ctes.append(f"fit AS (SELECT * FROM best WHERE n >= {Q.MIN_ROWS} OR key = '2')")
     picked = " UNION ALL ".join(f"SELECT doc_id, {level} AS level, {k} AS key, {xs} FROM vec" for level, k in enumerate(keys))
     ctes.append(f"judged AS (SELECT x.doc_id, arg_min({_distance()}, x.level) AS d FROM ({picked}) x JOIN fit e ON e.key = x.key GROUP BY 1)")
     return "WITH " + ",\n".join(ctes) + (

@@ -1,12 +1,15 @@
 """Quality rules: base rules and robust multivariate outliers per language and source.
 
 A text's statistics become a vector (``VECTOR``). For every (language, source)
-the minimum covariance determinant estimate of centre and scatter is found by
-concentration steps: start from medians and quartile ranges, then again and
-again keep the ``SHARE`` of the documents with the least Mahalanobis distance
-and take their mean and covariance. A document whose distance to its group's
-estimate exceeds the chi-square ``QUANTILE`` is rejected. Groups under
-``MIN_ROWS`` documents use the language's estimate, then that of all documents.
+the minimum covariance determinant estimate of centre and scatter is sought from
+several deterministic starts, all around the medians: quartile ranges alone, and
+with the correlations of hyperbolic tangents and of spatial signs. From each,
+concentration steps keep the ``SHARE`` of the documents with the least
+Mahalanobis distance and take their mean and covariance, until its determinant
+falls no more; the start with the least determinant gives the estimate. A
+document whose distance to its group's estimate exceeds the chi-square
+``QUANTILE`` is rejected. Groups under ``MIN_ROWS`` documents use the language's
+estimate, then that of all documents.
 
 Only built-in functions are used. All documents that pass the base rules enter
 the estimates; what is shuffled are counts and sums per group, so a hot source
@@ -23,13 +26,15 @@ from pyspark.sql import functions as F
 from wordloom.llm.common import let, materialize, read_table, spaced_words
 
 WINDOW = 5
-#: Share of a group that a concentration step keeps, and the number of such steps.
-SHARE, STEPS = 0.75, 4
+#: Share of a group that a concentration step keeps, the most such steps, and the least fall of the determinant's
+#: logarithm for which there is another one.
+SHARE, STEPS, FALL = 0.75, 10, 1e-6
+STARTS = 3
 MIN_ROWS = 100
 QUANTILE = 0.9999
-#: Components: name, and the least standard deviation that is taken for it (statistics
-#: that are zero in most texts have no spread of their own).
-VECTOR = (("ln_words", 0.25), ("ln_word_length", 0.08), ("symbols", 0.5), ("repeated", 1.0), ("dup_lines", 1.0))
+#: Components: name, and the least standard deviation that is taken for it (statistics that are zero in most texts
+#: have no spread of their own); small enough that every component can be beyond the limit by itself.
+VECTOR = (("ln_words", 0.25), ("ln_word_length", 0.08), ("symbols", 0.5), ("repeated", 0.59), ("dup_lines", 0.75))
 D = len(VECTOR)
 #: Parts into which the rows of a group are dealt where they meet its estimate.
 SALTS = 32
@@ -132,16 +137,20 @@ def _key(level: int, lang: Column, source: Column) -> Column:
 
 
 def _decomposed(est: DataFrame) -> DataFrame:
-    """From covariances ``c_ij`` the factors of L D L': ``l_ij`` and ``d_i``, with the least spread added."""
+    """From covariances ``c_ij`` the factors of L D L': ``l_ij``, and ``d_i``, at least the least spread; ``ld``: ln of the determinant."""
     for i in range(D):
         for j in range(i):
             rest = sum((F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") * F.col(f"d_{k}") for k in range(j)), F.lit(0.0))
             est = est.withColumn(f"l_{i}_{j}", (F.col(f"c_{i}_{j}") - rest) / F.col(f"d_{j}"))
         rest = sum((F.col(f"l_{i}_{k}") * F.col(f"l_{i}_{k}") * F.col(f"d_{k}") for k in range(i)), F.lit(0.0))
-        least = F.lit(VECTOR[i][1] ** 2)
-        est = est.withColumn(f"d_{i}", F.greatest(F.col(f"c_{i}_{i}") - rest, F.lit(0.0)) + least)
-    return est.select("key", "n", *[f"m_{i}" for i in range(D)], *[f"d_{i}" for i in range(D)],
-                      *[f"l_{i}_{j}" for i in range(D) for j in range(i)])
+        est = est.withColumn(f"d_{i}", F.greatest(F.col(f"c_{i}_{i}") - rest, F.lit(VECTOR[i][1] ** 2)))
+    ld = sum((F.ln(F.col(f"d_{i}")) for i in range(D)), F.lit(0.0))
+    return est.withColumn("ld", ld).select("key", "start", *FITTED)
+
+
+#: Columns of an estimate: rows of the group, ln of the determinant, centre and factors.
+FITTED = ["n", "ld", *[f"m_{i}" for i in range(D)], *[f"d_{i}" for i in range(D)],
+          *[f"l_{i}_{j}" for i in range(D) for j in range(i)]]
 
 
 def _distance(x: list[Column]) -> Column:
@@ -164,7 +173,7 @@ def _quantile_bins(counts: DataFrame, by: list[str], shares: dict[str, float]) -
 
 
 def estimates(vectors: DataFrame) -> DataFrame:
-    """MCD estimates of ``vectors(lang, source, x_0 ...)``, a row per group and level."""
+    """MCD estimates of ``vectors(lang, source, x_0 ...)``, a row (key, n, ...) per group and level."""
     x = [F.col(f"x_{i}") for i in range(D)]
     keys = F.explode(F.array(*[_key(level, F.col("lang"), F.col("source")) for level in range(3)]))
     rows = vectors.select(keys.alias("key"), F.pmod(F.xxhash64(*x), F.lit(SALTS)).cast("int").alias("salt"), *x)
@@ -173,34 +182,62 @@ def estimates(vectors: DataFrame) -> DataFrame:
     def dealt(groups):  # a hot source's rows meet their estimate in SALTS tasks if the estimates are not broadcast
         return groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
-    # start: median and quartile range of each component, from exact counts per bin
+    # medians and quartile ranges of each component, from exact counts per bin
     bins = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.floor(c / STEP).alias("b")) for i, c in enumerate(x)]))
     counts = rows.select("key", bins.alias("v")).groupBy("key", "v.i", "v.b").agg(F.count(F.lit(1)).alias("n"))
     quart = _quantile_bins(counts, ["key", "i"], {"q1": 0.25, "q2": 0.5, "q3": 0.75})
     mid, spread = STEP * (F.col("q2") + 0.5), STEP * (F.col("q3") - F.col("q1")) / 1.349
-    start = quart.groupBy("key").agg(
+    least = F.element_at(F.array(*[F.lit(s) for _, s in VECTOR]), F.col("i") + 1)
+    middle = materialize(quart.groupBy("key").agg(
         F.max("n").alias("n"),
         *[F.max(F.when(F.col("i") == i, mid)).alias(f"m_{i}") for i in range(D)],
-        *[F.max(F.when(F.col("i") == i, spread * spread)).alias(f"c_{i}_{i}") for i in range(D)])
-    for i in range(D):
-        for j in range(i):
-            start = start.withColumn(f"c_{i}_{j}", F.lit(0.0))
-    est = materialize(_decomposed(start), "quality-estimates")
+        *[F.max(F.when(F.col("i") == i, F.greatest(spread, least))).alias(f"s_{i}") for i in range(D)]), "quality-medians")
+
+    # correlations of the starts: of tangents about their mean, of spatial signs about the median
+    z = [(F.col(f"x_{i}") - F.col(f"m_{i}")) / F.col(f"s_{i}") for i in range(D)]
+    size = F.greatest(F.sqrt(sum((c * c for c in z), F.lit(0.0))), F.lit(1e-12))
+    near = rows.join(dealt(middle), ["key", "salt"]).select(
+        "key", *[F.tanh(c).alias(f"t_{i}") for i, c in enumerate(z)], *[(c / size).alias(f"u_{i}") for i, c in enumerate(z)])
+    pairs = [(i, j) for i in range(D) for j in range(i + 1)]
+    sums = near.groupBy("key").agg(*[F.avg(f"t_{i}").alias(f"a_{i}") for i in range(D)], *[
+        F.avg(F.col(f"{v}_{i}") * F.col(f"{v}_{j}")).alias(f"{v}_{i}_{j}") for v in "tu" for i, j in pairs])
+    for i, j in pairs:
+        sums = sums.withColumn(f"t_{i}_{j}", F.col(f"t_{i}_{j}") - F.col(f"a_{i}") * F.col(f"a_{j}"))
+
+    def scatter(start, i, j):  # with the quartile ranges as spreads
+        scale = F.col(f"s_{i}") * F.col(f"s_{j}")
+        if i == j or not start:
+            return scale * float(i == j)
+        v = "tu"[start - 1]
+        norm = F.col(f"{v}_{i}_{i}") * F.col(f"{v}_{j}_{j}")
+        return F.when(norm > 1e-12, scale * F.col(f"{v}_{i}_{j}") / F.sqrt(norm)).otherwise(0.0)
+
+    starts = F.explode(F.array(*[F.struct(F.lit(s).alias("start"), *[
+        scatter(s, i, j).alias(f"c_{i}_{j}") for i, j in pairs]) for s in range(STARTS)]))
+    est = middle.join(sums, "key").select("key", "n", *[f"m_{i}" for i in range(D)], starts.alias("v")).select(
+        "key", "n", *[f"m_{i}" for i in range(D)], "v.*")
+    est = materialize(_decomposed(est).withColumn("ld", F.lit(1e300)), "quality-estimates")  # not of any share of the rows
     for _ in range(STEPS):
-        near = rows.join(dealt(est), ["key", "salt"]).select("key", "salt", "n", *x, F.floor(
+        near = rows.join(dealt(est), ["key", "salt"]).select("key", "start", "salt", "n", *x, F.floor(
             BINS * F.ln(F.greatest(F.lit(1e-6), F.least(F.lit(1e6), _distance(x))))).alias("b"))
-        cut = _quantile_bins(near.groupBy("key", "b").agg(F.count(F.lit(1)).alias("n")), ["key"], {"cut": SHARE})
+        cut = _quantile_bins(near.groupBy("key", "start", "b").agg(F.count(F.lit(1)).alias("n")), ["key", "start"], {"cut": SHARE})
         cut = materialize(cut, "quality-cuts")  # of known size: a small one is broadcast, no group meets in one task
-        kept = near.drop("n").join(dealt(cut), ["key", "salt"]).filter(F.col("b") <= F.col("cut"))
-        sums = kept.groupBy("key").agg(
+        kept = near.drop("n").join(dealt(cut), ["key", "start", "salt"]).filter(F.col("b") <= F.col("cut"))
+        sums = kept.groupBy("key", "start").agg(
             F.max("n").alias("n"), *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(x)],
-            *[F.avg(x[i] * x[j]).alias(f"c_{i}_{j}") for i in range(D) for j in range(i + 1)])
-        for i in range(D):
-            for j in range(i + 1):
-                sums = sums.withColumn(f"c_{i}_{j}", CONSISTENCY * (
-                    F.col(f"c_{i}_{j}") - F.col(f"m_{i}") * F.col(f"m_{j}")))
-        est = materialize(_decomposed(sums), "quality-estimates")
-    return est
+            *[F.avg(x[i] * x[j]).alias(f"c_{i}_{j}") for i, j in pairs])
+        for i, j in pairs:
+            sums = sums.withColumn(f"c_{i}_{j}", CONSISTENCY * (F.col(f"c_{i}_{j}") - F.col(f"m_{i}") * F.col(f"m_{j}")))
+        new = _decomposed(sums).select("key", "start", F.struct(*FITTED).alias("new"))
+        both = est.select("key", "start", F.struct(*FITTED).alias("old")).join(new, ["key", "start"])
+        falls = F.col("new.ld") < F.col("old.ld") - FALL
+        both = materialize(both.select("key", "start", F.when(falls, F.col("new")).otherwise(F.col("old")).alias("fit"),
+                                       falls.alias("falls")), "quality-estimates")
+        est = both.select("key", "start", "fit.*")
+        if both.filter("falls").isEmpty():
+            break
+    best = est.groupBy("key").agg(F.min(F.struct("ld", "start", F.struct(*FITTED).alias("fit"))).alias("best"))
+    return materialize(best.select("key", "best.fit.*"), "quality-estimates")
 
 
 def judge(rows: DataFrame, est: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
