@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.common import bounded_batches, read_table, slices
 
-#: The sample: rows and characters of a row that a language's dictionary is made of, and its greatest size.
-SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 2000, 256 << 10
+#: The sample: rows and characters of a row that a language's dictionary is made of, and its greatest size (letters of two bytes).
+SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 640, 512 << 10
 #: More languages than this are an error (their dictionaries go to every task).
 MOST_LANGUAGES = 200
 LEVEL = 9
@@ -33,11 +33,6 @@ def letters(text: str) -> str:
     return _OTHER.sub(" ", text.lower())
 
 
-def once(line: str) -> str:
-    """The words of a line, each at its first place only: a repeated word compresses alike in all languages."""
-    return " ".join(dict.fromkeys(line.split()))
-
-
 def held_out(doc_id: Column) -> Column:
     """Rows that are never learned from: crc32 of the id as text leaves 2 modulo 4 (null id: false)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -48,7 +43,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     Every language takes the ``SAMPLE_ROWS`` distinct texts with the least hash,
     so the sample depends on no row order. Rows without id, text or language
-    are not learned from.
+    are not learned from; an empty table teaches nothing.
     """
     rows = docs.filter(F.col(id_col).isNotNull() & ~held_out(F.col(id_col)) & F.col(text_col).isNotNull()
                        & F.col(lang_col).isNotNull()).select(
@@ -89,7 +84,7 @@ class Classifier:
         line = letters(text) if text else ""
         if not self.tools or not any(map(str.isalpha, line)):
             return "und", 0.0
-        raw = once(line).encode()
+        raw = line.encode()
         sizes = [(len(tool.compress(raw)), k) for k, (_, tool) in enumerate(self.tools)]
         best, *rest = sorted(sizes)
         score = 1 - best[0] / rest[0][0] if rest else 1.0
@@ -98,10 +93,12 @@ class Classifier:
 
 def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score, rejected): one row per row of ``docs``, from its whole text.
+    """(id, lang_pred, score, rejected): one row per row of ``docs``, from all letters of its whole text.
 
-    Null ids and repeated rows are kept, other columns are not read. ``rejected``
-    is true where the margin is narrow and for ``und``.
+    Null texts and texts without a letter are ``und`` with score 0. Null ids
+    and repeated rows are kept, other columns are not read. ``rejected`` is
+    true where the margin is narrow and for ``und``. An empty table gives an
+    empty result.
     """
     bounded_batches(docs)
     id_type = docs.schema[id_col].dataType.simpleString()
