@@ -8,9 +8,6 @@ to right and never overlaps -- the greedy pair merge of the tokenizer.
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,31 +34,11 @@ def spaced_word(word) -> Column:
     return F.concat(F.regexp_replace(_c(word), "(.)", " $1 "), F.lit(f" {WORD_END} "))
 
 
-def spaced_text(words) -> Column:
-    """F2 over a whole word array: the start tokens of every word, in order."""
-    return F.array_join(F.transform(_c(words), spaced_word), "")
-
-
 def merge_pair(spaced, a: str, b: str) -> Column:
     """merge every (a, b) in a spaced token string."""
     return F.replace(_c(spaced), F.lit(f" {a}{SEP}{b} "), F.lit(f" {a}{b} "))
 
 
-def rules_literal(rules: Iterable[tuple[str, str]]) -> Column:
-    """The rules as one constant array of (p, r): the spaced pair, and what replaces it."""
-    rows = [{"p": f" {a}{SEP}{b} ", "r": f" {a}{b} "} for a, b in rules]
-    return F.from_json(F.lit(json.dumps(rows)), "array<struct<p:string,r:string>>")
-
-
-def apply_rules(spaced, rules: Iterable[tuple[str, str]]) -> Column:
-    """Replay rules in order, each once, on a spaced token string.
-
-    The rules are data (one constant array) and the replay is a fold, so the
-    plan does not grow with their number.
-    """
-    return F.aggregate(rules_literal(rules), _c(spaced), lambda t, m: F.replace(t, m["p"], m["r"]))
-
-
 def token_array(spaced) -> Column:
     """Spaced form back to ARRAY<STRING>; an empty string gives an empty array.
 

@@ -169,13 +169,6 @@ def encode_to_ids(docs: DataFrame, rules: Sequence, vocab: DataFrame, text: str
     return done.select(*[c for c in done.columns if c != "known"], "known.*")
 
 
-def token_stream(doc_tokens: DataFrame) -> DataFrame:
-    """Token rows ``(doc_id, pos, token)``; pos is the array index."""
-    return doc_tokens.select("doc_id", F.posexplode("tokens").alias("pos", "token")).select(
-        "doc_id", F.col("pos").cast("bigint").alias("pos"), "token"
-    )
-
-
 def first_ids(vocab: DataFrame) -> DataFrame:
     """A vocabulary with one id per token: the first (lowest) id wins."""
     return vocab.groupBy("token").agg(F.min("token_id").alias("token_id"))
@@ -204,11 +197,6 @@ def with_ids(doc_tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     return doc_tokens.select(*rest, look_up("tokens").alias("known")).select(*rest, "known.*")
 
 
-def keep_known(doc_tokens: DataFrame, vocab: DataFrame) -> DataFrame:
-    """F6 for token arrays: drop tokens without an id; later tokens close up."""
-    return with_ids(doc_tokens, vocab).drop("ids")
-
-
 def ids_stream(doc_tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     """E3 + J1 + J2: ``(doc_id, pos, token, token_id)`` with unknown tokens skipped.
 
