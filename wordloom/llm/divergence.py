@@ -180,8 +180,9 @@ def divergence(docs: DataFrame, least_docs: int = 10, top_terms: int = 10, term_
     own = cells.groupBy("lang", "source").agg(F.sum("n").alias("own_n"))
     groups = counts.filter("term IS NULL").select("lang", "source").join(langs, "lang", "left").join(
         own, ["lang", "source"], "left").fillna(0, ["v", "lang_n", "own_n"])
-    number = F.count(F.lit(1)).over(Window.partitionBy("lang"))  # of the language's groups
-    parts = F.greatest(F.ceil(number / F.lit(group_block)), F.lit(1))
+    sizes = counts.filter("term IS NULL").groupBy("lang").agg(F.count(F.lit(1)).alias("number"))
+    groups = groups.join(sizes, "lang")
+    parts = F.greatest(F.ceil(F.col("number") / F.lit(group_block)), F.lit(1))
     groups = materialize(groups.select(
         "lang", "source", "v", (F.col("own_n") + 2 * F.col("v")).alias("own_d"),
         (F.col("lang_n") + 2 * F.col("v")).alias("lang_d"), F.monotonically_increasing_id().alias("gid"),
