@@ -25,16 +25,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A row belongs to the group of its own text, whatever other rows have its
     id. A group without an id keeps one row too. Null, empty and blank texts
-    are one group. Of equal rows one stays.
+    are one group. Of rows with the same id and text one stays.
     """
-    number = F.monotonically_increasing_id()
-    rows = bounded_batches(docs).select(F.struct(*docs.columns).alias("doc"), simhash.simhash(F.col("text")).alias("fp"))
-    rows = materialize(rows.select("doc", "fp", number.alias("row")), "fingerprinted")
-    found = rows.select(F.col("doc.doc_id").alias("id"), "fp", "row", F.md5("doc.text").alias("md5"))
+    found = bounded_batches(docs).select(F.col("doc_id").alias("id"), simhash.simhash(F.col("text")).alias("fp"),
+                                         F.md5("text").alias("md5"))
+    found = materialize(found, "fingerprints")
     label = simhash.labels(found.select("id", "fp"))
-    first = found.join(label, "fp").filter("id <=> component_id").groupBy("root").agg(
-        F.min(F.struct("fp", "md5", "row")).alias("first")).select("first.row")
-    return rows.join(materialize(first, "kept-rows"), "row", "left_semi").select("doc.*")
+    texts = found.join(label, "fp").filter("id <=> component_id").groupBy("root", "id", "fp", "md5").agg(
+        F.count(F.lit(1)).alias("n"))
+    first = texts.groupBy("root").agg(F.min(F.struct("fp", "md5", "id", "n")).alias("first"))
+    first = materialize(first.select("first.id", "first.md5", "first.n"), "kept-texts")
+
+    def held(keys):
+        return docs.join(keys, docs["doc_id"].eqNullSafe(keys["id"]) & F.md5(docs["text"]).eqNullSafe(keys["md5"]), "left_semi")
+
+    once, more = held(first.filter("n = 1")), first.filter("n > 1")
+    return once if more.isEmpty() else once.union(held(more).dropDuplicates(["doc_id", "text"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
