@@ -50,11 +50,9 @@ def slices(batch, rows: int = 512):
 def release() -> None:
     """Gives unused memory back at the end of a task; the worker process lives on and would keep it."""
     import ctypes
-    import gc
 
     import pyarrow
 
-    gc.collect()
     pyarrow.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
     if trim is not None:
