@@ -34,6 +34,9 @@ HEADLINE = [
     "gram_matrix",
     "matrix_multiply",
     "knn_exact",
+    "knn_pivots",
+    "similarity_join",
+    "bpe_train_large",
 ]
 
 
