@@ -150,7 +150,7 @@ class Segmenter:
         return out
 
     def _tables(self):
-        """Per length of pieces: their hashes in order, ids and scores."""
+        """Per length of pieces: whether any hash has some 20 bits, the hashes in order, ids and scores."""
         by_size: dict[int, list] = {}
         for piece, (i, score) in self.pieces.items():
             by_size.setdefault(len(piece), []).append((piece, i, score))
@@ -161,7 +161,9 @@ class Segmenter:
             for k in range(size):
                 h = h * _BASE + code[:, k]
             order = np.argsort(h)
-            out[size] = (h[order], np.array([r[1] for r in rows], np.int32)[order],
+            begun = np.zeros(1 << 20, bool)
+            begun[h * _BASE >> _REST] = True
+            out[size] = (begun, h[order], np.array([r[1] for r in rows], np.int32)[order],
                          np.array([r[2] for r in rows])[order])
         return out
 
@@ -203,11 +205,14 @@ class Segmenter:
             h = h[: size - width + 1] * _BASE + code[width - 1 :]
             if width not in self.tables:
                 continue
-            known, numbers, scores = self.tables[width]
-            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            hit = known[at] == h
-            ids[width] = np.where(hit, numbers[at], -1)
-            values[width] = np.where(hit, scores[at], -np.inf)
+            begun, known, numbers, scores = self.tables[width]
+            ids[width], values[width] = np.full(h.shape, -1, np.int32), np.full(h.shape, -np.inf)
+            some = begun[h * _BASE >> _REST]  # most strings are no piece: only the others are searched for
+            asked = h[some]
+            at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+            hit = known[at] == asked
+            ids[width][some] = np.where(hit, numbers[at], -1)
+            values[width][some] = np.where(hit, scores[at], -np.inf)
         if 1 not in ids:
             ids[1], values[1] = np.full((size, n), -1, np.int32), np.full((size, n), -np.inf)
         values[1] = np.where(ids[1] < 0, self.unknown, values[1])
@@ -289,15 +294,16 @@ class Segmenter:
             return np.empty(0, np.int32), 0.0, []
         places = list(map(self.memory.__getitem__, parts))
         ids = np.frombuffer(b"".join(map(self.solved.__getitem__, places)), np.int32)
-        score = float(self.scores[places].sum())
+        at = np.array(places)
+        score = float(self.scores[at].sum())
         if n < 2:
             return ids, score, []
-        losses = self.losses[places]
+        losses = self.losses[at]
         # a better combination only ever changes the n - 1 chunks that lose least
         limit = np.partition(losses, n - 2)[n - 2] if len(losses) >= n else np.inf
         near = np.flatnonzero(losses <= limit)
         first = near[np.argsort(losses[near], kind="stable")][: n - 1]
-        counts = self.counts[places]
+        counts = self.counts[at]
         starts = np.cumsum(counts) - counts
         choices = []
         for k in first[np.isfinite(losses[first])].tolist():
@@ -336,6 +342,7 @@ class Segmenter:
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, for hashes of short strings
+_REST = np.uint64(44)  # bits of a mixed hash behind its first 20
 _LOADED: dict[str, tuple[bytes, Segmenter]] = {}
 
 
