@@ -278,7 +278,8 @@ class Segmenter:
                     self.counts, self.scores, self.losses = (np.zeros(len(new), x.dtype) for x in (
                         self.counts, self.scores, self.losses))
             self.solve(new)
-            out += [self._nbest(parts, n) for parts in some]
+            for at in range(0, len(some), 64):
+                out += self._together(some[at : at + 64], n)
         return out
 
     def nbest(self, text: str, n: int) -> tuple:
@@ -289,21 +290,25 @@ class Segmenter:
         """
         return self.nbest_all([text], n)[0]
 
-    def _nbest(self, parts: list[str], n: int) -> tuple:
-        if not parts:
-            return np.empty(0, np.int32), 0.0, []
-        places = list(map(self.memory.__getitem__, parts))
-        ids = np.frombuffer(b"".join(map(self.solved.__getitem__, places)), np.int32)
-        at = np.array(places)
-        score = float(self.scores[at].sum())
-        if n < 2:
+    def _together(self, some: list[list[str]], n: int) -> Iterator[tuple]:
+        """``nbest`` of texts whose chunks are solved."""
+        places = list(map(self.memory.__getitem__, chain.from_iterable(some)))
+        at = np.array(places, np.int64)
+        counts, scores, losses = self.counts[at], self.scores[at], self.losses[at]
+        end = 0
+        for parts in some:
+            begin, end = end, end + len(parts)
+            ids = np.frombuffer(b"".join(map(self.solved.__getitem__, places[begin:end])), np.int32)
+            own = slice(begin, end)
+            yield self._nbest(parts, n, ids, counts[own], float(scores[own].sum()), losses[own])
+
+    def _nbest(self, parts: list[str], n: int, ids, counts, score: float, losses) -> tuple:
+        if not parts or n < 2:
             return ids, score, []
-        losses = self.losses[at]
         # a better combination only ever changes the n - 1 chunks that lose least
         limit = np.partition(losses, n - 2)[n - 2] if len(losses) >= n else np.inf
         near = np.flatnonzero(losses <= limit)
         first = near[np.argsort(losses[near], kind="stable")][: n - 1]
-        counts = self.counts[at]
         starts = np.cumsum(counts) - counts
         choices = []
         for k in first[np.isfinite(losses[first])].tolist():
