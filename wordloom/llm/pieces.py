@@ -368,26 +368,16 @@ def piece_counts(docs: DataFrame, model: str | None = None, text_col: str = "tex
     bounded_batches(docs)
     path = model or model_path()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from sentencepiece import SentencePieceProcessor
-
-        own = SentencePieceProcessor(model_file=path)
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = segmenter(path)
         spaced = re.compile(" +[^ ]*")
-        # a character of no longer piece, before a word, takes the mark that the model puts in front
-        front = next(c for c in "\n\t\x01\x02\x03\x04\x05" if all(c not in p for p in tool.pieces if len(p) > 1))
-        skip = len(own.encode(front))
-        counts = np.zeros(own.get_piece_size(), np.int64)
         seen: Counter[str] = Counter()  # without the first space
 
-        def settle():
-            names, times = list(seen), np.fromiter(seen.values(), np.int64, len(seen))
-            for at in range(0, len(names), 8192):
-                ids = [x[skip:] for x in own.encode([f"{front} {w}" for w in names[at : at + 8192]])]
-                sizes = list(map(len, ids))
-                flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(sizes))
-                np.add.at(counts, flat, np.repeat(times[at : at + 8192], sizes))
+        def sent():
+            out = pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())],
+                                             ["word", "n"])
             seen.clear()
+            return out
 
         for batch in batches:
             for _, (part,) in slices(batch, 1024):
@@ -400,16 +390,35 @@ def piece_counts(docs: DataFrame, model: str | None = None, text_col: str = "tex
                     else:
                         seen.update(text.split(" "))
                 if len(seen) > REMEMBERED:
-                    settle()
-        settle()
+                    yield sent()
+        yield sent()
+        release()
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from sentencepiece import SentencePieceProcessor
+
+        own = SentencePieceProcessor(model_file=path)
+        tool = segmenter(path)
+        # a character of no longer piece, before a word, takes the mark that the model puts in front
+        front = next(c for c in "\n\t\x01\x02\x03\x04\x05" if all(c not in p for p in tool.pieces if len(p) > 1))
+        skip = len(own.encode(front))
+        counts = np.zeros(own.get_piece_size(), np.int64)
+        for batch in batches:
+            for first in range(0, batch.num_rows, 8192):
+                names, times = (c.slice(first, 8192) for c in batch.columns)
+                ids = [x[skip:] for x in own.encode([f"{front} {w}" for w in names.to_pylist()])]
+                sizes = list(map(len, ids))
+                flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(sizes))
+                np.add.at(counts, flat, np.repeat(times.to_numpy(), sizes))
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], ["id", "n"])
         release()
 
     from sentencepiece import SentencePieceProcessor
 
-    total = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "id int, n bigint").groupBy("id").agg(
-        F.sum("n").alias("n"))
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(words, "word string, n bigint").groupBy("word").agg(
+        F.sum("n").alias("n"))  # every distinct word is segmented once
+    total = counted.mapInArrow(pieces, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     out = np.zeros(SentencePieceProcessor(model_file=path).get_piece_size(), np.int64)
     for r in total.collect():  # at most as many rows as the model has pieces
         out[r["id"]] = r["n"]
