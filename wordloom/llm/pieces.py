@@ -270,7 +270,7 @@ class Segmenter:
         for first in range(0, len(texts), 1024):
             some = cut[first : first + 1024]
             wanted = set().union(*some)
-            new = [c for c in wanted if c not in self.memory]
+            new = list(wanted.difference(self.memory))
             if len(self.memory) + len(new) > REMEMBERED:
                 self.forget()
                 new = list(wanted)
