@@ -141,3 +141,24 @@ def test_repeated_letters_and_one_at_a_time(spark):
         assert [(a, b) for a, b, _ in train_bpe(docs(spark, text), 14, batched=batched).rules] == want
     assert [(a, b) for a, b, _ in train_bpe(docs(spark, text), 14, max_merges=3).rules] == want[:3]
     assert [(a, b) for a, b, _ in train_bpe(docs(spark, text), 14, held_pairs=1).rules] == want
+
+
+def _long_tail(seed, count):
+    rnd = random.Random(seed)
+    parts = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 4))) for _ in range(60)]
+    return ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 3))) for _ in range(count)]
+
+
+@pytest.mark.parametrize("words", [1 << 15, 40, 1])
+def test_many_merges_a_pass_whatever_the_forecast(spark, monkeypatch, words):
+    """A pass makes many merges where the forecast is right; a poor one, from few words, gives the same rules."""
+    from collections import Counter
+
+    from wordloom.operators import bpe
+
+    monkeypatch.setattr(bpe, "FORECAST_WORDS", words)
+    text = _long_tail(3, 3000)
+    model = train_bpe(docs(spark, " ".join(text)), 160)
+    assert model.rules == _indexed_bpe(Counter(text), 160)
+    if words > 1000:
+        assert model.passes <= len(model.rules) / 16
