@@ -150,3 +150,27 @@ def test_ids_in_one_pass(spark, tiny_model):
     ids = E.encode_to_ids(df, _rules(tiny_model), tiny_model.vocab)
     assert sorted(ids.collect()) == sorted(want.select("doc_id", "ids").collect())
     assert sorted(E.doc_offsets(ids).collect()) == sorted(E.doc_offsets(want.drop("ids")).collect())
+
+
+def test_memory_is_bounded_by_letters(monkeypatch):
+    """What is remembered counts its letters, and a batch of rows is worked on in stretches of bounded bytes."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(E, "REMEMBERED", 40)
+    encoder = E.Encoder([("a", "b")])
+    for i in range(200):
+        encoder.word("ab" + "c" * (i % 30))
+        assert sum(map(len, encoder.memory.known)) <= 40
+    assert encoder.word("ab" * 50) == ["ab"] * 50 + ["</w>"] and "ab" * 50 not in encoder.memory.known
+    monkeypatch.setattr(E, "TEXT_BYTES", 10)
+    rows = ["four", None, "longer than all ten bytes", "", "x" * 9, "yy", None]
+    cut = [part.to_pylist() for part in E._few(pa.array(rows))]
+    assert [x for part in cut for x in part] == rows
+    assert all(len(part) == 1 or sum(len(x or "") for x in part) <= 10 for part in cut)
+
+
+def test_lookup_of_null_texts_and_tokens(spark):
+    rows = spark.createDataFrame([(1, ["a", "x", "b"]), (2, None), (3, []), (4, [None, "b"])], "doc_id int, tokens array<string>")
+    vocab = spark.createDataFrame([(5, "a"), (7, "b"), (6, "b")], "token_id bigint, token string")
+    got = {r.doc_id: (r.tokens, r.ids) for r in E.with_ids(rows, vocab).collect()}
+    assert got == {1: (["a", "b"], [5, 6]), 2: ([], []), 3: ([], []), 4: (["b"], [6])}
