@@ -314,13 +314,24 @@ def _factor(stack: list[np.ndarray]) -> np.ndarray:
     return np.linalg.qr(np.concatenate(stack), mode="r")
 
 
+def _packed(width: int):
+    """Vectors as blocks of bytes, which every round reads without taking rows apart again."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for x in _blocks(rows["embedding"], width):
+                if len(x):
+                    yield pd.DataFrame({"block": [np.ascontiguousarray(x, np.float64).tobytes()]})
+
+    return run
+
+
 def _iterate(mean: np.ndarray, base: np.ndarray):
     """One pass of a partition: its share of X^T X Q, and the triangular factor of its rows of X Q."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         product, factor = np.zeros(base.shape), np.zeros((0, base.shape[1]))
         for rows in batches:
-            for x in _blocks(rows["embedding"], base.shape[1]):
-                x = x - mean
+            for block in rows["block"]:
+                x = np.frombuffer(block).reshape(-1, len(mean)) - mean
                 y = x @ base
                 product += x.T @ y
                 factor = _factor([factor, y])
@@ -359,8 +370,9 @@ def principal_components(vectors: DataFrame, k: int, seed: int = 1, tolerance: f
     width = min(dim, k + 8)  # a few more directions settle the last ones sooner
     base = np.linalg.qr(np.random.default_rng(seed).normal(size=(dim, width)))[0]
     before = np.zeros(k)
+    blocks = stored(vectors.mapInPandas(_packed(width), "block binary"), "vector-blocks")
     for turn in range(1, max_rounds + 1):
-        passed = vectors.mapInPandas(_iterate(mean, base), "kind int, i int, j int, v double")
+        passed = blocks.mapInPandas(_iterate(mean, base), "kind int, i int, j int, v double")
         passed = stored(passed.withColumn("part", F.spark_partition_id()), "power-iteration")
         product = np.zeros((dim, width))
         for r in passed.where("kind = 0").groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
