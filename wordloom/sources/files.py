@@ -128,6 +128,16 @@ def write_merges(merges: DataFrame, path: str, fmt: str = "parquet") -> None:
         ).text(path)
 
 
+#: Lines of documents that one task sorts or numbers, a few KB each.
+DOCUMENT_LINES = 1 << 14
+
+
+def _in_order(lines: DataFrame) -> DataFrame:
+    """``value`` of ``(doc_id, value)`` in doc_id order, in range partitions of about ``DOCUMENT_LINES`` lines."""
+    parts = max(1, -(-lines.count() // DOCUMENT_LINES))
+    return lines.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id").select("value")
+
+
 def token_lines(doc_tokens: DataFrame) -> DataFrame:
     """S7 body: one line per document, tokens joined by a space."""
     return doc_tokens.select("doc_id", F.array_join("tokens", " ").alias("value"))
@@ -135,7 +145,8 @@ def token_lines(doc_tokens: DataFrame) -> DataFrame:
 
 def write_tokens(doc_tokens: DataFrame, path: str) -> None:
     """``.tok`` lines, one per document, in doc_id order."""
-    token_lines(doc_tokens).orderBy("doc_id").select("value").write.mode("overwrite").text(path)
+    lines = stored(token_lines(doc_tokens), "token-lines")  # the partitions' ranges are sampled, without encoding again
+    _in_order(lines).write.mode("overwrite").text(path)
 
 
 def id_lines(ids: DataFrame) -> DataFrame:
@@ -155,7 +166,7 @@ def write_ids(ids: DataFrame, path: str, fmt: str = "parquet") -> None:
     if fmt == "parquet":
         ids.write.mode("overwrite").parquet(path)
     else:
-        id_lines(ids).orderBy("doc_id").select("value").write.mode("overwrite").text(path)
+        _in_order(id_lines(ids)).write.mode("overwrite").text(path)
 
 
 def _fmt(x):
