@@ -133,8 +133,10 @@ DOCUMENT_LINES = 1 << 14
 
 
 def _in_order(lines: DataFrame) -> DataFrame:
-    """``value`` of ``(doc_id, value)`` in doc_id order, in range partitions of about ``DOCUMENT_LINES`` lines."""
-    parts = max(1, -(-lines.count() // DOCUMENT_LINES))
+    """``value`` of ``(doc_id, value)`` in doc_id order, in range partitions of at most about ``DOCUMENT_LINES`` lines."""
+    parts = -(-lines.count() // DOCUMENT_LINES)
+    if parts <= int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return lines.orderBy("doc_id").select("value")  # as many parts as the session has for any sort
     return lines.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id").select("value")
 
 
