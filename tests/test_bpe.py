@@ -162,3 +162,28 @@ def test_many_merges_a_pass_whatever_the_forecast(spark, monkeypatch, words):
     assert model.rules == _indexed_bpe(Counter(text), 160)
     if words > 1000:
         assert model.passes <= len(model.rules) / 16
+
+
+def test_changes_near_the_merged_places_only():
+    """Each merge of a list changes the counts as recounting all tokens and pairs does, without recounting them."""
+    from collections import Counter
+
+    import pyarrow as pa
+
+    from wordloom.operators import bpe as B
+
+    words = {"aaaa": 3, "banana": 5, "ab": 2, "xaay": 7, "aabaab": 1, "q": 4, "nanana": 2}
+    rules, merges = [("a", "n", 9)], [("a", "a"), ("an", "a"), ("b", "</w>"), ("aa", "aa")]
+    rows = pa.RecordBatch.from_arrays([pa.array(list(words)), pa.array(list(words.values()))], ["word", "n"])
+    found = {}
+    for out in B._changes(rules, merges)(iter([rows])):
+        for r in out.to_pylist():
+            found[r["step"], r["a"], r["b"]] = r["n"]
+    want: Counter = Counter()
+    for word, n in words.items():
+        for step in range(len(merges)):
+            for sign, count in ((-1, step), (1, step + 1)):
+                t = B.Encoder([*(r[:2] for r in rules), *merges[:count]]).replay(word)
+                for key in [(x, None) for x in t] + list(zip(t, t[1:])):
+                    want[(step, *key)] += sign * n
+    assert found == {k: n for k, n in want.items() if n}

@@ -174,3 +174,15 @@ def test_lookup_of_null_texts_and_tokens(spark):
     vocab = spark.createDataFrame([(5, "a"), (7, "b"), (6, "b")], "token_id bigint, token string")
     got = {r.doc_id: (r.tokens, r.ids) for r in E.with_ids(rows, vocab).collect()}
     assert got == {1: (["a", "b"], [5, 6]), 2: ([], []), 3: ([], []), 4: (["b"], [6])}
+
+
+def test_words_are_remembered_as_bytes(spark, tiny_model):
+    """A text is put together of its words' bytes, not token by token."""
+    import pyarrow as pa
+
+    rules = [(a, b) for a, b, _ in tiny_model.rules]
+    look_up = E._looked_up(E.Encoder(rules), ["lo", "w", "</w>"])
+    at, ends = look_up(pa.array(["low LOW", None, "12", "slow"]))
+    want = [t for w in ("low", "low", "slow") for t in E.Encoder(rules).replay(w) if t in ("lo", "w", "</w>")]
+    assert [["lo", "w", "</w>"][i] for i in at] == want
+    assert ends.to_pylist()[0] == 0 and ends.to_pylist()[2] == ends.to_pylist()[3] and ends.to_pylist()[-1] == len(want)
