@@ -173,3 +173,17 @@ def test_embeddings_roundtrip(spark, scratch):
             IO.read_embeddings(spark, _write(os.path.join(scratch, "bad.emb"), body))
     none, n = IO.read_embeddings(spark, _write(os.path.join(scratch, "none.emb"), b"tokens=4 dim=0\n"))
     assert n == 4 and none.count() == 0
+
+
+def test_id_lines_are_parsed_before_they_are_stored(spark, scratch, monkeypatch):
+    p = os.path.join(scratch, "a.ids")
+    with open(p, "w") as f:
+        f.write("3 4\r\n\n \t \n  007\t5  12 \n99999999999999999999 -1 6 x\n")
+    kinds = []
+    keep = IO.stored
+    monkeypatch.setattr(IO, "stored", lambda df, name="table": kinds.extend(df.dtypes) or keep(df, name))
+    rows = IO.read_id_lines(spark, p, "permissive").orderBy("doc_id").collect()
+    assert [r.ids for r in rows] == [[3, 4], [7, 5, 12], [6]] and [r.doc_id for r in rows] == [0, 2, 3]
+    assert not any(name in ("value", "items") for name, _ in kinds)
+    with pytest.raises(IO.MalformedIdsError, match="'99999999999999999999' at item 0 of its line"):
+        IO.read_id_lines(spark, p)

@@ -11,14 +11,23 @@ the lines.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions import text as T
+from wordloom.operators.encode import _few
 from wordloom.session import numbered, stored
 
 
+#: What separates ids in a line.
+SPACES = " \t\n\x0b\f\r"
+
+
 class MalformedIdsError(ValueError):
     pass
 
@@ -35,21 +44,57 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     return raw.join(ids, raw["path"] == ids["of"]).select(F.col("doc_id").cast("bigint").alias("doc_id"), "path", "text")
 
 
-def _lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def _lines(spark: SparkSession, path: str, *values) -> tuple[DataFrame, DataFrame]:
     """Non-empty lines ``(file, block, line, value)``, a trailing CR removed, and one row per block of a file.
 
     ``line`` grows with the place in a block by one; blocks are ``(file, block,
-    first, rows, rank)``, ranked by file and place in the file.
+    first, rows, rank)``, ranked by file and place in the file. ``values`` are
+    columns to store instead of ``value``.
     """
     raw = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.regexp_replace("value", "\r$", "").alias("value")).where(F.length("value") > 0)
-    lines = stored(raw.withColumn("line", F.monotonically_increasing_id()), "lines")
+    raw = raw.withColumn("line", F.monotonically_increasing_id())
+    lines = stored(raw.select("file", "block", "line", *(values or ["value"])), "lines")
     blocks = lines.groupBy("file", "block").agg(F.min("line").alias("first"), F.count(F.lit(1)).alias("rows"))
     rank = F.row_number().over(Window.orderBy("file", "block")) - 1
     return lines, stored(blocks.withColumn("rank", rank.cast("bigint")), "line-blocks")
 
 
+def _numbers(items: pa.Array) -> pa.Array:
+    """Strings of ASCII digits as longs; all others, and those above a long, are null."""
+    digits = pc.if_else(pc.ascii_is_decimal(items), items, pa.scalar(None, pa.string()))
+    try:
+        return digits.cast(pa.int64())
+    except pa.ArrowInvalid:
+        return pa.array([None if x is None or int(x) >= 1 << 63 else int(x) for x in digits.to_pylist()], pa.int64())
+
+
+def _id_items():
+    """Ids of lines of items between white space, null where malformed (a line without items: null), and the first malformed item."""
+    @F.arrow_udf("struct<ids:array<bigint>,bad:string,bad_at:int>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for rows in (part for batch in batches for part in _few(batch)):
+            lines = pc.ascii_trim(rows, SPACES)
+            plain = not pc.any(pc.match_substring_regex(lines, f"[{SPACES[1:]}]|  ")).as_py()
+            items = pc.split_pattern(lines, " ") if plain else pc.split_pattern_regex(lines, f"[{SPACES}]+")
+            starts = items.offsets.to_numpy().copy()
+            words = items.values
+            ids = _numbers(words)
+            bad, bad_at = [None] * len(lines), [None] * len(lines)
+            wrong = np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False))
+            in_line = np.searchsorted(starts, wrong, side="right") - 1
+            for at, line in zip(wrong[::-1].tolist(), in_line[::-1].tolist(), strict=True):
+                bad[line], bad_at[line] = words[at].as_py(), at - int(starts[line])
+            empty = pc.equal(pc.binary_length(lines), 0)
+            yield pa.StructArray.from_arrays([
+                pc.if_else(empty, pa.scalar(None, pa.list_(pa.int64())), pa.ListArray.from_arrays(items.offsets, ids)),
+                pc.if_else(empty, pa.scalar(None, pa.string()), pa.array(bad, pa.string())), pa.array(bad_at, pa.int32())],
+                ["ids", "bad", "bad_at"])
+
+    return run
+
+
 def _ordered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Non-empty lines with a trailing CR removed, numbered from 0 after the drop, over the files in path order."""
     lines, blocks = _lines(spark, path)
@@ -89,16 +134,12 @@ def read_id_lines(spark: SparkSession, path: str, mode: str = "failfast", vocab_
     (``mode='failfast'``), or is skipped (``mode='permissive'``). With
     ``vocab_size``, ids at or above it are removed, so neighbours close up.
     """
-    raw, blocks = _lines(spark, path)
-    raw = raw.withColumn("v", F.regexp_replace("value", r"^\s+|\s+$", ""))
-    items = raw.where(F.length("v") > 0).withColumn("items", F.split("v", r"\s+"))
-    ids = F.transform("items", lambda x: F.when(x.rlike("^[0-9]+$"), x.try_cast("bigint")))
-    lines = stored(items.select("file", "block", "line", "items", ids.alias("ids")), "id-lines")
+    lines, blocks = _lines(spark, path, _id_items()("value").alias("found"))
+    lines = lines.select("file", "block", "line", "found.*").where("ids IS NOT NULL")
     if mode == "failfast":
-        bad = lines.where(F.exists("ids", lambda x: x.isNull())).select(F.posexplode(
-            F.arrays_zip("items", "ids")).alias("pos", "x")).where("x.ids IS NULL").limit(1).collect()
+        bad = lines.where("bad IS NOT NULL").select("bad", "bad_at").limit(1).collect()
         if bad:
-            raise MalformedIdsError(f"malformed token id {bad[0].x['items']!r} at item {bad[0].pos} of its line")
+            raise MalformedIdsError(f"malformed token id {bad[0].bad!r} at item {bad[0].bad_at} of its line")
     keep = (lambda x: x.isNotNull()) if vocab_size is None else (lambda x: x.isNotNull() & (x < F.lit(vocab_size)))
     return lines.join(blocks, ["file", "block"]).select(
         (F.shiftleft("rank", 32) + F.col("line") - F.col("first")).alias("doc_id"), F.filter("ids", keep).alias("ids"))
