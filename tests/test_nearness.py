@@ -113,3 +113,16 @@ def test_pivot_index_skips_cells(spark):
     assert index.nearest(qs, 5).first().vec_id == 5 and len(index.read) < len(index.cells) == 12
     none = N.PivotIndex(frame(spark, []))
     assert none.nearest(qs, 3).count() == 0 and index.nearest(qs.limit(0), 3).count() == 0
+
+
+def test_far_blocks_are_not_compared(spark, monkeypatch):
+    """A pair of blocks is compared once, and only if the pivots do not keep it apart; entries travel in whole blocks."""
+    rng = np.random.default_rng(4)
+    x = np.repeat(np.arange(10.0), 60)[:, None] * 100 + rng.normal(size=(600, 3))
+    compared = []
+    keep = N.stored
+    monkeypatch.setattr(N, "stored", lambda df, name="table": (
+        compared.extend((r.i, r.j) for r in df.collect()) if name == "block-pairs" else None) or keep(df, name))
+    assert got(N.similarity_join(frame(spark, x), 0.5, block_rows=20)) == slow(x, 0.5)
+    blocks = 1 + max(j for _, j in compared)
+    assert len(set(compared)) == len(compared) < blocks * (blocks + 1) / 4 and all(i <= j for i, j in compared)
